@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def queries() -> dict:
-    return {}
+from pyspark.sql import DataFrame, SparkSession
+
+from foliant.plans import join_queries, review_queries, text_queries  # noqa: F401  (they register their queries)
+from foliant.plans.registry import QUERIES, SQL
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
