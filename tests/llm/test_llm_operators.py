@@ -1,0 +1,469 @@
+import base64
+import hashlib
+import itertools
+import random
+import re
+import struct
+import zlib
+from collections import Counter
+
+import public_tokenizers
+import pytest
+import xxhash
+import zstandard
+from tokenizers import Tokenizer
+
+from foliant.llm import components, decontaminate, jaccard_join, language_id, mixture, personal_data, pretokens, quality, seekable, secret_scan, token_count, token_store, warc
+
+LETTERS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+BYTE_BPE, WORD_BPE = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
+
+
+def words(text, pattern=r"[^\x20\x09-\x0D]+"):
+    return re.findall(pattern, re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def texts(seed, n, vocabulary=12, length=40):
+    own = random.Random(seed)
+    vocab = [chr(97 + i) * 2 for i in range(vocabulary)]
+    return [" ".join(own.choice(vocab) for _ in range(own.randint(0, length))) for _ in range(n)]
+
+
+# --- decontamination --------------------------------------------------------------------------------------------------
+
+
+def brute_hits(docs, items, window):
+    wins = {}
+    for name, text in items:
+        w = words(text, LETTERS)
+        for i in range(max(1, len(w) - window + 1) if w else 0):
+            wins.setdefault(tuple(w[i : i + window]), set()).add(name)
+    out = []
+    for _, text in docs:
+        w = words(text, LETTERS)
+        hit, found = set(), set()
+        for m in {len(k) for k in wins}:
+            for i in range(len(w) - m + 1):
+                if (k := tuple(w[i : i + m])) in wins:
+                    hit |= set(range(i, i + m))
+                    found |= wins[k]
+        out.append((len(w), len(hit), ",".join(sorted(found))))
+    return out
+
+
+@pytest.mark.parametrize("shard_words", [100_000, 3])
+def test_decontamination_equals_brute_force(spark, make_docs, shard_words):
+    docs = list(enumerate(texts(1, 60)))
+    items = [(str(i), t) for i, t in enumerate(texts(2, 15, length=9) + ["", "aa"])]
+    bench = spark.createDataFrame(items + [("n", None), (None, "aa bb")], "item_id string, text string")
+    got = decontaminate.benchmark_hits(make_docs(*docs), bench, window=4, shard_words=shard_words).orderBy("doc_id").collect()
+    assert [(r.n_words, sum(h.end - h.start for h in r.hits), ",".join(r["items"])) for r in got] == brute_hits(docs, items, 4)
+
+
+def test_decontamination_edges(spark, make_docs, odd_docs):
+    bench = spark.createDataFrame([(1, "one two three")], "item_id long, text string")
+    out = decontaminate.decontaminate(odd_docs, bench)
+    got = {(r.doc_id, r.n_words): r for r in out.collect()}
+    assert got[(1, 0)].contaminated is False and got[(2, 0)].n_hit == 0
+    assert got[(4, 3)].contaminated and got[(4, 3)].clean_text is None and got[(8, 3)].n_hit == 3
+    assert out.count() == odd_docs.count()
+    assert decontaminate.decontaminate(odd_docs.limit(0), bench).count() == 0
+    assert decontaminate.decontaminate(odd_docs, bench.limit(0)).where("contaminated").count() == 0
+    cut = decontaminate.decontaminate(make_docs((1, "Z é one two three, y " * 1 + "w " * 60)), bench).first()
+    assert not cut.contaminated and cut.clean_text.startswith("Z é , y w")
+
+
+# --- Jaccard join -----------------------------------------------------------------------------------------------------
+
+
+def brute_components(docs, k, num, den):
+    sets = {}
+    for i, t in docs:
+        w = words(t)
+        sets[i] = {tuple(w[j : j + k]) for j in range(len(w) - k + 1)} if len(w) >= k else ({tuple(w)} if w else set())
+    parent = {i: i for i in sets}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in itertools.combinations(sorted(sets), 2):
+        if sets[a] and sets[b]:
+            n = len(sets[a] & sets[b])
+            if den * n >= num * (len(sets[a]) + len(sets[b]) - n):
+                x, y = sorted((find(a), find(b)))
+                parent[y] = x
+    return {i: (len(sets[i]), find(i)) for i in sets}
+
+
+def near_copies(seed, groups=6, copies=9):
+    own, out = random.Random(seed), []
+    vocab = [f"w{i}" for i in range(400)]
+    for _ in range(groups):
+        base = [own.choice(vocab) for _ in range(own.randint(3, 80))]
+        for _ in range(copies):
+            c = list(base)
+            for _ in range(own.randint(0, 3)):
+                c[own.randrange(len(c))] = own.choice(vocab)
+            out.append(" ".join(c))
+    return list(enumerate(out + ["", None, "w1", "W1", "w1 w2", " w1\tw2 "]))
+
+
+@pytest.mark.parametrize(("k", "num", "tile"), [(3, 90, 256), (2, 60, 4)])
+def test_jaccard_equals_brute_force(make_docs, monkeypatch, k, num, tile):
+    monkeypatch.setattr(jaccard_join, "TILE", tile)
+    docs = near_copies(k)
+    got = jaccard_join.similar_components(make_docs(*docs), k=k, threshold=(num, 100)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(docs, k, num, 100)
+
+
+def test_jaccard_edges(odd_docs):
+    out = jaccard_join.similar_components(odd_docs, k=3)
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in out.collect()), key=str)
+    assert len(got) == odd_docs.count()
+    assert {c for d, n, c in got if d == 4} == {4} and (8, 1, 4) in got
+    assert (1, 0, 1) in got and (None, 1, None) in got
+    kept = jaccard_join.distinct_documents(odd_docs, k=3)
+    assert kept.columns == odd_docs.columns and kept.where("doc_id = 8").count() == 0 and kept.where("doc_id is null").count() == 2
+    assert jaccard_join.similar_components(odd_docs.limit(0)).count() == 0
+
+
+def test_components(spark):
+    chain = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 102), (102, 100), (7, 7), (None, 3)]
+    got = {r.node: r.label for r in components.components(spark.createDataFrame(chain, "a long, b long")).collect()}
+    assert got == {i: 0 for i in range(41)} | {100: 100, 101: 100, 102: 100}
+
+
+# --- mixing -----------------------------------------------------------------------------------------------------------
+
+
+def test_mixture_meets_targets(spark):
+    own = random.Random(5)
+    rows = [(i, own.choice("ab"), own.choice(["en", "de"]), own.choice("xyz"), own.randint(50, 150)) for i in range(4000)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, lang string, topic string, tokens long")
+    targets = {"source": {"a": 3, "b": 1}, "lang": {"en": 1, "de": 1}, "topic": {"x": 1, "y": 1, "z": 2}}
+    cells = mixture.rates(df, targets=targets, budget=0.3).collect()
+    spent = sum(c.rate * c.tokens for c in cells)
+    assert abs(spent / sum(c.tokens for c in cells) - 0.3) < 1e-6
+    assert abs(sum(c.rate * c.tokens for c in cells if c.source == "a") / spent - 0.75) < 1e-3
+    assert abs(sum(c.rate * c.tokens for c in cells if c.topic == "z") / spent - 0.5) < 1e-3
+    tables = {(c.source, c.lang, c.topic): c.rate for c in mixture.rates(df, targets=targets, budget=0.3, driver_cells=0).collect()}
+    assert all(abs(tables[(c.source, c.lang, c.topic)] - c.rate) < 1e-9 for c in cells)
+
+
+def test_mixture_edges(odd_docs):
+    out = mixture.mixture(odd_docs)
+    assert out.count() == odd_docs.count() and out.where("sampled is null or rate is null").count() == 0
+    assert mixture.sample(odd_docs).columns == odd_docs.columns
+    assert mixture.mixture(odd_docs.limit(0)).count() == 0
+
+
+# --- token store ------------------------------------------------------------------------------------------------------
+
+
+def test_byte_level_encoder_equals_library():
+    own = random.Random(1)
+    parts = ["'", "s", "t", "re", "ve", "ll", "d", " ", "  ", "\n", "\t", " \n", "a", "Z", "é", "1", "٣", "!", " ", "　", "😀", "中", "\0", "r", "v", "l", "e", "<|endoftext|>", "́"]
+    fuzz = ["".join(own.choice(parts) for _ in range(own.randint(0, 30))) for _ in range(4000)] + [None]
+    ids, n = pretokens.ByteLevelEncoder(BYTE_BPE)(fuzz)
+    library = Tokenizer.from_file(BYTE_BPE)
+    at = 0
+    for text, size in zip(fuzz, n.tolist(), strict=True):
+        assert ids[at : at + size].tolist() == library.encode(text or "", add_special_tokens=False).ids
+        at += size
+
+
+def test_token_store_round_trip(spark, odd_docs, tmp_path):
+    library = Tokenizer.from_file(BYTE_BPE)
+    expected = Counter()
+    for r in odd_docs.collect():
+        ids = [*library.encode(r.text or "", add_special_tokens=False).ids, 2]
+        expected[(r.doc_id, len(ids), zlib.crc32(struct.pack(f"<{len(ids)}I", *ids)))] += 1
+    root, shards = token_store.write_tokens(odd_docs, BYTE_BPE, root=f"file://{tmp_path}/t", frame_ids=500)
+    got = sorted((tuple(r) for r in token_store.read_digests(spark, root, shards).collect()), key=lambda r: r[1])
+    assert Counter((d, n, c) for d, _, n, c in got) == expected
+    assert [r[1] for r in got] == list(itertools.accumulate([0] + [r[2] for r in got]))[:-1]
+    assert [r[0] is not None for r in got] == sorted(r[0] is not None for r in got)
+    assert [r[0] for r in got if r[0] is not None] == sorted(r[0] for r in got if r[0] is not None)
+    one = [ids for s, *_ in shards for ids in token_store.read_document(root, s, 8)]
+    assert [o.tolist() for o in one] == [[*library.encode("One TWO three", add_special_tokens=False).ids, 2]]
+    assert token_store.write_tokens(odd_docs.limit(0), BYTE_BPE)[1] == []
+
+
+def test_seekable_format(tmp_path):
+    path, parts = tmp_path / "f.zst", [b"a" * 1000, b"", b"bcd", bytes(range(256)) * 9]
+    with open(path, "wb") as f:
+        w = seekable.Writer(f)
+        for p in parts:
+            if p:
+                w.frame(p)
+        w.metadata(b"meta")
+        w.close()
+    fs, name = seekable.filesystem(f"file://{path}")
+    r, whole = seekable.Reader(fs.open_input_file(name)), b"".join(parts)
+    assert r.metadata() == b"meta" and b"".join(r.frame(k) for k in range(len(r))) == whole
+    assert all(r.content(a, b) == whole[a:b] for a, b in ((0, 0), (0, 5), (999, 1002), (1001, 1004), (0, len(whole))))
+    with open(path, "rb") as f:
+        assert zstandard.ZstdDecompressor().stream_reader(f, read_across_frames=True).read() == whole
+    broken = bytearray(path.read_bytes())
+    broken[6] ^= 255
+    path.write_bytes(broken)
+    with pytest.raises((ValueError, zstandard.ZstdError)):
+        seekable.Reader(fs.open_input_file(name)).frame(0)
+    path.write_bytes(b"no seek table in here at all")
+    with pytest.raises(ValueError):
+        seekable.Reader(fs.open_input_file(name))
+
+
+# --- quality ----------------------------------------------------------------------------------------------------------
+
+
+def sx(h):
+    return h - (1 << 64) if h >= 1 << 63 else h
+
+
+def spark_hash(*longs):
+    seed = 42
+    for x in longs:
+        seed = xxhash.xxh64_intdigest(struct.pack("<q", x), seed)
+    return sx(seed)
+
+
+def brute_quality(docs, good, buckets, threshold):
+    def case(t):
+        return re.findall(r"[^\x20\x09-\x0D]+", t or "")
+
+    def grams(w):
+        h = [sx(xxhash.xxh64_intdigest(x.encode(), 42)) for x in w]
+        return [x % buckets for x in h] + [spark_hash(a, b) % buckets for a, b in zip(h, h[1:], strict=False)]
+
+    import math
+
+    raw, target = Counter(), Counter()
+    for i, t in docs:
+        g = grams(case(t))
+        raw.update(g)
+        if i in good:
+            target.update(g)
+    nr, nt = sum(raw.values()), sum(target.values())
+    weight = [int(math.copysign(math.floor(abs(x) + 0.5), x)) for b in range(buckets) for x in [1000 * (math.log((target[b] + 1) / (nt + buckets)) - math.log((raw[b] + 1) / (nr + buckets)))]]
+    out = {}
+    for i, t in docs:
+        w = case(t)
+        three = Counter(zip(w, w[1:], w[2:], strict=False))
+        hit = {j + d for j in range(len(w) - 2) if three[tuple(w[j : j + 3])] > 1 for d in range(3)}
+        lines = [x for x in (t or "").split("\n") if case(x)]
+        failed = len(w) < 50 or 100 * len(hit) > 50 * len(w)
+        total, n = sum(weight[b] for b in grams(w)), max(2 * len(w) - 1, 1)
+        out[i] = (len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in t or ""), len(lines) - len(set(lines)), len(hit), failed, not failed and total >= n * round(threshold * 1000))
+    return out
+
+
+def test_quality_equals_brute_force(spark, make_docs):
+    own = random.Random(4)
+    docs = [(i, "".join(own.choice(["aa", "bb", "Ünï", "#x|", "long-word", "c"]) + own.choice([" ", " ", "\n", "\n\n", "\t", "  "]) for _ in range(own.randint(0, 150)))) for i in range(80)] + [(900, None), (901, "")]
+    docs += [(1000 + i, " ".join(f"u{own.randrange(500)}" for _ in range(own.randint(40, 120)))) for i in range(40)]
+    good = {i for i, _ in docs if i >= 1000}
+    df = make_docs(*docs)
+    weights = quality.weights(df, spark.createDataFrame([(i,) for i in good], "doc_id long"), buckets=64)
+    got = quality.judge(df, weights, buckets=64, threshold=-0.1).collect()
+    assert {r.doc_id: (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed, r.kept) for r in got} == brute_quality(docs, good, 64, -0.1)
+    assert any(r.kept for r in got) and any(not r.kept and not r.base_failed for r in got)
+
+
+def test_quality_edges(odd_docs):
+    weights = quality.weights(odd_docs, None, buckets=32)
+    out = quality.judge(odd_docs, weights, buckets=32)
+    assert out.count() == odd_docs.count() and out.where("doc_id in (1, 2, 3)").agg({"n_words": "sum"}).first()[0] == 0
+    assert quality.judge(odd_docs.limit(0), quality.weights(odd_docs.limit(0), None, buckets=32), buckets=32).count() == 0
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+# --- token counts -----------------------------------------------------------------------------------------------------
+
+
+def test_token_counts_equal_library():
+    own = random.Random(2)
+    parts = ["'", "s", "t", "re", "ve", "ll", "d", "m", " ", "\n", "a", "Z", "é", "1", "٣", "!", " ", "😀", "中", "\0", "e", "́", "<|endoftext|>", "<|startoftext|>", "Σ", "ß", "the", "ing", "tion", "hello", "@@", "İ"]
+    fuzz = ["".join(own.choice(parts) for _ in range(own.randint(0, 30))) for _ in range(5000)] + [None, "x" * 5000]
+    got = token_count.TokenCounter(WORD_BPE)(fuzz)
+    library = Tokenizer.from_file(WORD_BPE)
+    assert got.tolist() == [len(library.encode(t or "", add_special_tokens=False).ids) for t in fuzz]
+
+
+def test_word_machine_border_rule():
+    """The rule for two tokens' border against merging their joined text; and a machine that forgets its states."""
+    import json
+
+    model = json.load(open(WORD_BPE))["model"]
+    machine, own = token_count.WordMachine(model["merges"], "</w>", most_states=50), random.Random(3)
+    tokens = [t for t in machine.tokens.values() if machine._own(t)]
+    inner = [t for t in tokens if not t.endswith("</w>")]
+    for _ in range(5000):
+        a, b = own.choice(inner), own.choice(tokens)
+        assert machine._fit(a, b) == (machine.tokenise(machine._parts(a) + machine._parts(b)) == [a, b])
+    library = Tokenizer.from_file(WORD_BPE)
+    for w in ["internationalization", "thntentionheblerean", "ciónueciónmente", "aaaaaaaaaaaa", "a"] * 3:
+        assert machine.count(w) == len(library.encode(w, add_special_tokens=False).ids)
+
+
+def test_token_count_edges(odd_docs):
+    out = token_count.token_counts(odd_docs, WORD_BPE)
+    assert out.count() == odd_docs.count() and out.where("over_limit").count() == 2
+    assert out.where("doc_id = 1").first()[1:3] == (0, 0)
+    assert token_count.token_counts(odd_docs.limit(0), WORD_BPE).count() == 0
+
+
+# --- personal data and secrets ------------------------------------------------------------------------------------------
+
+
+def literal(pattern, text, ok=lambda m: True, flags=0):
+    return [m.span() for m in re.finditer(pattern, text, flags) if ok(m)]
+
+
+def digits(m):
+    return re.sub("[^0-9]", "", m[0])
+
+
+def base_pii(t):
+    spans = [(a, b, 0) for a, b in literal(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
+    spans += [(a, b, 1) for a, b in literal(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t, lambda m: all(int(x) <= 255 for x in m[0].split(".")))]
+    spans += [(a, b, 2) for a, b in literal(r"[0-9]([\x20-]?[0-9])+", t, lambda m: 12 <= len(digits(m)) <= 19 and personal_data.luhn(digits(m)))]
+    spans += [(a, b, 3) for a, b in literal(r"\+[0-9][\x20().0-9-]+[0-9]", t, lambda m: 9 <= len(digits(m)) <= 15)]
+    return sorted(spans, key=lambda s: (s[0], s[2]))
+
+
+def base_secrets(t):
+    spans = [(a, b, 0) for a, b in literal(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", t, lambda m: len(m[2]) >= 6, re.I | re.A)]
+    spans += [(a, b, 1) for a, b in literal("AKIA[A-Z0-9]+", t, lambda m: len(m[0]) >= 20)]
+    spans += [(a, b, 2) for a, b in literal("[0-9a-f]+", t, lambda m: len(m[0]) >= 24)]
+    return sorted(spans, key=lambda s: (s[0], s[2]))
+
+
+def test_base_spans_equal_the_patterns():
+    own = random.Random(2)
+    parts = ["a", "b@", "@", ".", " ", "-", "1", "2", "255", "256", "+", "(", ")", "4111111111111111", "x.y", "+1", "555", "password", "=", "token", ":", "'", '"', "AKIA", "ABCDEF12345", "deadbeef01", "f", "api_key", "é", "0001"]
+    for _ in range(8000):
+        t = "".join(own.choice(parts) for _ in range(own.randint(1, 25)))
+        assert personal_data.plain(t) == base_pii(t)
+        assert secret_scan.plain(t) == base_secrets(t)
+        assert set(base_pii(t)) <= set(personal_data.scan(t)[0])
+
+
+@pytest.mark.parametrize(
+    ("text", "kind", "span"),
+    [
+        ("mail john.doe [at] example [dot] com now", "email", "john.doe [at] example [dot] com"),
+        ("jane at mail dot example dot org ok", "email", "jane at mail dot example dot org"),
+        ("to bob(at)corp.co.uk.", "email", "bob(at)corp.co.uk"),
+        ("сарo@example.com!", "email", "сарo@example.com"),
+        ("ａlice＠ｅxample．com", "email", "ａlice＠ｅxample．com"),
+        ("a​b@x​.org", "email", "a​b@x​.org"),
+        ("call plus one five five five one two three four five six seven.", "phone", "plus one five five five one two three four five six seven"),
+        ("card ４１１１ １１１１ １１１１ １１１１ x", "card", "４１１１ １１１１ １１１１ １１１１"),
+        ("ip one nine two dot one six eight dot one dot one ok", "ip", "one nine two dot one six eight dot one dot one"),
+    ],
+)
+def test_disguises(text, kind, span):
+    assert [(personal_data.KINDS[k], text[a:b]) for a, b, k in personal_data.scan(text)[1]] == [(kind, span)]
+
+
+@pytest.mark.parametrize("text", ["look at the dot on the page", "one two three", "Привет, как дела", "meet at noon. dot your i's", "[at] the [dot]", "", None, "192.168.0.1 and a@b.org"])
+def test_no_disguise(text):
+    assert personal_data.scan(text)[1] == []
+
+
+def test_redaction():
+    assert personal_data.redact("a@b.org, 10.0.0.1 and jim [at] x [dot] de") == "[email], [ip] and [email]"
+
+
+def test_personal_data_edges(odd_docs, make_docs):
+    out = personal_data.find_personal_data(odd_docs)
+    assert out.count() == odd_docs.count() and out.where("spans != ''").count() == 0
+    assert out.first().base_sha256 == hashlib.sha256(b"").hexdigest()
+    assert personal_data.find_personal_data(odd_docs.limit(0)).count() == 0
+    row = personal_data.find_personal_data(make_docs((1, "é a@b.org"))).first()
+    assert (row.n_email, row.spans, row.base_sha256) == (1, "email:2:9", hashlib.sha256(b"email:2:9").hexdigest())
+    assert personal_data.plain("1" * 300_000) == [] and personal_data.plain("a" * 300_000 + "@") == []
+
+
+def test_secrets(spark, make_docs, odd_docs):
+    ordinary = make_docs(*[(i, "the model reads configuration_values_2024 from the environment and writes report-final-2023-10-15 " * 3) for i in range(20)])
+    labels = spark.createDataFrame([(i, 1) for i in range(10)], "doc_id long, quality int")
+    ratios = secret_scan.train(ordinary, labels)
+    key = "x9K2mQ7vLp4RtZ81bN3w"
+    got = secret_scan.find_secrets(make_docs((1, f"key {key} end"), (2, "see configuration_values_2024 and report-final-2023-10-15"), (3, "token = 'abcdef1'")), ratios)
+    rows = {r.doc_id: r for r in got.collect()}
+    assert rows[1].spans == f"random:4:{4 + len(key)}" and rows[2].spans == "" and rows[3].spans == "assign:0:16"
+    held = secret_scan.random_strings(500, seed=99)
+    assert sum(secret_scan.score(s, ratios) >= secret_scan.PER_CHAR for s in held) > 470
+    assert secret_scan.find_secrets(odd_docs, ratios).count() == odd_docs.count()
+    assert secret_scan.find_secrets(odd_docs.limit(0), secret_scan.train(odd_docs.limit(0), None)).count() == 0
+
+
+# --- WARC ---------------------------------------------------------------------------------------------------------------
+
+
+def test_warc_round_trip(spark, tmp_path):
+    rows = [(5, "http://a", "same"), (3, None, "same"), (7, "http://b\nc", None), (9, "u", ""), (None, "u", "same"), (None, "u", "alone"), (3, "u", "same"), (8, "x", "é" * 50_000), (1, "u", "WARC/1.1\r\n\r\nHTTP")]
+    pages = spark.createDataFrame([(*r, "clash") for r in rows], "page_id long, url string, html string, refers_to string")
+    first = {}
+    for i, _, h in rows:
+        if i is not None:
+            first[h or ""] = min(first.get(h or "", 1 << 60), i)
+    expected = Counter()
+    for i, _, h in rows:
+        p, f = (h or "").encode(), first.get(h or "")
+        own = f is None or i == f
+        expected[(i, len(p), base64.b32encode(hashlib.sha1(p).digest()).decode(), "response" if own else "revisit", None if own else f)] += 1
+    root, names = warc.write_archives(pages, root=f"file://{tmp_path}/w", frame_bytes=300)
+    assert Counter(tuple(r) for r in warc.read_archives(spark, root, names).collect()) == expected
+    head, http, payload = next(x for n in names if (x := warc.read_record(root, n, 8)))
+    assert payload.decode() == "é" * 50_000 and head["warc-type"] == "response" and http["content-length"] == "100000"
+    assert all(warc.read_record(root, n, 12345) is None for n in names)
+    assert warc.write_archives(pages.limit(0))[1] == [] and warc.read_archives(spark, root, []).count() == 0
+
+
+# --- language ID ----------------------------------------------------------------------------------------------------------
+
+
+def test_language_id_equals_plain_sums(spark, make_docs):
+    """Bundles and cosines against a document-by-document computation."""
+    import numpy as np
+
+    bind = language_id.Binder(64)
+
+    def bundle(text):
+        c = [ord(x) if x.isalpha() else 0 for x in (text or "").lower()]
+        at = [(c[i - 1] if i else 0, c[i], c[i + 1] if i + 1 < len(c) else 0) for i in range(len(c)) if c[i]]
+        return sum((np.roll(bind.letter(a), 2) * np.roll(bind.letter(b), 1).astype(int) * bind.letter(d) for a, b, d in at), np.zeros(64))
+
+    docs = [(i, t, lang) for i, (t, lang) in enumerate([("the quick brown fox", "en"), ("der schnelle braune Fuchs", "de"), ("über allen Gipfeln", "de"), ("and the lazy dog", "en"), ("中文文字 тест", "zh"), ("no lang", None)] * 4)]
+    df = make_docs(*docs)
+    learn = [d for d in docs if zlib.crc32(str(d[0]).encode()) % 3 != 1 and d[2]]
+    names, vectors = language_id.prototypes(df, dimensions=64)
+    sums = {n: sum(bundle(t) for _, t, lang in learn if lang == n) for n in sorted({d[2] for d in learn})}
+    assert names == list(sums) and np.allclose(vectors, [v / np.linalg.norm(v) for v in sums.values()])
+    for r in language_id.identify(df, (names, vectors), dimensions=64).collect():
+        own = bundle(docs[r.doc_id][1])
+        cosines = [own @ v / np.linalg.norm(own) for v in vectors]
+        assert r.lang_pred == names[int(np.argmax(cosines))] and abs(r.score - max(0, max(cosines))) < 1e-6
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1)
+
+
+def test_language_id_edges(odd_docs, make_docs):
+    model = language_id.prototypes(make_docs((2, "some words", "en"), (4, None, "de"), (6, "123", "fr")))
+    assert model[0] == ["en"]
+    got = language_id.identify(odd_docs, model)
+    assert got.count() == odd_docs.count()
+    assert {r.lang_pred for r in got.where("doc_id in (1, 2, 3)").collect()} == {"und"}
+    assert language_id.identify(odd_docs, language_id.prototypes(odd_docs.limit(0))).where("lang_pred != 'und'").count() == 0
+    assert language_id.identify(odd_docs.limit(0), model).count() == 0
+
+
+def test_language_id_held_out_accuracy(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = language_id.identify(docs, language_id.prototypes(docs)).where("held_out").join(docs.select("doc_id", "lang"), "doc_id")
+    assert got.where("lang = lang_pred").count() >= 0.97 * got.count()
