@@ -397,8 +397,11 @@ def test_secrets(spark, make_docs, odd_docs):
     got = secret_scan.find_secrets(make_docs((1, f"key {key} end"), (2, "see configuration_values_2024 and report-final-2023-10-15"), (3, "token = 'abcdef1'")), ratios)
     rows = {r.doc_id: r for r in got.collect()}
     assert rows[1].spans == f"random:4:{4 + len(key)}" and rows[2].spans == "" and rows[3].spans == "assign:0:16"
+    corpus = "/root/testdata/sf0.01"
+    trained = secret_scan.train(spark.read.parquet(f"{corpus}/documents.parquet"), spark.read.parquet(f"{corpus}/labels.parquet"))
     held = secret_scan.random_strings(500, seed=99)
-    assert sum(secret_scan.score(s, ratios) >= secret_scan.PER_CHAR for s in held) > 470
+    assert sum(secret_scan.score(s, trained) >= secret_scan.PER_CHAR for s in held) > 470
+    assert all(secret_scan.score(s, trained) < secret_scan.PER_CHAR for s in ("internationalization_of_things2", "thntentionheblerean1", "2023-10-15-report-final"))
     assert secret_scan.find_secrets(odd_docs, ratios).count() == odd_docs.count()
     assert secret_scan.find_secrets(odd_docs.limit(0), secret_scan.train(odd_docs.limit(0), None)).count() == 0
 
