@@ -7,8 +7,8 @@ one leader, and only leaders enter the search:
 
 1. stars: each group's members are paired with their leader, and each prefix shingle's leaders with the one of them that
    has the fewest rare shingles; pairs are verified on whole sets, and their links form first components;
-2. rest: prefix shingles whose nodes still lie in several components are expanded to all members of the groups, dealt
-   to tiles of bounded size, and every pair of different components within a tile is verified on whole sets.
+2. rest: prefix shingles whose nodes still lie in several components are expanded to all members of the groups and dealt
+   to tiles of bounded size; pairs of different components whose prefixes share enough are verified on whole sets.
 
 So no link between components is lost, and pairs inside a component that is already connected are never listed.
 
@@ -35,7 +35,9 @@ from foliant.llm.textcodes import shingles, space_words
 #: so work and not results.
 SKETCH, FREQUENT = 1 << 20, 1 << 16
 #: Nodes of one side of a tile.
-TILE = 192
+TILE = 256
+#: Rows that one copy of a pivot's text serves.
+PART = 512
 #: Parts that a frequent shingle's or a large group's members are dealt to.
 SALTS = 16
 
@@ -68,7 +70,7 @@ def _prefixes(shared, k: int, num: int, den: int):
         level[buckets] = levels
         for batch in batches:
             for part, texts in slices(batch):
-                size, key, group, rare, flat, at = [], [], [], [], [], [0]
+                size, key, group, rare, last, tail, flat, at = [], [], [], [], [], [], [], [0]
                 for s in _sets(texts, k):
                     n = len(s)
                     p = n - -(-num * n // den) + 1 if n else 0
@@ -79,79 +81,105 @@ def _prefixes(shared, k: int, num: int, den: int):
                     key.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
                     group.append(int.from_bytes(hashlib.blake2b(first.tobytes() + n.to_bytes(8, "little"), digest_size=8).digest(), "little", signed=True))
                     rare.append(int((own == 0).sum()))
+                    last.append(int(own[order][-1]) if n else 0)
+                    tail.append(first[-1] if n else np.uint64(0))
                     flat.append(first)
                     at.append(at[-1] + p)
                 prefix = np.concatenate(flat)
                 lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(prefix.view(np.int64)))
                 hot = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(level[(prefix >> np.uint64(44)).astype(np.int64)] > 0))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(size, pa.int64()), pa.array(key, pa.binary()), pa.array(group, pa.int64()), pa.array(rare, pa.int32()), lists, hot], names=["doc_id", "n", "key", "grp", "rare", "prefix", "hot"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(size, pa.int64()), pa.array(key, pa.binary()), pa.array(group, pa.int64()), pa.array(rare, pa.int32()), pa.array(last, pa.int32()), pa.array(np.array(tail, np.uint64).view(np.int64)), lists, hot], names=["doc_id", "n", "key", "grp", "rare", "last", "tail", "prefix", "hot"])
 
     return run
 
 
-def _full_sets(k: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part, texts in slices(batch):
-                yield pa.RecordBatch.from_arrays([part.column("nid"), pa.array([s.tobytes() for s in _sets(texts, k)], pa.binary())], names=["nid", "shingles"])
-
-    return run
-
-
-def _linked(num: int, den: int):
-    """Keeps the pairs of sets (x, y) whose similarity is num / den at least."""
+def _linked(k: int, num: int, den: int):
+    """Keeps the pairs of texts (x, y) whose sets have a similarity of num / den at least."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = np.concatenate([x, y])
-                both.sort()
-                inter = int((both[1:] == both[:-1]).sum())
-                keep.append(den * inter >= num * (len(both) - inter))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            for part, right in slices(batch, "y"):
+                left = part.column("x").to_pylist()
+                # A star's rows share their pivot's text: each different one is cut into shingles once.
+                pivots = list(dict.fromkeys(left))
+                own = dict(zip(pivots, _sets(pivots, k), strict=True))
+                keep = []
+                for x, y in zip((own[t] for t in left), _sets(right, k), strict=True):
+                    both = np.concatenate([x, y])
+                    both.sort()
+                    inter = int((both[1:] == both[:-1]).sum())
+                    keep.append(den * inter >= num * (len(both) - inter))
+                yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
 
-def _tile_links(num: int, den: int):
-    """Links between different components among the nodes of a tile, one for each pair of components and node at most."""
+def _tile_pairs(num: int, den: int):
+    """Pairs of different components within a tile that can be similar by what their prefixes share.
+
+    Up to the lower one of two prefixes' last shingles, all that the sets share lies in both prefixes; beyond it, the set
+    of that prefix has n - p shingles left. Pairs whose shared prefix and such a rest are too few are not similar. Nodes
+    come with those of their prefix shingles that any other leader has, too.
+    """
 
     def run(table: pa.Table) -> pa.Table:
-        nid, label, side = (table.column(c).to_numpy() for c in ("nid", "label", "side"))
-        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("shingles")]
-        size = np.array([len(s) for s in sets])
-        words, col, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-        row = np.repeat(np.arange(len(sets)), size)
-        shared = times > 1
-        place = np.cumsum(shared) - 1
-        inter = np.zeros((len(sets), len(sets)), np.float32)
-        for lo in range(0, int(shared.sum()), 8192):
+        nid, label, side, n, level = (table.column(c).to_numpy() for c in ("nid", "label", "side", "n", "last"))
+        column = table.column("shared").combine_chunks()
+        p = n - -(-num * n // den) + 1
+        order = np.lexsort((table.column("tail").to_numpy().view(np.uint64), level))
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        _, col, times = np.unique(column.flatten().to_numpy(), return_inverse=True, return_counts=True)
+        row, shared = np.repeat(np.arange(len(p)), np.diff(column.offsets.to_numpy())), times > 1
+        place, width = np.cumsum(shared) - 1, int(shared.sum())
+        common = np.zeros((len(p), len(p)), np.float32)
+        for lo in range(0, width, 8192):
             use = shared[col] & (place[col] >= lo) & (place[col] < lo + 8192)
-            m = np.zeros((len(sets), min(8192, int(shared.sum()) - lo)), np.float32)
+            m = np.zeros((len(p), min(8192, width - lo)), np.float32)
             m[row[use], place[col[use]] - lo] = 1
-            inter += m @ m.T
-        union = size[:, None] + size[None, :] - inter
-        ok = (den * inter.astype(np.int64) >= num * union.astype(np.int64)) & (label[:, None] != label[None, :])
+            common += m @ m.T
+        rest = n - p
+        most = common.astype(np.int64) + np.where(rank[:, None] <= rank[None, :], rest[:, None], rest[None, :])
+        ok = most * (den + num) >= num * (n[:, None] + n[None, :])
+        ok &= (np.minimum(n[:, None], n[None, :]) * den >= np.maximum(n[:, None], n[None, :]) * num) & (label[:, None] != label[None, :]) & (nid[:, None] < nid[None, :])
         if side.max() > side.min():
-            ok &= side[:, None] < side[None, :]
+            ok &= side[:, None] != side[None, :]
         i, j = np.nonzero(ok)
-        pairs = np.unique(np.stack([np.minimum(label[i], label[j]), np.maximum(label[i], label[j])], 1), axis=0) if len(i) else np.empty((0, 2), np.int64)
-        return pa.table({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64())})
+        tile = table.column("tile").to_numpy()[i]
+        return pa.table({"tile": tile, "pairs": np.full(len(i), len(i)), "pivot": nid[i], "nid": nid[j]})
 
     return run
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The linked ones of pairs (a, b). Nodes that stand in many pairs get their set copied to as many parts."""
-    part = 512
-    copies = pairs.groupBy("a").agg((F.ceil(F.count("*") / part)).cast("int").alias("copies"))
-    left = sets.select(F.col("nid").alias("a"), F.col("shingles").alias("x")).join(copies, "a")
-    left = left.select("a", "x", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("salt"))
-    most = pairs.join(copies, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("copies")).cast("int").alias("salt"))
-    right = sets.select(F.col("nid").alias("b"), F.col("shingles").alias("y"))
-    return most.join(left, ["a", "salt"]).select("a", "b", "x").join(right, "b").select("a", "b", "x", "y").mapInArrow(_linked(num, den), "a long, b long")
+def _tile_links(k: int, num: int, den: int):
+    """The linked ones of a tile's pairs (nid, one of others)."""
+
+    def run(table: pa.Table) -> pa.Table:
+        nid = table.column("nid").to_pylist()
+        places: dict[int, list[int]] = {}
+        for i, x in enumerate(nid):
+            places.setdefault(x, []).append(i)
+        sets = list(_sets(table.column("text").to_pylist(), k))
+        a, b = [], []
+        for i, others in enumerate(table.column("others").to_pylist()):
+            for j in (j for x in others for j in places[x]):
+                both = np.concatenate([sets[i], sets[j]])
+                both.sort()
+                inter = int((both[1:] == both[:-1]).sum())
+                if den * inter >= num * (len(both) - inter):
+                    a.append(nid[i])
+                    b.append(nid[j])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return run
+
+
+def _verified(chosen: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """The links (a, b) among rows (nid, pivot, text) and their pivots. A pivot of many rows has its text copied to as
+    many parts (own_copies), and its rows are dealt to them (copies)."""
+    left = chosen.where("own_copies > 0").select(F.col("nid").alias("a"), F.col("text").alias("x"), F.explode(F.sequence(F.lit(0), F.col("own_copies") - 1)).alias("salt"))
+    right = chosen.where("nid != pivot").select(F.col("pivot").alias("a"), F.col("nid").alias("b"), F.col("text").alias("y"), F.pmod(F.xxhash64("nid"), F.col("copies")).cast("int").alias("salt"))
+    return right.join(left, ["a", "salt"]).select("a", "b", "x", "y").mapInArrow(_linked(k, num, den), "a long, b long")
 
 
 def similar_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = 3, threshold: tuple[int, int] = (90, 100)) -> DataFrame:
@@ -161,78 +189,91 @@ def similar_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     counts = texts.select("text").mapInArrow(_sketch(k), "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "bucket").limit(FREQUENT).collect()
     levels = np.log2(np.array([r.n for r in counts], np.float64) + 1).astype(np.uint8) + 1
     shared = spark.sparkContext.broadcast((np.array([r.bucket for r in counts], np.int64), levels))
-    every = written(texts.mapInArrow(_prefixes(shared, k, num, den), "doc_id long, n long, key binary, grp long, rare int, prefix array<long>, hot array<boolean>"), "prefixes")
+    every = written(texts.mapInArrow(_prefixes(shared, k, num, den), "doc_id long, n long, key binary, grp long, rare int, last int, tail long, prefix array<long>, hot array<boolean>"), "prefixes")
 
     # Equal sets are one node, named by its smallest doc_id; nodes of one prefix and size are one group.
     full = every.where("n > 0 and doc_id is not null")
     named = full.groupBy("key").agg(F.min("doc_id").alias("nid"))
-    nodes = full.select(F.col("doc_id").alias("nid"), "n", "grp", "rare", "prefix", "hot").join(named.select("nid"), "nid", "left_semi").dropDuplicates(["nid", "n", "grp"])
-    nodes = written(nodes, "nodes")
+    nodes = full.select(F.col("doc_id").alias("nid"), "key", "n", "grp", "last", "tail").join(named, ["key", "nid"], "left_semi").drop("key").distinct()
     leaders = nodes.groupBy("grp").agg(F.min("nid").alias("lead"), F.count("*").alias("members"))
-    member = written(nodes.join(leaders, "grp").select("nid", "n", "grp", "lead", "members"), "members")
+    member = written(nodes.join(leaders, "grp").select("nid", "n", "grp", "last", "tail", "lead", "members"), "members")
 
-    lead = nodes.join(leaders.select(F.col("lead").alias("nid"), "grp"), ["nid", "grp"], "left_semi")
-    tokens = lead.select("nid", "n", "rare", F.explode(F.arrays_zip("prefix", "hot")).alias("col"))
-    tokens = tokens.select("nid", "n", "rare", F.col("col.prefix").alias("tok"), F.when(F.col("col.hot"), F.pmod(F.xxhash64("nid"), F.lit(SALTS)) + 1).otherwise(0).cast("byte").alias("salt"))
+    lead = full.select(F.col("doc_id").alias("nid"), "grp", "rare", "prefix", "hot").join(member.where("nid = lead").select("nid", "grp"), ["nid", "grp"], "left_semi")
+    tokens = lead.select("nid", "rare", F.explode(F.arrays_zip("prefix", "hot")).alias("col"))
+    tokens = tokens.select("nid", "rare", F.col("col.prefix").alias("tok"), F.when(F.col("col.hot"), F.pmod(F.xxhash64("nid"), F.lit(SALTS)) + 1).otherwise(0).cast("byte").alias("salt"))
     block = Window.partitionBy("tok", "salt").orderBy("rare", "nid")
-    pivoted = tokens.withColumns({"pivot": F.first(F.struct("nid", "n", "rare")).over(block), "next": F.lead("nid").over(block)})
-    pivoted = written(pivoted.where((F.col("nid") != F.col("pivot.nid")) | F.col("next").isNotNull() | (F.col("salt") > 0)).select("nid", "n", "tok", "salt", "pivot"), "blocks")
-
-    def close(x: str, y: str):
-        return (F.col(x) * den >= F.col(y) * num) & (F.col(y) * den >= F.col(x) * num)
-
-    stars = pivoted.where((F.col("nid") != F.col("pivot.nid")) & close("pivot.n", "n")).select(F.col("pivot.nid").alias("a"), F.col("nid").alias("b"))
-    # A frequent shingle has one pivot for each salt; these meet the first of them.
-    pivots = pivoted.where("salt > 0").select("tok", "pivot.*").distinct().withColumn("top", F.first(F.struct("nid", "n")).over(Window.partitionBy("tok").orderBy("rare", "nid")))
-    tops = pivots.where((F.col("nid") != F.col("top.nid")) & close("top.n", "n")).select(F.col("top.nid").alias("a"), F.col("nid").alias("b"))
-    groups = member.where("nid != lead").select(F.col("lead").alias("a"), F.col("nid").alias("b"))
-    pairs = written(stars.union(tops).distinct().union(groups), "pairs")
-
-    wanted = written(pivoted.select("nid").union(member.where("members > 1").select("nid")).distinct(), "wanted")
-    sets = texts.withColumnRenamed("doc_id", "nid").join(wanted, "nid", "left_semi").mapInArrow(_full_sets(k), "nid long, shingles binary")
-    links = F.col("nid").alias("a"), F.col("nid").alias("b")
-    known = wanted.select(*links)
+    pivoted = tokens.withColumns({"pivot": F.first(F.struct("rare", "nid")).over(block), "next": F.lead("nid").over(block)})
+    pivoted = written(pivoted.where((F.col("nid") != F.col("pivot.nid")) | F.col("next").isNotNull() | (F.col("salt") > 0)).select("nid", "tok", "salt", "pivot"), "blocks")
+
+    # Each leader meets the pivot that it shares most prefix shingles with; a frequent shingle's pivots, one for each salt,
+    # meet the first of them; members of a group meet their leader. Whoever has none is its own pivot.
+    stars = pivoted.where(F.col("nid") != F.col("pivot.nid")).select("nid", "pivot")
+    pivots = pivoted.where("salt > 0").select("tok", "pivot").distinct().withColumn("top", F.min("pivot").over(Window.partitionBy("tok")))
+    stars = stars.union(pivots.where(F.col("pivot") != F.col("top")).select(F.col("pivot.nid").alias("nid"), F.col("top").alias("pivot")))
+    best = stars.groupBy("nid", "pivot").agg(F.count("*").alias("common")).groupBy("nid").agg(F.max_by("pivot.nid", F.struct("common", -F.col("pivot.rare"), -F.col("pivot.nid"))).alias("pivot"))
+    loose = member.where("nid != lead").select("nid", F.col("lead").alias("pivot"))
+    groups = member.where("nid = lead and members > 1").select("nid", F.col("nid").alias("pivot"))
+    wanted = pivoted.select("nid", F.col("nid").alias("pivot")).union(groups).distinct().join(best.withColumnRenamed("pivot", "best"), "nid", "left").select("nid", F.coalesce("best", "pivot").alias("pivot")).union(loose)
+    copies = wanted.where("nid != pivot").groupBy("pivot").agg(F.ceil(F.count("*") / PART).cast("int").alias("copies"))
+    wanted = wanted.join(copies, "pivot", "left").join(copies.toDF("nid", "own_copies"), "nid", "left")
+    wanted = written(wanted, "wanted")
+    chosen = texts.withColumnRenamed("doc_id", "nid").join(wanted, "nid").select("nid", "pivot", "copies", "own_copies", "text")
+    known = wanted.select(F.col("nid").alias("a"), F.col("nid").alias("b"))
     if not full.groupBy("doc_id").count().where("count > 1").isEmpty():
-        sets = sets.distinct()
+        chosen = chosen.distinct()
         shared_ids = full.select("key", "doc_id").join(named, "key").select(F.col("doc_id").alias("a"), F.col("nid").alias("b"))
         known = known.union(shared_ids)
-    sets = written(sets, "sets")
-    label = written(components(_verified(pairs, sets, num, den).union(known)), "labels")
+    chosen = written(chosen, "texts")
+    label = written(components(_verified(chosen, k, num, den).union(known)), "labels")
 
     # Prefix shingles whose nodes lie in several components: all members of their groups, in tiles.
     found = member.join(label.withColumnRenamed("node", "nid"), "nid").select("lead", "nid", "n", "label")
     blocks = pivoted.select(F.col("nid").alias("lead"), "tok").distinct().join(found, "lead").select("tok", "nid", "n", "label")
     within = blocks.groupBy("tok").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.bit_xor(F.xxhash64("nid")).alias("x"), F.bit_xor(F.xxhash64("nid", F.lit(1))).alias("y"), F.count("*").alias("m")).where("lo != hi")
     mixed = within.groupBy("x", "y", "m").agg(F.min("tok").alias("tok"))  # blocks of the same nodes count once
-    blocks = written(blocks.join(mixed.select("tok"), "tok"), "mixed")
-    joined = components(_tiles(blocks, sets, num, den).union(label.select(F.col("label").alias("a"), F.col("label").alias("b"))))
+    blocks = written(blocks.join(mixed.select("tok", "m"), "tok"), "mixed")
+    shared = pivoted.select(F.col("nid").alias("lead"), "tok").distinct().groupBy("lead").agg(F.collect_list("tok").alias("shared"))
+    facts = member.join(blocks.select("nid").distinct(), "nid", "left_semi").join(shared, "lead").select("nid", "n", "last", "tail", "shared")
+    found = _tile_verified(written(_tiles(blocks, facts, num, den), "candidates"), chosen.select("nid", "text"), k, num, den)
+    label_of = label.select("node", "label")
+    found = found.join(label_of.toDF("a", "la"), "a").join(label_of.toDF("b", "lb"), "b").select(F.col("la").alias("a"), F.col("lb").alias("b"))
+    joined = components(found.union(label.select(F.col("label").alias("a"), F.col("label").alias("b"))))
 
     final = label.join(joined.select(F.col("node").alias("label"), F.col("label").alias("component_id")), "label").select(F.col("node").alias("nid"), "component_id")
     ids = full.select("key", "doc_id").distinct().join(named, "key").join(final, "nid", "left").groupBy("doc_id").agg(F.min(F.coalesce("component_id", "nid")).alias("component_id"))
     return every.select("doc_id", F.col("n").alias("n_shingles")).join(ids, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
-def _tiles(blocks: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Links between labels among nodes of one block.
+def _tiles(blocks: DataFrame, facts: DataFrame, num: int, den: int) -> DataFrame:
+    """Candidate pairs (tile, pivot, nid) of different labels among the nodes of one block; each pair in one tile.
 
-    Sizes of similar sets differ by den / num at most, so a node meets those of its own length band and the next. The
-    nodes of two such bands are dealt to parts of about TILE, and each pair of parts is a tile.
+    Sizes of similar sets differ by den / num at most, so in a block of more than TILE nodes a node only meets those of its
+    own length band and the next. Nodes that meet are dealt to parts of about TILE, and each pair of parts is a tile.
     """
-    band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(den / num) * 1.0001))
-    cells = blocks.select("tok", "nid", "label", F.explode(F.array(band, band + 1)).alias("cell"))
+    band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(den / num) * 1.0001)).cast("int")
+    cells = blocks.select("tok", "nid", "label", F.explode(F.when(F.col("m") > TILE, F.array(band, band + 1)).otherwise(F.array(F.lit(-1)))).alias("cell"))
     counted = cells.groupBy("tok", "cell").agg(F.ceil(F.count("*") / TILE).cast("int").alias("parts"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi")
     dealt = cells.join(counted.select("tok", "cell", "parts"), ["tok", "cell"]).withColumn("part", F.pmod(F.xxhash64("nid", "tok"), F.col("parts")).cast("int"))
     here = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda o: F.struct(F.least("part", o).alias("i"), F.greatest("part", o).alias("j"), F.when(o == F.col("part"), 0).when(F.col("part") < o, 1).otherwise(2).alias("side")))
     return (
         dealt.select("tok", "cell", "nid", "label", F.explode(here).alias("t"))
-        .select("tok", "cell", "nid", "label", "t.*")
-        .join(sets, "nid")
-        .groupBy("tok", "cell", "i", "j")
-        .applyInArrow(_tile_links(num, den), "a long, b long")
-        .distinct()
+        .select(F.xxhash64("tok", "cell", "t.i", "t.j").alias("tile"), "nid", "label", "t.side")
+        .join(facts, "nid")
+        .groupBy("tile")
+        .applyInArrow(_tile_pairs(num, den), "tile long, pairs long, pivot long, nid long")
+        .groupBy("pivot", "nid")
+        .agg(F.max_by("tile", F.struct("pairs", "tile")).alias("tile"))
     )
 
 
+def _tile_verified(pairs: DataFrame, texts: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """The links (a, b) among candidate pairs. A text goes once to each tile that has it in a pair; a tile has 2 * TILE
+    nodes or so."""
+    nodes = pairs.select("tile", F.col("pivot").alias("nid"), F.col("nid").alias("other")).union(pairs.select("tile", "nid", F.lit(None).cast("long")))
+    nodes = nodes.groupBy("tile", "nid").agg(F.collect_list("other").alias("others"))
+    return nodes.join(texts, "nid").groupBy("tile").applyInArrow(_tile_links(k, num, den), "a long, b long")
+
+
 def distinct_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = 5, threshold: tuple[int, int] = (80, 100)) -> DataFrame:
     """The rows of docs whose doc_id is the smallest of its component, all columns kept; rows without doc_id stay."""
     dropped = similar_components(docs, id_col=id_col, text_col=text_col, k=k, threshold=threshold).where("component_id != doc_id").select(F.col("doc_id").alias("__dropped")).distinct()
