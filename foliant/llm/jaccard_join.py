@@ -129,19 +129,28 @@ def _tile_pairs(num: int, den: int):
         order = np.lexsort((table.column("tail").to_numpy().view(np.uint64), level))
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order))
-        _, col, times = np.unique(column.flatten().to_numpy(), return_inverse=True, return_counts=True)
+        words, col, times = np.unique(column.flatten().to_numpy(), return_inverse=True, return_counts=True)
+        tok, cell, band = table.column("tok")[0].as_py(), table.column("cell")[0].as_py(), table.column("band").to_numpy()
         row, shared = np.repeat(np.arange(len(p)), np.diff(column.offsets.to_numpy())), times > 1
         place, width = np.cumsum(shared) - 1, int(shared.sum())
-        common = np.zeros((len(p), len(p)), np.float32)
+        common, lower = np.zeros((len(p), len(p)), np.float32), np.zeros((len(p), len(p)), np.float32)
         for lo in range(0, width, 8192):
             use = shared[col] & (place[col] >= lo) & (place[col] < lo + 8192)
             m = np.zeros((len(p), min(8192, width - lo)), np.float32)
             m[row[use], place[col[use]] - lo] = 1
             common += m @ m.T
+            # Columns are in the shingles' order: those below the tile's own come first.
+            m = m[:, : max(0, int(np.searchsorted(words[shared], tok)) - lo)]
+            lower += m @ m.T
         rest = n - p
         most = common.astype(np.int64) + np.where(rank[:, None] <= rank[None, :], rest[:, None], rest[None, :])
-        ok = most * (den + num) >= num * (n[:, None] + n[None, :])
+        grp = table.column("grp").to_numpy()
+        ok = (most * (den + num) >= num * (n[:, None] + n[None, :])) | (grp[:, None] == grp[None, :])
         ok &= (np.minimum(n[:, None], n[None, :]) * den >= np.maximum(n[:, None], n[None, :]) * num) & (label[:, None] != label[None, :]) & (nid[:, None] < nid[None, :])
+        # Each pair once: in the tile of the least shingle that it shares, and of the higher one of its length bands.
+        ok &= lower == 0
+        if cell >= 0:
+            ok &= np.maximum(band[:, None], band[None, :]) == cell
         if side.max() > side.min():
             ok &= side[:, None] != side[None, :]
         i, j = np.nonzero(ok)
@@ -228,12 +237,14 @@ def similar_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
 
     # Prefix shingles whose nodes lie in several components: all members of their groups, in tiles.
     found = member.join(label.withColumnRenamed("node", "nid"), "nid").select("lead", "nid", "n", "label")
-    blocks = pivoted.select(F.col("nid").alias("lead"), "tok").distinct().join(found, "lead").select("tok", "nid", "n", "label")
+    # Members of a group share its whole prefix, even where no other leader has any of it: the group is a block, too.
+    leads = pivoted.select(F.col("nid").alias("lead"), "tok").distinct().union(member.where("nid = lead and members > 1").select("lead", F.col("grp").alias("tok")))
+    blocks = leads.join(found, "lead").select("tok", "nid", "n", "label")
     within = blocks.groupBy("tok").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.bit_xor(F.xxhash64("nid")).alias("x"), F.bit_xor(F.xxhash64("nid", F.lit(1))).alias("y"), F.count("*").alias("m")).where("lo != hi")
     mixed = within.groupBy("x", "y", "m").agg(F.min("tok").alias("tok"))  # blocks of the same nodes count once
     blocks = written(blocks.join(mixed.select("tok", "m"), "tok"), "mixed")
-    shared = pivoted.select(F.col("nid").alias("lead"), "tok").distinct().groupBy("lead").agg(F.collect_list("tok").alias("shared"))
-    facts = member.join(blocks.select("nid").distinct(), "nid", "left_semi").join(shared, "lead").select("nid", "n", "last", "tail", "shared")
+    shared = leads.groupBy("lead").agg(F.collect_list("tok").alias("shared"))
+    facts = member.join(blocks.select("nid").distinct(), "nid", "left_semi").join(shared, "lead").select("nid", "grp", "n", "last", "tail", "shared")
     found = _tile_verified(written(_tiles(blocks, facts, num, den), "candidates"), chosen.select("nid", "text"), k, num, den)
     label_of = label.select("node", "label")
     found = found.join(label_of.toDF("a", "la"), "a").join(label_of.toDF("b", "lb"), "b").select(F.col("la").alias("a"), F.col("lb").alias("b"))
@@ -251,13 +262,13 @@ def _tiles(blocks: DataFrame, facts: DataFrame, num: int, den: int) -> DataFrame
     own length band and the next. Nodes that meet are dealt to parts of about TILE, and each pair of parts is a tile.
     """
     band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(den / num) * 1.0001)).cast("int")
-    cells = blocks.select("tok", "nid", "label", F.explode(F.when(F.col("m") > TILE, F.array(band, band + 1)).otherwise(F.array(F.lit(-1)))).alias("cell"))
+    cells = blocks.select("tok", "nid", "label", band.alias("band"), F.explode(F.when(F.col("m") > TILE, F.array(band, band + 1)).otherwise(F.array(F.lit(-1)))).alias("cell"))
     counted = cells.groupBy("tok", "cell").agg(F.ceil(F.count("*") / TILE).cast("int").alias("parts"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi")
     dealt = cells.join(counted.select("tok", "cell", "parts"), ["tok", "cell"]).withColumn("part", F.pmod(F.xxhash64("nid", "tok"), F.col("parts")).cast("int"))
     here = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda o: F.struct(F.least("part", o).alias("i"), F.greatest("part", o).alias("j"), F.when(o == F.col("part"), 0).when(F.col("part") < o, 1).otherwise(2).alias("side")))
     return (
-        dealt.select("tok", "cell", "nid", "label", F.explode(here).alias("t"))
-        .select(F.xxhash64("tok", "cell", "t.i", "t.j").alias("tile"), "nid", "label", "t.side")
+        dealt.select("tok", "cell", "band", "nid", "label", F.explode(here).alias("t"))
+        .select(F.xxhash64("tok", "cell", "t.i", "t.j").alias("tile"), "tok", "cell", "band", "nid", "label", "t.side")
         .join(facts, "nid")
         .groupBy("tile")
         .applyInArrow(_tile_pairs(num, den), "tile long, pairs long, pivot long, nid long")
