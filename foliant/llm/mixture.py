@@ -30,7 +30,7 @@ BUDGET = 0.7
 
 def token_estimate(text: str = "text") -> Column:
     """Tokens of a text for weighing: its runs of characters other than white space."""
-    return F.expr(rf"cast(if(btrim({text}, ' \t\n\u000B\f\r') = '' or {text} is null, 0, size(split(btrim({text}, ' \t\n\u000B\f\r'), '[\\x20\\x09-\\x0D]+'))) as bigint)")
+    return F.expr(rf"cast(if(btrim({text}, ' \t\n\u000B\u000C\r') = '' or {text} is null, 0, size(split(btrim({text}, ' \t\n\u000B\u000C\r'), '[\\x20\\x09-\\x0D]+'))) as bigint)")
 
 
 def topic_of(text: str = "text") -> Column:

@@ -24,7 +24,7 @@ TRUSTED_DOCUMENTS = 20_000
 THRESHOLD = -0.1
 
 _SPACE = r"[\\x20\\x09-\\x0D]"
-_TRIM = r"' \t\n\u000B\f\r'"
+_TRIM = r"' \t\n\u000B\u000C\r'"
 #: The words of text; an array that is evaluated once, as w, by _let.
 _WORDS = rf"if(btrim(text, {_TRIM}) = '' or text is null, cast(array() as array<string>), split(btrim(text, {_TRIM}), '{_SPACE}+'))"
 _NONE = "cast(array() as array<bigint>)"

@@ -272,6 +272,16 @@ def test_quality_equals_brute_force(spark, make_docs):
     assert any(r.kept for r in got) and any(not r.kept and not r.base_failed for r in got)
 
 
+def test_quality_at_the_ends_of_texts(spark, make_docs):
+    docs = list(enumerate(["foo bar of", "f a b f", "\fone two\f", "x\nf\nff\nf\nx", "f", "\f", "fff " * 60, "if " * 3 + "f", "\f \v\t f \r"]))
+    df = make_docs(*docs)
+    weights = quality.weights(df, spark.createDataFrame([(0,)], "doc_id long"), buckets=64)
+    got = quality.judge(df, weights, buckets=64, threshold=-0.1).collect()
+    assert {r.doc_id: (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed, r.kept) for r in got} == brute_quality(docs, {0}, 64, -0.1)
+    tokens = {r.doc_id: r.tokens for r in mixture.annotated(df).collect()}
+    assert tokens == {i: len(re.findall(r"[^\x20\x09-\x0D]+", t)) for i, t in docs}
+
+
 def test_quality_edges(odd_docs):
     weights = quality.weights(odd_docs, None, buckets=32)
     out = quality.judge(odd_docs, weights, buckets=32)
