@@ -1,7 +1,10 @@
 """Mixing sources to target weights by iterative proportional fitting.
 
 Tokens are summed in cells of (source, language, topic). Raking multiplies the cells' weights in turn so that their sums
-by source, by language and by topic meet the targets. A cell's sampling rate is its raked weight over its tokens, scaled so
+by source, by language and by topic meet the targets: ROUNDS rounds at least, then until no sum is off its target by more
+than TOLERANCE of all tokens. Targets that no weights of the cells' pattern meet (each source in one language of its own,
+say) never get there; raking ends when a round no longer lessens the miss, and a warning names it.
+A cell's sampling rate is its raked weight over its tokens, scaled so
 that the rates (1 at most) spend the token budget, and a document is sampled if the hash of its id falls under the rate.
 
 Defined results: null sources, languages and topics are values of their own ('' each); a null text has no tokens; a
@@ -12,14 +15,20 @@ sample() and not read.
 
 from __future__ import annotations
 
+import warnings
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliant.llm.common import written
 
-#: Fixed numbers of rounds, so that a result depends on the table alone.
+#: Raking rounds at least, and rounds of the scale; both fixed, so that a result depends on the table alone.
 ROUNDS, WATER_ROUNDS = 12, 8
+#: Largest miss of a target share that ends the raking.
+TOLERANCE = 1e-6
+#: Change of the largest miss from one round to the next, as a part of it, under which targets count as out of reach.
+STALLED = 1e-6
 #: Cells that the driver fits; more are fitted as tables.
 DRIVER_CELLS = 200_000
 DIMENSIONS = ("source", "lang", "topic")
@@ -53,6 +62,15 @@ def annotated(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     ).select("doc_id", "source", "lang", F.coalesce("topic", topic_of()).alias("topic"), token_estimate().alias("tokens"))
 
 
+def _settled(rounds: int, least: int, miss: float, before: float) -> bool:
+    """Whether raking ends after so many rounds; warns if its targets are out of reach."""
+    if rounds < least or (miss > TOLERANCE and not abs(before - miss) <= STALLED * miss):
+        return False
+    if miss > TOLERANCE:
+        warnings.warn(f"mixture targets are out of reach: after {rounds} rounds a share misses its target by {miss:.3g}", RuntimeWarning, stacklevel=3)
+    return True
+
+
 def rates(rows: DataFrame, *, targets: dict[str, dict[str, float]] | None = None, budget: float = BUDGET, rounds: int = ROUNDS, driver_cells: int = DRIVER_CELLS) -> DataFrame:
     """source, lang, topic, tokens and rate of every cell. rows: as annotated() gives them.
 
@@ -71,11 +89,14 @@ def rates(rows: DataFrame, *, targets: dict[str, dict[str, float]] | None = None
         sums = np.bincount(at, tokens)
         raw = np.array([targets[d].get(v, 0.0) for v in values.tolist()]) if targets and d in targets else np.where(sums > 0, sums, 0) ** TEMPER[d] * (sums > 0)
         share[d] = raw / raw.sum() if raw.sum() > 0 else raw
-    for _ in range(rounds):
+    done, miss, before = 0, np.inf, np.inf
+    while total > 0 and not _settled(done, rounds, miss, before):
         for d, (_, at) in codes.items():
             sums = np.bincount(at, weight)
             factor = np.divide(share[d] * total, sums, out=np.zeros(len(sums)), where=sums > 0)
             weight *= factor[at]
+        done, before = done + 1, miss
+        miss = max(np.abs(np.bincount(at, weight) / total - share[d]).max() for d, (_, at) in codes.items())
     own = np.divide(weight, tokens, out=np.zeros(len(tokens)), where=tokens > 0)
     scale = budget
     rate = np.minimum(1, scale * own)
@@ -104,11 +125,15 @@ def _rates_as_tables(cells: DataFrame, targets: dict[str, dict[str, float]], bud
         whole = raw.agg(F.sum("raw")).first()[0] or 1.0
         share[d] = written(raw.select(d, (F.col("raw") / whole * total).alias("goal")), "share")
     fit = cells.withColumn("weight", F.col("tokens").cast("double"))
-    for k in range(rounds):
+    done, miss, before = 0, float("inf"), float("inf")
+    while total > 0 and not _settled(done, rounds, miss, before):
         for d in DIMENSIONS:
             sums = fit.groupBy(d).agg(F.sum("weight").alias("sum")).join(share[d], d).select(d, F.when(F.col("sum") > 0, F.col("goal") / F.col("sum")).otherwise(0.0).alias("factor"))
             fit = fit.join(sums, d).withColumn("weight", F.col("weight") * F.col("factor")).drop("factor")
-        fit = written(fit, f"fit{k}")
+        fit = written(fit, f"fit{done}")
+        done, before = done + 1, miss
+        misses = [fit.groupBy(d).agg(F.sum("weight").alias("sum")).join(share[d], d).select(F.abs(F.col("sum") - F.col("goal")).alias("miss")) for d in DIMENSIONS]
+        miss = misses[0].union(misses[1]).union(misses[2]).agg(F.max("miss")).first()[0] / total
     fit = written(fit.withColumn("own", F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(0.0)), "fit")
     scale = budget
     for _ in range(WATER_ROUNDS):

@@ -152,6 +152,28 @@ def test_mixture_meets_targets(spark):
     assert all(abs(tables[(c.source, c.lang, c.topic)] - c.rate) < 1e-9 for c in cells)
 
 
+def test_mixture_meets_tied_targets(spark, monkeypatch):
+    tied = [("a", "en", 89_910), ("a", "de", 90), ("b", "en", 10), ("b", "de", 9_990)]
+    df = spark.createDataFrame([(i, s, lang, "x", n) for i, (s, lang, n) in enumerate(tied)], "doc_id long, source string, lang string, topic string, tokens long")
+    german = 10_080**0.7 / (10_080**0.7 + 89_920**0.7)
+
+    def misses(table, **options):
+        cells = mixture.rates(table, budget=1e-4, **options).collect()
+        spent = sum(c.rate * c.tokens for c in cells)
+        return [sum(c.rate * c.tokens for c in cells if x in (c.source, c.lang)) / spent - goal for x, goal in (("a", 0.75), ("de", german))]
+
+    assert max(map(abs, misses(df))) < 2e-6
+    # As tables, from one round on, to a wider tolerance.
+    monkeypatch.setattr(mixture, "TOLERANCE", 2e-2)
+    assert max(map(abs, misses(df, rounds=1, driver_cells=0))) < 2e-2
+
+
+def test_mixture_reports_targets_out_of_reach(spark):
+    df = spark.createDataFrame([(1, "a", "en", "x", 900), (2, "b", "de", "x", 100)], "doc_id long, source string, lang string, topic string, tokens long")
+    with pytest.warns(RuntimeWarning, match="misses its target by 0.0732"):
+        mixture.rates(df)
+
+
 def test_mixture_edges(odd_docs):
     out = mixture.mixture(odd_docs)
     assert out.count() == odd_docs.count() and out.where("sampled is null or rate is null").count() == 0
