@@ -438,6 +438,20 @@ def test_secrets(spark, make_docs, odd_docs):
     assert secret_scan.find_secrets(odd_docs.limit(0), secret_scan.train(odd_docs.limit(0), None)).count() == 0
 
 
+def test_secrets_of_letters_only(spark):
+    corpus = "/root/testdata/sf0.01"
+    trained = secret_scan.train(spark.read.parquet(f"{corpus}/documents.parquet"), spark.read.parquet(f"{corpus}/labels.parquet"))
+    own = random.Random(11)
+
+    def found(s):
+        return secret_scan.added(f"x {s} y", [], trained, secret_scan.PER_CHAR) == [(2, 2 + len(s), 3)]
+
+    for letters in ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", secret_scan.ALPHABET[:52]):
+        assert sum(found("".join(own.choice(letters) for _ in range(16))) for _ in range(500)) > 470
+    assert sum(map(found, secret_scan.random_strings(500, seed=99))) > 440  # the rest holds runs of hex digits only, or close
+    assert not any(map(found, ["internationalization", "LoadBalancerConfiguration", "MAX_RETRY_COUNT_VALUE", "-" * 40, "1" * 20, "incomprehensibilities"]))
+
+
 # --- WARC ---------------------------------------------------------------------------------------------------------------
 
 
