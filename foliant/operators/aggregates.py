@@ -179,11 +179,15 @@ def areas(df: DataFrame, column: str = "primary_area") -> DataFrame:
     return df.sparkSession.createDataFrame([("overall", 0)], "area string, ord bigint").unionByName(ordered)
 
 
-def highest_status(df: DataFrame, key: str, priority: dict[str, int], status: str = "status") -> DataFrame:
-    """The status of highest priority for each key; an unknown status is an error."""
+def highest_status(df: DataFrame, key: str, priority: dict[str, int], status: str = "status", default: int | None = None) -> DataFrame:
+    """The status of highest priority for each key; an unknown status, or none, has the default priority. Without a default
+    an unknown status is an error."""
     rank = F.create_map(*[x for k, v in priority.items() for x in (F.lit(k), F.lit(v))])
     own = F.try_element_at(rank, F.col(status))
-    own = F.when(own.isNull() & F.col(status).isNotNull(), F.raise_error(F.concat(F.lit("no priority for "), F.col(status))).cast("int")).otherwise(own)
+    if default is not None:
+        own = F.coalesce(own, F.lit(default))
+    else:
+        own = F.when(own.isNull() & F.col(status).isNotNull(), F.raise_error(F.concat(F.lit("no priority for "), F.col(status))).cast("int")).otherwise(own)
     return df.groupBy(key).agg(F.max_by(status, own).alias(status))
 
 

@@ -215,11 +215,9 @@ def scores_by_main(t: Tables) -> DataFrame:
 @query("SELECT user_id, arg_max(event_type, CASE event_type WHEN 'view' THEN 1 WHEN 'click' THEN 2 WHEN 'search' THEN 3 WHEN 'login' THEN 3 WHEN 'cart' THEN 3 ELSE 4 END) AS s FROM events GROUP BY 1".replace("arg_max(event_type,", "max(").replace(") AS s", ") AS prio"))
 def highest_status(t: Tables) -> DataFrame:
     prio = {"view": 1, "click": 2, "search": 3, "login": 3, "cart": 3}
-    kinds = [r[0] for r in t.events.select("event_type").distinct().limit(50).collect()]
-    full = {k: prio.get(k, 4) for k in kinds}
-    best = A.highest_status(t.events, "user_id", full, "event_type")
-    rank = F.create_map(*[x for k, v in full.items() for x in (F.lit(k), F.lit(v))])
-    return best.select("user_id", F.element_at(rank, F.col("event_type")).alias("prio"))
+    best = A.highest_status(t.events, "user_id", prio, "event_type", default=4)
+    rank = F.create_map(*[x for k, v in prio.items() for x in (F.lit(k), F.lit(v))])
+    return best.select("user_id", F.coalesce(F.try_element_at(rank, F.col("event_type")), F.lit(4)).alias("prio"))
 
 
 @query("SELECT p_type, p_partkey, row_number() OVER (PARTITION BY p_type ORDER BY p_retailprice DESC, p_partkey) AS rank FROM part")
