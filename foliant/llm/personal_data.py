@@ -91,18 +91,23 @@ DIGIT_WORDS = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "fo
 
 _FOREIGN = re.compile("[" + "".join(map(chr, LOOK_ALIKES)) + INVISIBLE + "٠-٩۰-۹०-९！-～]")
 _WORD = "|".join(DIGIT_WORDS)
-#: Seven spelled digits or more in a row, with "plus" and dots among them.
-_SPELLED = re.compile(rf"(?i)(?<![A-Za-z])(?:plus[\s,-]+)?(?:{_WORD})(?:(?:[\s,-]+(?:dot|point)[\s,-]+|[\s,-]+)(?:{_WORD})){{6,}}(?![A-Za-z])")
-_SPELLED_PART = re.compile(rf"(?i)plus|dot|point|{_WORD}")
+#: Spelled digits and figures in a row, with "plus" and dots among them; _spelled_edits tells which runs count.
+_FIGURE = r"[0-9]++(?:\.[0-9]++)*+"
+_SPELLED = re.compile(rf"(?i)(?<![A-Za-z0-9.])(?:plus[\s,-]+)?(?:{_WORD}|{_FIGURE})(?:(?:[\s,-]+(?:dot|point)[\s,-]+|[\s,-]+)(?:{_WORD}|{_FIGURE}))+(?![A-Za-z0-9])")
+_SPELLED_PART = re.compile(rf"(?i)plus|dot|point|{_WORD}|{_FIGURE}")
 _SIGN = r"[\[({{<]\s{{0,3}}(?:{0})\s{{0,3}}[\])}}>]"
 _BRACKETED = re.compile(r"(?i)\s{0,3}(?:" + _SIGN.format("at|@|arroba") + "|" + _SIGN.format(r"dot|\.|punto|punkt|point") + r")\s{0,3}")
 _IS_AT = re.compile(r"(?i)at|@|arroba")
 _LABEL = r"[A-Za-z0-9-]{1,63}"
-# Last labels that bare words need.
-_TOP = "com|org|net|edu|gov|mil|int|info|biz|dev|app|io|ai|co|uk|de|fr|es|it|nl|eu|ca|au|jp|cn|ru|br|ch|se|pl|pt|kr|mx|nz|za|ie|fi|dk|cz|gr|tr|ua"
-#: Bare words: "name at host dot tld" needs the dot in words, too.
-_BARE = re.compile(rf"(?i)(?<![A-Za-z0-9._%+-])([A-Za-z0-9._%+-]{{1,64}})(\s{{1,3}}at\s{{1,3}}|\s{{0,3}}@\s{{0,3}}){_LABEL}(?:(?:\s{{1,3}}dot\s{{1,3}}|\.){_LABEL}){{0,5}}?\s{{1,3}}dot\s{{1,3}}(?:{_TOP})(?![A-Za-z0-9])(?:\s{{1,3}}dot\s{{1,3}}(?:{_TOP})(?![A-Za-z0-9]))*")
-_BARE_SIGN = re.compile(r"(?i)\s{1,3}at\s{1,3}|\s{0,3}@\s{0,3}|\s{1,3}dot\s{1,3}")
+#: Bare words: "name at host dot tld", "name at host.tld".
+_BARE = re.compile(rf"(?i)(?<![A-Za-z0-9._%+-])([A-Za-z0-9._%+-]{{1,64}})(\s{{1,3}}at\s{{1,3}}|\s{{0,3}}@\s{{0,3}})({_LABEL}(?:(?:\s{{1,3}}dot\s{{1,3}}|\.){_LABEL})+)(?![A-Za-z0-9])")
+_BARE_DOT = re.compile(r"(?i)\s{1,3}dot\s{1,3}|\.")
+_TOP = re.compile(r"(?i)[a-z]{2,24}|xn--[a-z0-9-]{1,59}")
+# Words of a sentence that are no first label after a bare "at", no last label after a bare "dot", and no name
+# before an "at" that a host with written dots follows.
+_NOT_FIRST = frozenset("the a an this that these those my your his her its our their each every some any no which what".split())
+_NOT_LAST = frozenset("the an this that these those your his her its our their on and or of for with from was are were but if then than".split())
+_NOT_NAME = frozenset("us me him her them it you is are was were be been look looking looked visit available found online hosted see here there page pages site website read more out up and or the live located posted published back today now work works working find sold only directly".split())
 
 
 class Rewritten:
@@ -150,9 +155,19 @@ def _spelled_edits(text: str) -> list[tuple[int, int, str]]:
     out = []
     for m in _SPELLED.finditer(text):
         words = [(p.start() + m.start(), p.end() + m.start(), p[0].lower()) for p in _SPELLED_PART.finditer(m[0])]
-        for i, (a, _, w) in enumerate(words):
+        spelled, dots = sum(w in DIGIT_WORDS for *_, w in words), sum(w in ("dot", "point") for *_, w in words)
+        figures = sum(len(w.replace(".", "")) for *_, w in words if w[0].isdigit())
+        address = dots > 0 and dots + sum(w.count(".") for *_, w in words) >= 3
+        # Seven digits or more with a plus, or mostly spelled ones; other figures beside a number word are left alone.
+        number = spelled > 0 and spelled + figures >= 7 and (spelled >= 7 or words[0][2] == "plus" or 2 * spelled >= spelled + figures)
+        if not address and not number:
+            continue
+        for i, (a, b, w) in enumerate(words):
             end = words[i + 1][0] if i + 1 < len(words) else m.end()
-            out.append((a, end, "+" if w == "plus" else DIGIT_WORDS.get(w, ".")))
+            # In an address only spelled digits join; a figure is a number of its own.
+            if address and i + 1 < len(words) and (w[0].isdigit() or words[i + 1][2][0].isdigit()) and not {w, words[i + 1][2]} & {"dot", "point", "plus"}:
+                end = b
+            out.append((a, end, "+" if w == "plus" else "." if w in ("dot", "point") else DIGIT_WORDS.get(w, w)))
     return out
 
 
@@ -163,7 +178,17 @@ def _bracket_edits(text: str) -> list[tuple[int, int, str]]:
 def _bare_edits(text: str) -> list[tuple[int, int, str]]:
     out = []
     for m in _BARE.finditer(text):
-        out += [(s.start(), s.end(), "." if "dot" in s[0].lower() else "@") for s in _BARE_SIGN.finditer(text, m.end(1), m.end())]
+        dots = [d.span() for d in _BARE_DOT.finditer(text, m.start(3), m.end(3))]
+        ends = [a for a, _ in dots[1:]] + [m.end(3)]
+        while dots and not (_TOP.fullmatch(last := text[dots[-1][1] : ends[-1]]) and (dots[-1][1] - dots[-1][0] == 1 or last.lower() not in _NOT_LAST)):
+            dots.pop()
+            ends.pop()
+        if not dots:
+            continue
+        if "@" not in m[2] and (text[m.start(3) : dots[0][0]].lower() in _NOT_FIRST or (all(b - a == 1 for a, b in dots) and m[1].lower() in _NOT_NAME)):
+            continue
+        signs = [(*m.span(2), "@"), *((a, b, ".") for a, b in dots)]
+        out += [(a, b, new) for a, b, new in signs if text[a:b] != new]
     return out
 
 
@@ -182,23 +207,24 @@ def _rules(text: str) -> list[Callable[[str], list]]:
         out.append(_foreign_edits)
         text = "".join(map(_fold, text)) if out else text
     low = text.lower()
-    if sum(w in low for w in DIGIT_WORDS) >= 1 and _SPELLED.search(low):
+    if any(w in low for w in (*DIGIT_WORDS, "dot", "point")) and _SPELLED.search(low):
         out.append(_spelled_edits)
     if any(x in low for x in "[({<") and _BRACKETED.search(low):
         out.append(_bracket_edits)
-    if "dot" in low and (" at" in low or "@" in low):
+    if "at" in low or "@" in low or "arroba" in low:
         out.append(_bare_edits)
     return out
 
 
 def disguised(text: str, found: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """(start, end, kind) of identifiers that only the rewritten text shows."""
-    rules = _rules(text)
-    if not rules:
-        return []
-    new = Rewritten(text)
+    rules, new = _rules(text), None
     for rule in rules:
-        new.apply(_apart(rule(new.text)))
+        if edits := _apart(rule(new.text if new else text)):
+            new = new or Rewritten(text)
+            new.apply(edits)
+    if new is None:
+        return []
     taken, plain_spans, out = list(found), set(found), []
     spans = plain(new.text)
     if _spelled_edits in rules:

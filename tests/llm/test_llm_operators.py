@@ -402,6 +402,33 @@ def test_disguises(text, kind, span):
     assert [(personal_data.KINDS[k], text[a:b]) for a, b, k in personal_data.scan(text)[1]] == [(kind, span)]
 
 
+@pytest.mark.parametrize(
+    ("text", "kind", "span"),
+    [
+        ("dns eight dot eight dot eight dot eight ok", "ip", "eight dot eight dot eight dot eight"),
+        ("go 192 dot 168 dot 1 dot 1 now", "ip", "192 dot 168 dot 1 dot 1"),
+        ("v 2, 192 dot one six eight dot 1.1 now", "ip", "192 dot one six eight dot 1.1"),
+        ("call plus one five five five 123 4567 now", "phone", "plus one five five five 123 4567"),
+        ("ask john at example.com now", "email", "john at example.com"),
+        ("ask jim at example dot museum now", "email", "jim at example dot museum"),
+        ("to user[at]example dot com!", "email", "user[at]example dot com"),
+        ("to user @ example.com!", "email", "user @ example.com"),
+    ],
+)
+def test_wider_disguises(text, kind, span):
+    assert [(personal_data.KINDS[k], text[a:b]) for a, b, k in personal_data.scan(text)[1]] == [(kind, span)]
+
+
+@pytest.mark.parametrize("text", ["one, 2, 3, 4, 5, 6, 7, 8, 9, 10", "look at this dot and that dot on it", "visit us at example.com", "meet at noon.", "a@b.org dot the i", "in 2019, one of 12 345 678", "at 10.30, 3 point 5"])
+def test_no_wider_disguise(text):
+    assert personal_data.scan(text)[1] == []
+
+
+def test_disguises_in_linear_time():
+    for text in ("1 " * 200_000, "one " * 100_000, "1" * 300_000, "a at b." * 60_000, "x at " + "a." * 150_000, "1 dot " * 6_000, "plus " + " " * 300_000):
+        personal_data.scan(text)
+
+
 @pytest.mark.parametrize("text", ["look at the dot on the page", "one two three", "Привет, как дела", "meet at noon. dot your i's", "[at] the [dot]", "", None, "192.168.0.1 and a@b.org"])
 def test_no_disguise(text):
     assert personal_data.scan(text)[1] == []
