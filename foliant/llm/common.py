@@ -42,6 +42,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def removed(*tables: DataFrame) -> None:
+    """Deletes written tables that nothing reads any more."""
+    for df in tables:
+        spark = df.sparkSession
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def id_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Only the two columns an operator needs, under fixed names, so that other columns can't clash."""
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))

@@ -1,45 +1,64 @@
 """Exact n-gram Jaccard self-join by grouped prefixes, and its connected components.
 
-A document's set holds its distinct k-word shingles. Under one order of all shingles (those that a count sketch of the
-whole corpus finds frequent come last) two sets with a similarity of t or more share a shingle among the first
-n - ceil(t n) + 1 of each. Documents with equal sets are one node; nodes with the same prefix and size are one group with
-one leader, and only leaders enter the search:
-
-1. stars: each group's members are paired with their leader, and each prefix shingle's leaders with the one of them that
-   has the fewest rare shingles; pairs are verified on whole sets, and their links form first components;
-2. rest: prefix shingles whose nodes still lie in several components are expanded to all members of the groups and dealt
-   to tiles of bounded size; pairs of different components whose prefixes share enough are verified on whole sets.
-
-So no link between components is lost, and pairs inside a component that is already connected are never listed.
+A document's set holds its distinct k-word shingles; the order of all shingles is that of their hashes. Documents with
+equal sets are one node. A set's prefix is the part of it below a fixed cut of that order, and nodes with the same prefix
+and size are one group, which enters the search once:
+
+1. Candidates. Two sets of similarity t differ in at most H shingles, which follows from their sizes. For each class of
+   sizes the prefix is cut at fixed places of the order into more than H segments, so two similar sets have a segment that
+   is equal, and groups meet in blocks of the same segment of the same size class. A set whose segments are too often
+   empty for that argument also offers its first n - ceil(t n) + 1 shingles; similar sets that are both of this kind share
+   one of them.
+2. Filter of group pairs: sizes, and a lower bound of how much two prefixes differ, from bitmaps of parities.
+3. Stars: each group is verified on whole sets against the nearest of its blocks' pivots, and each member of a group
+   against the group's leader. The links form first components.
+4. Rest: blocks (and groups) whose members lie in several components are expanded to members and dealt to tiles of
+   bounded size. Group pairs that pass the filter are verified member by member on whole sets, least distance first, and
+   a pair that a tile's links already connect is skipped. A tile returns links only, fewer than it has members.
+
+So no link between components is lost, and no pairs are listed. A block that stays in many components costs work (not
+rows) with the square of its size: one product of bit matrices for each pair of tile sides.
 
 Defined results: a null, empty or blank text has an empty set and is linked with nothing; rows that repeat a doc_id are
 one document for linking; a row without doc_id is returned with a null component and links with nothing. Other columns are
-not read. Sets are compared as 64-bit hashes.
+not read. Shingles and whole sets are compared as 64-bit hashes.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from foliant.llm.common import id_text, slices, written
+from foliant.llm.common import id_text, removed, slices, written
 from foliant.llm.components import components
-from foliant.llm.textcodes import shingles, space_words
+from foliant.llm.textcodes import mix, shingles, space_words
 
-#: Counters of the sketch, and the most of them that are told to executors as frequent. They decide the order of shingles,
-#: so work and not results.
+#: The prefix is this part of the order of shingles.
+CUT = 0.75
+#: Counters of the sketch of block sizes, and the most of them that are told to executors as frequent. They decide how
+#: blocks are dealt, so work and not results.
 SKETCH, FREQUENT = 1 << 20, 1 << 16
+#: Rows of a frequent block that one task searches for a pivot.
+BLOCK = 2048
 #: Nodes of one side of a tile.
 TILE = 256
+#: Nodes (24 bytes each) whose list is broadcast to look up their texts.
+SHORT = 200_000
 #: Rows that one copy of a pivot's text serves.
 PART = 512
-#: Parts that a frequent shingle's or a large group's members are dealt to.
-SALTS = 16
+#: Bits of a bitmap for each shingle that similar sets may differ in.
+SPREAD = 8
+#: Columns of a bit matrix that are multiplied at once.
+COLUMNS = 4096
+
+_U = np.uint64
 
 
 def _sets(texts: list[str | None], k: int) -> Iterator[np.ndarray]:
@@ -48,51 +67,176 @@ def _sets(texts: list[str | None], k: int) -> Iterator[np.ndarray]:
         yield np.unique(shingles(words[a:b], k))
 
 
-def _sketch(k: int):
+def _differ(total, num: int, den: int):
+    """The most shingles that two similar sets with so many in all can differ in."""
+    return (den - num) * total // (den + num)
+
+
+def _hash(data: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little", signed=True)
+
+
+@lru_cache
+def _classes(num: int, den: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Size classes: the least size of each (and of one more), the differences that its sets may have, its segments.
+
+    A similar larger set lies in the same class or the next one, as the least sizes grow by (den / num)^2, and by more
+    than den / num where they are small.
+    """
+    low = [1]
+    while low[-1] < 1 << 31:
+        low.append(max(low[-1] + 1, low[-1] * den * den // (num * num)))
+    low = np.array(low, np.int64)
+    most = _differ(2 * (low[1:] - 1), num, den)
+    parts = most + 1.0
+    for _ in range(8):  # so many more as are empty, and three times their deviation
+        empty = parts * np.exp(-CUT * (low[1:] - 1) / parts)
+        parts = most + 2 + empty + 3 * np.sqrt(empty)
+    return low, most, parts.astype(np.int64)
+
+
+class _Batch:
+    """Sets of some texts: flat shingles and their rows, sizes, prefixes and segment signatures."""
+
+    def __init__(self, texts: list[str | None], k: int, num: int, den: int):
+        self.num, self.den = num, den
+        self.sets = list(_sets(texts, k))
+        self.n = np.fromiter(map(len, self.sets), np.int64, len(self.sets))
+        flat = np.concatenate(self.sets) if self.sets else np.empty(0, _U)
+        row = np.repeat(np.arange(len(self.n)), self.n)
+        self.place = (flat >> _U(11)).astype(np.float64) * 2.0**-53 / CUT
+        inside = self.place < 1
+        self.flat, self.row, self.place = flat[inside], row[inside], self.place[inside]
+        self.p = np.bincount(self.row, minlength=len(self.n))
+        #: Two similar sets share one of so many first shingles.
+        self.first = self.n + (-self.num * self.n) // self.den + 1
+
+    def nodes(self) -> list[int]:
+        return [_hash(s.tobytes()) for s in self.sets]
+
+    def groups(self) -> list[int]:
+        """A hash of prefix and size for each row."""
+        return [_hash(s[: max(p, f)].tobytes() + len(s).to_bytes(8, "little")) for s, p, f in zip(self.sets, self.p.tolist(), self.first.tolist(), strict=True)]
+
+    def signatures(self) -> tuple[np.ndarray, np.ndarray]:
+        """(row, signature) of all rows."""
+        low, most, parts = _classes(self.num, self.den)
+        own = np.searchsorted(low, self.n, "right") - 1
+        rows, sigs = [], []
+        for step in (0, 1):
+            cell = own + step
+            use = (self.n > 0) & (most[cell] > 0)
+            if step:
+                use &= self.n * self.den >= low[cell] * self.num
+            if not use.any():
+                continue
+            ok = use[self.row]
+            flat, row = self.flat[ok], self.row[ok]
+            segment = (self.place[ok] * parts[cell][row]).astype(np.int64)
+            starts = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (segment[1:] != segment[:-1])])) if len(row) else np.empty(0, np.int64)
+            r, c = row[starts], cell[row[starts]]
+            h = mix(np.add.reduceat(flat * _U(0x9E3779B97F4A7C15) ^ flat >> _U(29), starts)) if len(starts) else np.empty(0, _U)
+            rows.append(r)
+            sigs.append(mix(h + (segment[starts] * 1_000_003 + c * 7_919 + 1).astype(_U) * _U(0xD6E8FEB86659FD93)))
+            # Where empty segments could hide the equal one, the first shingles are offered as well.
+            filled = np.bincount(r, minlength=len(self.n))
+            top = np.minimum(self.n * self.den // self.num, low[cell + 1] - 1)
+            for i in np.flatnonzero(use & (filled <= _differ(self.n + top, self.num, self.den))).tolist():
+                first = self.sets[i][: self.first[i]]
+                rows.append(np.full(len(first), i))
+                sigs.append(mix(first + _U((int(cell[i]) * 2 + 1) * 0xA0761D6478BD642F % 2**64)))
+        return np.concatenate([np.empty(0, np.int64), *rows]), np.concatenate([np.empty(0, _U), *sigs])
+
+    def bitmaps(self) -> pa.Array:
+        """Each prefix's bits: of its shingles, as many of each value modulo the width as even or odd."""
+        width = _width((self.den - self.num) * self.n // self.num)
+        off = np.concatenate([[0], np.cumsum(width)])
+        bits = np.bincount(off[self.row] + (self.flat & (width[self.row] - 1).astype(_U)).astype(np.int64), minlength=int(off[-1])) & 1
+        data = np.packbits(bits.astype(np.uint8), bitorder="little")
+        return pa.Array.from_buffers(pa.binary(), len(width), [None, pa.py_buffer((off // 8).astype(np.int32)), pa.py_buffer(data)])
+
+
+def _width(most: np.ndarray) -> np.ndarray:
+    return np.left_shift(1, np.ceil(np.log2(np.maximum(64, SPREAD * most))).astype(np.int64))
+
+
+def _facts(k: int, num: int, den: int):
+    """One row a text, and a partition's frequent buckets of signatures (bucket, times)."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, n = np.zeros(SKETCH, np.int32), 0
+        counts, total = np.zeros(SKETCH, np.int64), 0
+        names = ["doc_id", "th", "n", "node", "grp", "p", "bits", "bucket", "times"]
         for batch in batches:
-            for _, texts in slices(batch):
-                h = np.concatenate(list(_sets(texts, k)))
-                n += len(h)
-                counts += np.bincount((h >> np.uint64(44)).astype(np.int64), minlength=SKETCH).astype(np.int32)
-        mean = n / SKETCH
+            for part, texts in slices(batch):
+                b = _Batch(texts, k, num, den)
+                _, sigs = b.signatures()
+                counts += np.bincount((sigs >> _U(44)).astype(np.int64), minlength=SKETCH)
+                total += len(sigs)
+                none = pa.nulls(len(b.n), pa.int64())
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("th"), pa.array(b.n), pa.array(b.nodes(), pa.int64()), pa.array(b.groups(), pa.int64()), pa.array(b.p, pa.int64()), b.bitmaps(), none, none], names=names)
+        mean = total / SKETCH
         top = np.flatnonzero(counts >= mean + 4 * mean**0.5 + 4)
-        yield pa.RecordBatch.from_arrays([pa.array(top, pa.int32()), pa.array(counts[top], pa.int64())], names=["bucket", "n"])
+        none = pa.nulls(len(top), pa.int64())
+        yield pa.RecordBatch.from_arrays([none, none, none, none, none, none, pa.nulls(len(top), pa.binary()), pa.array(top, pa.int64()), pa.array(counts[top])], names=names)
 
     return run
 
 
-def _prefixes(shared, k: int, num: int, den: int):
+def _signed(shared, k: int, num: int, den: int):
+    """(sig, salt, grp): each group's signatures, once a partition. Frequent signatures have a salt above zero."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        level = np.zeros(SKETCH, np.uint8)
-        buckets, levels = shared.value
-        level[buckets] = levels
+        parts = np.zeros(SKETCH, np.int64)
+        buckets, times = shared.value
+        parts[buckets] = times // BLOCK + 1
+        seen: set[int] = set()
         for batch in batches:
-            for part, texts in slices(batch):
-                size, key, group, rare, last, tail, flat, at = [], [], [], [], [], [], [], [0]
-                for s in _sets(texts, k):
-                    n = len(s)
-                    p = n - -(-num * n // den) + 1 if n else 0
-                    own = level[(s >> np.uint64(44)).astype(np.int64)]
-                    order = np.lexsort((s, own))[:p] if own.any() else slice(0, p)
-                    first = s[order]
-                    size.append(n)
-                    key.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
-                    group.append(int.from_bytes(hashlib.blake2b(first.tobytes() + n.to_bytes(8, "little"), digest_size=8).digest(), "little", signed=True))
-                    rare.append(int((own == 0).sum()))
-                    last.append(int(own[order][-1]) if n else 0)
-                    tail.append(first[-1] if n else np.uint64(0))
-                    flat.append(first)
-                    at.append(at[-1] + p)
-                prefix = np.concatenate(flat)
-                lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(prefix.view(np.int64)))
-                hot = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(level[(prefix >> np.uint64(44)).astype(np.int64)] > 0))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(size, pa.int64()), pa.array(key, pa.binary()), pa.array(group, pa.int64()), pa.array(rare, pa.int32()), pa.array(last, pa.int32()), pa.array(np.array(tail, np.uint64).view(np.int64)), lists, hot], names=["doc_id", "n", "key", "grp", "rare", "last", "tail", "prefix", "hot"])
+            for _, texts in slices(batch):
+                b = _Batch(texts, k, num, den)
+                grp = b.groups()
+                grp, fresh = np.array(grp, np.int64), np.zeros(len(grp), bool)
+                for i, g in enumerate(grp.tolist()):
+                    if g not in seen:
+                        seen.add(g)
+                        fresh[i] = True
+                row, sigs = b.signatures()
+                row, sigs = row[fresh[row]], sigs[fresh[row]]
+                own = parts[(sigs >> _U(44)).astype(np.int64)]
+                spread = (mix(grp[row].view(_U) ^ _U(0x632BE59BD9B4E019)) % np.maximum(own, 1).astype(_U)).astype(np.int64)
+                salt = np.where(own > 0, spread + 1, 0)
+                yield pa.RecordBatch.from_arrays([pa.array(sigs.view(np.int64)), pa.array(salt, pa.int32()), pa.array(grp[row])], names=["sig", "salt", "grp"])
+
+    return run
+
+
+def _folded(bits: bytes, size: int) -> np.ndarray:
+    return np.bitwise_xor.reduce(np.frombuffer(bits, np.uint64).reshape(-1, size // 8), axis=0)
+
+
+def _near(num: int, den: int):
+    """Pairs of groups that can hold similar sets, with a distance."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m, p, q = (batch.column(c).to_numpy() for c in ("n", "m", "p", "q"))
+            far = np.empty(len(n), np.int64)
+            for i, (x, y) in enumerate(zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True)):
+                size = min(len(x), len(y))
+                far[i] = int(np.bitwise_count(_folded(x, size) ^ _folded(y, size)).sum())
+            far += np.abs((n - p) - (m - q))
+            ok = (far <= _differ(n + m, num, den)) & (np.minimum(n, m) * den >= np.maximum(n, m) * num)
+            yield pa.RecordBatch.from_arrays([batch.column("grp"), batch.column("pivot"), pa.array(far / (n + m))], names=["grp", "pivot", "far"]).filter(pa.array(ok))
 
     return run
 
 
+def _similar(x: np.ndarray, y: np.ndarray, num: int, den: int) -> bool:
+    both = np.concatenate([x, y])
+    both.sort()
+    inter = int((both[1:] == both[:-1]).sum())
+    return den * inter >= num * (len(both) - inter)
+
+
 def _linked(k: int, num: int, den: int):
     """Keeps the pairs of texts (x, y) whose sets have a similarity of num / den at least."""
 
@@ -103,189 +247,258 @@ def _linked(k: int, num: int, den: int):
                 # A star's rows share their pivot's text: each different one is cut into shingles once.
                 pivots = list(dict.fromkeys(left))
                 own = dict(zip(pivots, _sets(pivots, k), strict=True))
-                keep = []
-                for x, y in zip((own[t] for t in left), _sets(right, k), strict=True):
-                    both = np.concatenate([x, y])
-                    both.sort()
-                    inter = int((both[1:] == both[:-1]).sum())
-                    keep.append(den * inter >= num * (len(both) - inter))
+                keep = [_similar(x, y, num, den) for x, y in zip((own[t] for t in left), _sets(right, k), strict=True)]
                 yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
 
-def _tile_pairs(num: int, den: int):
-    """Pairs of different components within a tile that can be similar by what their prefixes share.
+def _distances(n: np.ndarray, p: np.ndarray, bits: list[bytes], grp: np.ndarray) -> np.ndarray:
+    """Of each pair, a lower bound of the shingles that only one of two sets has: by prefixes, so the same within a group."""
+    _, first, of = np.unique(grp, return_index=True, return_inverse=True)
+    size = min(map(len, bits))
+    packed = np.stack([_folded(bits[i], size) for i in first.tolist()]).view(np.uint8)
+    far = np.zeros((len(first), len(first)), np.float32)
+    for lo in range(0, size, COLUMNS // 8):
+        m = np.unpackbits(packed[:, lo : lo + COLUMNS // 8], axis=1).astype(np.float32)
+        ones = m.sum(axis=1)
+        far += ones[:, None] + ones[None, :] - 2 * (m @ m.T)
+    rest = (n - p)[first]
+    return (far.astype(np.int64) + np.abs(rest[:, None] - rest[None, :]))[of][:, of]
 
-    Up to the lower one of two prefixes' last shingles, all that the sets share lies in both prefixes; beyond it, the set
-    of that prefix has n - p shingles left. Pairs whose shared prefix and such a rest are too few are not similar. Nodes
-    come with those of their prefix shingles that any other leader has, too.
-    """
 
-    def run(table: pa.Table) -> pa.Table:
-        nid, label, side, n, level = (table.column(c).to_numpy() for c in ("nid", "label", "side", "n", "last"))
-        column = table.column("shared").combine_chunks()
-        p = n - -(-num * n // den) + 1
-        order = np.lexsort((table.column("tail").to_numpy().view(np.uint64), level))
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
-        words, col, times = np.unique(column.flatten().to_numpy(), return_inverse=True, return_counts=True)
-        tok, cell, band = table.column("tok")[0].as_py(), table.column("cell")[0].as_py(), table.column("band").to_numpy()
-        row, shared = np.repeat(np.arange(len(p)), np.diff(column.offsets.to_numpy())), times > 1
-        place, width = np.cumsum(shared) - 1, int(shared.sum())
-        common, lower = np.zeros((len(p), len(p)), np.float32), np.zeros((len(p), len(p)), np.float32)
-        for lo in range(0, width, 8192):
-            use = shared[col] & (place[col] >= lo) & (place[col] < lo + 8192)
-            m = np.zeros((len(p), min(8192, width - lo)), np.float32)
-            m[row[use], place[col[use]] - lo] = 1
-            common += m @ m.T
-            # Columns are in the shingles' order: those below the tile's own come first.
-            m = m[:, : max(0, int(np.searchsorted(words[shared], tok)) - lo)]
-            lower += m @ m.T
-        rest = n - p
-        most = common.astype(np.int64) + np.where(rank[:, None] <= rank[None, :], rest[:, None], rest[None, :])
-        grp = table.column("grp").to_numpy()
-        ok = (most * (den + num) >= num * (n[:, None] + n[None, :])) | (grp[:, None] == grp[None, :])
-        ok &= (np.minimum(n[:, None], n[None, :]) * den >= np.maximum(n[:, None], n[None, :]) * num) & (label[:, None] != label[None, :]) & (nid[:, None] < nid[None, :])
-        # Each pair once: in the tile of the least shingle that it shares, and of the higher one of its length bands.
-        ok &= lower == 0
-        if cell >= 0:
-            ok &= np.maximum(band[:, None], band[None, :]) == cell
-        if side.max() > side.min():
-            ok &= side[:, None] != side[None, :]
-        i, j = np.nonzero(ok)
-        tile = table.column("tile").to_numpy()[i]
-        return pa.table({"tile": tile, "pairs": np.full(len(i), len(i)), "pivot": nid[i], "nid": nid[j]})
+def _open_pairs(cols: dict, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (i < j) of a tile that may be similar and lie in different components, and their distances."""
+    n, side, label = cols["n"], cols["side"], cols["label"]
+    far = _distances(n, cols["p"], cols["bits"], cols["grp"])
+    ok = (far <= _differ(n[:, None] + n[None, :], num, den)) & (np.minimum(n[:, None], n[None, :]) * den >= np.maximum(n[:, None], n[None, :]) * num)
+    ok &= label[:, None] != label[None, :]
+    if side.max() > 0:
+        ok &= side[:, None] != side[None, :]
+    return np.triu(ok, 1), far
+
+
+def _by_tile(work: Callable[[dict], dict], names: list[str]):
+    """work on each run of rows of one tile; rows come sorted by tile."""
+
+    def columns(table: pa.Table) -> dict:
+        return {c: table.column(c).to_pylist() if c in ("bits", "text") else table.column(c).to_numpy() for c in table.column_names}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        last = None
+
+        def done(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            out = work(columns(pa.Table.from_batches(parts)))
+            if len(out[names[0]]):
+                yield pa.RecordBatch.from_pydict({c: out[c] for c in names})
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            tile = batch.column("tile").to_numpy()
+            cuts = [0, *(np.flatnonzero(tile[1:] != tile[:-1]) + 1).tolist(), len(tile)]
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                if held and tile[a] != last:
+                    yield from done(held)
+                    held = []
+                held.append(batch.slice(a, b - a))
+                last = tile[a]
+        if held:
+            yield from done(held)
 
     return run
 
 
+FACTS = ["tile", "node", "grp", "n", "p", "bits", "label", "side"]
+
+
+def _candidates(num: int, den: int):
+    """The rows of a tile that are in an open pair."""
+
+    def work(cols: dict) -> dict:
+        ok, _ = _open_pairs(cols, num, den)
+        use = np.flatnonzero(ok.any(axis=0) | ok.any(axis=1))
+        return {c: pa.array([cols[c][i] for i in use.tolist()], pa.binary()) if c == "bits" else pa.array(cols[c][use]) for c in FACTS}
+
+    return _by_tile(work, FACTS)
+
+
 def _tile_links(k: int, num: int, den: int):
-    """The linked ones of a tile's pairs (nid, one of others)."""
-
-    def run(table: pa.Table) -> pa.Table:
-        nid = table.column("nid").to_pylist()
-        places: dict[int, list[int]] = {}
-        for i, x in enumerate(nid):
-            places.setdefault(x, []).append(i)
-        sets = list(_sets(table.column("text").to_pylist(), k))
-        a, b = [], []
-        for i, others in enumerate(table.column("others").to_pylist()):
-            for j in (j for x in others for j in places[x]):
-                both = np.concatenate([sets[i], sets[j]])
-                both.sort()
-                inter = int((both[1:] == both[:-1]).sum())
-                if den * inter >= num * (len(both) - inter):
-                    a.append(nid[i])
-                    b.append(nid[j])
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+    """Links (a, b) between a tile's components: pairs by distance, without those that earlier links connect."""
 
-    return run
+    def work(cols: dict) -> dict:
+        ok, far = _open_pairs(cols, num, den)
+        i, j = np.nonzero(ok)
+        order = np.argsort(far[i, j], kind="stable")
+        sets = list(_sets(cols["text"], k))
+        root: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while (up := root.get(x, x)) != x:
+                root[x] = root.get(up, up)
+                x = up
+            return x
+
+        a, b, label = [], [], cols["label"].tolist()
+        for x, y in zip(i[order].tolist(), j[order].tolist(), strict=True):
+            u, v = find(label[x]), find(label[y])
+            if u != v and _similar(sets[x], sets[y], num, den):
+                root[max(u, v)] = min(u, v)
+                a.append(label[x])
+                b.append(label[y])
+        return {"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())}
+
+    return _by_tile(work, ["a", "b"])
 
 
 def _verified(chosen: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """The links (a, b) among rows (nid, pivot, text) and their pivots. A pivot of many rows has its text copied to as
+    """The links (a, b) among rows (node, pivot, text) and their pivots. A pivot of many rows has its text copied to as
     many parts (own_copies), and its rows are dealt to them (copies)."""
-    left = chosen.where("own_copies > 0").select(F.col("nid").alias("a"), F.col("text").alias("x"), F.explode(F.sequence(F.lit(0), F.col("own_copies") - 1)).alias("salt"))
-    right = chosen.where("nid != pivot").select(F.col("pivot").alias("a"), F.col("nid").alias("b"), F.col("text").alias("y"), F.pmod(F.xxhash64("nid"), F.col("copies")).cast("int").alias("salt"))
+    left = chosen.where("own_copies > 0").select(F.col("node").alias("a"), F.col("text").alias("x"), F.explode(F.sequence(F.lit(0), F.col("own_copies") - 1)).alias("salt"))
+    right = chosen.where("copies > 0").select(F.col("pivot").alias("a"), F.col("node").alias("b"), F.col("text").alias("y"), F.pmod(F.xxhash64("node"), F.col("copies")).cast("int").alias("salt"))
     return right.join(left, ["a", "salt"]).select("a", "b", "x", "y").mapInArrow(_linked(k, num, den), "a long, b long")
 
 
+class _Join:
+    """The nodes and components of docs: `every` has a row for each document, `labels` the nodes that have links."""
+
+    def __init__(self, docs: DataFrame, id_col: str, text_col: str, k: int, threshold: tuple[int, int], *, without_id: bool):
+        spark, (num, den) = docs.sparkSession, threshold
+        self.how, self.without_id = (k, num, den), without_id
+        texts = id_text(docs, id_col, text_col).withColumn("th", F.xxhash64("text"))
+        both = written(texts.mapInArrow(_facts(k, num, den), "doc_id long, th long, n long, node long, grp long, p long, bits binary, bucket long, times long"), "sets")
+        self.every = both.where("bucket is null").select("doc_id", "th", "n", "node", "grp", "p", "bits")
+        counts = both.where("bucket is not null").groupBy("bucket").agg(F.sum("times").alias("times")).orderBy(F.desc("times"), "bucket").limit(FREQUENT).collect()
+        shared = spark.sparkContext.broadcast((np.array([r.bucket for r in counts], np.int64), np.array([r.times for r in counts], np.int64)))
+        self.full = self.every.where("n > 0" if without_id else "n > 0 and doc_id is not null")
+        self.texts = texts if without_id else texts.where("doc_id is not null")
+
+        # Equal sets are one node; nodes of one prefix and size are one group, led by the least of them.
+        at = F.min(F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("o"), "doc_id", "th", "n", "grp", "p", "bits")).alias("at")
+        nodes = written(self.full.groupBy("node").agg(at).select("node", "at.doc_id", "at.th", "at.n", "at.grp", "at.p", "at.bits"), "nodes")
+        leads = nodes.groupBy("grp").agg(F.min("node").alias("lead"), F.count("*").alias("members"))
+        # Different sets of one size differ in two shingles at least.
+        loose = nodes.join(leads.where("members > 1"), "grp").where((den - num) * 2 * F.col("n") >= 2 * (den + num)).select("node", "grp", "lead")
+        loose = written(loose, "loose")
+
+        blocks = self._blocks(shared)
+        stars = written(self._stars(blocks, nodes, leads).union(loose.where("node != lead").select("node", F.col("lead").alias("pivot"))), "stars")
+        known = self._repeated_ids()
+        links = self._star_links(stars, nodes)
+        label = written(components(links if known is None else links.union(known)), "labels")
+        rest = written(self._rest(blocks, loose, nodes, label), "rest")
+        joined = written(components(rest), "joined")
+        self.labels = label.join(joined.toDF("label", "last"), "label", "left").select("node", F.coalesce("last", "label").alias("label"))
+        self.labels = written(self.labels.union(joined.join(label.select("node"), "node", "left_anti")), "components")
+        removed(nodes, loose, blocks, stars, links, label, rest, joined)
+
+    def _blocks(self, shared) -> DataFrame:
+        """(sig, grp, pivot): groups that share a signature with another one; a frequent signature has several pivots."""
+        signed = self.texts.select("text").mapInArrow(_signed(shared, *self.how), "sig long, salt int, grp long")
+        block = Window.partitionBy("sig", "salt")
+        seen = signed.withColumns({"pivot": F.min("grp").over(block), "last": F.max("grp").over(block)})
+        return written(seen.where("pivot != last or salt > 0").select("sig", "salt", "grp", "pivot").distinct(), "blocks")
+
+    def _stars(self, blocks: DataFrame, nodes: DataFrame, leads: DataFrame) -> DataFrame:
+        """(node, pivot): of the pivots that a group meets and that pass the filter of group pairs, the nearest."""
+        _, num, den = self.how
+        pivots = blocks.where("salt > 0").select("sig", "pivot").distinct()
+        tops = pivots.groupBy("sig").agg(F.min("pivot").alias("top"))
+        pairs = blocks.select("grp", "pivot").union(pivots.join(tops, "sig").select(F.col("pivot").alias("grp"), F.col("top").alias("pivot")))
+        pairs = pairs.where("grp != pivot").distinct()
+        facts = nodes.join(leads.select(F.col("lead").alias("node"), "grp"), ["node", "grp"], "left_semi")
+        own = facts.select("grp", "n", "p", F.col("bits").alias("x"))
+        other = facts.select(F.col("grp").alias("pivot"), F.col("n").alias("m"), F.col("p").alias("q"), F.col("bits").alias("y"))
+        near = pairs.join(own, "grp").join(other, "pivot").mapInArrow(_near(num, den), "grp long, pivot long, far double")
+        best = near.groupBy("grp").agg(F.min_by("pivot", F.struct("far", "pivot")).alias("pivot"))
+        lead = leads.select("grp", F.col("lead").alias("node"))
+        return best.join(lead, "grp").join(lead.toDF("pivot", "top"), "pivot").select("node", F.col("top").alias("pivot"))
+
+    def _star_links(self, stars: DataFrame, nodes: DataFrame) -> DataFrame:
+        copies = stars.groupBy("pivot").agg(F.ceil(F.count("*") / PART).cast("int").alias("copies"))
+        wanted = stars.join(copies, "pivot").withColumnRenamed("copies", "n").join(copies.toDF("node", "own"), "node", "full_outer")
+        wanted = wanted.select("node", "pivot", F.col("n").alias("copies"), F.col("own").alias("own_copies"))
+        chosen = written(self._with_text(wanted, nodes), "texts")
+        links = written(_verified(chosen, *self.how), "verified")
+        removed(chosen)
+        return links
+
+    def _with_text(self, wanted: DataFrame, nodes: DataFrame) -> DataFrame:
+        """wanted with its nodes' texts."""
+        named = wanted.select("node").distinct().join(nodes.select("node", F.col("doc_id").alias("of"), F.col("th").alias("hash")), "node")
+        # A short list goes to where the texts are; a longer one meets them in a shuffle.
+        named = written(named, "named")
+        at = F.broadcast(named) if named.count() <= SHORT else named
+        found = self.texts.join(at, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("th") == F.col("hash"))).select("node", "text")
+        if self.repeats:
+            found = found.dropDuplicates(["node"])
+        return wanted.join(found, "node")
+
+    def _repeated_ids(self) -> DataFrame | None:
+        """Links between the nodes of rows that repeat a doc_id; also notes if there are such rows."""
+        self.repeats = not self.full.groupBy("doc_id").count().where("count > 1").isEmpty()
+        if self.without_id or not self.repeats:
+            return None
+        per = self.full.where("doc_id is not null").groupBy("doc_id").agg(F.min("node").alias("a"))
+        return self.full.join(per, "doc_id").select("a", F.col("node").alias("b")).where("a != b").distinct()
+
+    def _rest(self, blocks: DataFrame, loose: DataFrame, nodes: DataFrame, label: DataFrame) -> DataFrame:
+        """Links (a, b) between labels that lie in one block or group without being connected."""
+        k, num, den = self.how
+        labels = label.select("node", F.col("label").alias("l"))
+        member = nodes.join(labels, "node", "left").select("node", "grp", "n", "p", "bits", F.coalesce("l", "node").alias("label"))
+        shares = blocks.select("sig", "grp").distinct().join(member.select("grp", "node", "label"), "grp").select("sig", "grp", "node", "label")
+        within = loose.join(labels, "node", "left").select(F.col("grp").alias("sig"), "grp", "node", F.coalesce("l", "node").alias("label"))
+        shares = shares.union(within)
+        mixed = shares.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"), F.count("*").alias("m")).where("lo != hi")
+        once = mixed.groupBy("x", "y", "m").agg(F.min("sig").alias("sig"))  # blocks of the same nodes count once
+        parts = once.select("sig", F.ceil(F.col("m") / TILE).cast("int").alias("parts"))
+        dealt = shares.join(parts, "sig").withColumn("part", F.pmod(F.xxhash64("node", "sig"), F.col("parts")).cast("int"))
+        here = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda o: F.struct(F.least("part", o).alias("i"), F.greatest("part", o).alias("j"), F.when(F.col("part") > o, 1).otherwise(0).alias("side"), (o != F.col("part")).alias("two")))
+        tiles = dealt.select("sig", "node", F.explode(here).alias("t")).select(F.xxhash64("sig", "t.i", "t.j").alias("tile"), "node", F.when(F.col("t.two"), F.col("t.side") + 1).otherwise(0).cast("int").alias("side"))
+        facts = tiles.join(member, "node").select(*FACTS)
+        types = "tile long, node long, grp long, n long, p long, bits binary, label long, side int"
+        found = written(_sorted(facts).mapInArrow(_candidates(num, den), types), "candidates")
+        links = written(_sorted(self._with_text(found, nodes)).mapInArrow(_tile_links(k, num, den), "a long, b long"), "verified")
+        removed(found)
+        return links
+
+
+    def labelled(self) -> DataFrame:
+        """doc_id, th and label of every row with words; the label of a node without links is its own."""
+        of = self.full.select("doc_id", "th", "node").join(self.labels.select("node", F.col("label").alias("l")), "node", "left")
+        return of.select("doc_id", "th", F.coalesce("l", "node").alias("label"))
+
+
+def _sorted(rows: DataFrame) -> DataFrame:
+    return rows.repartition("tile").sortWithinPartitions("tile")
+
+
 def similar_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = 3, threshold: tuple[int, int] = (90, 100)) -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest doc_id reachable by links) of every document."""
-    spark, (num, den) = docs.sparkSession, threshold
-    texts = id_text(docs, id_col, text_col)
-    counts = texts.select("text").mapInArrow(_sketch(k), "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "bucket").limit(FREQUENT).collect()
-    levels = np.log2(np.array([r.n for r in counts], np.float64) + 1).astype(np.uint8) + 1
-    shared = spark.sparkContext.broadcast((np.array([r.bucket for r in counts], np.int64), levels))
-    every = written(texts.mapInArrow(_prefixes(shared, k, num, den), "doc_id long, n long, key binary, grp long, rare int, last int, tail long, prefix array<long>, hot array<boolean>"), "prefixes")
-
-    # Equal sets are one node, named by its smallest doc_id; nodes of one prefix and size are one group.
-    full = every.where("n > 0 and doc_id is not null")
-    named = full.groupBy("key").agg(F.min("doc_id").alias("nid"))
-    nodes = full.select(F.col("doc_id").alias("nid"), "key", "n", "grp", "last", "tail").join(named, ["key", "nid"], "left_semi").drop("key").distinct()
-    leaders = nodes.groupBy("grp").agg(F.min("nid").alias("lead"), F.count("*").alias("members"))
-    member = written(nodes.join(leaders, "grp").select("nid", "n", "grp", "last", "tail", "lead", "members"), "members")
-
-    lead = full.select(F.col("doc_id").alias("nid"), "grp", "rare", "prefix", "hot").join(member.where("nid = lead").select("nid", "grp"), ["nid", "grp"], "left_semi")
-    tokens = lead.select("nid", "rare", F.explode(F.arrays_zip("prefix", "hot")).alias("col"))
-    tokens = tokens.select("nid", "rare", F.col("col.prefix").alias("tok"), F.when(F.col("col.hot"), F.pmod(F.xxhash64("nid"), F.lit(SALTS)) + 1).otherwise(0).cast("byte").alias("salt"))
-    block = Window.partitionBy("tok", "salt").orderBy("rare", "nid")
-    pivoted = tokens.withColumns({"pivot": F.first(F.struct("rare", "nid")).over(block), "next": F.lead("nid").over(block)})
-    pivoted = written(pivoted.where((F.col("nid") != F.col("pivot.nid")) | F.col("next").isNotNull() | (F.col("salt") > 0)).select("nid", "tok", "salt", "pivot"), "blocks")
-
-    # Each leader meets the pivot that it shares most prefix shingles with; a frequent shingle's pivots, one for each salt,
-    # meet the first of them; members of a group meet their leader. Whoever has none is its own pivot.
-    stars = pivoted.where(F.col("nid") != F.col("pivot.nid")).select("nid", "pivot")
-    pivots = pivoted.where("salt > 0").select("tok", "pivot").distinct().withColumn("top", F.min("pivot").over(Window.partitionBy("tok")))
-    stars = stars.union(pivots.where(F.col("pivot") != F.col("top")).select(F.col("pivot.nid").alias("nid"), F.col("top").alias("pivot")))
-    best = stars.groupBy("nid", "pivot").agg(F.count("*").alias("common")).groupBy("nid").agg(F.max_by("pivot.nid", F.struct("common", -F.col("pivot.rare"), -F.col("pivot.nid"))).alias("pivot"))
-    loose = member.where("nid != lead").select("nid", F.col("lead").alias("pivot"))
-    groups = member.where("nid = lead and members > 1").select("nid", F.col("nid").alias("pivot"))
-    wanted = pivoted.select("nid", F.col("nid").alias("pivot")).union(groups).distinct().join(best.withColumnRenamed("pivot", "best"), "nid", "left").select("nid", F.coalesce("best", "pivot").alias("pivot")).union(loose)
-    copies = wanted.where("nid != pivot").groupBy("pivot").agg(F.ceil(F.count("*") / PART).cast("int").alias("copies"))
-    wanted = wanted.join(copies, "pivot", "left").join(copies.toDF("nid", "own_copies"), "nid", "left")
-    wanted = written(wanted, "wanted")
-    chosen = texts.withColumnRenamed("doc_id", "nid").join(wanted, "nid").select("nid", "pivot", "copies", "own_copies", "text")
-    known = wanted.select(F.col("nid").alias("a"), F.col("nid").alias("b"))
-    if not full.groupBy("doc_id").count().where("count > 1").isEmpty():
-        chosen = chosen.distinct()
-        shared_ids = full.select("key", "doc_id").join(named, "key").select(F.col("doc_id").alias("a"), F.col("nid").alias("b"))
-        known = known.union(shared_ids)
-    chosen = written(chosen, "texts")
-    label = written(components(_verified(chosen, k, num, den).union(known)), "labels")
-
-    # Prefix shingles whose nodes lie in several components: all members of their groups, in tiles.
-    found = member.join(label.withColumnRenamed("node", "nid"), "nid").select("lead", "nid", "n", "label")
-    # Members of a group share its whole prefix, even where no other leader has any of it: the group is a block, too.
-    leads = pivoted.select(F.col("nid").alias("lead"), "tok").distinct().union(member.where("nid = lead and members > 1").select("lead", F.col("grp").alias("tok")))
-    blocks = leads.join(found, "lead").select("tok", "nid", "n", "label")
-    within = blocks.groupBy("tok").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.bit_xor(F.xxhash64("nid")).alias("x"), F.bit_xor(F.xxhash64("nid", F.lit(1))).alias("y"), F.count("*").alias("m")).where("lo != hi")
-    mixed = within.groupBy("x", "y", "m").agg(F.min("tok").alias("tok"))  # blocks of the same nodes count once
-    blocks = written(blocks.join(mixed.select("tok", "m"), "tok"), "mixed")
-    shared = leads.groupBy("lead").agg(F.collect_list("tok").alias("shared"))
-    facts = member.join(blocks.select("nid").distinct(), "nid", "left_semi").join(shared, "lead").select("nid", "grp", "n", "last", "tail", "shared")
-    found = _tile_verified(written(_tiles(blocks, facts, num, den), "candidates"), chosen.select("nid", "text"), k, num, den)
-    label_of = label.select("node", "label")
-    found = found.join(label_of.toDF("a", "la"), "a").join(label_of.toDF("b", "lb"), "b").select(F.col("la").alias("a"), F.col("lb").alias("b"))
-    joined = components(found.union(label.select(F.col("label").alias("a"), F.col("label").alias("b"))))
-
-    final = label.join(joined.select(F.col("node").alias("label"), F.col("label").alias("component_id")), "label").select(F.col("node").alias("nid"), "component_id")
-    ids = full.select("key", "doc_id").distinct().join(named, "key").join(final, "nid", "left").groupBy("doc_id").agg(F.min(F.coalesce("component_id", "nid")).alias("component_id"))
-    return every.select("doc_id", F.col("n").alias("n_shingles")).join(ids, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
-
-
-def _tiles(blocks: DataFrame, facts: DataFrame, num: int, den: int) -> DataFrame:
-    """Candidate pairs (tile, pivot, nid) of different labels among the nodes of one block; each pair in one tile.
-
-    Sizes of similar sets differ by den / num at most, so in a block of more than TILE nodes a node only meets those of its
-    own length band and the next. Nodes that meet are dealt to parts of about TILE, and each pair of parts is a tile.
-    """
-    band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(den / num) * 1.0001)).cast("int")
-    cells = blocks.select("tok", "nid", "label", band.alias("band"), F.explode(F.when(F.col("m") > TILE, F.array(band, band + 1)).otherwise(F.array(F.lit(-1)))).alias("cell"))
-    counted = cells.groupBy("tok", "cell").agg(F.ceil(F.count("*") / TILE).cast("int").alias("parts"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi")
-    dealt = cells.join(counted.select("tok", "cell", "parts"), ["tok", "cell"]).withColumn("part", F.pmod(F.xxhash64("nid", "tok"), F.col("parts")).cast("int"))
-    here = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda o: F.struct(F.least("part", o).alias("i"), F.greatest("part", o).alias("j"), F.when(o == F.col("part"), 0).when(F.col("part") < o, 1).otherwise(2).alias("side")))
-    return (
-        dealt.select("tok", "cell", "band", "nid", "label", F.explode(here).alias("t"))
-        .select(F.xxhash64("tok", "cell", "t.i", "t.j").alias("tile"), "tok", "cell", "band", "nid", "label", "t.side")
-        .join(facts, "nid")
-        .groupBy("tile")
-        .applyInArrow(_tile_pairs(num, den), "tile long, pairs long, pivot long, nid long")
-        .groupBy("pivot", "nid")
-        .agg(F.max_by("tile", F.struct("pairs", "tile")).alias("tile"))
-    )
-
-
-def _tile_verified(pairs: DataFrame, texts: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """The links (a, b) among candidate pairs. A text goes once to each tile that has it in a pair; a tile has 2 * TILE
-    nodes or so."""
-    nodes = pairs.select("tile", F.col("pivot").alias("nid"), F.col("nid").alias("other")).union(pairs.select("tile", "nid", F.lit(None).cast("long")))
-    nodes = nodes.groupBy("tile", "nid").agg(F.collect_list("other").alias("others"))
-    return nodes.join(texts, "nid").groupBy("tile").applyInArrow(_tile_links(k, num, den), "a long, b long")
+    join = _Join(docs, id_col, text_col, k, threshold, without_id=False)
+    of = join.labelled()
+    least = of.groupBy("label").agg(F.min("doc_id").alias("least"))
+    ids = of.join(least, "label").groupBy("doc_id").agg(F.min("least").alias("least"))
+    return join.every.select("doc_id", F.col("n").alias("n_shingles")).join(ids, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"))
 
 
 def distinct_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = 5, threshold: tuple[int, int] = (80, 100)) -> DataFrame:
-    """The rows of docs whose doc_id is the smallest of its component, all columns kept; rows without doc_id stay."""
-    dropped = similar_components(docs, id_col=id_col, text_col=text_col, k=k, threshold=threshold).where("component_id != doc_id").select(F.col("doc_id").alias("__dropped")).distinct()
-    return docs.join(dropped, docs[id_col].cast("long") == F.col("__dropped"), "left_anti")
+    """One row of each component, all columns kept: that with the smallest doc_id (null last), of those the one with the
+    least hash of its text, of equal ones any. Each row is a document of its own, also where a doc_id is repeated or
+    missing. Rows without words stay."""
+    join = _Join(docs, id_col, text_col, k, threshold, without_id=True)
+    of = join.labelled()
+    best = of.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("o"), "doc_id", "th")).alias("best"))
+    other = ~F.col("doc_id").eqNullSafe(F.col("best.doc_id")) | (F.col("th") != F.col("best.th"))
+    gone = of.join(best, "label").where(other).select(F.col("doc_id").alias("__gone"), F.col("th").alias("__hash")).distinct()
+    own_id, own_hash = docs[id_col].cast("long"), F.xxhash64(docs[text_col].cast("string"))
+    kept = docs.join(gone, own_id.eqNullSafe(F.col("__gone")) & (own_hash == F.col("__hash")), "left_anti")
+    if not join.repeats:
+        return kept
+    keyed = kept.withColumns({"__id": F.col(id_col).cast("long"), "__th": F.xxhash64(F.col(text_col).cast("string"))})
+    twice = join.full.groupBy("doc_id", "th").count().where("count > 1").select(F.col("doc_id").alias("__gone"), F.col("th").alias("__hash"))
+    same = F.col("__id").eqNullSafe(F.col("__gone")) & (F.col("__th") == F.col("__hash"))
+    once = keyed.join(twice, same, "left_semi").dropDuplicates(["__id", "__th"])
+    return keyed.join(twice, same, "left_anti").union(once).drop("__id", "__th")
