@@ -13,7 +13,10 @@ and not learned from. Rows that repeat an id are predicted one by one. Other col
 
 from __future__ import annotations
 
+import sys
+import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -21,13 +24,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliant.llm.common import id_text, slices
-from foliant.llm.pretokens import LETTER, classes
 from foliant.llm.textcodes import code_points
 
 DIMENSIONS = 1024
 SEED = 20240
-#: Different languages at most; one prototype of DIMENSIONS numbers each is broadcast.
-MOST_LANGUAGES = 5000
+#: Languages whose prototypes are broadcast at once (4 KB each); with more of them documents pass several broadcasts.
+LANGUAGES = 4096
 #: Trigram vectors that a worker remembers, and documents and trigrams that meet in one matrix product.
 _REMEMBERED, _ROWS, _COLUMNS = 24_000, 256, 8192
 
@@ -63,12 +65,16 @@ class Binder:
         return self.vectors[[self.rows[g] for g in keys]].astype(np.float32)
 
 
+@lru_cache
+def _letters() -> np.ndarray:
+    """Whether each code point is a letter."""
+    return np.fromiter((unicodedata.category(chr(c))[0] == "L" for c in range(sys.maxunicode + 1)), bool, sys.maxunicode + 1)
+
+
 def trigrams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(document, place in the list of different trigrams) of every trigram around a letter, and that list."""
     codes, ends = code_points([t.lower() if t else t for t in texts])
-    letter = classes(codes) >= LETTER
-    letter &= codes != 39
-    letter &= codes != 32
+    letter = _letters()[codes]
     c = np.where(letter, codes, 0)
     alphabet = np.flatnonzero(np.bincount(c))
     at = np.flatnonzero(letter)
@@ -128,45 +134,63 @@ def _learn(dimensions: int):
 
 
 def prototypes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", dimensions: int = DIMENSIONS) -> tuple[list[str], np.ndarray]:
-    """The learned languages in order, and a unit prototype for each. Tasks send one vector a language."""
+    """The learned languages in order, and a unit prototype for each. Tasks send one vector a language; the driver holds
+    8 KB for each different language."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     known = texts.where(~held_out("doc_id") & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull())
     sums = known.select("text", "lang").mapInArrow(_learn(dimensions), "lang string, dim int, x long").groupBy("lang", "dim").agg(F.sum("x").alias("x"))
-    rows = sums.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("dim", "x"))).alias("v")).orderBy("lang").limit(MOST_LANGUAGES + 1).collect()
-    if len(rows) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    vectors = np.array([[x.x for x in r.v] for r in rows], float).reshape(len(rows), dimensions)
+    rows = sums.groupBy("lang").agg(F.transform(F.sort_array(F.collect_list(F.struct("dim", "x"))), lambda s: s["x"]).alias("v")).orderBy("lang").toArrow()
+    names = rows.column("lang").to_pylist()
+    vectors = rows.column("v").combine_chunks().flatten().to_numpy().astype(float).reshape(len(names), dimensions)
     size = np.linalg.norm(vectors, axis=1, keepdims=True)
     keep = size[:, 0] > 0
-    return [r.lang for r, k in zip(rows, keep, strict=True) if k], vectors[keep] / size[keep]
+    return [n for n, k in zip(names, keep, strict=True) if k], vectors[keep] / size[keep]
 
 
 def held_out(id_col: str) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 3 == 1, F.lit(False))
 
 
-def _predict(shared, dimensions: int):
+def _predict(shared, text: str, dimensions: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         languages, vectors = shared.value
         for batch in batches:
-            for part, texts in slices(batch):
+            for part, texts in slices(batch, text):
                 doc, place, grams = trigrams(texts)
                 own = bundles(doc, place, grams, len(texts), _binder(dimensions))
                 size = np.linalg.norm(own, axis=1)
-                names, score = np.full(len(texts), "und", object), np.zeros(len(texts))
+                names, cosine = np.array(part.column("__lang").to_pylist(), object), part.column("__cosine").to_numpy().copy()
                 some = np.bincount(doc, minlength=len(texts)) > 0
                 if languages and some.any():
-                    cosine = own @ vectors.T / np.where(size > 0, size, 1)[:, None]
-                    best = cosine.argmax(axis=1)
+                    each = own @ vectors.T / np.where(size > 0, size, 1)[:, None]
+                    best = each.argmax(axis=1)
+                    top = each[np.arange(len(best)), best]
+                    # Of equal cosines the earlier language stays.
+                    some &= np.equal(names, None) | (top > cosine)
                     names[some] = np.array(languages, object)[best[some]]
-                    score[some] = np.clip(cosine[some, best[some]], 0, 1)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(names, pa.string()), pa.array(score)], names=["doc_id", "lang_pred", "score"])
+                    cosine[some] = top[some]
+                kept = part.schema.names[:-2]
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in range(len(kept))), pa.array(names, pa.string()), pa.array(cosine)], schema=part.schema)
 
     return run
 
 
+def _predicted(rows: DataFrame, text: str, model: tuple[list[str], np.ndarray], dimensions: int) -> DataFrame:
+    """rows and their nearest language (__lang, null without one) and its cosine (__cosine)."""
+    names, vectors = model
+    out = rows.withColumns({"__lang": F.lit(None).cast("string"), "__cosine": F.lit(0.0)})
+    for lo in range(0, len(names), LANGUAGES):
+        shared = rows.sparkSession.sparkContext.broadcast((names[lo : lo + LANGUAGES], vectors[lo : lo + LANGUAGES]))
+        out = out.mapInArrow(_predict(shared, text, dimensions), out.schema)
+    return out
+
+
 def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], *, id_col: str = "doc_id", text_col: str = "text", dimensions: int = DIMENSIONS) -> DataFrame:
     """doc_id, held_out, lang_pred and score of every document."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    out = id_text(docs, id_col, text_col).mapInArrow(_predict(shared, dimensions), "doc_id long, lang_pred string, score double")
-    return out.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
+    out = _predicted(id_text(docs, id_col, text_col), "text", model, dimensions)
+    return out.select("doc_id", held_out("doc_id").alias("held_out"), F.coalesce("__lang", F.lit("und")).alias("lang_pred"), F.least(F.greatest("__cosine", F.lit(0.0)), F.lit(1.0)).alias("score"))
+
+
+def with_language(docs: DataFrame, model: tuple[list[str], np.ndarray], *, text_col: str = "text", dimensions: int = DIMENSIONS) -> DataFrame:
+    """The rows of docs that a language is found for, all columns kept; each row follows its own verdict, whatever its id."""
+    return _predicted(docs, text_col, model, dimensions).where("__lang is not null").drop("__lang", "__cosine")
