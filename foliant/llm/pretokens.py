@@ -18,13 +18,32 @@ FIRST_R, FIRST_V, FIRST_L, SECOND_E = 8, 9, 10, 11
 _TABLE: list[np.ndarray] = []
 
 
+#: Planes beyond this one have no characters of their own yet, but for marks.
+_PLANES = 0x40000
+
+
+def unassigned() -> str:
+    """The code points that Python's Unicode version has no character for; the library's may be newer."""
+    return "".join(c for c in map(chr, range(_PLANES)) if unicodedata.category(c) == "Cn")
+
+
 def classes(codes: np.ndarray) -> np.ndarray:
     if not _TABLE:
+        from tokenizers import Regex, pre_tokenizers
+
         table = np.full(sys.maxunicode + 1, OTHER, np.uint8)
         for c in range(sys.maxunicode + 1):
             kind = unicodedata.category(chr(c))[0]
             if kind in "LN":
                 table[c] = LETTER if kind == "L" else NUMBER
+        # What Python does not know, the library tells.
+        rest = unassigned()
+        points = np.array([ord(c) for c in rest])
+        for pattern, kind in ((r"\p{L}", LETTER), (r"\p{N}", NUMBER)):
+            own = np.ones(len(points), bool)
+            for _, (a, b) in pre_tokenizers.Split(Regex(pattern), "removed").pre_tokenize_str(rest):
+                own[a:b] = False
+            table[points[own]] = kind
         table[[9, 10, 11, 12, 13, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]] = SPACE
         table[32] = BLANK
         table[39] = QUOTE

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foliant.llm.common import id_text, slices
-from foliant.llm.pretokens import BLANK, END, FIRST_L, FIRST_R, FIRST_V, LETTER, NUMBER, OTHER, QUOTE, SECOND_E, SINGLE, SPACE, Memory, classes
+from foliant.llm.pretokens import BLANK, END, FIRST_L, FIRST_R, FIRST_V, LETTER, NUMBER, OTHER, QUOTE, SECOND_E, SINGLE, SPACE, Memory, classes, unassigned
 from foliant.llm.textcodes import code_points
 
 #: Code points of a chunk of the splitter.
@@ -254,6 +254,8 @@ class TokenCounter:
     """Counts for a tokenizers file of the kind: NFC, white space to blanks, lower case; the splitter's pattern; word BPE."""
 
     def __init__(self, path: str) -> None:
+        from tokenizers import normalizers
+
         with open(path, encoding="utf-8") as f:
             file = json.load(f)
         model = file["model"]
@@ -265,6 +267,9 @@ class TokenCounter:
         self.memory = Memory(lambda words: [[self.machine.count(w)] for w in words])
         added = [t["content"] for t in file["added_tokens"]]
         self.added = re.compile("|".join(re.escape(t) for t in sorted(added, key=len, reverse=True))) if added else None
+        # Characters newer than Python's Unicode version are the library's to compose and lower.
+        self.newer = re.compile(f"[{unassigned()}]")
+        self.nfc, self.lower = normalizers.NFC().normalize_str, normalizers.Lowercase().normalize_str
 
     def __call__(self, texts: list[str | None]) -> np.ndarray:
         extra = np.zeros(len(texts), np.int64)
@@ -274,9 +279,12 @@ class TokenCounter:
             if self.added and "<" in t and (n := len(self.added.findall(t))):
                 # An added token counts one and parts what stands around it.
                 extra[i], t = n, self.added.sub("\n", t)
-            if not t.isascii():
-                t = unicodedata.normalize("NFC", t).replace("Σ", "σ")  # sigma without regard to its place
-            plain.append(t.lower())
+            if t.isascii():
+                plain.append(t.lower())
+            elif self.newer.search(t):
+                plain.append(self.lower(self.nfc(t)))
+            else:
+                plain.append(unicodedata.normalize("NFC", t).replace("Σ", "σ").lower())  # sigma without regard to its place
         codes, ends = code_points(plain)
         joined = "\0".join(plain)
         starts, stops = split(codes, ends)
