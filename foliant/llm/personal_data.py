@@ -1,9 +1,20 @@
 """Personal data in texts: plain identifiers, and disguised ones found through offset-preserving normalisation.
 
-A transducer rewrites a text and keeps, for every character it writes, the source span it stands for: look-alike letters
-and digits of other scripts become ASCII, invisible characters vanish, runs of spelled digits become digits, and disguises
-of @ and . become signs. The plain detectors then read the rewritten text; what they find where something was rewritten is
-mapped back to source characters and added, unless it overlaps a plain span of its kind.
+A transducer rewrites a text and keeps, for every character it writes, the source span it stands for. Its rules, in order:
+
+* look-alike letters, full-width signs and digits of other scripts become ASCII, characters without width vanish;
+* character references and percent codes of @ and . become signs;
+* letters that look like digits become digits within numbers that are digits for two thirds at least;
+* runs of spelled digits become digits: with three dots or more in between an address, else seven digits or more, with a
+  plus or half of them spelled;
+* bracketed words for @ and . become signs (up to three blanks around each), and words framed by one sign on both sides,
+  as in name*at*host*dot*tld;
+* bare words, "name at host dot tld" and "name at host.tld", where host and tld look like labels and not like words of a
+  sentence.
+
+The plain detectors then read the rewritten text; what they find where something was rewritten is mapped back to source
+characters and added, unless it overlaps a plain span of its kind. 10 to 15 rewritten digits count as a phone without a
+plus if they were spelled and no other span has them. Letters set apart by blanks ("j o h n @ ...") are not put together.
 
 Defined results: a null or empty text has no spans; every row is scanned by itself, whatever its id; texts are scanned
 whole and in linear time. Spans are code points, end exclusive.
@@ -13,7 +24,8 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Callable, Iterator
+from bisect import bisect_left, insort
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -89,6 +101,15 @@ INVISIBLE = "­​‌‍⁠﻿"
 # Spelled digits.
 DIGIT_WORDS = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9"}
 
+# ASCII letters that look like digits.
+DIGIT_LIKE = str.maketrans("OoIlSBZ", "0011582")
+# Character references and percent codes.
+REFERENCES = {"&#64;": "@", "&#x40;": "@", "&commat;": "@", "%40": "@", "&#46;": ".", "&#x2e;": ".", "&period;": "."}
+
+_REFERENCE = re.compile(r"(?i)\s{0,3}(?:" + "|".join(REFERENCES) + r")\s{0,3}")
+_LIKE = "".join(map(chr, DIGIT_LIKE))
+_NUMBER_LIKE = re.compile(rf"(?<![A-Za-z0-9])[0-9{_LIKE}](?:[ .-]?[0-9{_LIKE}])++(?![A-Za-z0-9])")
+_LETTER_IN_NUMBER = re.compile(rf"[0-9][ .-]?[{_LIKE}]|[{_LIKE}][ .-]?[0-9]")
 _FOREIGN = re.compile("[" + "".join(map(chr, LOOK_ALIKES)) + INVISIBLE + "٠-٩۰-۹०-९！-～]")
 _WORD = "|".join(DIGIT_WORDS)
 #: Spelled digits and figures in a row, with "plus" and dots among them; _spelled_edits tells which runs count.
@@ -96,7 +117,8 @@ _FIGURE = r"[0-9]++(?:\.[0-9]++)*+"
 _SPELLED = re.compile(rf"(?i)(?<![A-Za-z0-9.])(?:plus[\s,-]+)?(?:{_WORD}|{_FIGURE})(?:(?:[\s,-]+(?:dot|point)[\s,-]+|[\s,-]+)(?:{_WORD}|{_FIGURE}))+(?![A-Za-z0-9])")
 _SPELLED_PART = re.compile(rf"(?i)plus|dot|point|{_WORD}|{_FIGURE}")
 _SIGN = r"[\[({{<]\s{{0,3}}(?:{0})\s{{0,3}}[\])}}>]"
-_BRACKETED = re.compile(r"(?i)\s{0,3}(?:" + _SIGN.format("at|@|arroba") + "|" + _SIGN.format(r"dot|\.|punto|punkt|point") + r")\s{0,3}")
+_BRACKETED = re.compile(r"(?i)\s{0,3}(?:" + _SIGN.format("at|@|arroba") + "|" + _SIGN.format(r"d[o0]t|\.|punto|punkt|point") + r")\s{0,3}")
+_FRAMED = re.compile(r"(?i)(?<![A-Za-z0-9])[A-Za-z0-9.+]{1,64}([*/|_~-])(at)\1[A-Za-z0-9]{1,63}(?:\1dot\1[A-Za-z0-9]{1,63})+(?![A-Za-z0-9])")
 _IS_AT = re.compile(r"(?i)at|@|arroba")
 _LABEL = r"[A-Za-z0-9-]{1,63}"
 #: Bare words: "name at host dot tld", "name at host.tld".
@@ -151,6 +173,28 @@ def _foreign_edits(text: str) -> list[tuple[int, int, str]]:
     return [(m.start(), m.end(), _fold(m[0])) for m in _FOREIGN.finditer(text)]
 
 
+def _reference_edits(text: str) -> list[tuple[int, int, str]]:
+    return [(m.start(), m.end(), REFERENCES[m[0].strip().lower()]) for m in _REFERENCE.finditer(text)]
+
+
+def _number_like_edits(text: str) -> list[tuple[int, int, str]]:
+    out = []
+    for m in _NUMBER_LIKE.finditer(text):
+        letters = sum(map(str.isalpha, m[0]))
+        if letters and sum(map(str.isdigit, m[0])) >= 2 * letters:
+            out += [(i, i + 1, c.translate(DIGIT_LIKE)) for i, c in enumerate(m[0], m.start()) if c.isalpha()]
+    return out
+
+
+def _framed_edits(text: str) -> list[tuple[int, int, str]]:
+    out = []
+    for m in _FRAMED.finditer(text):
+        out.append((m.start(2) - 1, m.end(2) + 1, "@"))
+        dot = re.compile(f"(?i){re.escape(m[1])}dot{re.escape(m[1])}")
+        out += [(*d.span(), ".") for d in dot.finditer(text, m.end(2) + 1, m.end())]
+    return out
+
+
 def _spelled_edits(text: str) -> list[tuple[int, int, str]]:
     out = []
     for m in _SPELLED.finditer(text):
@@ -207,15 +251,45 @@ def _rules(text: str) -> list[Callable[[str], list]]:
         out.append(_foreign_edits)
         text = "".join(map(_fold, text)) if out else text
     low = text.lower()
+    if ("&" in text or "%40" in text) and _REFERENCE.search(text):
+        out.append(_reference_edits)
+        low = _REFERENCE.sub(lambda m: REFERENCES[m[0].strip().lower()], low)
+    if _DIGIT.search(text) and _LETTER_IN_NUMBER.search(text):
+        out.append(_number_like_edits)
     if any(w in low for w in (*DIGIT_WORDS, "dot", "point")) and _SPELLED.search(low):
         out.append(_spelled_edits)
     if any(x in low for x in "[({<") and _BRACKETED.search(low):
         out.append(_bracket_edits)
+    if "at" in low and "dot" in low:
+        out.append(_framed_edits)
     if "at" in low or "@" in low or "arroba" in low:
         out.append(_bare_edits)
     return out
 
 
+class _Taken:
+    """Spans by kind, those of one kind in order; plain ones and others."""
+
+    def __init__(self, plain_spans: list[tuple[int, int, int]]) -> None:
+        self.plain = set(plain_spans)
+        self.spans = [sorted((b, a) for a, b, k in plain_spans if k == kind) for kind in range(len(KINDS))]
+
+    def free(self, x: int, y: int, kinds: Sequence[int]) -> bool:
+        """Whether a span of the last of kinds meets nothing of them but plain spans of its own kind that it contains."""
+        for k in kinds:
+            own = self.spans[k]
+            for i in range(bisect_left(own, (x + 1, -1)), len(own)):
+                q, p = own[i]
+                if p >= y:
+                    break
+                if not (k == kinds[-1] and (p, q, k) in self.plain and x <= p and q <= y):
+                    return False
+        return True
+
+    def add(self, x: int, y: int, kind: int) -> None:
+        insort(self.spans[kind], (y, x))
+
+
 def disguised(text: str, found: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """(start, end, kind) of identifiers that only the rewritten text shows."""
     rules, new = _rules(text), None
@@ -225,18 +299,17 @@ def disguised(text: str, found: list[tuple[int, int, int]]) -> list[tuple[int, i
             new.apply(edits)
     if new is None:
         return []
-    taken, plain_spans, out = list(found), set(found), []
-    spans = plain(new.text)
+    taken, out = _Taken(found), []
+    spans = [(*s, True) for s in plain(new.text)]
     if _spelled_edits in rules:
         # A run of spelled digits of a phone's length counts without a plus.
-        spans += [(*m.span(), 3) for m in re.finditer(r"(?<![0-9+])[0-9]{10,15}(?![0-9])", new.text) if all(new.changed[m.start() : m.end()])]
-    for a, b, kind in sorted(spans, key=lambda s: (s[2], s[0])):
+        spans += [(*m.span(), 3, False) for m in re.finditer(r"(?<![0-9+])[0-9]{10,15}(?![0-9])", new.text) if all(new.changed[m.start() : m.end()])]
+    for a, b, kind, sure in sorted(spans, key=lambda s: (s[2], not s[3], s[0])):
         if new.touched(a, b):
             x, y = new.source(a, b)
-            # One that meets a plain span of its kind has to contain it; a phone keeps off all other spans.
-            if not any(x < q and p < y and (k == kind or kind == 3) and not (k == kind and (p, q, k) in plain_spans and x <= p and q <= y) for p, q, k in taken):
+            if taken.free(x, y, (kind,) if sure else range(len(KINDS))):
                 out.append((x, y, kind))
-                taken.append((x, y, kind))
+                taken.add(x, y, kind)
     return out
 
 
