@@ -77,6 +77,15 @@ class Reader:
         self.starts = np.concatenate([[0], np.cumsum(self.contents)])
         self.decompressor = zstandard.ZstdDecompressor()
 
+    def close(self) -> None:
+        self.file.close()
+
+    def __enter__(self) -> Reader:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
+
     def _read(self, at: int, n: int) -> bytes:
         self.file.seek(at)
         return self.file.read(n)

@@ -114,6 +114,7 @@ def _read_shards(root: str):
                         if at + upto == ends[d]:
                             crcs[d], crc, d = crc, 0, d + 1
                     at += len(ids)
+                reader.close()
                 if d != len(docs):
                     raise ValueError(f"shard {shard} ends early")
                 yield pa.RecordBatch.from_arrays([pa.array(docs, mask=docs == _NULL), pa.array(start + ends - lengths), pa.array(lengths), pa.array(crcs)], names=["doc_id", "start", "n_tokens", "ids_crc32"])
@@ -133,4 +134,5 @@ def read_document(root: str, shard: int, doc_id: int) -> list[np.ndarray]:
     """The ids of a document's rows in a shard; only the frames that hold them are read."""
     reader, docs, lengths, kind = open_shard(root, shard)
     ends = np.cumsum(lengths) * kind.itemsize
-    return [np.frombuffer(reader.content(int(ends[d] - lengths[d] * kind.itemsize), int(ends[d])), kind) for d in np.flatnonzero(docs == doc_id)]
+    with reader:
+        return [np.frombuffer(reader.content(int(ends[d] - lengths[d] * kind.itemsize), int(ends[d])), kind) for d in np.flatnonzero(docs == doc_id)]

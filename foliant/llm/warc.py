@@ -2,10 +2,12 @@
 
 Every page becomes one WARC record. Of records with equal payloads the one with the smallest id is a response, the others
 are revisits that name it and carry no payload. A task groups its records into independent frames of about FRAME_BYTES,
-appends metadata that maps record ids to frame and offset, and ends the file with the seek table.
+appends metadata that maps record ids to frame and offset, ends the file with the seek table, and starts another file when
+one holds ARCHIVE_BYTES.
 
-Payload digests are computed and compared inside the JVM; the payload travels once, to the task that writes it. Equal
-payloads meet in a join on the digest, which adaptive execution splits when one payload makes up much of the table.
+Payload digests are computed and compared inside the JVM. Digests that occur more than once are listed; up to SHORT of them
+are broadcast and pages are written where they are read, beyond that pages and list meet in a join on the digest, which
+adaptive execution splits when one payload makes up much of the table.
 
 Defined results: a null payload is an empty one, and empty payloads equal each other; rows that repeat the smallest id of
 a payload are all responses; a row without id is written without one and never named by others, unless no row of its
@@ -25,10 +27,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliant.llm.common import shared_dir
+from foliant.llm.common import removed, shared_dir, written
 from foliant.llm.seekable import Reader, Writer, filesystem, write_whole
 
 FRAME_BYTES = 1 << 18
+#: Records of one archive, in bytes before compression; a task with more starts another.
+ARCHIVE_BYTES = 1 << 28
+#: Repeated payloads (28 bytes each) whose list is broadcast.
+SHORT = 200_000
 _EPOCH = "1970-01-01T00:00:00Z"  # no time is known for a page; results must not depend on the clock
 
 
@@ -66,61 +72,58 @@ def _base32(hex_digest: str) -> str:
     return base64.b32encode(bytes.fromhex(hex_digest)).decode()
 
 
-def _write(root: str, frame_bytes: int):
+def _write(root: str, frame_bytes: int, archive_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
-        ids: list[int | None] = []
-        frames: list[int] = []
-        offsets: list[int] = []
-
-        def fill(out) -> None:
-            writer, parts, size = Writer(out), [], 0
-            for batch in batches:
-                for page_id, url, html, digest, n, refers_to in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "html", "sha1", "n", "refers_to")), strict=True):
-                    own = record(page_id, url, (html or b"") if refers_to is None else b"", n, _base32(digest), refers_to)
-                    ids.append(page_id)
-                    frames.append(len(writer.entries))
-                    offsets.append(size)
-                    parts.append(own)
-                    size += len(own)
-                    if size >= frame_bytes:
-                        writer.frame(b"".join(parts))
-                        parts, size = [], 0
+        columns = ("page_id", "url", "html", "sha1", "n", "refers_to")
+        rows = (r for batch in batches for r in zip(*(batch.column(c).to_pylist() for c in columns), strict=True))
+        row, made = next(rows, None), 0
+
+        def fill(out, entries: list[tuple[int | None, int, int]]) -> None:
+            """Writes rows until the archive has its size."""
+            nonlocal row
+            writer, parts, size, total = Writer(out), [], 0, 0
+            while row is not None and total < archive_bytes:
+                page_id, url, html, digest, n, refers_to = row
+                own = record(page_id, url, (html or b"") if refers_to is None else b"", n, _base32(digest), refers_to)
+                entries.append((page_id, len(writer.entries), size))
+                parts.append(own)
+                size += len(own)
+                total += len(own)
+                if size >= frame_bytes:
+                    writer.frame(b"".join(parts))
+                    parts, size = [], 0
+                row = next(rows, None)
             if parts:
                 writer.frame(b"".join(parts))
-            known = np.array([i is not None for i in ids])
-            table = np.array([[i or 0 for i in ids], frames, offsets], "<i8")[:, known]
-            writer.metadata(json.dumps({"records": table.shape[1]}).encode() + b"\n" + table[:, np.argsort(table[0], kind="stable")].tobytes())
+            table = np.array([e for e in entries if e[0] is not None], "<i8").reshape(-1, 3).T
+            writer.metadata(json.dumps({"records": table.shape[1]}).encode() + b"\n" + np.ascontiguousarray(table[:, np.argsort(table[0], kind="stable")]).tobytes())
             writer.close()
 
-        first = next(batches, None)
-        if first is None:
-            return
-        batches = _before(first, batches)
-        name = f"pages-{context.partitionId():07d}.warc.zst"
-        write_whole(root, name, str(context.taskAttemptId()), fill)
-        yield pa.RecordBatch.from_pylist([{"archive": name, "records": len(ids)}])
+        while row is not None:
+            name, entries = f"pages-{context.partitionId():07d}-{made:05d}.warc.zst", []
+            write_whole(root, name, str(context.taskAttemptId()), lambda out, entries=entries: fill(out, entries))
+            yield pa.RecordBatch.from_pylist([{"archive": name, "records": len(entries)}])
+            made += 1
 
     return run
 
 
-def _before(first, rest):
-    yield first
-    yield from rest
-
-
-def write_archives(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", min_bytes: int = 0, root: str | None = None, frame_bytes: int = FRAME_BYTES) -> tuple[str, list[str]]:
+def write_archives(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", min_bytes: int = 0, root: str | None = None, frame_bytes: int = FRAME_BYTES, archive_bytes: int = ARCHIVE_BYTES) -> tuple[str, list[str]]:
     """Writes all archives; their folder and names. Payloads under min_bytes are all responses."""
     spark = pages.sparkSession
     root = root or shared_dir(spark, "warc")
     html = F.coalesce(F.col(payload_col).cast("string"), F.lit("")).cast("binary")
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), html.alias("html")).withColumns({"sha1": F.sha1("html"), "n": F.octet_length("html").cast("long")})
-    first = rows.groupBy(F.col("sha1").alias("digest")).agg(F.min("page_id").alias("first"), F.count("*").alias("times")).where("times > 1").select("digest", "first")
-    kept = rows.join(first, rows.sha1 == first.digest, "left")
+    first = rows.groupBy(F.unhex("sha1").alias("digest")).agg(F.min("page_id").alias("first"), F.count("*").alias("times")).where("times > 1").select("digest", "first")
+    first = written(first, "payloads")
+    # A short list goes to where the pages are, and no payload travels; a longer one meets them in a shuffle.
+    kept = rows.join(F.broadcast(first) if first.count() <= SHORT else first, F.unhex(rows.sha1) == first.digest, "left")
     revisit = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first")) & (F.col("n") >= min_bytes)
     kept = kept.withColumn("refers_to", F.when(revisit, F.col("first")))
     kept = kept.select("page_id", "url", F.when(F.col("refers_to").isNull(), F.col("html")).alias("html"), "sha1", "n", "refers_to")
-    done = kept.mapInArrow(_write(root, frame_bytes), "archive string, records long").collect()
+    done = kept.mapInArrow(_write(root, frame_bytes, archive_bytes), "archive string, records long").collect()
+    removed(first)
     return root, sorted(r.archive for r in done)
 
 
@@ -135,10 +138,11 @@ def open_archive(root: str, name: str) -> tuple[Reader, np.ndarray]:
 def read_record(root: str, name: str, page_id: int) -> tuple[dict[str, str], dict[str, str], bytes] | None:
     """One record of an archive, from its frame alone; None if the archive doesn't have it."""
     reader, (ids, frames, offsets) = open_archive(root, name)
-    at = int(np.searchsorted(ids, page_id))
-    if at == len(ids) or ids[at] != page_id:
-        return None
-    return parse(reader.frame(int(frames[at])), int(offsets[at]))[:3]
+    with reader:
+        at = int(np.searchsorted(ids, page_id))
+        if at == len(ids) or ids[at] != page_id:
+            return None
+        return parse(reader.frame(int(frames[at])), int(offsets[at]))[:3]
 
 
 def _page(urn: str) -> int | None:
@@ -161,6 +165,7 @@ def _read(root: str):
                         rows.append((_page(head["warc-record-id"]), n, digest, head["warc-type"], _page(head["warc-refers-to"]) if "warc-refers-to" in head else None))
                     kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64())
                     yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"])
+                reader.close()
 
     return run
 
