@@ -16,9 +16,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from foliant.llm.common import id_text, slices
 from foliant.llm.textcodes import letter_words, spans
@@ -26,17 +25,9 @@ from foliant.llm.textcodes import letter_words, spans
 #: Words of benchmark text in one automaton. A larger benchmark is dealt to several, which documents pass in turn.
 SHARD_WORDS = 200_000
 
-_HITS = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
-_SCHEMA = T.StructType(
-    [
-        T.StructField("doc_id", T.LongType()),
-        T.StructField("text", T.StringType()),
-        T.StructField("n_words", T.LongType()),
-        T.StructField("hits", _HITS),
-        T.StructField("spans", _HITS),
-        T.StructField("items", T.ArrayType(T.StringType())),
-    ]
-)
+_HITS = "array<struct<start:int,end:int>>"
+#: What documents carry from one automaton to the next: their words, hit word spans, hit character spans, hit items.
+_STATE = {"__n_words": "long", "__hits": _HITS, "__spans": _HITS, "__items": "array<string>"}
 
 
 class SuffixAutomaton:
@@ -143,21 +134,11 @@ def _merged(hits: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _pass(shared, first: bool):
+def _pass(shared, text: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton: SuffixAutomaton = shared.value
-        schema = pa.schema(
-            [
-                ("doc_id", pa.int64()),
-                ("text", pa.string()),
-                ("n_words", pa.int64()),
-                ("hits", kind := pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
-                ("spans", kind),
-                ("items", pa.list_(pa.string())),
-            ]
-        )
         for batch in batches:
-            for part, texts in slices(batch):
+            for part, texts in slices(batch, text):
                 hashes, at, starts, ends, text_at = letter_words(texts)
                 ids = automaton.ids(hashes)
                 known = ids >= 0
@@ -168,48 +149,64 @@ def _pass(shared, first: bool):
                 a, b = spans(inside)
                 keep = (b - a) >= automaton.least
                 found: dict[int, tuple[list, set]] = {}
-                if not first:
-                    for d, (h, names) in enumerate(zip(part.column("hits").to_pylist(), part.column("items").to_pylist(), strict=True)):
-                        if names:
-                            found[d] = ([(x["start"], x["end"]) for x in h], set(names))
+                for d, (h, names) in enumerate(zip(part.column("__hits").to_pylist(), part.column("__items").to_pylist(), strict=True)):
+                    if names:
+                        found[d] = ([(x["start"], x["end"]) for x in h], set(names))
                 gaps = at[1:] + np.arange(len(texts))
                 for x, y in zip(a[keep].tolist(), b[keep].tolist(), strict=True):
                     d = int(np.searchsorted(gaps, x))
                     w = x - d
                     hits, items = found.setdefault(d, ([], set()))
                     automaton.stream(ids[w : w + y - x].tolist(), w - int(at[d]), hits, items)
-                rows = {"hits": [], "spans": [], "items": []}
+                rows = {"__n_words": np.diff(at), "__hits": [], "__spans": [], "__items": []}
                 for d in range(len(texts)):
                     hits, items = found.get(d, ((), ()))
                     words = _merged(list(hits))
                     base = int(at[d])
-                    rows["hits"].append([{"start": x, "end": y} for x, y in words])
-                    rows["spans"].append([{"start": int(starts[base + x] - text_at[d]), "end": int(ends[base + y - 1] - text_at[d])} for x, y in words])
-                    rows["items"].append(sorted(items))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id").cast(pa.int64()), part.column("text").cast(pa.string()), pa.array(np.diff(at), pa.int64()), *(pa.array(rows[k], schema.field(k).type) for k in ("hits", "spans", "items"))],
-                    schema=schema,
-                )
+                    rows["__hits"].append([{"start": x, "end": y} for x, y in words])
+                    rows["__spans"].append([{"start": int(starts[base + x] - text_at[d]), "end": int(ends[base + y - 1] - text_at[d])} for x, y in words])
+                    rows["__items"].append(sorted(items))
+                own = [pa.array(rows[f.name], f.type) if f.name in rows else part.column(i) for i, f in enumerate(part.schema)]
+                yield pa.RecordBatch.from_arrays(own, schema=part.schema)
 
     return run
 
 
-def benchmark_hits(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = 13, shard_words: int = SHARD_WORDS) -> DataFrame:
-    """doc_id, text, n_words, hits (word spans), spans (character spans) and items of every document.
+def _streamed(rows: DataFrame, text: str, benchmark: DataFrame, *, item_col: str = "item_id", item_text_col: str = "text", window: int = 13, shard_words: int = SHARD_WORDS) -> DataFrame:
+    """rows with the columns of _STATE.
 
     The driver holds one automaton of at most about shard_words words (or one longer item) at a time.
     """
-    spark = docs.sparkSession
+    spark = rows.sparkSession
     items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).cast("string").alias("words")).where(F.col("words").isNotNull() & F.col("item").isNotNull())
     size = items.agg(F.sum(F.length("words") / 2 + 1)).first()[0] or 0  # a word takes two characters at least
     shards = max(1, -(-int(size) // (3 * shard_words)))
-    out = id_text(docs, id_col, text_col)
+    out = rows.withColumns({name: F.lit(None).cast(kind) for name, kind in _STATE.items()})
     for k in range(shards):
         own = items.where(F.pmod(F.xxhash64("item", "words"), F.lit(shards)) == k).orderBy("item", "words").collect()
-        out = out.mapInArrow(_pass(spark.sparkContext.broadcast(SuffixAutomaton([(r[0], r[1]) for r in own], window)), k == 0), _SCHEMA)
+        out = out.mapInArrow(_pass(spark.sparkContext.broadcast(SuffixAutomaton([(r[0], r[1]) for r in own], window)), text), out.schema)
     return out
 
 
+def benchmark_hits(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """doc_id, text, n_words, hits (word spans), spans (character spans) and items of every document."""
+    return _streamed(id_text(docs, id_col, text_col), "text", benchmark, **options).withColumnsRenamed({name: name[2:] for name in _STATE})
+
+
+def _n_hit(hits: str) -> Column:
+    return F.aggregate(hits, F.lit(0).cast("long"), lambda s, x: s + (x["end"] - x["start"]))
+
+
+def _contaminated(n_hit: Column, n_words: Column, coverage: tuple[int, int]) -> Column:
+    return (n_hit > 0) & (n_hit * coverage[1] >= n_words * coverage[0])
+
+
+def _cut(text: str, spans: str) -> Column:
+    """The text without its hit spans."""
+    rest = f"array_join(transform({spans}, (x, i) -> substring({text}, x.end + 1, coalesce(try_element_at({spans}, i + 2).start, length({text})) - x.end)), '')"
+    return F.when(F.size(spans) == 0, F.col(text)).otherwise(F.expr(f"concat(substring({text}, 1, {spans}[0].start), {rest})"))
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, *, coverage: tuple[int, int] = (1, 20), **options) -> DataFrame:
     """benchmark_hits with n_hit, n_items, contaminated and clean_text.
 
@@ -217,11 +214,20 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, coverage: tuple[int,
     spans, null where the whole document is contaminated.
     """
     hits = benchmark_hits(docs, benchmark, **options)
-    n_hit = F.aggregate("hits", F.lit(0).cast("long"), lambda s, x: s + (x["end"] - x["start"]))
-    out = hits.withColumns({"n_hit": n_hit, "n_items": F.size("items").cast("long")})
-    out = out.withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * coverage[1] >= F.col("n_words") * coverage[0]))
-    cut = F.expr("concat(substring(text, 1, spans[0].start), array_join(transform(spans, (x, i) -> substring(text, x.end + 1, coalesce(try_element_at(spans, i + 2).start, length(text)) - x.end)), ''))")
-    return out.withColumn("clean_text", F.when(F.col("contaminated"), None).when(F.size("spans") == 0, F.col("text")).otherwise(cut))
+    out = hits.withColumns({"n_hit": _n_hit("hits"), "n_items": F.size("items").cast("long")})
+    out = out.withColumn("contaminated", _contaminated(F.col("n_hit"), F.col("n_words"), coverage))
+    return out.withColumn("clean_text", F.when(~F.col("contaminated"), _cut("text", "spans")))
+
+
+def without_benchmark(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", chars_col: str | None = None, coverage: tuple[int, int] = (1, 20), **options) -> DataFrame:
+    """The rows of docs that are not contaminated, their texts (strings) without hit spans, all columns kept. Each row
+    follows its own verdict, whatever its id. chars_col, where a text was cut, becomes its new length."""
+    rows = _streamed(docs, text_col, benchmark, **options)
+    kept = rows.where(~_contaminated(_n_hit("__hits"), F.col("__n_words"), coverage))
+    changed = {text_col: _cut(f"`{text_col}`", "__spans")}
+    if chars_col:
+        changed[chars_col] = F.when(F.size("__spans") == 0, F.col(chars_col)).otherwise(F.length(changed[text_col]).cast(docs.schema[chars_col].dataType))
+    return kept.withColumns(changed).drop(*_STATE)
 
 
 def digest(df: DataFrame) -> DataFrame:
