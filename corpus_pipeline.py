@@ -1,34 +1,40 @@
-"""A corpus pipeline of five stages: language ID, near duplicates, decontamination, mixing, token ids."""
+"""A corpus pipeline of five stages: language ID, near duplicates, decontamination, mixing, token ids.
+
+Each stage takes rows with the columns of documents (doc_id, text, lang, source, n_chars) and judges every row by itself:
+rows that share a doc_id, or have none, follow their own verdicts. Defined results:
+
+* language_id: a row whose text is null or has no letter goes, all others stay as they are;
+* ngram_jaccard_join: of equal or near texts one row stays, that with the smallest doc_id; rows without words all stay;
+* benchmark_decontamination: contaminated rows go; shorter benchmark passages are cut out of the rest, and n_chars follows;
+* mixing_sources: a row stays if the hash of its doc_id falls under the rate of its source, language and topic (null ones
+  are values of their own); rows without tokens take their cell's rate;
+* token_id_output: one row for each row that is left, in ascending doc_id order, a null text being empty.
+
+An empty table gives an empty result in every stage. Columns that documents doesn't have are carried along.
+"""
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from foliant.llm import decontaminate, jaccard_join, language_id, mixture, token_store
 from foliant.llm.common import written
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language; those without text or letters (`und`) go. Learned from these documents' own labels."""
-    judged = language_id.identify(docs, language_id.prototypes(docs))
-    # A document without id has no row to be found by: it stays if its text has a letter.
-    rejected = judged.where("lang_pred = 'und' and doc_id is not null").select(F.col("doc_id").alias("__rejected")).distinct()
-    letters = F.col("text").isNotNull() & F.col("text").rlike(r"\p{L}")
-    return docs.join(rejected, docs["doc_id"] == F.col("__rejected"), "left_anti").where(F.col("doc_id").isNotNull() | letters)
+    """Documents with a language. Learned from these documents' own labels."""
+    return language_id.with_language(docs, language_id.prototypes(docs))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest id of each group of documents linked by five-word shingles at a similarity of 0.8 or more."""
+    """One row of each group of documents linked by five-word shingles at a similarity of 0.8 or more."""
     return jaccard_join.distinct_documents(docs, k=5, threshold=(80, 100))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are not contaminated by the benchmark: a twentieth of their words or more in 13-word windows."""
-    judged = decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    contaminated = judged.where("contaminated and doc_id is not null").select(F.col("doc_id").alias("__contaminated")).distinct()
-    return docs.join(contaminated, docs["doc_id"] == F.col("__contaminated"), "left_anti")
+    """Documents with less than a twentieth of their words in 13-word windows of the benchmark, without those windows."""
+    return decontaminate.without_benchmark(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), chars_col="n_chars")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
