@@ -110,9 +110,9 @@ class _Page(HTMLParser):
         self.anchors: list[tuple[str, list[str], str]] = []
         self.tables: list[list[list[list[str]]]] = []
         self.headings: list[str] = []
-        self.parts: list[tuple[str, str, str, str]] = []
+        self.authors: list[tuple[int, list[str]]] = []
         self.open: list[str] = []
-        self.section = ""
+        self.author_depth = 0
 
     def handle_starttag(self, tag, attrs):
         a = {k: v or "" for k, v in attrs}
@@ -130,11 +130,17 @@ class _Page(HTMLParser):
             self.headings.append("")
         if tag not in _VOID:
             self.open.append(tag)
+            # Authors stand in an element of their own: on cards, after the card's link, or once on a detail page.
+            if a.get("id") == "authors" or "author-str" in a.get("class", "").split():
+                self.author_depth = len(self.open)
+                self.authors.append((len(self.anchors) - 1, []))
 
     def handle_endtag(self, tag):
         if tag in self.open:
             while self.open and self.open.pop() != tag:
                 pass
+        if len(self.open) < self.author_depth:
+            self.author_depth = 0
 
     def handle_data(self, data):
         if any(t in _UNSEEN for t in self.open):
@@ -143,6 +149,8 @@ class _Page(HTMLParser):
             self.title.append(data)
             return
         self.text.append(data)
+        if self.author_depth:
+            self.authors[-1][1].append(data)
         if "a" in self.open and self.anchors:
             self.anchors[-1][1].append(data)
         if ("td" in self.open or "th" in self.open) and self.tables and self.tables[-1] and self.tables[-1][-1]:
@@ -170,6 +178,7 @@ PAGE = T.StructType(
         T.StructField("anchors", T.ArrayType(_ANCHOR)),
         T.StructField("headings", T.ArrayType(T.StringType())),
         T.StructField("tables", T.ArrayType(T.ArrayType(T.ArrayType(T.StringType())))),
+        T.StructField("authors", T.ArrayType(T.StructType([T.StructField("anchor", T.IntegerType()), T.StructField("text", T.StringType())]))),
     ]
 )
 
@@ -180,18 +189,21 @@ def parse_page(html: pd.Series) -> pd.DataFrame:
     rows = []
     for h in html:
         p = page(h)
-        rows.append({"title": _squeeze(p.title), "lang": p.lang, "text": _squeeze(p.text), "anchors": [{"href": u, "text": _squeeze(t), "class": c} for u, t, c in p.anchors], "headings": [_squeeze(x) for x in p.headings], "tables": [[[_squeeze(c) for c in r] for r in t] for t in p.tables]})
+        rows.append({"title": _squeeze(p.title), "lang": p.lang, "text": _squeeze(p.text), "anchors": [{"href": u, "text": _squeeze(t), "class": c} for u, t, c in p.anchors], "headings": [_squeeze(x) for x in p.headings], "tables": [[[_squeeze(c) for c in r] for r in t] for t in p.tables], "authors": [{"anchor": i, "text": _squeeze(t)} for i, t in p.authors]})
     return pd.DataFrame(rows, columns=[f.name for f in PAGE.fields])
 
 
 # --- affiliations from first pages ----------------------------------------------------------------------------------------
 
 #: A lone mark that numbers affiliations: digits or footnote signs on their own or before a capital.
-_MARK = re.compile(r"(?<![\w.])(\d{1,2}|[*†‡§¶])\s*(?=[A-ZÀ-Þ])")
+_MARK = re.compile("(?<![\\w.=])(\\d{1,2}|[*†‡§¶])\\s*(?=[A-ZÀ-Þ\ue100-\ue1ff])")
 _STOP = re.compile(r"\bAbstract\b|\bABSTRACT\b|\bFigure\s*\d|\bFig\.\s*\d|^\s*1\.?\s+Introduction", re.MULTILINE)
-_MAIL = re.compile(r"[{\w][\w.,{}\s|-]*@[\w.-]+\w")
+#: A mail address, or names in braces before a host.
+_MAIL = re.compile(r"[\w.+-]+@[\w-]|\{[^{}@]*\}?\s*@")
 # Names of institutions that hold digits.
-DIGIT_NAMES = ("Paris 13", "Paris 8", "Lille 1", "Lyon 1", "Toulouse 3", "42dot", "Level 5")
+DIGIT_NAMES = ("I2R", "3Dwe.ai", "42dot", "AI3 Institute", "AI2XL", "AI4S", "I3A")
+#: Each as a word of its own, or right after a mark.
+_DIGIT_NAMES = [re.compile(rf"(?:\b|(?<=\d)){re.escape(n)}\b") for n in DIGIT_NAMES]
 
 
 def affiliations(text: str | None, authors: str | None) -> str:
@@ -214,8 +226,8 @@ def affiliations(text: str | None, authors: str | None) -> str:
     body = head[begin:]
     if mail := _MAIL.search(body):
         body = body[: mail.start()]
-    for i, n in enumerate(DIGIT_NAMES):
-        body = body.replace(n, f"{chr(0xE100 + i)}")
+    for i, n in enumerate(_DIGIT_NAMES):
+        body = n.sub(chr(0xE100 + i), body)
     body = re.sub(r"\s+", " ", body)
     marks = list(_MARK.finditer(body))
     if not marks:
@@ -231,9 +243,9 @@ def affiliations(text: str | None, authors: str | None) -> str:
                 parts[-1] += m[0] + piece
     out = []
     for p in parts:
+        p = p.strip(" ,;.*†‡§{}()0123456789")
         for i, n in enumerate(DIGIT_NAMES):
-            p = p.replace(f"{chr(0xE100 + i)}", n)
-        p = p.strip(" ,;.*†‡§{}()0123456789" if not any(n in p for n in DIGIT_NAMES) else " ,;.*")
+            p = p.replace(chr(0xE100 + i), n)
         if len(p) > 2 and p not in out:
             out.append(p)
     return "; ".join(out)

@@ -86,11 +86,19 @@ class _Reader(DataSourceReader):
     def partitions(self):
         limit = int(self.options.get("limit", 1000))
         total = int(self.options["total"]) if "total" in self.options else _named(self.options.get("count", "foliant.sources.rest.http_count"))(self.options["url"])
-        return [Page(x, min(limit, total - x)) for x in range(0, total, limit)]
+        # A least gap between requests needs one reader that does them in turn.
+        step = max(total, 1) if "gap" in self.options else limit
+        return [Page(x, min(step, total - x)) for x in range(0, total, step)]
 
     def read(self, partition: Page):
         fetch = _named(self.options.get("fetch", "foliant.sources.rest.http_fetch"))
-        yield from _rows(fetch(self.options["url"], partition.offset, partition.limit), partition.offset)
+        if "gap" not in self.options:
+            yield from _rows(fetch(self.options["url"], partition.offset, partition.limit), partition.offset)
+            return
+        throttle, limit = Throttle(float(self.options["gap"]), float(self.options.get("jitter", 0.5))), int(self.options.get("limit", 1000))
+        for at in range(partition.offset, partition.offset + partition.limit, limit):
+            n = min(limit, partition.offset + partition.limit - at)
+            yield from _rows(throttle(lambda at=at, n=n: fetch(self.options["url"], at, n)), at)
 
 
 class _StreamReader(SimpleDataSourceStreamReader):
@@ -114,7 +122,10 @@ class _StreamReader(SimpleDataSourceStreamReader):
 
 
 class PagedNotes(DataSource):
-    """spark.read.format("paged_notes").option("url", ..).option("limit", 1000).load(): row_ix, id, note (JSON)."""
+    """spark.read.format("paged_notes").option("url", ..).option("limit", 1000).load(): row_ix, id, note (JSON).
+
+    One input partition a page; with option gap (seconds between requests, jitter on top) one for all, read in turn.
+    """
 
     @classmethod
     def name(cls) -> str:

@@ -127,6 +127,8 @@ def test_affiliations():
     assert documents.affiliations(page, "Jane Doe; John Roe") == "University of X; Institute of Y"
     assert documents.affiliations("Jane Doe\nUniversity of X\nAbstract", "Jane Doe") == "University of X"
     assert documents.affiliations("", "x") == "" and documents.affiliations(None, None) == ""
+    assert documents.affiliations("T\nJ Doe1,2\n1I2R, 23Dwe.ai\n{a, b}@x.org\nAbstract", "J Doe") == "I2R; 3Dwe.ai"
+    assert documents.affiliations("T\nJane Doe\n1 3Dwe.ai, 2 Institute of Y\nAbstract", "Jane Doe") == "3Dwe.ai; Institute of Y"
 
 
 def test_ratio():
