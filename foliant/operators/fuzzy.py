@@ -65,11 +65,20 @@ def _greedy(least: float):
     return run
 
 
-def fuzzy_match(left: DataFrame, right: DataFrame, least: float = 0.71) -> DataFrame:
-    """block, left_ix, right_ix, score and level (in hundredths) of a one-to-one match."""
+def exact_match(left: DataFrame, right: DataFrame) -> DataFrame:
+    """block, left_ix and right_ix of rows with equal titles, the n-th of a title with the n-th; nothing is scored."""
     own = Window.partitionBy("block", "title").orderBy("ix")
-    a, b = (df.select("block", "ix", "title").where("title is not null").withColumn("n", F.row_number().over(own)) for df in (left, right))
-    exact = a.join(b.withColumnRenamed("ix", "right_ix"), ["block", "title", "n"]).select("block", F.col("ix").alias("left_ix"), "right_ix", F.lit(1.0).alias("score"), F.lit(100).alias("level"))
+    a, b = (df.select("block", "ix", "title").where("block is not null and title is not null").withColumn("n", F.row_number().over(own)) for df in (left, right))
+    return a.join(b.withColumnRenamed("ix", "right_ix"), ["block", "title", "n"]).select("block", F.col("ix").alias("left_ix"), "right_ix")
+
+
+def fuzzy_match(left: DataFrame, right: DataFrame, least: float = 0.71) -> DataFrame:
+    """block, left_ix, right_ix, score and level (in hundredths) of a one-to-one match.
+
+    A row without a title or a block matches nothing; an ix names one row of its block.
+    """
+    a, b = (df.select("block", "ix", "title").where("block is not null and title is not null") for df in (left, right))
+    exact = exact_match(left, right).select("block", "left_ix", "right_ix", F.lit(1.0).alias("score"), F.lit(100).alias("level"))
     rest_a = a.join(exact.select("block", F.col("left_ix").alias("ix")), ["block", "ix"], "left_anti")
     rest_b = b.join(exact.select("block", F.col("right_ix").alias("ix")), ["block", "ix"], "left_anti")
     pairs = length_band(rest_a, rest_b, least)

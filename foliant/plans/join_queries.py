@@ -56,7 +56,7 @@ _EXACT = f"{TITLES}, a AS (SELECT *, row_number() OVER (PARTITION BY block, titl
 
 @query(f"WITH {_EXACT} SELECT * FROM e")
 def exact_title_match(t: Tables) -> DataFrame:
-    return fuzzy.fuzzy_match(t.titles(0), t.titles(1), least=1.0).where("level = 100").select("block", "left_ix", "right_ix")
+    return fuzzy.exact_match(t.titles(0), t.titles(1))
 
 
 @query()

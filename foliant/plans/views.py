@@ -41,8 +41,8 @@ class Tables:
 
     def titles(self, parity: int) -> DataFrame:
         """Site (even ids) and platform (odd ids) papers: the first sentence as a title."""
-        title = F.substring(F.trim(F.regexp_replace(F.split_part(F.col("text"), F.lit("."), F.lit(1)), r"\s+", " ")), 1, 120)
-        return self.documents.where(F.col("doc_id") % 2 == parity).select(F.col("doc_id").alias("ix"), F.col("lang").alias("block"), title.alias("title")).where(F.length("title") > 10)
+        title = F.trim(F.regexp_replace(F.split_part(F.col("text"), F.lit("."), F.lit(1)), r"\s+", " "))
+        return self.documents.where(F.col("doc_id") % 2 == parity).select(F.col("doc_id").alias("ix"), F.col("lang").alias("block"), title.alias("title"))
 
     def affiliation_lists(self) -> DataFrame:
         """Each paper's reviewers' nations, in order of a total order of its line items."""
@@ -58,7 +58,7 @@ PAPERS = """papers AS (SELECT o_orderkey AS id, o_orderkey AS row_ix, year(o_ord
 SCORES = "scores AS (SELECT l_orderkey AS id, count(*) AS n, sum(l_quantity::BIGINT)::DOUBLE / (count(*) * 5) AS avg FROM lineitem GROUP BY 1)"
 INITIAL = "initial AS (SELECT l_orderkey AS id, count(*) AS n, sum(l_quantity::BIGINT)::DOUBLE / (count(*) * 5) AS avg FROM lineitem WHERE l_linestatus = 'O' GROUP BY 1)"
 REVIEWS = "reviews AS (SELECT l_orderkey AS id, l_quantity / 5 AS rating, round(l_discount * 100)::BIGINT AS confidence, round(l_tax * 100)::BIGINT AS correctness, l_suppkey AS reviewer FROM lineitem)"
-TITLES = r"""titles AS (SELECT doc_id AS ix, lang AS block, left(trim(regexp_replace(split_part(text, '.', 1), '\s+', ' ', 'g')), 120) AS title FROM documents),
-site AS (SELECT * FROM titles WHERE ix % 2 = 0 AND length(title) > 10), platform AS (SELECT * FROM titles WHERE ix % 2 = 1 AND length(title) > 10)"""
+TITLES = r"""titles AS (SELECT doc_id AS ix, lang AS block, trim(regexp_replace(split_part(text, '.', 1), '\s+', ' ', 'g')) AS title FROM documents),
+site AS (SELECT * FROM titles WHERE ix % 2 = 0), platform AS (SELECT * FROM titles WHERE ix % 2 = 1)"""
 LISTS = """lists AS (SELECT l_orderkey AS row_ix, list(n_name ORDER BY l_linenumber, l_partkey, l_suppkey, n_name, s_name) AS affs, list(s_name ORDER BY l_linenumber, l_partkey, l_suppkey, n_name, s_name) AS names,
  list(l_suppkey::VARCHAR ORDER BY l_linenumber, l_partkey, l_suppkey, n_name, s_name) AS ids FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey GROUP BY 1)"""

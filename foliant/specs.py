@@ -61,19 +61,20 @@ class FormSpec:
     suffix: str = "after Rebuttal"
 
 
-# What differs between venues' forms. cap: the largest average that counts.
+# What differs between venues' forms. cap: the largest average that counts; equal_lengths: places of two
+# dimensions that have to have as many scores.
 FORM_RULES: dict[str, dict] = {
-    "icml": {"cjk": False},
+    "icml": {"cjk": False, "equal_lengths": (0, 1)},
     "acl": {"cjk": False, "cap": 5},
     "arr": {"cjk": False, "cap": 5},
-    "kdd": {"cjk": False, "cap": 4, "cap_action": "raise"},
-    "uai": {"cjk": False},
+    "kdd": {"cjk": False, "cap": 4, "cap_action": "raise", "equal_lengths": (0, 2)},
+    "uai": {"cjk": False, "equal_lengths": (0, 1)},
     "eccv": {"cap": 5},
     "acmmm": {"cap": 6},
     "emnlp": {"cap": 6},
     "nips": {"cap": 10, "cap_inclusive": True},
     "wacv": {"cap": 5, "suffix": "after Revision"},
-    "aaai": {"cjk": False},
+    "aaai": {"cjk": False, "equal_lengths": (0, 1)},
     "cvpr": {"cap": 5},
     "www": {"cap": 5},
 }
@@ -85,6 +86,11 @@ def form_spec(venue: str, year: int, dimensions: dict[str, str], **columns) -> F
         rules["enforce"] = False
     if venue == "kdd" and year <= 2024:
         rules["cap"] = 6
+    places = rules.pop("equal_lengths", None)
+    if venue == "icml" and year != 2024:
+        places = None
+    if places and max(places) < len(dimensions):
+        rules["equal_lengths"] = tuple(list(dimensions)[i] for i in places)
     return FormSpec(dimensions, **rules, **columns)
 
 

@@ -65,6 +65,68 @@ def test_fuzzy_is_one_to_one(spark):
     assert got == [(1, 11), (2, 12), (3, 13)]
 
 
+def test_exact_match_pairs_by_rank(spark):
+    left = titles(spark, [("x", 1, "a"), ("x", 2, "a"), ("x", 3, ""), (None, 4, "a"), ("x", 5, None), ("y", 6, "a")])
+    right = titles(spark, [("x", 12, "a"), ("x", 11, "a"), ("x", 13, "a"), ("x", 14, ""), (None, 15, "a"), ("x", 16, None)])
+    assert collected(fuzzy.exact_match(left, right), "left_ix", "right_ix") == [(1, 11), (2, 12), (3, 14)]
+    assert collected(fuzzy.fuzzy_match(left, right), "left_ix", "right_ix") == [(1, 11), (2, 12), (3, 14)]
+
+
+def test_fuzzy_equals_plain_greedy(spark):
+    """Against a plain loop over the levels, left rows in order, each taking its best unused candidate."""
+    import random
+
+    from foliant.functions.documents import ratio
+
+    own = random.Random(4)
+    words = ["deep", "learning", "graph", "for", "cats", "net", "nets"]
+    left, right = ([(own.choice("xy"), i, " ".join(own.choice(words) for _ in range(own.randint(1, 4)))) for i in range(k, k + 40)] for k in (0, 100))
+    expected, used_left, used_right = [], set(), set()
+    for title in sorted({t for _, _, t in left}):
+        for block in "xy":
+            pairs = list(zip([i for b, i, t in left if (b, t) == (block, title)], [i for b, i, t in right if (b, t) == (block, title)], strict=False))
+            expected += pairs
+            used_left |= {i for i, _ in pairs}
+            used_right |= {j for _, j in pairs}
+    for cut in range(100, 70, -1):
+        for b, i, t in left:
+            found = [(ratio(t, u, 0.71), u, j) for c, j, u in right if c == b and j not in used_right]
+            found = [f for f in found if f[0] >= cut / 100]
+            if i not in used_left and found:
+                _, _, j = max(found, key=lambda f: (f[0], f[1], -f[2]))
+                expected.append((i, j))
+                used_left.add(i)
+                used_right.add(j)
+    assert collected(fuzzy.fuzzy_match(titles(spark, left), titles(spark, right)), "left_ix", "right_ix") == sorted(expected)
+
+
+def test_form_lengths_have_to_match(spark):
+    from foliant.plans import forms
+    from foliant.specs import form_spec
+
+    sheet = spark.createDataFrame([(1, "3;4", "1;2", "5;5"), (2, "3;4", "1", "5")], "row_ix bigint, a string, b string, c string")
+    for venue, year, bad in (("kdd", 2025, True), ("uai", 2024, True), ("aaai", 2026, True), ("icml", 2024, True), ("icml", 2025, False), ("cvpr", 2025, False)):
+        out = forms.responses(sheet, form_spec(venue, year, {"rating": "a", "confidence": "b", "novelty": "c"}))
+        if bad:
+            with pytest.raises(PySparkException):
+                out.collect()
+            assert forms.responses(sheet.where("row_ix = 1"), form_spec(venue, year, {"rating": "a", "confidence": "b", "novelty": "c"})).count() == 1
+        else:
+            assert out.count() == 2
+
+
+def test_upsert_after_a_broken_merge(spark, tmp_path):
+    """The old table stands aside if a merge broke off between its renames; the next merge takes it up."""
+    import os
+
+    path = f"{tmp_path}/t"
+    rows = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
+    sinks.save_upsert(rows, path, "k")
+    os.rename(path, path + ".old")
+    got = sinks.save_upsert(spark.createDataFrame([("b", 3), ("c", 4)], "k string, v int"), path, "k")
+    assert collected(got, "k", "v") == [("a", 1), ("b", 3), ("c", 4)] and not os.path.exists(path + ".old")
+
+
 def test_leftovers_and_coalesce(spark):
     site = spark.createDataFrame([(1, "https://openreview.net/forum?id=a", "T1", "", "s1"), (2, "", "T2", "Oral", "s2")], "row_ix bigint, openreview string, title string, status string, site string")
     platform = spark.createDataFrame([(1, "a", "T one", "Poster"), (2, "b", "T3", "")], "row_ix bigint, id string, title string, status string")
@@ -214,7 +276,7 @@ def test_pages_and_pdf(spark):
     assert collected(pages.cards(df, "/paper/"), "title", "site", "id") == [("First paper", "https://h.org/paper/1", "1")]
     assert collected(pages.tables(df), "section", "row", F.col("cells")[0]) == [("Day 1", 0, "A")]
     d = pages.details(df).where("url like '%l/'").first()
-    assert (d.github, d.pdf, d.poster) == ("https://github.com/a/b", "x.pdf", "")
+    assert (d.github, d.pdf, d.poster) == ("https://github.com/a/b", "https://h.org/l/x.pdf", "")
     content = b"%PDF-1.4 /Author (Jane) <</Length 9>> stream\nBT [(Hel) -20 (lo)] TJ T* (World) Tj ET\nendstream"
     assert pdf.first_page(content) == ("Jane", "Hello\nWorld")
 
