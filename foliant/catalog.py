@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foliant.plans import join_queries, review_queries, text_queries  # noqa: F401  (they register their queries)
+from foliant.plans import join_queries, review_queries, storage_queries, text_queries  # noqa: F401  (they register their queries)
 from foliant.plans.registry import QUERIES, SQL
 
 

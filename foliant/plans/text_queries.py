@@ -156,27 +156,12 @@ def html_text(t: Tables) -> DataFrame:
     return p.select("page_id", "title", "lang", F.length("text").alias("n_chars"), F.size("anchors").alias("n_anchors"), F.size("tables").alias("n_tables"))
 
 
-@query()
-def html_cards(t: Tables) -> DataFrame:
-    return pages_source.cards(t.pages, "/").select("url", "pos", "title", "site", "id")
-
-
-@query()
-def html_tables(t: Tables) -> DataFrame:
-    return pages_source.tables(t.pages).select("url", "table", "section", "row", F.array_join("cells", "|").alias("cells"))
-
-
-@query()
-def page_details(t: Tables) -> DataFrame:
-    return pages_source.details(t.pages)
-
-
 @query(r"SELECT page_id, len(regexp_extract_all(html, 'https?://[^\s<>\"''(){}\[\]]+')) AS n FROM pages")
 def page_links(t: Tables) -> DataFrame:
     return t.pages.select("page_id", F.size(text.links(F.col("html"))).cast("bigint").alias("n"))
 
 
-@query()
+@query("SELECT c_custkey, c_mktsegment || ' University; Institute of ' || c_mktsegment AS aff FROM customer")
 def affiliation_rules(t: Tables) -> DataFrame:
     page = F.concat(F.col("c_name"), F.lit(" 1 "), F.col("c_mktsegment"), F.lit(" University 2 Institute of "), F.col("c_mktsegment"), F.lit(" a@b.org Abstract x"))
     return t.customer.select("c_custkey", extract_affiliations(page, F.col("c_name")).alias("aff"))

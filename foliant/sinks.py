@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliant.operators.rows import upsert
@@ -32,12 +32,18 @@ def save_upsert(new: DataFrame, path: str, key: str, order: str | None = None, f
     """Merges new rows into a stored table by key and returns it. The merged table is written beside the old one first."""
     spark = new.sparkSession
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    target, fresh = hadoop.Path(path), hadoop.Path(path + ".new")
+    target, fresh, aside = (hadoop.Path(path + end) for end in ("", ".new", ".old"))
     fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(target) and fs.exists(aside):  # an earlier merge broke off between its two renames
+        fs.rename(aside, target)
     merged = upsert(spark.read.format(fmt).schema(new.schema).load(path), new, key) if fs.exists(target) else new
     (merged.orderBy(order) if order else merged).write.mode("overwrite").format(fmt).save(path + ".new")
-    fs.delete(target, True)
+    # The old table moves aside before the new one takes its name: at every moment one of them is whole.
+    if fs.exists(target):
+        fs.delete(aside, True)
+        fs.rename(target, aside)
     fs.rename(fresh, target)
+    fs.delete(aside, True)
     return spark.read.format(fmt).schema(new.schema).load(path)
 
 
@@ -58,12 +64,21 @@ def summary_document(hists: DataFrame, tsfs: DataFrame) -> DataFrame:
     """
 
     def nested(df: DataFrame, value: str) -> DataFrame:
-        area = df.groupBy("track", "dim", "tier").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("area", value)))).alias("m"))
-        tier = area.groupBy("track", "dim").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("tier", F.to_json("m").alias("j"))), lambda a, b: F.when(a["tier"] < b["tier"], -1).when(a["tier"] > b["tier"], 1).otherwise(0))).alias("m"))
-        return tier.groupBy("track").agg(F.array_join(F.array_sort(F.collect_list(F.concat(F.lit('"'), F.col("dim"), F.lit('":{'), F.array_join(F.transform(F.map_entries("m"), lambda e: F.concat(F.lit('"'), e["key"], F.lit('":'), e["value"])), ","), F.lit("}")))), ",").alias(value))
+        # Maps inside out, keys in order: dim -> tier -> area -> string.
+        names = ["area", "tier", "dim"]
+        out = df.select("track", *names, value)
+        for i, name in enumerate(names):
+            entries = F.array_sort(F.collect_list(F.struct(F.col(name).cast("string").alias("k"), F.to_json(value).alias("v") if i else F.col(value).alias("v"))))
+            out = out.groupBy("track", *names[i + 1 :]).agg(F.map_from_entries(entries).alias(value))
+        return out
+
+    def plain(value: str) -> Column:
+        """The maps of JSON texts as one JSON text."""
+        tiers = F.transform_values(F.col(value), lambda _, t: F.transform_values(F.from_json(t, "map<string,string>"), lambda _, a: F.from_json(a, "map<string,string>")))
+        return F.coalesce(F.to_json(tiers), F.lit("{}"))
 
     j = nested(hists, "hist").join(nested(tsfs, "tsf"), "track", "full")
-    return j.select("track", F.concat(F.lit('{"hist":{'), F.coalesce("hist", F.lit("")), F.lit('},"tsf":{'), F.coalesce("tsf", F.lit("")), F.lit("}}")).alias("document"))
+    return j.select("track", F.concat(F.lit('{"hist":'), plain("hist"), F.lit(',"tsf":'), plain("tsf"), F.lit("}")).alias("document"))
 
 
 def status_grid(df: DataFrame, years: list[int]) -> DataFrame:
