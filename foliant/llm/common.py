@@ -9,11 +9,12 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Characters of text that one vectorised step takes at most, unless a single document is longer.
-SLICE_CHARS = 1 << 20
+SLICE_CHARS = 1 << 19
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -58,16 +59,15 @@ def id_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def slices(batch: pa.RecordBatch, text: str = "text", chars: int = SLICE_CHARS) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
     """Row slices of a batch whose texts hold about `chars` characters; a longer text is a slice of its own."""
-    texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
+    place = batch.schema.get_field_index(text)
     begin = total = 0
-    for i, t in enumerate(texts):
-        n = len(t) if t else 0
+    sizes = pc.fill_null(pc.utf8_length(batch.column(place)), 0).to_pylist()
+    for i, n in enumerate([*sizes, chars + 1]):
         if i > begin and total + n > chars:
-            yield batch.slice(begin, i - begin), texts[begin:i]
+            part = batch.slice(begin, i - begin)
+            yield part, part.column(place).to_pylist()
             begin, total = i, 0
         total += n
-    if begin < len(texts):
-        yield batch.slice(begin), texts[begin:]
 
 
 def sha256_hex(text: str) -> str:

@@ -12,9 +12,11 @@ and size are one group, which enters the search once:
 2. Filter of group pairs: sizes, and a lower bound of how much two prefixes differ, from bitmaps of parities.
 3. Stars: each group is verified on whole sets against the nearest of its blocks' pivots, and each member of a group
    against the group's leader. The links form first components.
-4. Rest: blocks (and groups) whose members lie in several components are expanded to members and dealt to tiles of
-   bounded size. Group pairs that pass the filter are verified member by member on whole sets, least distance first, and
-   a pair that a tile's links already connect is skipped. A tile returns links only, fewer than it has members.
+4. Rest: blocks (and groups) whose members lie in several components are dealt to tiles of bounded size. Group pairs that
+   pass the filter are expanded to members, which then are held against each other by bitmaps of their whole sets. Each
+   tile names the nearest pairs that would connect its components, a forest; these are verified on whole sets.
+5. Tiles that still have pairs of different components get their texts and verify them, least distance first, skipping
+   what is connected already. A tile returns links only, fewer than it has members.
 
 So no link between components is lost, and no pairs are listed. A block that stays in many components costs work (not
 rows) with the square of its size: one product of bit matrices for each pair of tile sides.
@@ -53,8 +55,10 @@ TILE = 256
 SHORT = 200_000
 #: Rows that one copy of a pivot's text serves.
 PART = 512
-#: Bits of a bitmap for each shingle that similar sets may differ in.
-SPREAD = 8
+#: Bits of a prefix's and of a whole set's bitmap for each shingle that similar sets may differ in.
+SPREAD, WHOLE = 8, 16
+#: Characters that are cut into shingles at once, and signatures that are counted at once.
+CHARS, COUNTED = 1 << 18, 1 << 19
 #: Columns of a bit matrix that are multiplied at once.
 COLUMNS = 4096
 
@@ -106,6 +110,7 @@ class _Batch:
         row = np.repeat(np.arange(len(self.n)), self.n)
         self.place = (flat >> _U(11)).astype(np.float64) * 2.0**-53 / CUT
         inside = self.place < 1
+        self.every = flat, row
         self.flat, self.row, self.place = flat[inside], row[inside], self.place[inside]
         self.p = np.bincount(self.row, minlength=len(self.n))
         #: Two similar sets share one of so many first shingles.
@@ -147,37 +152,41 @@ class _Batch:
                 sigs.append(mix(first + _U((int(cell[i]) * 2 + 1) * 0xA0761D6478BD642F % 2**64)))
         return np.concatenate([np.empty(0, np.int64), *rows]), np.concatenate([np.empty(0, _U), *sigs])
 
-    def bitmaps(self) -> pa.Array:
-        """Each prefix's bits: of its shingles, as many of each value modulo the width as even or odd."""
-        width = _width((self.den - self.num) * self.n // self.num)
+    def bitmaps(self, flat: np.ndarray, row: np.ndarray, spread: int) -> pa.Array:
+        """Each row's bits: whether an odd number of its shingles has a value modulo the width."""
+        width = _width(spread * ((self.den - self.num) * self.n // self.num))
         off = np.concatenate([[0], np.cumsum(width)])
-        bits = np.bincount(off[self.row] + (self.flat & (width[self.row] - 1).astype(_U)).astype(np.int64), minlength=int(off[-1])) & 1
+        bits = np.bincount(off[row] + (flat & (width[row] - 1).astype(_U)).astype(np.int64), minlength=int(off[-1])) & 1
         data = np.packbits(bits.astype(np.uint8), bitorder="little")
         return pa.Array.from_buffers(pa.binary(), len(width), [None, pa.py_buffer((off // 8).astype(np.int32)), pa.py_buffer(data)])
 
 
-def _width(most: np.ndarray) -> np.ndarray:
-    return np.left_shift(1, np.ceil(np.log2(np.maximum(64, SPREAD * most))).astype(np.int64))
+def _width(bits: np.ndarray) -> np.ndarray:
+    """The next power of two, 64 at least."""
+    return np.left_shift(1, np.ceil(np.log2(np.maximum(64, bits))).astype(np.int64))
 
 
 def _facts(k: int, num: int, den: int):
     """One row a text, and a partition's frequent buckets of signatures (bucket, times)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, total = np.zeros(SKETCH, np.int64), 0
-        names = ["doc_id", "th", "n", "node", "grp", "p", "bits", "bucket", "times"]
+        counts, held = np.zeros(SKETCH, np.int64), []
+        names = ["doc_id", "th", "n", "node", "grp", "p", "bits", "whole", "bucket", "times"]
         for batch in batches:
-            for part, texts in slices(batch):
+            for part, texts in slices(batch, chars=CHARS):
                 b = _Batch(texts, k, num, den)
-                _, sigs = b.signatures()
-                counts += np.bincount((sigs >> _U(44)).astype(np.int64), minlength=SKETCH)
-                total += len(sigs)
+                held.append((b.signatures()[1] & _U(SKETCH - 1)).astype(np.int64))
+                if sum(map(len, held)) >= COUNTED:
+                    counts += np.bincount(np.concatenate(held), minlength=SKETCH)
+                    held = []
                 none = pa.nulls(len(b.n), pa.int64())
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("th"), pa.array(b.n), pa.array(b.nodes(), pa.int64()), pa.array(b.groups(), pa.int64()), pa.array(b.p, pa.int64()), b.bitmaps(), none, none], names=names)
-        mean = total / SKETCH
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("th"), pa.array(b.n), pa.array(b.nodes(), pa.int64()), pa.array(b.groups(), pa.int64()), pa.array(b.p, pa.int64()), b.bitmaps(b.flat, b.row, SPREAD), b.bitmaps(*b.every, WHOLE), none, none], names=names)
+        counts += np.bincount(np.concatenate([np.empty(0, np.int64), *held]), minlength=SKETCH)
+        mean = counts.sum() / SKETCH
         top = np.flatnonzero(counts >= mean + 4 * mean**0.5 + 4)
         none = pa.nulls(len(top), pa.int64())
-        yield pa.RecordBatch.from_arrays([none, none, none, none, none, none, pa.nulls(len(top), pa.binary()), pa.array(top, pa.int64()), pa.array(counts[top])], names=names)
+        bits = pa.nulls(len(top), pa.binary())
+        yield pa.RecordBatch.from_arrays([none, none, none, none, none, none, bits, bits, pa.array(top, pa.int64()), pa.array(counts[top])], names=names)
 
     return run
 
@@ -191,7 +200,7 @@ def _signed(shared, k: int, num: int, den: int):
         parts[buckets] = times // BLOCK + 1
         seen: set[int] = set()
         for batch in batches:
-            for _, texts in slices(batch):
+            for _, texts in slices(batch, chars=CHARS):
                 b = _Batch(texts, k, num, den)
                 grp = b.groups()
                 grp, fresh = np.array(grp, np.int64), np.zeros(len(grp), bool)
@@ -201,7 +210,7 @@ def _signed(shared, k: int, num: int, den: int):
                         fresh[i] = True
                 row, sigs = b.signatures()
                 row, sigs = row[fresh[row]], sigs[fresh[row]]
-                own = parts[(sigs >> _U(44)).astype(np.int64)]
+                own = parts[(sigs & _U(SKETCH - 1)).astype(np.int64)]
                 spread = (mix(grp[row].view(_U) ^ _U(0x632BE59BD9B4E019)) % np.maximum(own, 1).astype(_U)).astype(np.int64)
                 salt = np.where(own > 0, spread + 1, 0)
                 yield pa.RecordBatch.from_arrays([pa.array(sigs.view(np.int64)), pa.array(salt, pa.int32()), pa.array(grp[row])], names=["sig", "salt", "grp"])
@@ -242,7 +251,7 @@ def _linked(k: int, num: int, den: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, right in slices(batch, "y"):
+            for part, right in slices(batch, "y", CHARS):
                 left = part.column("x").to_pylist()
                 # A star's rows share their pivot's text: each different one is cut into shingles once.
                 pivots = list(dict.fromkeys(left))
@@ -253,36 +262,41 @@ def _linked(k: int, num: int, den: int):
     return run
 
 
-def _distances(n: np.ndarray, p: np.ndarray, bits: list[bytes], grp: np.ndarray) -> np.ndarray:
-    """Of each pair, a lower bound of the shingles that only one of two sets has: by prefixes, so the same within a group."""
-    _, first, of = np.unique(grp, return_index=True, return_inverse=True)
+def _hamming(bits: list[bytes]) -> np.ndarray:
+    """Of each pair, the places where two bitmaps differ: a lower bound of the shingles that only one of two sets has."""
     size = min(map(len, bits))
-    packed = np.stack([_folded(bits[i], size) for i in first.tolist()]).view(np.uint8)
-    far = np.zeros((len(first), len(first)), np.float32)
+    packed = np.stack([_folded(x, size) for x in bits]).view(np.uint8)
+    far = np.zeros((len(bits), len(bits)), np.float32)
     for lo in range(0, size, COLUMNS // 8):
         m = np.unpackbits(packed[:, lo : lo + COLUMNS // 8], axis=1).astype(np.float32)
         ones = m.sum(axis=1)
         far += ones[:, None] + ones[None, :] - 2 * (m @ m.T)
-    rest = (n - p)[first]
-    return (far.astype(np.int64) + np.abs(rest[:, None] - rest[None, :]))[of][:, of]
+    return far.astype(np.int64)
+
+
+def _group_distances(cols: dict) -> np.ndarray:
+    """Lower bounds by prefixes, computed for pairs of groups and then spread to their members."""
+    _, first, of = np.unique(cols["grp"], return_index=True, return_inverse=True)
+    rest = (cols["n"] - cols["p"])[first]
+    far = _hamming([cols["bits"][i] for i in first.tolist()]) + np.abs(rest[:, None] - rest[None, :])
+    return far[of][:, of]
 
 
-def _open_pairs(cols: dict, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (i < j) of a tile that may be similar and lie in different components, and their distances."""
+def _open_pairs(cols: dict, far: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Pairs (i < j) of a tile that may be similar, by distances at least `far`, and lie in different components."""
     n, side, label = cols["n"], cols["side"], cols["label"]
-    far = _distances(n, cols["p"], cols["bits"], cols["grp"])
     ok = (far <= _differ(n[:, None] + n[None, :], num, den)) & (np.minimum(n[:, None], n[None, :]) * den >= np.maximum(n[:, None], n[None, :]) * num)
     ok &= label[:, None] != label[None, :]
     if side.max() > 0:
         ok &= side[:, None] != side[None, :]
-    return np.triu(ok, 1), far
+    return np.triu(ok, 1)
 
 
 def _by_tile(work: Callable[[dict], dict], names: list[str]):
     """work on each run of rows of one tile; rows come sorted by tile."""
 
     def columns(table: pa.Table) -> dict:
-        return {c: table.column(c).to_pylist() if c in ("bits", "text") else table.column(c).to_numpy() for c in table.column_names}
+        return {c: table.column(c).to_pylist() if c in ("bits", "whole", "text") else table.column(c).to_numpy() for c in table.column_names}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -310,46 +324,69 @@ def _by_tile(work: Callable[[dict], dict], names: list[str]):
     return run
 
 
-FACTS = ["tile", "node", "grp", "n", "p", "bits", "label", "side"]
+KEPT = ["tile", "node", "n", "label", "side"]
+FACTS = [*KEPT, "grp", "p", "bits"]
 
 
-def _candidates(num: int, den: int):
-    """The rows of a tile that are in an open pair."""
+def _candidates(num: int, den: int, whole: bool):
+    """The rows of a tile that are in an open pair, by prefixes or by whole sets."""
 
     def work(cols: dict) -> dict:
-        ok, _ = _open_pairs(cols, num, den)
+        ok = _open_pairs(cols, _hamming(cols["whole"]) if whole else _group_distances(cols), num, den)
         use = np.flatnonzero(ok.any(axis=0) | ok.any(axis=1))
-        return {c: pa.array([cols[c][i] for i in use.tolist()], pa.binary()) if c == "bits" else pa.array(cols[c][use]) for c in FACTS}
+        out = {c: pa.array(cols[c][use]) for c in KEPT}
+        return out | ({"whole": pa.array([cols["whole"][i] for i in use.tolist()], pa.binary())} if whole else {})
 
-    return _by_tile(work, FACTS)
+    return _by_tile(work, [*KEPT, "whole"] if whole else KEPT)
 
 
-def _tile_links(k: int, num: int, den: int):
-    """Links (a, b) between a tile's components: pairs by distance, without those that earlier links connect."""
+class _Union:
+    def __init__(self) -> None:
+        self.root: dict[int, int] = {}
+
+    def find(self, x: int) -> int:
+        root = self.root
+        while (up := root.get(x, x)) != x:
+            root[x] = root.get(up, up)
+            x = up
+        return x
+
+    def join(self, x: int, y: int) -> None:
+        u, v = self.find(x), self.find(y)
+        self.root[max(u, v)] = min(u, v)
 
-    def work(cols: dict) -> dict:
-        ok, far = _open_pairs(cols, num, den)
-        i, j = np.nonzero(ok)
-        order = np.argsort(far[i, j], kind="stable")
-        sets = list(_sets(cols["text"], k))
-        root: dict[int, int] = {}
 
-        def find(x: int) -> int:
-            while (up := root.get(x, x)) != x:
-                root[x] = root.get(up, up)
-                x = up
-            return x
+def _connecting(num: int, den: int, check: Callable[[dict], Callable[[int, int], bool]], names: dict[str, str]):
+    """Pairs that connect a tile's components, nearest first, each checked before it counts; as columns out of both rows."""
 
-        a, b, label = [], [], cols["label"].tolist()
+    def work(cols: dict) -> dict:
+        far = _hamming(cols["whole"])
+        i, j = np.nonzero(_open_pairs(cols, far, num, den))
+        order = np.lexsort((cols["node"][j], cols["node"][i], far[i, j]))
+        label, union, good, x_y = cols["label"].tolist(), _Union(), check(cols), []
         for x, y in zip(i[order].tolist(), j[order].tolist(), strict=True):
-            u, v = find(label[x]), find(label[y])
-            if u != v and _similar(sets[x], sets[y], num, den):
-                root[max(u, v)] = min(u, v)
-                a.append(label[x])
-                b.append(label[y])
-        return {"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())}
+            if union.find(label[x]) != union.find(label[y]) and good(x, y):
+                union.join(label[x], label[y])
+                x_y.append((x, y))
+        at = np.array(x_y, np.int64).reshape(-1, 2)
+        return {name: pa.array(cols[c][at[:, 0 if name.endswith("a") else 1]], pa.int64()) for name, c in names.items()}
+
+    return _by_tile(work, list(names))
 
-    return _by_tile(work, ["a", "b"])
+
+def _forest(num: int, den: int):
+    """The pairs (a, b) of nodes, with their labels, that would connect a tile's components if they are similar."""
+    return _connecting(num, den, lambda cols: lambda x, y: True, {"a": "node", "b": "node", "la": "label", "lb": "label"})
+
+
+def _tile_links(k: int, num: int, den: int):
+    """Verified links (a, b) between a tile's components."""
+
+    def check(cols: dict) -> Callable[[int, int], bool]:
+        sets = list(_sets(cols["text"], k))
+        return lambda x, y: _similar(sets[x], sets[y], num, den)
+
+    return _connecting(num, den, check, {"a": "label", "b": "label"})
 
 
 def _verified(chosen: DataFrame, k: int, num: int, den: int) -> DataFrame:
@@ -367,8 +404,8 @@ class _Join:
         spark, (num, den) = docs.sparkSession, threshold
         self.how, self.without_id = (k, num, den), without_id
         texts = id_text(docs, id_col, text_col).withColumn("th", F.xxhash64("text"))
-        both = written(texts.mapInArrow(_facts(k, num, den), "doc_id long, th long, n long, node long, grp long, p long, bits binary, bucket long, times long"), "sets")
-        self.every = both.where("bucket is null").select("doc_id", "th", "n", "node", "grp", "p", "bits")
+        both = written(texts.mapInArrow(_facts(k, num, den), "doc_id long, th long, n long, node long, grp long, p long, bits binary, whole binary, bucket long, times long"), "sets")
+        self.every = both.where("bucket is null").select("doc_id", "th", "n", "node", "grp", "p", "bits", "whole")
         counts = both.where("bucket is not null").groupBy("bucket").agg(F.sum("times").alias("times")).orderBy(F.desc("times"), "bucket").limit(FREQUENT).collect()
         shared = spark.sparkContext.broadcast((np.array([r.bucket for r in counts], np.int64), np.array([r.times for r in counts], np.int64)))
         self.full = self.every.where("n > 0" if without_id else "n > 0 and doc_id is not null")
@@ -387,7 +424,7 @@ class _Join:
         known = self._repeated_ids()
         links = self._star_links(stars, nodes)
         label = written(components(links if known is None else links.union(known)), "labels")
-        rest = written(self._rest(blocks, loose, nodes, label), "rest")
+        rest = self._rest(blocks, loose, nodes, label)
         joined = written(components(rest), "joined")
         self.labels = label.join(joined.toDF("label", "last"), "label", "left").select("node", F.coalesce("last", "label").alias("label"))
         self.labels = written(self.labels.union(joined.join(label.select("node"), "node", "left_anti")), "components")
@@ -419,18 +456,18 @@ class _Join:
         copies = stars.groupBy("pivot").agg(F.ceil(F.count("*") / PART).cast("int").alias("copies"))
         wanted = stars.join(copies, "pivot").withColumnRenamed("copies", "n").join(copies.toDF("node", "own"), "node", "full_outer")
         wanted = wanted.select("node", "pivot", F.col("n").alias("copies"), F.col("own").alias("own_copies"))
-        chosen = written(self._with_text(wanted, nodes), "texts")
+        chosen = written(self._with(wanted, nodes, self.texts, "text"), "texts")
         links = written(_verified(chosen, *self.how), "verified")
         removed(chosen)
         return links
 
-    def _with_text(self, wanted: DataFrame, nodes: DataFrame) -> DataFrame:
-        """wanted with its nodes' texts."""
+    def _with(self, wanted: DataFrame, nodes: DataFrame, rows: DataFrame, column: str) -> DataFrame:
+        """wanted with a column of its nodes' rows, such as the text."""
         named = wanted.select("node").distinct().join(nodes.select("node", F.col("doc_id").alias("of"), F.col("th").alias("hash")), "node")
-        # A short list goes to where the texts are; a longer one meets them in a shuffle.
+        # A short list goes to where the rows are; a longer one meets them in a shuffle.
         named = written(named, "named")
         at = F.broadcast(named) if named.count() <= SHORT else named
-        found = self.texts.join(at, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("th") == F.col("hash"))).select("node", "text")
+        found = rows.select("doc_id", "th", column).join(at, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("th") == F.col("hash"))).select("node", column)
         if self.repeats:
             found = found.dropDuplicates(["node"])
         return wanted.join(found, "node")
@@ -458,12 +495,25 @@ class _Join:
         here = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda o: F.struct(F.least("part", o).alias("i"), F.greatest("part", o).alias("j"), F.when(F.col("part") > o, 1).otherwise(0).alias("side"), (o != F.col("part")).alias("two")))
         tiles = dealt.select("sig", "node", F.explode(here).alias("t")).select(F.xxhash64("sig", "t.i", "t.j").alias("tile"), "node", F.when(F.col("t.two"), F.col("t.side") + 1).otherwise(0).cast("int").alias("side"))
         facts = tiles.join(member, "node").select(*FACTS)
-        types = "tile long, node long, grp long, n long, p long, bits binary, label long, side int"
-        found = written(_sorted(facts).mapInArrow(_candidates(num, den), types), "candidates")
-        links = written(_sorted(self._with_text(found, nodes)).mapInArrow(_tile_links(k, num, den), "a long, b long"), "verified")
-        removed(found)
-        return links
-
+        found = written(_sorted(facts).mapInArrow(_candidates(num, den, False), "tile long, node long, n long, label long, side int"), "groups")
+        types = "tile long, node long, n long, label long, side int, whole binary"
+        found, before = written(_sorted(self._with(found, nodes, self.every, "whole")).mapInArrow(_candidates(num, den, True), types), "members"), found
+        removed(before)
+
+        pairs = _sorted(found).mapInArrow(_forest(num, den), "a long, b long, la long, lb long").distinct()
+        pairs = written(pairs, "pairs")
+        texts = written(self._with(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), nodes, self.texts, "text"), "texts")
+        both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("x")), "a").join(texts.select(F.col("node").alias("b"), F.col("text").alias("y")), "b")
+        links = written(both.select(F.col("la").alias("a"), F.col("lb").alias("b"), "x", "y").mapInArrow(_linked(k, num, den), "a long, b long"), "verified")
+
+        # What is open after these links is verified within its tiles.
+        joined = written(components(links), "joined")
+        again = found.join(joined.toDF("label", "last"), "label", "left").withColumn("label", F.coalesce("last", "label")).select(*KEPT, "whole")
+        left = written(_sorted(again).mapInArrow(_candidates(num, den, True), types), "open")
+        more = written(_sorted(self._with(left, nodes, self.texts, "text")).mapInArrow(_tile_links(k, num, den), "a long, b long"), "more")
+        every = written(links.union(more), "rest")
+        removed(found, pairs, texts, links, joined, left, more)
+        return every
 
     def labelled(self) -> DataFrame:
         """doc_id, th and label of every row with words; the label of a node without links is its own."""
