@@ -108,22 +108,41 @@ def rates(rows: DataFrame, *, targets: dict[str, dict[str, float]] | None = None
         scale *= (budget * total - (spent - free)) / free
         rate = np.minimum(1, scale * own)
     data = [(r.source, r.lang, r.topic, r.tokens, float(x)) for r, x in zip(found, rate, strict=True)]
-    return spark.createDataFrame(data, "source string, lang string, topic string, tokens long, rate double")
+    # At most driver_cells short rows: documents stay where they are when they meet their rates.
+    return F.broadcast(spark.createDataFrame(data, "source string, lang string, topic string, tokens long, rate double"))
+
+
+def _target(cells: DataFrame, d: str, targets: dict[str, dict[str, float]]) -> DataFrame:
+    """The values of a dimension and their target shares."""
+    sums = cells.groupBy(d).agg(F.sum("tokens").alias("sum"))
+    if d in targets:
+        given = cells.sparkSession.createDataFrame([(str(k), float(v)) for k, v in targets[d].items()], f"{d} string, raw double")
+        raw = sums.join(given, d, "left").select(d, F.coalesce("raw", F.lit(0.0)).alias("raw"))
+    else:
+        raw = sums.select(d, F.when(F.col("sum") > 0, F.pow(F.col("sum").cast("double"), TEMPER[d])).otherwise(0.0).alias("raw"))
+    whole = raw.agg(F.sum("raw")).first()[0] or 1.0
+    return raw.select(d, (F.col("raw") / whole).alias("share"))
+
+
+def shares(cells: DataFrame, *, targets: dict[str, dict[str, float]] | None = None) -> DataFrame:
+    """dimension, value, target and achieved of every value: its target share and the share of all sampled tokens that its
+    rates give it. They differ where rates that would pass 1 are held at 1, and where targets are out of reach.
+
+    cells: as rates() gives them.
+    """
+    spent = cells.withColumn("spent", F.col("tokens") * F.col("rate"))
+    total = spent.agg(F.sum("spent")).first()[0] or 1.0
+    parts = []
+    for d in DIMENSIONS:
+        own = spent.groupBy(d).agg((F.sum("spent") / total).alias("achieved"))
+        parts.append(_target(cells, d, targets or {}).join(own, d).select(F.lit(d).alias("dimension"), F.col(d).alias("value"), F.col("share").alias("target"), "achieved"))
+    return parts[0].union(parts[1]).union(parts[2])
 
 
 def _rates_as_tables(cells: DataFrame, targets: dict[str, dict[str, float]], budget: float, rounds: int) -> DataFrame:
     """The same fit with every step a table; only totals reach the driver."""
     total = float(cells.agg(F.sum("tokens")).first()[0] or 0)
-    share = {}
-    for d in DIMENSIONS:
-        sums = cells.groupBy(d).agg(F.sum("tokens").alias("sum"))
-        if d in targets:
-            given = cells.sparkSession.createDataFrame([(str(k), float(v)) for k, v in targets[d].items()], f"{d} string, raw double")
-            raw = sums.join(given, d, "left").select(d, F.coalesce("raw", F.lit(0.0)).alias("raw"))
-        else:
-            raw = sums.select(d, F.when(F.col("sum") > 0, F.pow(F.col("sum").cast("double"), TEMPER[d])).otherwise(0.0).alias("raw"))
-        whole = raw.agg(F.sum("raw")).first()[0] or 1.0
-        share[d] = written(raw.select(d, (F.col("raw") / whole * total).alias("goal")), "share")
+    share = {d: written(_target(cells, d, targets).select(d, (F.col("share") * total).alias("goal")), "share") for d in DIMENSIONS}
     fit = cells.withColumn("weight", F.col("tokens").cast("double"))
     done, miss, before = 0, float("inf"), float("inf")
     while total > 0 and not _settled(done, rounds, miss, before):

@@ -122,6 +122,33 @@ def test_jaccard_equals_brute_force(make_docs, monkeypatch, k, num, tile, freque
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(docs, k, num, 100)
 
 
+@pytest.mark.parametrize(("k", "num"), [(3, 90), (5, 80), (1, 50), (2, 97)])
+def test_similar_sets_meet(k, num):
+    """Every pair of similar sets has a common signature, and no bound by bitmaps says that it differs too much."""
+    import numpy as np
+
+    own, met = random.Random(num), 0
+    low, _, _ = jaccard_join._classes(num, 100)
+    assert all(100 * a <= num * b for a, b in zip(low[:40].tolist(), low[1:40].tolist(), strict=False))
+    for _ in range(1500):
+        base = [f"w{own.randrange(60 if own.random() < 0.2 else 10_000)}" for _ in range(int(2 ** own.uniform(0, 9)))]
+        copy, edits = list(base), own.randint(1, max(1, len(base) * (100 - num) // (150 * k)))
+        for _ in range(edits):
+            at = own.randrange(len(copy) + 1)
+            copy[at : at + own.randint(0, 2)] = [f"e{own.randrange(10_000)}" for _ in range(own.randint(0, 2))]
+        b = jaccard_join._Batch([" ".join(base), " ".join(copy)], k, num, 100)
+        if not len(b.sets[1]) or b.nodes()[0] == b.nodes()[1] or not jaccard_join._similar(*b.sets, num, 100):
+            continue
+        met += 1
+        row, sigs = b.signatures()
+        assert set(sigs[row == 0].tolist()) & set(sigs[row == 1].tolist()), (base, copy)
+        whole, prefix = b.bitmaps(*b.every, jaccard_join.WHOLE).to_pylist(), b.bitmaps(b.flat, b.row, jaccard_join.SPREAD).to_pylist()
+        cols = {"n": b.n, "p": b.p, "bits": prefix, "grp": np.array([0, 1])}
+        both = len(np.setxor1d(*b.sets))
+        assert jaccard_join._hamming(whole)[0, 1] <= both and jaccard_join._group_distances(cols)[0, 1] <= both <= jaccard_join._differ(int(b.n.sum()), num, 100)
+    assert met > 50
+
+
 def test_jaccard_edges(odd_docs):
     out = jaccard_join.similar_components(odd_docs, k=3)
     got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in out.collect()), key=str)
@@ -156,6 +183,12 @@ def test_mixture_meets_targets(spark):
     assert abs(spent / sum(c.tokens for c in cells) - 0.3) < 1e-6
     assert abs(sum(c.rate * c.tokens for c in cells if c.source == "a") / spent - 0.75) < 1e-3
     assert abs(sum(c.rate * c.tokens for c in cells if c.topic == "z") / spent - 0.5) < 1e-3
+    got = {(r.dimension, r.value): (r.target, r.achieved) for r in mixture.shares(mixture.rates(df, targets=targets, budget=0.3), targets=targets).collect()}
+    assert got.keys() == {("source", "a"), ("source", "b"), ("lang", "en"), ("lang", "de"), *(("topic", x) for x in "xyz")}
+    assert abs(got["source", "a"][0] - 0.75) < 1e-12 and all(abs(t - x) < 1e-3 for t, x in got.values())
+    # Rates that would pass 1 are held at 1: shares() tells what that costs.
+    held = {(r.dimension, r.value): (r.target, r.achieved) for r in mixture.shares(mixture.rates(df, targets=targets, budget=0.9), targets=targets).collect()}
+    assert held["source", "a"][1] < 0.7
     tables = {(c.source, c.lang, c.topic): c.rate for c in mixture.rates(df, targets=targets, budget=0.3, driver_cells=0).collect()}
     assert all(abs(tables[(c.source, c.lang, c.topic)] - c.rate) < 1e-9 for c in cells)
 
