@@ -1,7 +1,8 @@
 """Vectorised scanning of texts: code points, word spans and 64-bit span hashes.
 
-Hashes are polynomials over code points modulo 2**64, taken from one running sum and finished with a mixer. Two given
-different words collide with a chance near 2**-64, so ten billion words have about three colliding pairs.
+Hashes are polynomials over code points modulo 2**64, taken from one running sum and finished with a mixer. For words as
+they come two collide with a chance near 2**-64, so ten billion words have about three colliding pairs. The modulus is a
+power of two, so words can be made to collide (long ones of a Thue-Morse pattern); the hashes are no defence against that.
 """
 
 from __future__ import annotations
