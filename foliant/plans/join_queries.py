@@ -21,11 +21,13 @@ def _site_list(t: Tables) -> DataFrame:
 
 def _platform_list(t: Tables) -> DataFrame:
     status = F.when(F.col("c_custkey") % 5 == 0, "").otherwise("Poster")
-    return t.customer.where("c_custkey % 4 != 0").select(F.col("c_custkey").alias("row_ix"), F.col("c_custkey").cast("string").alias("id"), F.when(F.col("c_custkey") % 7 == 0, F.upper("c_name")).otherwise(F.concat("c_name", F.lit("."))).alias("title"), status.alias("status"))
+    # Every fourth has an id that no site's link names.
+    own = F.when(F.col("c_custkey") % 4 == 0, F.concat(F.lit("x"), F.col("c_custkey").cast("string"))).otherwise(F.col("c_custkey").cast("string"))
+    return t.customer.select(F.col("c_custkey").alias("row_ix"), own.alias("id"), F.when(F.col("c_custkey") % 7 == 0, F.upper("c_name")).otherwise(F.concat("c_name", F.lit("."))).alias("title"), status.alias("status"))
 
 
 _SITES = """site AS (SELECT c_custkey AS row_ix, CASE WHEN c_custkey % 3 = 0 THEN '' ELSE c_custkey::VARCHAR END AS key, c_name AS title, CASE WHEN c_custkey % 2 = 0 THEN '' ELSE c_mktsegment END AS status, 'https://site.example/' || c_custkey AS site FROM customer),
-platform AS (SELECT c_custkey AS row_ix, c_custkey::VARCHAR AS id, CASE WHEN c_custkey % 7 = 0 THEN upper(c_name) ELSE c_name || '.' END AS title, CASE WHEN c_custkey % 5 = 0 THEN '' ELSE 'Poster' END AS status FROM customer WHERE c_custkey % 4 <> 0),
+platform AS (SELECT c_custkey AS row_ix, CASE WHEN c_custkey % 4 = 0 THEN 'x' ELSE '' END || c_custkey AS id, CASE WHEN c_custkey % 7 = 0 THEN upper(c_name) ELSE c_name || '.' END AS title, CASE WHEN c_custkey % 5 = 0 THEN '' ELSE 'Poster' END AS status FROM customer),
 m AS (SELECT s.row_ix AS left_ix, p.row_ix AS right_ix FROM site s JOIN platform p ON s.key = p.id AND s.key <> '')"""
 
 
@@ -111,14 +113,16 @@ def meta_refresh(t: Tables) -> DataFrame:
     return R.refreshed(stats, m.withColumn("total", F.col("total") + 50), "conference", ("total",)).select("conference", "bot_mark", "total")
 
 
-@query("""WITH a AS (SELECT n_name AS conference, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE n_nationkey % 2 = 0 GROUP BY 1), b AS (SELECT n_name AS conference, count(*) AS n FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE n_nationkey % 3 = 0 GROUP BY 1)
+@query("""WITH a AS (SELECT CASE WHEN n_nationkey % 2 = 0 THEN n_name ELSE 'or ' || n_name END AS conference, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1), b AS (SELECT CASE WHEN n_nationkey % 3 = 0 THEN n_name ELSE 'site ' || n_name END AS conference, count(*) AS n FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY 1)
 SELECT conference, coalesce(a.n, 0) AS s0, coalesce(2 * a.n, 0) AS su0, coalesce(b.n, 0) AS s1, coalesce(2 * b.n, 0) AS su1, concat_ws(';', CASE WHEN a.n IS NOT NULL THEN 'or' END, CASE WHEN b.n IS NOT NULL THEN 'site' END) AS bot_mark FROM a FULL JOIN b USING (conference)""")
 def multi_source_merge(t: Tables) -> DataFrame:
-    def counts(df: DataFrame, key: str, step: int) -> DataFrame:
-        g = df.join(t.nation, F.col(key) == F.col("n_nationkey")).where(F.col("n_nationkey") % step == 0).groupBy(F.col("n_name").alias("conference")).agg(F.count("*").alias("n_accept"))
+    def counts(df: DataFrame, key: str, step: int, name: str) -> DataFrame:
+        # Some conferences are in both sources, the others carry their source's name.
+        conference = F.when(F.col("n_nationkey") % step == 0, F.col("n_name")).otherwise(F.concat(F.lit(f"{name} "), "n_name"))
+        g = df.join(t.nation, F.col(key) == F.col("n_nationkey")).groupBy(conference.alias("conference")).agg(F.count("*").alias("n_accept"))
         return g.withColumn("n_total", F.col("n_accept") * 2)
 
-    return J.multi_source({"or": counts(t.customer, "c_nationkey", 2), "site": counts(t.supplier, "s_nationkey", 3)})
+    return J.multi_source({"or": counts(t.customer, "c_nationkey", 2, "or"), "site": counts(t.supplier, "s_nationkey", 3, "site")})
 
 
 @query("SELECT p.page_id, p.url, coalesce(nullif(regexp_extract(d.html, '<title>([^<]*)</title>', 1), ''), 'none') AS title FROM pages p LEFT JOIN (SELECT url, max(html) AS html FROM pages GROUP BY url) d USING (url)")
@@ -233,9 +237,9 @@ def carry_forward(t: Tables) -> DataFrame:
     return R.carry_forward(_forms(t), "open2public", "id").select("row_ix", "open2public")
 
 
-@query("SELECT c_custkey AS key, c_name AS name, NULL::BIGINT AS size FROM customer WHERE c_custkey % 2 = 0 UNION ALL SELECT s_suppkey, s_name, 1::BIGINT FROM supplier")
+@query("SELECT c_custkey AS key, c_name AS name, NULL::BIGINT AS size FROM customer UNION ALL SELECT s_suppkey, s_name, 1::BIGINT FROM supplier")
 def union_leftovers(t: Tables) -> DataFrame:
-    a = t.customer.where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("key"), F.col("c_name").alias("name"))
+    a = t.customer.select(F.col("c_custkey").alias("key"), F.col("c_name").alias("name"))
     return R.union(a, t.supplier.select(F.col("s_suppkey").alias("key"), F.col("s_name").alias("name"), F.lit(1).cast("bigint").alias("size")))
 
 

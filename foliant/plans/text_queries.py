@@ -100,10 +100,10 @@ def json_props(t: Tables) -> DataFrame:
     return t.events.select("event_id", scores.value_or_wrapped(F.concat(F.lit('{"value":"'), F.get_json_object("props", "$.k"), F.lit('"}'))).alias("k"))
 
 
-@query("SELECT conv_id, turn, trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS inner_text FROM conversations WHERE text NOT LIKE '%```%'")
+@query(r"SELECT conv_id, turn, regexp_extract('before ```json' || chr(10) || text || chr(10) || '``` after', '```(?:json)?[\s\x0B]*(.*?)[\s\x0B]*```', 1, 's') AS inner_text FROM conversations")
 def json_fence_strip(t: Tables) -> DataFrame:
     fenced = F.concat(F.lit("before ```json\n"), F.col("text"), F.lit("\n``` after"))
-    return t.conversations.where(~F.contains("text", F.lit("```"))).select("conv_id", "turn", text.strip_fence(fenced).alias("inner_text"))
+    return t.conversations.select("conv_id", "turn", text.strip_fence(fenced).alias("inner_text"))
 
 
 @query("SELECT event_id, '{\"k\": ' || (props ->> '$.k') || '}' AS parsed FROM events")
