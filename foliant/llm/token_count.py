@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import json
 import re
+import sys
 import unicodedata
 from collections.abc import Iterator
 
@@ -268,7 +269,10 @@ class TokenCounter:
         added = [t["content"] for t in file["added_tokens"]]
         self.added = re.compile("|".join(re.escape(t) for t in sorted(added, key=len, reverse=True))) if added else None
         # Characters newer than Python's Unicode version are the library's to compose and lower.
-        self.newer = re.compile(f"[{unassigned()}]")
+        newer = unassigned()
+        self.beyond = re.compile(f"[^\0-{chr(ord(newer[0]) - 1)}]")
+        self.newer = np.zeros(sys.maxunicode + 1, bool)
+        self.newer[[ord(c) for c in newer]] = True
         self.nfc, self.lower = normalizers.NFC().normalize_str, normalizers.Lowercase().normalize_str
 
     def __call__(self, texts: list[str | None]) -> np.ndarray:
@@ -281,7 +285,7 @@ class TokenCounter:
                 extra[i], t = n, self.added.sub("\n", t)
             if t.isascii():
                 plain.append(t.lower())
-            elif self.newer.search(t):
+            elif self.beyond.search(t) and self.newer[code_points([t])[0]].any():
                 plain.append(self.lower(self.nfc(t)))
             else:
                 plain.append(unicodedata.normalize("NFC", t).replace("Σ", "σ").lower())  # sigma without regard to its place
