@@ -366,6 +366,14 @@ def test_token_counts_equal_library():
     assert got.tolist() == [len(library.encode(t or "", add_special_tokens=False).ids) for t in fuzz]
 
 
+def test_characters_newer_than_python():
+    """Letters that only the library's Unicode version knows are classed, composed and lowered as it does."""
+    library = Tokenizer.from_file(WORD_BPE)
+    counter = token_count.TokenCounter(WORD_BPE)
+    texts = [f"a{chr(c)}b 1{chr(c)}Ω'{chr(c)}s" for c in (0x378, 0x1C89, 0xA7CB, 0xA7DC, 0x10D50, 0x13808, 0x1385C, 0x13988, 0x2FFFF, 0xE0FFF)] + ["", "é" * 300]
+    assert counter(texts).tolist() == [len(e.ids) for e in library.encode_batch(texts, add_special_tokens=False)]
+
+
 def test_word_machine_border_rule():
     """The rule for two tokens' border against merging their joined text; and a machine that forgets its states."""
     import json
