@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliant.llm import decontaminate, jaccard_join, language_id, mixture, personal_data, quality, secret_scan, token_count, token_store, warc
+from foliant.llm import clustering, decontaminate, jaccard_join, language_id, lexical_search, mixture, personal_data, quality, secret_scan, sharding, token_count, token_store, warc
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
 
@@ -62,8 +62,22 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, language_id.prototypes(docs))
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.clusters(table(spark, sf_dir, "embeddings"), dims=64, scale=64, k=16, rounds=3, seed="1")
+
+
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.digest(sharding.assign(table(spark, sf_dir, "documents"), shards=40, overhead=16))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root, segments = lexical_search.build_index(table(spark, sf_dir, "documents"))
+    return lexical_search.search(root, segments, table(spark, sf_dir, "benchmark"), k=10)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (op1_decontamination, op2_jaccard_join, op3_mixture, op4_token_store, op5_quality_rules, op6_token_counts, op7_personal_data, op8_secret_scan, op9_warc_bundles, op10_language_id)
+    own += (op11_centroid_clustering, op12_sharding, op13_lexical_search)
     return {f.__name__: f for f in own}
 
 
@@ -148,5 +162,47 @@ FROM coded
 """
 
 
+def _clustering_sql(rounds: int = 3) -> str:
+    """The rounds unrolled, each with the distances of all vectors to all centroids."""
+    steps = [
+        "kept AS MATERIALIZED (SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)",
+        "part AS MATERIALIZED (SELECT rid, unnest(v) AS x, unnest(range(64)) AS i FROM kept)",
+        "centre0 AS MATERIALIZED (SELECT c, unnest(v) AS y, unnest(range(64)) AS i FROM (SELECT row_number() OVER (ORDER BY sha256('1:' || coalesce(vec_id::VARCHAR, '')), v) - 1 AS c, v FROM kept QUALIFY c < 16))",
+    ]
+    for n in range(rounds + 1):
+        steps.append(f"near{n} AS MATERIALIZED (SELECT rid, c, d FROM (SELECT rid, c, sum((x - y) * (x - y))::BIGINT AS d FROM part JOIN centre{n} USING (i) GROUP BY rid, c) QUALIFY row_number() OVER (PARTITION BY rid ORDER BY d, c) = 1)")
+        if n < rounds:
+            mean = "(s - ((s % m) + m) % m) // m"
+            steps.append(f"centre{n + 1} AS MATERIALIZED (SELECT c, i, coalesce({mean}, y) AS y FROM centre{n} LEFT JOIN (SELECT c, i, sum(x)::BIGINT AS s, count(*) AS m FROM near{n} JOIN part USING (rid) GROUP BY c, i) USING (c, i))")
+    return f"""WITH {", ".join(steps)}
+SELECT vec_id, c::INTEGER AS cluster, d AS distance, sum(d) OVER (PARTITION BY c)::BIGINT AS cluster_inertia, sum(d) OVER ()::BIGINT AS inertia, centroid_sha256
+FROM near{rounds} JOIN kept USING (rid) JOIN (SELECT c, sha256(string_agg(y::VARCHAR, ',' ORDER BY i)) AS centroid_sha256 FROM centre{rounds} GROUP BY c) USING (c)"""
+
+
+_OP12 = """
+WITH RECURSIVE bits(i, v, k) AS (SELECT i, i, 0 FROM (SELECT unnest(range(256))::BIGINT AS i) UNION ALL SELECT i, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, k + 1 FROM bits WHERE k < 8),
+crc AS MATERIALIZED (SELECT list(v ORDER BY i) AS t FROM bits WHERE k = 8),
+doc AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, encode(coalesce(text, '')) AS body, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null id')), 1, 16))::UBIGINT::UHUGEINT AS key FROM documents),
+walk(rid, key, here, ahead) AS (SELECT rid, key, -1::BIGINT, 0::BIGINT FROM doc
+  UNION ALL SELECT rid, next, ahead, floor((ahead + 1) * (2147483648.0::DOUBLE / ((next >> 33)::BIGINT + 1)::DOUBLE))::BIGINT FROM (SELECT rid, ahead, (key * 2862933555777941757 + 1) % 18446744073709551616 AS next FROM walk WHERE ahead < 41)),
+jump AS (SELECT rid, max(ahead) FILTER (ahead < 40)::INTEGER AS shard, max(ahead) FILTER (ahead < 41)::INTEGER AS grown_shard FROM walk GROUP BY rid),
+sized AS (SELECT rid, doc_id, octet_length(body) + 16 AS size, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(body), '..'), lambda x: ('0x' || x)::BIGINT)), lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1])), 4294967295::BIGINT) AS text_crc32 FROM doc, crc)
+SELECT doc_id, size::BIGINT AS size, text_crc32, 'key' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, text_crc32, size) - 1 AS slot, grown_shard FROM sized JOIN jump USING (rid)
+"""
+
+_TERMS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+_OP13 = f"""
+WITH doc AS MATERIALIZED (SELECT * FROM (SELECT row_number() OVER () AS rid, doc_id, {_TERMS} AS words FROM documents) WHERE len(words) > 0),
+item AS MATERIALIZED (SELECT iid, item_id, unnest(list_distinct(words)) AS term FROM (SELECT row_number() OVER () AS iid, item_id, {_TERMS} AS words FROM benchmark)),
+whole AS (SELECT count(*) AS n_docs, sum(len(words))::BIGINT AS n_terms FROM doc),
+tf AS MATERIALIZED (SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(words) AS term FROM doc) WHERE term IN (SELECT term FROM item) GROUP BY rid, term),
+w AS (SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), whole),
+m AS (SELECT rid, doc_id, 100 - 90 + (90 * len(words) * n_docs) // n_terms AS m FROM doc, whole),
+score AS (SELECT iid, item_id, rid, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score FROM item JOIN w USING (term) JOIN tf USING (term) JOIN m USING (rid) GROUP BY ALL)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id) AS rank FROM score WHERE score > 0) WHERE rank <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontamination": _OP1, "op2_jaccard_join": _OP2, "op3_mixture": _mixture_sql(), "op9_warc_bundles": _OP9}
+    return {"op1_decontamination": _OP1, "op2_jaccard_join": _OP2, "op3_mixture": _mixture_sql(), "op9_warc_bundles": _OP9, "op11_centroid_clustering": _clustering_sql(), "op12_sharding": _OP12, "op13_lexical_search": _OP13}
