@@ -1,24 +1,54 @@
 """One-to-one fuzzy title join by descending similarity levels.
 
 1. Equal titles are paired first, by rank within the title.
-2. Of the rest, titles can only reach `least` if their lengths are close and they share enough characters; candidates meet
-   on the block and a length bucket, so no pair outside of the length band is made.
-3. Scores are computed once on the workers; the greedy choice runs for each block, level by level from 1.00 down, left rows
-   in order, each taking its best unused candidate (ties: the lexicographically largest title).
+2. Of the rest, titles can only reach a similarity if their lengths are close and they share enough characters. Rows meet in
+   tiles: those of a block and length bucket are dealt to so many tiles that none holds more than `tile` rows a side, so a
+   hot block is many tasks. A tile bounds all its pairs at once by their counts of characters and those that pass by their
+   longest common subsequence, scores what both bounds let through, and gives the pairs that reach the similarity.
+3. The choice is greedy over all pairs: by level, then left row, then score, then right title (the last in order), then
+   right row. It runs in rounds over the whole table of pairs: a pair that is the best open one of both its rows is final,
+   and the pairs of matched rows go. That is the greedy choice, whatever the number of rounds. When few pairs are left
+   (FINISH) or a round settles little, each connected component of them is finished by a pass over its sorted pairs, which
+   holds the rows it has used and nothing else.
 
-Blocks (such as conference and year) bound the greedy step: rows of different blocks never match.
+`bands` are similarities, descending to the least: rows matched at or above one are gone before candidates for the next
+are made, which changes nothing in the result, as pairs of a level never depend on those of lower ones.
+
+Blocks (such as conference and year) bound the join: rows of different blocks never match. Rows with a null block or a
+null or blank title match nothing; rows of equal titles are told apart by ix; empty tables give an empty result.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from difflib import SequenceMatcher
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from foliant.functions.documents import ratio
+from foliant.operators.components import connected
+from foliant.storage import stored
+
+#: Rows of a side that meet in one tile, at most about.
+TILE = 1024
+#: Pairs of a tile whose bounds are held at once.
+STEP = 1 << 20
+#: Classes of characters that are counted; characters of one class are not told apart, which only weakens the bound.
+CLASSES = 96
+#: Lengths of left and right titles up to which common subsequences are looked for, and pairs of one step.
+LONGEST, PAIRS = (256, 1024), 1 << 15
+#: Open pairs up to which the choice is finished without further rounds, and the part of its pairs that a round has to settle.
+FINISH, LITTLE = 200_000, 0.05
+
+
+def _bucket(least: float) -> Column:
+    """Geometric buckets of a title's length: titles within the band of one another are at most one bucket apart."""
+    step = math.log((2 - least) / least)  # the ratio of lengths within the band is (2 - least) / least at most
+    size = F.greatest(F.length("title"), F.lit(1))
+    return F.floor(F.log(size.cast("double")) / (step * 1.000001)) if step > 0 else size.cast("bigint")
 
 
 def length_band(left: DataFrame, right: DataFrame, least: float = 0.71) -> DataFrame:
@@ -26,67 +56,236 @@ def length_band(left: DataFrame, right: DataFrame, least: float = 0.71) -> DataF
 
     left, right: block, ix, title. Each right title goes to the geometric length buckets that its partners can be in.
     """
-    step = math.log((2 - least) / least)  # the ratio of lengths within the band is (2 - least) / least at most
-    size = F.greatest(F.length("title"), F.lit(1))
-    bucket = F.floor(F.log(size.cast("double")) / (step * 1.000001)) if step > 0 else size.cast("bigint")
+    bucket = _bucket(least)
     a = left.select("block", F.col("ix").alias("left_ix"), F.col("title").alias("left_title"), bucket.alias("b"))
     b = right.select("block", F.col("ix").alias("right_ix"), F.col("title").alias("right_title"), F.explode(F.array(bucket - 1, bucket, bucket + 1)).alias("b"))
     la, lb = F.length("left_title"), F.length("right_title")
     return a.join(b, ["block", "b"]).where(F.least(la, lb) * 2 >= F.lit(least) * (la + lb)).drop("b")
 
 
-def _scored(least: float):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            b = b.assign(score=[ratio(q, c, least) for q, c in zip(b["left_title"], b["right_title"], strict=True)])
-            yield b[b["score"] >= least][["block", "left_ix", "right_ix", "right_title", "score"]]
+# --- candidates -------------------------------------------------------------------------------------------------------
 
-    return run
+
+def counted(titles: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Lengths of titles and their counts of each class of characters."""
+    size = np.fromiter(map(len, titles), np.int64, len(titles))
+    codes = np.frombuffer("".join(titles).encode("utf-32-le"), np.uint32) % CLASSES
+    counts = np.bincount(np.repeat(np.arange(len(titles)), size) * CLASSES + codes, minlength=len(titles) * CLASSES)
+    return size, counts.reshape(len(titles), CLASSES).astype(np.int32)
+
+
+def common_subsequences(left: list[str], right: list[str], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Lengths of the longest common subsequences of pairs of titles, by classes of characters, all pairs in step.
+
+    Each left title is a row of bits a class; a row of set bits for each pair loses one with every longer match.
+    """
+    size = np.fromiter(map(len, left), np.int64, len(left))
+    width = max(map(len, right), default=0)
+    words = -(-int(size.max(initial=1)) // 64)
+    masks = np.zeros((len(left), CLASSES + 1, words), np.uint64)
+    codes = np.frombuffer("".join(left).encode("utf-32-le"), np.uint32) % CLASSES
+    place = np.arange(len(codes)) - np.repeat(np.cumsum(size) - size, size)
+    np.add.at(masks, (np.repeat(np.arange(len(left)), size), codes, place // 64), np.uint64(1) << (place % 64).astype(np.uint64))
+    texts = np.full((len(right), width), CLASSES, np.uint8)  # the class that no left title has
+    for n, t in enumerate(right):
+        texts[n, : len(t)] = np.frombuffer(t.encode("utf-32-le"), np.uint32) % CLASSES
+    length, out = np.fromiter(map(len, right), np.int64, len(right)), np.zeros(len(i), np.int64)
+    needed = -(-size // 64)
+    for w in np.unique(needed[i]).tolist():
+        own = np.flatnonzero(needed[i] == w)
+        own = own[np.argsort(-length[j[own]], kind="stable")]
+        for begin in range(0, len(own), PAIRS):
+            pairs = own[begin : begin + PAIRS]
+            a, b = i[pairs], j[pairs]
+            bits = np.full((w, len(pairs)), np.uint64(0xFFFFFFFFFFFFFFFF))
+            for p in range(int(length[b[0]])):
+                m = int(np.searchsorted(-length[b], -p, side="left"))  # pairs whose right title goes on
+                code, carry = texts[b[:m], p], np.uint64(0)
+                for k in range(w):
+                    x = bits[k, :m]
+                    hit = x & masks[a[:m], code, k]
+                    some = x + hit
+                    total = some + carry
+                    carry = ((some < x) | (total < some)).astype(np.uint64)
+                    bits[k, :m] = total | (x - hit)
+            for k in range(w):
+                inside = np.clip(size[a] - 64 * k, 0, 64)
+                mask = np.where(inside == 64, np.uint64(0xFFFFFFFFFFFFFFFF), (np.uint64(1) << (inside % 64).astype(np.uint64)) - np.uint64(1))
+                out[pairs] += np.bitwise_count(~bits[k] & mask)
+    return out
+
+
+def candidates(left: list[str], right: list[str], least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (i, j) of which twice the common characters, counted with repeats, are at least `least` of both lengths, and
+    so are, but for long titles, twice those that are common in order.
+
+    Matching blocks hold common characters in the order of both titles, so no pair that reaches the similarity is left out.
+    """
+    (la, ca), (lb, cb) = counted(left), counted(right)
+    short_left, short_right = np.flatnonzero(la <= LONGEST[0]), np.flatnonzero(lb <= LONGEST[1])
+    at_left, at_right = np.cumsum(la <= LONGEST[0]) - 1, np.cumsum(lb <= LONGEST[1]) - 1
+    few, many = [left[k] for k in short_left], [right[k] for k in short_right]
+    used = np.flatnonzero(ca.any(0) & cb.any(0))
+    rows = max(1, STEP // max(1, len(right)))
+    for begin in range(0, len(left), rows):
+        own = slice(begin, begin + rows)
+        common = np.zeros((len(la[own]), len(right)), np.int32)
+        for c in used.tolist():
+            common += np.minimum(ca[own, c, None], cb[None, :, c])
+        i, j = np.nonzero(2 * common >= least * (la[own, None] + lb[None, :]) - 1e-9)
+        i += begin
+        short = np.flatnonzero((la[i] <= LONGEST[0]) & (lb[j] <= LONGEST[1]))
+        ordered = common_subsequences(few, many, at_left[i[short]], at_right[j[short]]) if len(short) else short
+        keep = np.ones(len(i), bool)
+        keep[short] = 2 * ordered >= least * (la[i[short]] + lb[j[short]]) - 1e-9
+        yield i[keep], j[keep]
+
+
+def _level(score: float) -> int:
+    """The largest number of hundredths that the score reaches."""
+    c = int(score * 100) + 1
+    while score < c / 100:
+        c -= 1
+    return c
+
+
+_PAIR = "block string, left_ix bigint, right_ix bigint, right_title string, score double, level int"
 
 
-def _greedy(least: float):
-    lowest = round(least * 100)
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        level = [max((c for c in range(lowest, 101) if s >= c / 100), default=0) for s in pdf["score"]]
-        pdf = pdf.assign(level=level).sort_values("right_title", ascending=False, kind="stable")
-        pdf = pdf.sort_values(["level", "left_ix", "score"], ascending=[False, True, False], kind="stable")
-        used_left, used_right, out = set(), set(), []
-        # At each lower level the pairs of all higher ones stay open to rows that lost their best candidate.
-        for cut in sorted(set(pdf["level"]), reverse=True):
-            open_pairs = pdf[(pdf["level"] >= cut) & ~pdf["left_ix"].isin(used_left) & ~pdf["right_ix"].isin(used_right)]
-            for r in open_pairs.sort_values(["left_ix", "score"], ascending=[True, False], kind="stable").itertuples():
-                if r.left_ix not in used_left and r.right_ix not in used_right:
-                    used_left.add(r.left_ix)
-                    used_right.add(r.right_ix)
-                    out.append((r.block, r.left_ix, r.right_ix, r.score, cut))
-        return pd.DataFrame(out, columns=["block", "left_ix", "right_ix", "score", "level"])
+def _tile_scores(least: float):
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        a, b = left["title"].tolist(), right["title"].tolist()
+        left_ix, right_ix = left["ix"].tolist(), right["ix"].tolist()
+        matcher = SequenceMatcher()
+        for rows, columns in candidates(a, b, least) if a and b else ():
+            last = -1
+            for i, j in zip(rows.tolist(), columns.tolist(), strict=True):
+                if i != last:
+                    matcher.set_seq2(a[i])
+                    last = i
+                matcher.set_seq1(b[j])
+                if matcher.quick_ratio() >= least and (score := matcher.ratio()) >= least:
+                    out.append((left["block"].iat[0], left_ix[i], right_ix[j], b[j], score, _level(score)))
+        return pd.DataFrame(out, columns=["block", "left_ix", "right_ix", "right_title", "score", "level"])
 
     return run
 
 
+def scored_pairs(left: DataFrame, right: DataFrame, least: float, tile: int = TILE) -> DataFrame:
+    """block, left_ix, right_ix, right_title, score and level of all pairs within a block that reach the similarity."""
+    a = left.select("block", "ix", "title", _bucket(least).alias("b"))
+    b = right.select("block", "ix", "title", F.explode(F.array(*[_bucket(least) + k for k in (-1, 0, 1)])).alias("b"))
+    # Tiles of each side in each bucket: short rows, one for each bucket in use.
+    count = lambda df, name: df.groupBy("block", "b").agg(F.ceil(F.count("*") / F.lit(float(tile))).cast("int").alias(name))
+    tiles = count(a, "na").join(count(b, "nb"), ["block", "b"])
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    own = lambda n: F.pmod(F.xxhash64("ix", "title"), F.col(n)).cast("int")
+    a = a.join(tiles, ["block", "b"]).select("block", "b", "ix", "title", own("na").alias("ta"), every("nb").alias("tb"))
+    b = b.join(tiles, ["block", "b"]).select("block", "b", "ix", "title", every("na").alias("ta"), own("nb").alias("tb"))
+    key = ["block", "b", "ta", "tb"]
+    return a.groupBy(*key).cogroup(b.groupBy(*key)).applyInPandas(_tile_scores(least), _PAIR)
+
+
+# --- choice -----------------------------------------------------------------------------------------------------------
+
+_FINAL = ["block", "left_ix", "right_ix", "score", "level"]
+
+
+def _finished(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The greedy choice over sorted pairs, component by component."""
+    component, left, right = None, set(), set()
+    for b in batches:
+        keep = []
+        for n, (c, x, y) in enumerate(zip(b["component"], b["left_ix"], b["right_ix"], strict=True)):
+            if c != component:
+                component, left, right = c, set(), set()
+            if x not in left and y not in right:
+                left.add(x)
+                right.add(y)
+                keep.append(n)
+        yield b.iloc[keep][_FINAL]
+
+
+def greedy(pairs: DataFrame, finish: int = FINISH) -> DataFrame:
+    """The one-to-one choice among scored pairs (see the module): block, left_ix, right_ix, score and level.
+
+    Two tables are written a round: what it settles, and the pairs that stay open.
+    """
+    pairs, found = stored(pairs, "pairs"), []
+    n = pairs.count()
+    while n > finish:
+        best = F.struct(F.col("level"), (-F.col("left_ix")).alias("l"), F.col("score"), F.col("right_title"), (-F.col("right_ix")).alias("r"))
+        by_left = pairs.groupBy("block", "left_ix").agg(F.max(best).alias("best"))
+        by_right = pairs.groupBy("block", "right_ix").agg(F.max(best).alias("best"))
+        final = by_left.join(by_right, ["block", "best"]).select("block", "left_ix", "right_ix", F.col("best.score").alias("score"), F.col("best.level").alias("level"))
+        found.append(stored(final, "matched"))
+        pairs = stored(pairs.join(found[-1].select("block", "left_ix"), ["block", "left_ix"], "left_anti").join(found[-1].select("block", "right_ix"), ["block", "right_ix"], "left_anti"), "open")
+        before, n = n, pairs.count()
+        if before - n < LITTLE * before:
+            break
+    if n:
+        if n <= finish:
+            own = pairs.withColumn("component", F.xxhash64("block"))  # few pairs: a block is a small enough unit
+        else:
+            nodes = pairs.select("*", F.xxhash64(F.lit("l"), "block", "left_ix").alias("a"), F.xxhash64(F.lit("r"), "block", "right_ix").alias("z"))
+            labels = connected(nodes.select("a", F.col("z").alias("b")))
+            own = nodes.join(labels.select(F.col("node").alias("a"), F.col("label").alias("component")), "a").drop("a", "z")
+        order = [F.desc("level"), F.asc("left_ix"), F.desc("score"), F.desc("right_title"), F.asc("right_ix")]
+        dealt = own.repartition("component", "block").sortWithinPartitions("component", "block", *order)
+        found.append(dealt.withColumn("component", F.struct("component", "block").cast("string")).mapInPandas(_finished, "block string, left_ix bigint, right_ix bigint, score double, level int"))
+    out = found[0] if found else pairs.select(*_FINAL)
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+# --- matching ---------------------------------------------------------------------------------------------------------
+
+
+def _titled(df: DataFrame) -> DataFrame:
+    return df.select("block", F.col("ix").cast("bigint").alias("ix"), "title").where(F.col("block").isNotNull() & (F.trim("title") != ""))
+
+
 def exact_match(left: DataFrame, right: DataFrame) -> DataFrame:
     """block, left_ix and right_ix of rows with equal titles, the n-th of a title with the n-th; nothing is scored."""
     own = Window.partitionBy("block", "title").orderBy("ix")
-    a, b = (df.select("block", "ix", "title").where("block is not null and title is not null").withColumn("n", F.row_number().over(own)) for df in (left, right))
+    a, b = (_titled(df).withColumn("n", F.row_number().over(own)) for df in (left, right))
     return a.join(b.withColumnRenamed("ix", "right_ix"), ["block", "title", "n"]).select("block", F.col("ix").alias("left_ix"), "right_ix")
 
 
-def fuzzy_match(left: DataFrame, right: DataFrame, least: float = 0.71) -> DataFrame:
+def fuzzy_match(left: DataFrame, right: DataFrame, least: float = 0.71, *, bands: tuple[float, ...] = (0.86,), tile: int = TILE, finish: int = FINISH) -> DataFrame:
     """block, left_ix, right_ix, score and level (in hundredths) of a one-to-one match.
 
-    A row without a title or a block matches nothing; an ix names one row of its block.
+    A row without a title or a block matches nothing; an ix names one row of its block. bands: whole hundredths.
     """
-    a, b = (df.select("block", "ix", "title").where("block is not null and title is not null") for df in (left, right))
-    exact = exact_match(left, right).select("block", "left_ix", "right_ix", F.lit(1.0).alias("score"), F.lit(100).alias("level"))
-    rest_a = a.join(exact.select("block", F.col("left_ix").alias("ix")), ["block", "ix"], "left_anti")
-    rest_b = b.join(exact.select("block", F.col("right_ix").alias("ix")), ["block", "ix"], "left_anti")
-    pairs = length_band(rest_a, rest_b, least)
-    scored = pairs.mapInPandas(_scored(least), "block string, left_ix bigint, right_ix bigint, right_title string, score double")
-    greedy = scored.groupBy("block").applyInPandas(_greedy(least), "block string, left_ix bigint, right_ix bigint, score double, level int")
-    return exact.unionByName(greedy)
+    a, b = _titled(left), _titled(right)
+    found = stored(exact_match(left, right).select("block", "left_ix", "right_ix", F.lit(1.0).alias("score"), F.lit(100).alias("level")), "exact")
+    for band in [x for x in bands if x > least] + [least]:
+        a = stored(a.join(found.select("block", F.col("left_ix").alias("ix")), ["block", "ix"], "left_anti"), "left")
+        b = stored(b.join(found.select("block", F.col("right_ix").alias("ix")), ["block", "ix"], "left_anti"), "right")
+        found = stored(found.unionByName(greedy(scored_pairs(a, b, band, tile), finish)), "matches")
+    return found
+
+
+def lookup_title(titles: DataFrame, hits: DataFrame, least: float = 0.0) -> DataFrame:
+    """Case-folded titles with the hit that is most like them: ix, hit_ix and confidence, the first hit on ties.
+
+    titles: ix, title; hits: ix, hit_ix, hit_title, a few for each title. Confidence is the similarity of the lower-cased
+    titles; hits under `least` don't count, and titles without a hit are left out.
+    """
+    from foliant.functions.documents import similarity
+
+    j = titles.select("ix", F.lower("title").alias("title")).join(hits.select("ix", "hit_ix", F.lower("hit_title").alias("hit_title")), "ix")
+    j = j.withColumn("confidence", similarity(F.col("title"), F.col("hit_title"))).where(F.col("confidence") >= least)
+    return j.groupBy("ix").agg(F.max_by(F.struct("hit_ix", "confidence"), F.struct("confidence", -F.col("hit_ix"))).alias("r")).select("ix", "r.hit_ix", "r.confidence")
 
 
 def match_levels(matches: DataFrame) -> DataFrame:
     """Matches at each level."""
     return matches.groupBy("level").agg(F.count("*").alias("n")).orderBy(F.desc("level"))
+
+
+def lowest_level(matches: DataFrame, warn_under: int = 90) -> DataFrame:
+    """block, n, the lowest level that a match of the block has, and whether it is low enough to be looked at."""
+    return matches.groupBy("block").agg(F.count("*").alias("n"), F.min("level").alias("lowest")).withColumn("warn", F.col("lowest") < warn_under)

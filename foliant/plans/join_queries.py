@@ -53,7 +53,7 @@ def join_leftovers(t: Tables) -> DataFrame:
     return J.with_leftovers(merged, J.leftovers(s, m, "left_ix"), J.leftovers(p, m, "right_ix")).select("id", "title", "status")
 
 
-_EXACT = f"{TITLES}, a AS (SELECT *, row_number() OVER (PARTITION BY block, title ORDER BY ix) AS k FROM site), b AS (SELECT *, row_number() OVER (PARTITION BY block, title ORDER BY ix) AS k FROM platform), e AS (SELECT a.block, a.ix AS left_ix, b.ix AS right_ix FROM a JOIN b USING (block, title, k))"
+_EXACT = f"{TITLES}, a AS (SELECT *, row_number() OVER (PARTITION BY block, title ORDER BY ix) AS k FROM site WHERE title <> ''), b AS (SELECT *, row_number() OVER (PARTITION BY block, title ORDER BY ix) AS k FROM platform WHERE title <> ''), e AS (SELECT a.block, a.ix AS left_ix, b.ix AS right_ix FROM a JOIN b USING (block, title, k))"
 
 
 @query(f"WITH {_EXACT} SELECT * FROM e")
@@ -66,6 +66,44 @@ def fuzzy_title_match(t: Tables) -> DataFrame:
     return fuzzy.fuzzy_match(t.titles(0), t.titles(1))
 
 
+# Titles of 32 random letters a customer, and the same with up to 19 more: only a customer's own two are alike.
+_CODES = "codes AS (SELECT c_custkey AS ix, c_nationkey::VARCHAR AS block, md5('t' || c_custkey) AS title, c_custkey * 7 % 20 AS more FROM customer WHERE c_custkey % 6 <> 0)"
+
+
+def _codes(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Customers' titles on a site and, those of every sixth left out and the others lengthened, on a platform."""
+    k = F.col("c_custkey")
+    own = t.customer.select(k.alias("ix"), F.col("c_nationkey").cast("string").alias("block"), F.md5(F.concat(F.lit("t"), k.cast("string")).cast("binary")).alias("title"))
+    more = own.where("ix % 6 != 0").select((F.col("ix") + 1_000_000).alias("ix"), "block", F.concat("title", F.expr("repeat('z', cast(ix * 7 % 20 as int))")).alias("title"))
+    return own, more
+
+
+@query(f"WITH {_CODES} SELECT block, ix AS left_ix, ix + 1000000 AS right_ix, round(64.0::DOUBLE / (64 + more), 6) AS score, floor(6400 / (64 + more))::INTEGER AS level FROM codes")
+def fuzzy_code_match(t: Tables) -> DataFrame:
+    return fuzzy.fuzzy_match(*_codes(t)).withColumn("score", F.round("score", 6))
+
+
+@query(f"WITH {_CODES} SELECT floor(6400 / (64 + more))::INTEGER AS level, count(*) AS n FROM codes GROUP BY 1")
+def fuzzy_levels(t: Tables) -> DataFrame:
+    return fuzzy.match_levels(fuzzy.fuzzy_match(*_codes(t)))
+
+
+@query(f"WITH {_CODES} SELECT block, count(*) AS n, min(floor(6400 / (64 + more)))::INTEGER AS lowest, min(floor(6400 / (64 + more))) < 78 AS warn FROM codes GROUP BY 1")
+def fuzzy_lowest_level(t: Tables) -> DataFrame:
+    """The lowest level at which a block still matched, with a warning where it is low."""
+    return fuzzy.lowest_level(fuzzy.fuzzy_match(*_codes(t)), warn_under=78)
+
+
+@query(f"WITH {_CODES} SELECT ix, CASE WHEN more <= 10 THEN 0 ELSE 1 END AS hit_ix, round(64.0::DOUBLE / (64 + least(more, 10)), 6) AS confidence FROM codes")
+def preprint_lookup(t: Tables) -> DataFrame:
+    """Of a title's hits in other letters the one that is most like it; a title whose hit is unlike it has none."""
+    own, more = _codes(t)
+    ix = F.col("ix") - 1_000_000
+    first = more.select(ix.alias("ix"), F.lit(0).alias("hit_ix"), F.upper("title").alias("hit_title"))
+    second = own.select("ix", F.lit(1).alias("hit_ix"), F.when(F.col("ix") % 6 == 0, F.lit("0" * 32)).otherwise(F.concat("title", F.lit("Z" * 10))).alias("hit_title"))
+    return fuzzy.lookup_title(own, first.union(second), 0.71).withColumn("confidence", F.round("confidence", 6))
+
+
 @query(f"WITH {TITLES} SELECT a.block, a.ix AS left_ix, b.ix AS right_ix FROM site a JOIN platform b ON a.block = b.block AND least(length(a.title), length(b.title)) * 2 >= 0.71::DOUBLE * (length(a.title) + length(b.title))")
 def length_band_candidates(t: Tables) -> DataFrame:
     return fuzzy.length_band(t.titles(0), t.titles(1)).select("block", "left_ix", "right_ix")

@@ -486,15 +486,17 @@ def venue_forms(t: Tables) -> DataFrame:
     return R.union(*out)
 
 
-@query("""SELECT coalesce(p.id, 'site_' || substr(md5(s.title), 1, 10)) AS id, coalesce(p.title, s.title) AS title, coalesce(p.status, s.status) AS status FROM (SELECT c_custkey, c_name || ' of ' || c_custkey AS title, c_mktsegment AS status FROM customer) s
- FULL JOIN (SELECT c_custkey, c_custkey::VARCHAR AS id, c_name || ' of ' || c_custkey AS title, CASE WHEN c_custkey % 5 = 0 THEN 'Reject' ELSE 'Poster' END AS status FROM customer WHERE c_custkey % 5 <> 0) p USING (c_custkey)
- UNION ALL SELECT c_custkey::VARCHAR, c_name || ' of ' || c_custkey, 'Reject' FROM customer WHERE c_custkey % 5 = 0""")
+@query("""WITH s AS (SELECT c_custkey AS k, md5('v' || c_custkey) AS title, c_mktsegment AS status FROM customer), p AS (SELECT k, k::VARCHAR AS id, title || repeat('z', (k * 7 % 20)::INTEGER) AS title, CASE WHEN k % 5 = 0 THEN 'Reject' ELSE 'Poster' END AS status FROM s)
+SELECT coalesce(p.id, 'site_' || substr(md5(s.title), 1, 10)) AS id, coalesce(p.title, s.title) AS title, coalesce(p.status, s.status) AS status FROM s LEFT JOIN (SELECT * FROM p WHERE k % 5 <> 0) p USING (k)
+ UNION ALL SELECT id, title, status FROM p WHERE k % 5 = 0""")
 def venue_resolution(t: Tables) -> DataFrame:
-    """Site and platform lists of a venue as one: by forum id, then by title; rejected papers come from the platform."""
+    """Site and platform lists of a venue as one: by forum id, then by title, which is one of many in its block and longer on
+    the platform; rejected papers come from the platform."""
     k = F.col("c_custkey")
-    title = _joined(F.col("c_name"), " of ", k)
-    site = t.customer.select(k.alias("row_ix"), F.when(k % 2 == 0, _joined("https://openreview.net/forum?id=", k)).otherwise("").alias("openreview"), title.alias("title"), F.col("c_mktsegment").alias("status"), k.cast("string").alias("block"))
-    platform = t.customer.select(k.alias("row_ix"), k.cast("string").alias("id"), title.alias("title"), F.when(k % 5 == 0, "Reject").otherwise("Poster").alias("status"), k.cast("string").alias("block"))
+    block, title = F.col("c_nationkey").cast("string"), F.md5(_joined("v", k).cast("binary"))
+    site = t.customer.select(k.alias("row_ix"), F.when(k % 2 == 0, _joined("https://openreview.net/forum?id=", k)).otherwise("").alias("openreview"), title.alias("title"), F.col("c_mktsegment").alias("status"), block.alias("block"))
+    longer = F.concat(title, F.expr("repeat('z', cast(c_custkey * 7 % 20 as int))"))
+    platform = t.customer.select(k.alias("row_ix"), k.cast("string").alias("id"), longer.alias("title"), F.when(k % 5 == 0, "Reject").otherwise("Poster").alias("status"), block.alias("block"))
     merged, _ = venue.resolve(site, platform, "nips")
     return merged.select("id", "title", "status")
 

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -23,3 +23,10 @@ def shared_root(spark: SparkSession) -> str:
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder name under the shared root."""
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """df as a Parquet table in the shared folder: its lineage ends there."""
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

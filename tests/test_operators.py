@@ -68,17 +68,22 @@ def test_fuzzy_is_one_to_one(spark):
 def test_exact_match_pairs_by_rank(spark):
     left = titles(spark, [("x", 1, "a"), ("x", 2, "a"), ("x", 3, ""), (None, 4, "a"), ("x", 5, None), ("y", 6, "a")])
     right = titles(spark, [("x", 12, "a"), ("x", 11, "a"), ("x", 13, "a"), ("x", 14, ""), (None, 15, "a"), ("x", 16, None)])
-    assert collected(fuzzy.exact_match(left, right), "left_ix", "right_ix") == [(1, 11), (2, 12), (3, 14)]
-    assert collected(fuzzy.fuzzy_match(left, right), "left_ix", "right_ix") == [(1, 11), (2, 12), (3, 14)]
+    # Blank titles match nothing.
+    assert collected(fuzzy.exact_match(left, right), "left_ix", "right_ix") == [(1, 11), (2, 12)]
+    assert collected(fuzzy.fuzzy_match(left, right), "left_ix", "right_ix") == [(1, 11), (2, 12)]
 
 
-def test_fuzzy_equals_plain_greedy(spark):
-    """Against a plain loop over the levels, left rows in order, each taking its best unused candidate."""
+@pytest.mark.parametrize(("seed", "options"), [(4, {}), (5, {"tile": 5, "finish": 0, "bands": (0.95, 0.9, 0.8)}), (6, {"finish": 0, "bands": ()}), (7, {"tile": 3, "finish": 40})])
+def test_fuzzy_equals_plain_greedy(spark, monkeypatch, seed, options):
+    """Against a plain loop over the levels, left rows in order, each taking its best unused candidate; also in small tiles,
+    to the end in rounds, and, where a round settles little, by components."""
     import random
 
     from foliant.functions.documents import ratio
 
-    own = random.Random(4)
+    own = random.Random(seed)
+    if seed == 6:
+        monkeypatch.setattr(fuzzy, "LITTLE", 0.9)
     words = ["deep", "learning", "graph", "for", "cats", "net", "nets"]
     left, right = ([(own.choice("xy"), i, " ".join(own.choice(words) for _ in range(own.randint(1, 4)))) for i in range(k, k + 40)] for k in (0, 100))
     expected, used_left, used_right = [], set(), set()
@@ -97,7 +102,91 @@ def test_fuzzy_equals_plain_greedy(spark):
                 expected.append((i, j))
                 used_left.add(i)
                 used_right.add(j)
-    assert collected(fuzzy.fuzzy_match(titles(spark, left), titles(spark, right)), "left_ix", "right_ix") == sorted(expected)
+    assert collected(fuzzy.fuzzy_match(titles(spark, left), titles(spark, right), **options), "left_ix", "right_ix") == sorted(expected)
+
+
+def test_tile_bound_keeps_every_similar_pair():
+    import random
+
+    from foliant.functions.documents import ratio
+
+    own = random.Random(2)
+    word = lambda: "".join(own.choice("abcdeé中") for _ in range(own.randint(1, 5)))
+    left, right = ([" ".join(word() for _ in range(own.randint(1, 5))) for _ in range(60)] for _ in "lr")
+    for least in (0.5, 0.71, 0.9):
+        found = {(i, j) for a, b in fuzzy.candidates(left, right, least) for i, j in zip(a.tolist(), b.tolist(), strict=True)}
+        similar = {(i, j) for i, x in enumerate(left) for j, y in enumerate(right) if ratio(x, y) >= least}
+        assert similar <= found and len(found) < len(left) * len(right)
+
+
+def test_common_subsequences():
+    import random
+
+    import numpy as np
+
+    def plain(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            new = [0]
+            for k, y in enumerate(b):
+                new.append(row[k] + 1 if x == y else max(row[k + 1], new[-1]))
+            row = new
+        return row[-1]
+
+    own = random.Random(3)
+    left, right = (["".join(own.choice("abcde é") for _ in range(own.choice((0, 1, 9, 63, 64, 65, 128, 140)))) for _ in range(40)] for _ in "lr")
+    i, j = (x.ravel() for x in np.meshgrid(np.arange(40), np.arange(40)))
+    keep = np.array([bool(left[x]) for x in i])
+    i, j = i[keep], j[keep]
+    assert fuzzy.common_subsequences(left, right, i, j).tolist() == [plain(left[x], right[y]) for x, y in zip(i, j, strict=True)]
+
+
+def test_a_hot_block_is_many_tiles(spark):
+    """Rows that meet grow with the tiles, not with pairs of rows, and no group is larger than a tile."""
+    left = titles(spark, [("x", i, f"title number {i:05d}") for i in range(2000)])
+    right = titles(spark, [("x", i, f"another name {i:05d}") for i in range(2000)])
+    pairs = fuzzy.scored_pairs(left, right, 0.95, tile=256)
+    assert pairs.count() == 0
+    plan = pairs._jdf.queryExecution().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_fuzzy_of_odd_tables(spark):
+    empty = titles(spark, [])
+    left = titles(spark, [("x", 1, "  "), ("x", 2, ""), (None, 3, "a title"), ("x", 4, None), ("x", 5, "long " * 3000), ("x", 6, "a title")])
+    assert fuzzy.fuzzy_match(left, empty).count() == fuzzy.fuzzy_match(empty, left).count() == 0
+    more = left.withColumns({"score": F.lit(1), "b": F.lit("clash"), "n": F.lit(0)})
+    assert collected(fuzzy.fuzzy_match(more, left), "left_ix", "right_ix") == [(5, 5), (6, 6)]
+
+
+def test_connected(spark):
+    import random
+
+    from foliant.operators.components import connected
+
+    own = random.Random(1)
+    links = [(own.randrange(80), own.randrange(80)) for _ in range(55)] + [(200 + i, 201 + i) for i in range(40)]
+    parent = {x: x for pair in links for x in pair}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        a, b = sorted((find(a), find(b)))
+        parent[b] = a
+    got = connected(spark.createDataFrame(links, "a long, b long")).collect()
+    assert {r.node: r.label for r in got} == {x: find(x) for x in parent} and len(got) == len(parent)
+
+
+def test_levels_and_lookup(spark):
+    m = spark.createDataFrame([("x", 100), ("x", 71), ("y", 95)], "block string, level int")
+    assert [tuple(r) for r in fuzzy.match_levels(m).collect()] == [(100, 1), (95, 1), (71, 1)]
+    assert collected(fuzzy.lowest_level(m), "block", "n", "lowest", "warn") == [("x", 2, 71, True), ("y", 1, 95, False)]
+    hits = spark.createDataFrame([(1, 0, "Deep nets"), (1, 1, "DEEP NET"), (1, 2, "deep net"), (2, 0, "zzz")], "ix long, hit_ix int, hit_title string")
+    got = fuzzy.lookup_title(titles(spark, [("x", 1, "Deep Net"), ("x", 2, "abc"), ("x", 3, "none")]), hits, 0.5)
+    assert collected(got, "ix", "hit_ix", "confidence") == [(1, 1, 1.0)]
 
 
 def test_form_lengths_have_to_match(spark):
