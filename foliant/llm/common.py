@@ -52,6 +52,24 @@ def removed(*tables: DataFrame) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def renamed_apart(df: DataFrame, *reserved: str) -> tuple[DataFrame, dict[str, str]]:
+    """df with other names for columns that clash with an operator's own, and the new name of every column."""
+    taken = {c.lower() for c in df.columns} | {r.lower() for r in reserved}
+    names = {}
+    for c in df.columns:
+        names[c] = c
+        if c.lower() in {r.lower() for r in reserved}:
+            while names[c].lower() in taken:
+                names[c] += "_"
+            taken.add(names[c].lower())
+    return df.toDF(*names.values()), names
+
+
+def with_names(df: DataFrame, names: dict[str, str]) -> DataFrame:
+    """The columns that renamed_apart() renamed, under their old names, and no others."""
+    return df.select(*[F.col(f"`{new}`").alias(old) for old, new in names.items()])
+
+
 def id_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Only the two columns an operator needs, under fixed names, so that other columns can't clash."""
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))

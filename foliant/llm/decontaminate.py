@@ -6,8 +6,9 @@ whole shorter item, is a hit: its words are marked, and documents whose marked s
 contaminated.
 
 Defined results: a null or empty text has no words, no hits and is clean; a null or wordless item matches nothing; items
-that repeat an id count once in the list of items; rows that repeat a doc_id are judged one by one; a null doc_id is kept.
-An empty benchmark leaves every document clean. Columns other than the id and the text are not read.
+that repeat an id count once in the list of items; an item without id hits words like any other, but isn't listed; rows that repeat a doc_id are judged one by one; a null doc_id is kept.
+An empty benchmark leaves every document clean. Columns other than the id and the text are not read; those that
+without_benchmark() keeps may have any names.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliant.llm.common import id_text, slices
+from foliant.llm.common import id_text, renamed_apart, slices, with_names
 from foliant.llm.textcodes import letter_words, spans
 
 #: Words of benchmark text in one automaton. A larger benchmark is dealt to several, which documents pass in turn.
@@ -33,21 +34,21 @@ _STATE = {"__n_words": "long", "__hits": _HITS, "__spans": _HITS, "__items": "ar
 class SuffixAutomaton:
     """Generalised suffix automaton over items' words; a state knows in which items its runs of words occur."""
 
-    def __init__(self, items: list[tuple[str, str]], window: int) -> None:
+    def __init__(self, items: list[tuple[str | None, str]], window: int) -> None:
         self.window = window
         self.trans: list[dict[int, int]] = [{}]
         self.link, self.length = [-1], [0]
         hashes, first, *_ = letter_words([t for _, t in items])
         self.vocab, ids = np.unique(hashes, return_inverse=True)
         words = [ids[a:b].tolist() for a, b in zip(first, first[1:], strict=False)] if items else []
-        short: dict[int, set[tuple[int, str]]] = {}
+        short: dict[int, set[tuple[int, str | None]]] = {}
         for (name, _), seq in zip(items, words, strict=True):
             last = 0
             for c in seq:
                 last = self._extend(last, c)
             if 0 < len(seq) < window:
                 short.setdefault(last, set()).add((len(seq), name))
-        within: list[set[str]] = [set() for _ in self.trans]
+        within: list[set[str | None]] = [set() for _ in self.trans]
         for (name, _), seq in zip(items, words, strict=True):
             at = 0
             for c in seq:
@@ -62,7 +63,7 @@ class SuffixAutomaton:
             up = self.link[v]
             if self.length[v] >= window:
                 self.at_window[v] = self.at_window[up] if self.length[up] >= window else frozenset(within[v])
-            self.short[v] = self.short[up] + tuple(sorted(short.get(v, ())))
+            self.short[v] = self.short[up] + tuple(short.get(v, ()))
         self.least = min([window, *(m for s in short.values() for m, _ in s)])
 
     def _extend(self, last: int, c: int) -> int:
@@ -150,7 +151,7 @@ def _pass(shared, text: str):
                 keep = (b - a) >= automaton.least
                 found: dict[int, tuple[list, set]] = {}
                 for d, (h, names) in enumerate(zip(part.column("__hits").to_pylist(), part.column("__items").to_pylist(), strict=True)):
-                    if names:
+                    if h:
                         found[d] = ([(x["start"], x["end"]) for x in h], set(names))
                 gaps = at[1:] + np.arange(len(texts))
                 for x, y in zip(a[keep].tolist(), b[keep].tolist(), strict=True):
@@ -165,7 +166,7 @@ def _pass(shared, text: str):
                     base = int(at[d])
                     rows["__hits"].append([{"start": x, "end": y} for x, y in words])
                     rows["__spans"].append([{"start": int(starts[base + x] - text_at[d]), "end": int(ends[base + y - 1] - text_at[d])} for x, y in words])
-                    rows["__items"].append(sorted(items))
+                    rows["__items"].append(sorted(x for x in items if x is not None))
                 own = [pa.array(rows[f.name], f.type) if f.name in rows else part.column(i) for i, f in enumerate(part.schema)]
                 yield pa.RecordBatch.from_arrays(own, schema=part.schema)
 
@@ -178,7 +179,7 @@ def _streamed(rows: DataFrame, text: str, benchmark: DataFrame, *, item_col: str
     The driver holds one automaton of at most about shard_words words (or one longer item) at a time.
     """
     spark = rows.sparkSession
-    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).cast("string").alias("words")).where(F.col("words").isNotNull() & F.col("item").isNotNull())
+    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).cast("string").alias("words")).where(F.col("words").isNotNull())
     size = items.agg(F.sum(F.length("words") / 2 + 1)).first()[0] or 0  # a word takes two characters at least
     shards = max(1, -(-int(size) // (3 * shard_words)))
     out = rows.withColumns({name: F.lit(None).cast(kind) for name, kind in _STATE.items()})
@@ -222,12 +223,14 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, coverage: tuple[int,
 def without_benchmark(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", chars_col: str | None = None, coverage: tuple[int, int] = (1, 20), **options) -> DataFrame:
     """The rows of docs that are not contaminated, their texts (strings) without hit spans, all columns kept. Each row
     follows its own verdict, whatever its id. chars_col, where a text was cut, becomes its new length."""
-    rows = _streamed(docs, text_col, benchmark, **options)
+    own, names = renamed_apart(docs, *_STATE)
+    text_col, chars_col = names[text_col], names.get(chars_col)
+    rows = _streamed(own, text_col, benchmark, **options)
     kept = rows.where(~_contaminated(_n_hit("__hits"), F.col("__n_words"), coverage))
     changed = {text_col: _cut(f"`{text_col}`", "__spans")}
     if chars_col:
-        changed[chars_col] = F.when(F.size("__spans") == 0, F.col(chars_col)).otherwise(F.length(changed[text_col]).cast(docs.schema[chars_col].dataType))
-    return kept.withColumns(changed).drop(*_STATE)
+        changed[chars_col] = F.when(F.size("__spans") == 0, F.col(f"`{chars_col}`")).otherwise(F.length(changed[text_col]).cast(own.schema[chars_col].dataType))
+    return with_names(kept.withColumns(changed), names)
 
 
 def digest(df: DataFrame) -> DataFrame:

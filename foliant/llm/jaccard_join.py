@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from foliant.llm.common import id_text, removed, slices, written
+from foliant.llm.common import id_text, removed, renamed_apart, slices, with_names, written
 from foliant.llm.components import components
 from foliant.llm.textcodes import mix, shingles, space_words
 
@@ -537,7 +537,12 @@ def similar_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
 def distinct_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = 5, threshold: tuple[int, int] = (80, 100)) -> DataFrame:
     """One row of each component, all columns kept: that with the smallest doc_id (null last), of those the one with the
     least hash of its text, of equal ones any. Each row is a document of its own, also where a doc_id is repeated or
-    missing. Rows without words stay."""
+    missing. Rows without words stay. Columns may have any names."""
+    own, names = renamed_apart(docs, "__id", "__th", "__gone", "__hash")
+    return with_names(_distinct(own, names[id_col], names[text_col], k, threshold), names)
+
+
+def _distinct(docs: DataFrame, id_col: str, text_col: str, k: int, threshold: tuple[int, int]) -> DataFrame:
     join = _Join(docs, id_col, text_col, k, threshold, without_id=True)
     of = join.labelled()
     best = of.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("o"), "doc_id", "th")).alias("best"))

@@ -8,7 +8,8 @@ prototype with the largest cosine.
 Learning reads the text and language of the documents that are not held out; prediction reads the text alone.
 Defined results: `und` with score 0 for a null text, one without letters, or where nothing could be learned; the first
 language in alphabetical order among equal cosines; the score is the cosine, 0 if negative. A null doc_id is not held out
-and not learned from. Rows that repeat an id are predicted one by one. Other columns are not read.
+and not learned from. Rows that repeat an id are predicted one by one; whole texts of any length are read, a slice at a time;
+an empty table gives an empty result. Other columns are not read; those that with_language() keeps may have any names.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliant.llm.common import id_text, slices
+from foliant.llm.common import id_text, renamed_apart, slices, with_names
 from foliant.llm.textcodes import code_points
 
 DIMENSIONS = 1024
@@ -191,6 +192,11 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], *, id_col: st
     return out.select("doc_id", held_out("doc_id").alias("held_out"), F.coalesce("__lang", F.lit("und")).alias("lang_pred"), F.least(F.greatest("__cosine", F.lit(0.0)), F.lit(1.0)).alias("score"))
 
 
-def with_language(docs: DataFrame, model: tuple[list[str], np.ndarray], *, text_col: str = "text", dimensions: int = DIMENSIONS) -> DataFrame:
-    """The rows of docs that a language is found for, all columns kept; each row follows its own verdict, whatever its id."""
-    return _predicted(docs, text_col, model, dimensions).where("__lang is not null").drop("__lang", "__cosine")
+def with_language(docs: DataFrame, model: tuple[list[str], np.ndarray], *, text_col: str = "text", lang_col: str | None = None, dimensions: int = DIMENSIONS) -> DataFrame:
+    """The rows of docs that a language is found for, all columns kept; each row follows its own verdict, whatever its id.
+    lang_col becomes the language that is found, whatever it was."""
+    own, names = renamed_apart(docs, "__lang", "__cosine")
+    found = _predicted(own, names[text_col], model, dimensions).where("__lang is not null")
+    if lang_col:
+        found = found.withColumn(names[lang_col], F.col("__lang"))
+    return with_names(found, names)

@@ -29,6 +29,12 @@ def op3_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.mixture(table(spark, sf_dir, "documents")).withColumn("rate", F.round("rate", 6))
 
 
+def mixture_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The target of each value, and whether the shares of the expected sample meet it."""
+    rows = mixture.annotated(table(spark, sf_dir, "documents"))
+    return mixture.shares(mixture.rates(rows)).select("dimension", "value", F.round("target", 9).alias("target"), "reached")
+
+
 def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, shards = token_store.write_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), end_id=2)
     return token_store.read_digests(spark, root, shards)
@@ -78,20 +84,20 @@ def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (op1_decontamination, op2_jaccard_join, op3_mixture, op4_token_store, op5_quality_rules, op6_token_counts, op7_personal_data, op8_secret_scan, op9_warc_bundles, op10_language_id)
     own += (op11_centroid_clustering, op12_sharding, op13_lexical_search)
-    return {f.__name__: f for f in own}
+    return {f.__name__: f for f in (*own, mixture_shares)}
 
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 _OP1 = rf"""
-WITH item AS (SELECT item_id::VARCHAR AS item, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark WHERE item_id IS NOT NULL),
+WITH item AS (SELECT item_id::VARCHAR AS item, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark),
 win AS (SELECT item, k, list_aggregate(words[i:i + k - 1], 'string_agg', ' ') AS win
         FROM (SELECT item, words, k, unnest(range(1, len(words) - k + 2)) AS i FROM (SELECT *, least(len(words), 13) AS k FROM item WHERE len(words) > 0))),
 doc AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
 place AS (SELECT rid, words, k, unnest(range(1, len(words) - k + 2)) AS i FROM doc, (SELECT DISTINCT k FROM win)),
 hit AS (SELECT p.rid, p.i, p.k, w.item FROM (SELECT rid, i, k, list_aggregate(words[i:i + k - 1], 'string_agg', ' ') AS win FROM place) p JOIN win w USING (k, win)),
 hits AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(i, i + k)) AS p FROM hit) GROUP BY rid),
-items AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT rid, item FROM hit) GROUP BY rid)
+items AS (SELECT rid, count(item) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT rid, item FROM hit) GROUP BY rid)
 SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
 FROM doc LEFT JOIN hits USING (rid) LEFT JOIN items USING (rid)
@@ -129,27 +135,44 @@ def _mixture_sql() -> str:
         "total AS (SELECT sum(tokens)::DOUBLE AS t FROM cell)",
     ]
     for d in mixture.DIMENSIONS:
-        steps.append(f"raw_{d} AS (SELECT {d}, CASE WHEN sum(tokens) > 0 THEN pow(sum(tokens)::DOUBLE, {mixture.TEMPER[d]}) ELSE 0 END AS raw FROM cell GROUP BY {d})")
-        steps.append(f"goal_{d} AS MATERIALIZED (SELECT {d}, raw / (SELECT sum(raw) FROM raw_{d}) * t AS goal_{d} FROM raw_{d}, total)")
-    steps.append("fit0 AS MATERIALIZED (SELECT cell.*, tokens::DOUBLE AS w, goal_source, goal_lang, goal_topic FROM cell JOIN goal_source USING (source) JOIN goal_lang USING (lang) JOIN goal_topic USING (topic))")
+        steps += [
+            f"sum_{d} AS (SELECT {d}, sum(tokens)::DOUBLE / (SELECT t FROM total) AS nat, CASE WHEN sum(tokens) > 0 THEN pow(sum(tokens)::DOUBLE, {mixture.TEMPER[d]}) ELSE 0 END AS raw FROM cell GROUP BY {d})",
+            f"share_{d} AS MATERIALIZED (SELECT {d}, nat, raw / sum(raw) OVER () AS share FROM sum_{d})",
+            # The scarcest values, and what they leave to the others.
+            f"scarce_{d} AS MATERIALIZED (SELECT *, row_number() OVER w AS place, sum(nat) OVER w AS have, sum(share) OVER w AS want FROM share_{d} WHERE share > 0 WINDOW w AS (ORDER BY nat / share, {d} ROWS UNBOUNDED PRECEDING))",
+        ]
+    steps.append(f"budget AS MATERIALIZED (SELECT least({mixture.BUDGET}::DOUBLE, " + ", ".join(f"(SELECT coalesce(min(have / (want - {mixture.SHORT}::DOUBLE)) FILTER (want > {mixture.SHORT}::DOUBLE), 1) FROM scarce_{d})" for d in mixture.DIMENSIONS) + ", 1) AS b)")
+    for d in mixture.DIMENSIONS:
+        steps += [
+            f"spread_{d} AS MATERIALIZED (SELECT arg_min(m, place) AS m FROM (SELECT (b - (have - nat)) / (b * (1 - (want - share))) AS m, place, nat, share, b FROM scarce_{d}, budget) WHERE m * share * b <= nat * (1 + 1e-12))",
+            f"goal_{d} AS MATERIALIZED (SELECT {d}, CASE WHEN share > 0 THEN least(nat, m * share * b) ELSE 0 END * t AS goal_{d} FROM share_{d}, budget, spread_{d}, total)",
+        ]
+    steps.append("fit0 AS MATERIALIZED (SELECT cell.*, 1.0::DOUBLE AS f_source, 1.0::DOUBLE AS f_lang, 1.0::DOUBLE AS f_topic, goal_source, goal_lang, goal_topic FROM cell JOIN goal_source USING (source) JOIN goal_lang USING (lang) JOIN goal_topic USING (topic))")
     n = 0
     for _ in range(mixture.ROUNDS):
         for d in mixture.DIMENSIONS:
             n += 1
-            steps.append(f"fit{n} AS MATERIALIZED (SELECT * REPLACE (CASE WHEN s > 0 THEN w * (goal_{d} / s) ELSE 0 END AS w) FROM (SELECT * EXCLUDE (s), sum(w) OVER (PARTITION BY {d}) AS s FROM (SELECT *, 0 AS s FROM fit{n - 1})))".replace("SELECT * REPLACE", "SELECT * EXCLUDE (s) REPLACE"))
-    steps.append(f"fit AS MATERIALIZED (SELECT source, lang, topic, tokens, CASE WHEN tokens > 0 THEN w / tokens ELSE 0 END AS own FROM fit{n})")
-    steps.append(f"scale0 AS (SELECT {mixture.BUDGET}::DOUBLE AS c)")
-    for k in range(mixture.WATER_ROUNDS):
-        steps.append(
-            f"""scale{k + 1} AS MATERIALIZED (SELECT CASE WHEN free > 0 THEN c * ({mixture.BUDGET} * t - whole) / free ELSE c END AS c
-  FROM (SELECT any_value(c) AS c, any_value(t) AS t, coalesce(sum(tokens) FILTER (own * c >= 1), 0)::DOUBLE AS whole, coalesce(sum(own * c * tokens) FILTER (own * c < 1), 0) AS free FROM fit, scale{k}, total))"""
-        )
+            rest = " * ".join(f"f_{e}" for e in mixture.DIMENSIONS if e != d)
+            steps += [
+                f"""try{n} AS MATERIALIZED (SELECT *, row_number() OVER w AS place, CASE WHEN sum(tokens * r) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) > 0
+  THEN (goal_{d} - coalesce(sum(tokens) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) / sum(tokens * r) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) ELSE {mixture.WHOLE}::DOUBLE END AS f
+  FROM (SELECT *, {rest} AS r FROM fit{n - 1}) WINDOW w AS (PARTITION BY {d} ORDER BY r DESC, source, lang, topic))""",
+                f"""new{n} AS MATERIALIZED (SELECT {d}, CASE WHEN any_value(goal_{d}) >= sum(tokens) * (1 - 1e-12) THEN {mixture.WHOLE}::DOUBLE ELSE least(coalesce(arg_min(f, place) FILTER (f * r <= 1), {mixture.WHOLE}::DOUBLE), {mixture.WHOLE}::DOUBLE) END AS f_{d} FROM try{n} GROUP BY {d})""",
+                f"fit{n} AS MATERIALIZED (SELECT source, lang, topic, tokens, goal_source, goal_lang, goal_topic, {', '.join(f'old.f_{e}' if e != d else f'new{n}.f_{e}' for e in mixture.DIMENSIONS)} FROM fit{n - 1} old JOIN new{n} USING ({d}))",
+            ]
     final = f"""SELECT doc_id, source, lang, topic, doc.tokens, round(rate, 6) AS rate,
   ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT / 4294967296.0::DOUBLE < rate AS sampled
-FROM doc JOIN (SELECT source, lang, topic, least(1.0::DOUBLE, own * c) AS rate FROM fit, scale{mixture.WATER_ROUNDS}) USING (source, lang, topic)"""
+FROM doc JOIN (SELECT source, lang, topic, CASE WHEN tokens > 0 THEN least(1.0::DOUBLE, f_source * f_lang * f_topic) ELSE 0 END AS rate FROM fit{n}) USING (source, lang, topic)"""
     return "WITH " + ",\n".join(steps) + "\n" + final
 
 
+def _shares_sql() -> str:
+    """Targets from the tokens alone; that the sample's expectation meets them is what is asked."""
+    full = _mixture_sql()
+    doc = full[: full.index("budget AS MATERIALIZED")].rstrip().rstrip(",")
+    return doc + "\n" + " UNION ALL ".join(f"SELECT '{d}' AS dimension, {d} AS value, round(share, 9) AS target, TRUE AS reached FROM share_{d}" for d in mixture.DIMENSIONS)
+
+
 _OP9 = """
 WITH page AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
 digest AS (SELECT page_id, octet_length(body) AS n, sha1(body) AS hex FROM page),
@@ -205,4 +228,4 @@ SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (SELECT *, row_number(
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontamination": _OP1, "op2_jaccard_join": _OP2, "op3_mixture": _mixture_sql(), "op9_warc_bundles": _OP9, "op11_centroid_clustering": _clustering_sql(), "op12_sharding": _OP12, "op13_lexical_search": _OP13}
+    return {"op1_decontamination": _OP1, "op2_jaccard_join": _OP2, "op3_mixture": _mixture_sql(), "mixture_shares": _shares_sql(), "op9_warc_bundles": _OP9, "op11_centroid_clustering": _clustering_sql(), "op12_sharding": _OP12, "op13_lexical_search": _OP13}

@@ -19,7 +19,7 @@ def test_against_sql(spark, sf_dir, con, name):
 
 
 def test_all_are_registered():
-    assert sorted(int(k[2:].split("_")[0]) for k in queries.queries()) == list(range(1, 14))
+    assert sorted(int(k[2:].split("_")[0]) for k in queries.queries() if k.startswith("op")) == list(range(1, 14))
 
 
 def brute_pipeline(rows, items):
@@ -30,9 +30,10 @@ def brute_pipeline(rows, items):
 
     import duckdb
     import pandas as pd
-    from test_llm_operators import BYTE_BPE, LETTERS, brute_components, words
+    from test_llm_operators import BYTE_BPE, LETTERS, brute_components, plain_languages, words
 
-    rows = [r for r in rows if r[1] and any(c.isalpha() for c in r[1])]
+    found = plain_languages([r[:3] for r in rows])
+    rows = [(r[0], r[1], lang, *r[3:]) for r, lang in zip(rows, found, strict=True) if lang is not None]
     comp = brute_components([(i, r[1]) for i, r in enumerate(rows)], 5, 80, 100)
     best = {}
     for i, r in enumerate(rows):
@@ -85,7 +86,7 @@ def test_pipeline_on_odd_documents_equals_brute_force(spark, make_docs, odd_docs
     """Repeated and missing ids, texts without words, near copies under one id, benchmark passages cut or dropped."""
     passage = " ".join(f"bench{i}" for i in range(15))
     filler = " ".join(f"Fill{i}" for i in range(400))
-    more = make_docs((20, filler + " " + passage + ", end " + passage + "."), (20, "short " + passage), (None, "None " + passage), (None, "x " * 30 + "no id"), (21, "x " * 30 + "no id"), (22, "a b c d e f g h"), (22, "a b c d e f g h"), (22, "one other text under this id"), (23, "123 456"), (24, None, "en", None), (25, "some more words here", None, "s"))
+    more = make_docs((20, filler + " " + passage + ", end " + passage + "."), (20, "short " + passage), (None, "None " + passage), (None, "x " * 30 + "no id"), (21, "x " * 30 + "no id"), (22, "a b c d e f g h"), (22, "a b c d e f g h"), (22, "one other text under this id"), (23, "123 456"), (24, None, "en", None), (25, "some more words here", None, "s"), *((200 + i, " ".join(f"plain{i}x{j}" for j in range(30)), "en", "s") for i in range(40)))
     docs = odd_docs.union(more)
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     items = [("1", passage), ("2", None), ("3", "")]
@@ -97,6 +98,15 @@ def test_pipeline_on_odd_documents_equals_brute_force(spark, make_docs, odd_docs
     assert by_row(got.collect()) == by_row(expected)
 
 
+def test_the_language_stage_uses_its_prediction(spark, make_docs):
+    """Missing and wrong languages become what the text says."""
+    german, english = "der schnelle braune Fuchs springt über den faulen Hund", "the quick brown fox jumps over the lazy dog"
+    rows = [(i, f"{german if i % 2 else english} {'abc'[i % 3]}", "de" if i % 2 else "en") for i in range(40)]
+    docs = make_docs(*rows, (100, german, None), (101, english, "de"), (102, german, "xx"), (103, "123", "en"))
+    got = {r.doc_id: r.lang for r in corpus_pipeline.identify_language(spark, docs, "").collect()}
+    assert got == {i: lang for i, _, lang in rows} | {100: "de", 101: "en", 102: "de"}
+
+
 def test_stages_keep_columns(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in corpus_pipeline.STAGES[:-1]:
