@@ -3,7 +3,8 @@
 Each stage takes rows with the columns of documents (doc_id, text, lang, source, n_chars) and judges every row by itself:
 rows that share a doc_id, or have none, follow their own verdicts. Defined results:
 
-* language_id: a row whose text is null or has no letter goes, all others stay as they are;
+* language_id: a row whose text is null or has no letter goes; the language of all others becomes the one that their text
+  is nearest to, which is what later stages read;
 * ngram_jaccard_join: of equal or near texts one row stays, that with the smallest doc_id; rows without words all stay;
 * benchmark_decontamination: contaminated rows go; shorter benchmark passages are cut out of the rest, and n_chars follows;
 * mixing_sources: a row stays if the hash of its doc_id falls under the rate of its source, language and topic (null ones
@@ -23,8 +24,8 @@ from foliant.llm.common import written
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language. Learned from these documents' own labels."""
-    return language_id.with_language(docs, language_id.prototypes(docs))
+    """Documents with a language, under the language that is found. Learned from these documents' own labels."""
+    return language_id.with_language(docs, language_id.prototypes(docs), lang_col="lang")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
