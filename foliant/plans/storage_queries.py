@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from foliant import sinks
-from foliant.functions import arrays, text
+from foliant.functions import arrays, scores, text
 from foliant.functions.documents import call_to_json
 from foliant.operators import aggregates as A
 from foliant.operators import filters as P
@@ -22,7 +22,7 @@ from foliant.schema import strings
 from foliant.sources import files, pages, rest, summaries
 from foliant.specs import FORM_RULES, VENUES, form_spec, source_kind
 from foliant.storage import shared_dir
-from foliant.streaming import incremental
+from foliant.streaming import incremental, stateful
 
 
 def _written_text(t: Tables, df: DataFrame, name: str) -> str:
@@ -504,23 +504,24 @@ def venue_resolution(t: Tables) -> DataFrame:
 # --- streams ----------------------------------------------------------------------------------------------------------------
 
 
-def _events(t: Tables) -> DataFrame:
-    """The events as a stream of files, those of larger ids later, a file or more in each micro-batch."""
+def _events(t: Tables, in_order: bool = False) -> DataFrame:
+    """The events as a stream of three files, one in each micro-batch; in order of their ids, or dealt by hash."""
     folder = shared_dir(t.spark, "events")
-    rows = t.events.select("event_id", "user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
-    half = t.events.agg(F.expr("(min(event_id) + max(event_id)) / 2").alias("half")).first().half or 0
-    for part in (F.col("event_id") <= half, F.col("event_id") > half):
-        rows.where(part).coalesce(1).write.mode("append").parquet(folder)
+    rows = t.events.select("event_id", "user_id", "event_type", "value", F.col("ts").cast("timestamp").alias("ts"))
+    most = (t.events.agg(F.max("event_id").alias("m")).first().m or 0) + 1
+    file = F.floor(F.col("event_id") * 3 / most) if in_order else F.pmod(F.xxhash64("event_id"), F.lit(3))
+    for k in range(3):
+        rows.where(file == k).coalesce(1).write.mode("append").parquet(folder)
     return t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
 
 
 @query("SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type FROM events GROUP BY 1")
 def stream_upserts(t: Tables) -> DataFrame:
-    """Stored rows replaced by key, batch by batch; files come in order of their event ids."""
+    """Stored rows replaced by key, batch by batch, in buckets; events come in no order, so most batches hold late ones."""
     rows = _events(t).select("user_id", "event_id", "event_type")
     path = shared_dir(t.spark, "table")
     incremental.upsert_stream(rows, path, "user_id", shared_dir(t.spark, "checkpoint"), order="event_id").awaitTermination()
-    return t.spark.read.parquet(path)
+    return incremental.stored_rows(t.spark, path, rows.schema, "user_id", "event_id").read()
 
 
 @query("SELECT user_id, count(*) AS n FROM (SELECT DISTINCT user_id FROM events) GROUP BY 1")
@@ -532,6 +533,52 @@ def stream_first(t: Tables) -> DataFrame:
     return t.spark.read.schema("user_id bigint").parquet(path).groupBy("user_id").agg(F.count("*").alias("n"))
 
 
+_BEST = "CASE WHEN length(event_type || '/' || user_id) > 6 THEN event_type || '/' || user_id ELSE event_type || '/' || user_id || '#' || event_id END"
+
+
+@query(f"SELECT key, event_id, value, event_type FROM (SELECT {_BEST} AS key, event_id, value, event_type, row_number() OVER (PARTITION BY {_BEST} ORDER BY value DESC, event_id) AS k FROM events WHERE value IS NOT NULL) WHERE k = 1")
+def stream_keep_best(t: Tables) -> DataFrame:
+    """The best row of each key while rows arrive in no order, stored by key; keys of few letters are too vague and keep all
+    their rows."""
+    rows = _events(t)
+    key = F.concat("event_type", F.lit("/"), F.col("user_id").cast("string"))
+    rows = rows.withColumn("key", F.when(F.length(key) > 6, key).otherwise(F.concat(key, F.lit("#"), F.col("event_id").cast("string"))))
+    best = stateful.keep_best_stream(rows.select("key", "event_id", "value", "event_type"), "key", "value", "event_id")
+    best = best.withColumn("rank", F.struct("value", -F.col("event_id")))
+    path = shared_dir(t.spark, "best")
+    incremental.upsert_stream(best, path, "key", shared_dir(t.spark, "checkpoint"), order="rank").awaitTermination()
+    return incremental.stored_rows(t.spark, path, best.schema, "key", "rank").read().drop("rank")
+
+
+@query("""WITH e AS (SELECT user_id, event_id, event_type, first_value(value / 5) OVER w AS before, value / 5 AS avg, row_number() OVER (PARTITION BY user_id, event_id % 50 ORDER BY event_id DESC) AS k FROM events WINDOW w AS (PARTITION BY user_id, event_id % 50 ORDER BY event_id))
+SELECT event_type AS status, least(greatest(trunc(before * 10)::INTEGER, 0), 99) AS r, least(greatest(50 + trunc((avg - before) * 10)::INTEGER, 0), 99) AS c, count(*) AS n FROM e WHERE k = 1 GROUP BY 1, 2, 3""")
+def stream_transfer_counts(t: Tables) -> DataFrame:
+    """A transfer matrix by status kept up to date by signed changes: a paper's event takes it out of its old cell and puts
+    it into a new one; events come in no order. The initial scores are a static snapshot."""
+    paper = lambda: F.concat(F.col("user_id").cast("string"), F.lit("/"), (F.col("event_id") % 50).cast("string"))
+    initial = t.events.groupBy(paper().alias("id")).agg((F.min_by("value", "event_id") / 5).alias("avg"))
+    rows = incremental.snapshot_changes(_events(t).withColumn("id", paper()), initial)
+    r, c = scores.transfer_cell(F.col("before"), F.col("value") / 5)
+    cells = rows.select("id", "event_id", F.col("event_type").alias("status"), r.alias("r"), c.alias("c"))
+    changes = stateful.cell_changes(cells, "id", "event_id", ["status", "r", "c"])
+    path = shared_dir(t.spark, "cells")
+    incremental.count_stream(changes, path, ["status", "r", "c"], shared_dir(t.spark, "checkpoint")).awaitTermination()
+    return incremental.stored_counts(t.spark, path, changes.schema, ["status", "r", "c"]).read()
+
+
+@query("""WITH o AS (SELECT user_id, CASE event_type WHEN 'purchase' THEN 'success' WHEN 'error' THEN 'failed' ELSE 'no_record' END AS outcome, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS k FROM events),
+f AS (SELECT user_id, count(*) AS n, min(k) FILTER (outcome <> 'no_record') AS final, arg_min(outcome, k) FILTER (outcome <> 'no_record') AS how FROM o GROUP BY 1)
+SELECT user_id::VARCHAR AS title, least(coalesce(final, n), 4, n)::INTEGER AS tries, CASE WHEN final <= 4 THEN how WHEN n >= 4 THEN 'no_record' ELSE 'pending' END AS status FROM f""")
+def stream_retries(t: Tables) -> DataFrame:
+    """Final states and tries of tasks whose outcomes are replayed: three more tries after no record."""
+    outcome = F.when(F.col("event_type") == "purchase", "success").when(F.col("event_type") == "error", "failed").otherwise("no_record")
+    rows = _events(t, in_order=True).select(F.col("user_id").cast("string").alias("title"), F.col("event_id").alias("order"), outcome.alias("outcome"), F.col("ts").alias("time")).withWatermark("time", "1 day")
+    states = stateful.retry_stream(rows, most=3, forget_ms=3650 * 86_400_000).where("event = 'outcome'").select("title", "tries", "status")
+    path = shared_dir(t.spark, "tasks")
+    incremental.upsert_stream(states, path, "title", shared_dir(t.spark, "checkpoint"), order="tries").awaitTermination()
+    return incremental.stored_rows(t.spark, path, states.schema, "title", "tries").read()
+
+
 @query("SELECT event_id, event_type, n AS before FROM events JOIN (SELECT user_id, count(*)::DOUBLE AS n FROM events GROUP BY 1) USING (user_id)")
 def stream_snapshot_changes(t: Tables) -> DataFrame:
     path = shared_dir(t.spark, "changes")

@@ -4,22 +4,45 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from foliant.functions.scores import histogram_bin
-from foliant.sinks import save_upsert
+from foliant.upserts import BucketTable, latest, summed
 
 
-def upsert_stream(stream: DataFrame, path: str, key: str, checkpoint: str, order: str | None = None) -> StreamingQuery:
-    """Each micro-batch replaces stored rows by key; of rows that repeat a key in a batch the one of highest order stays."""
+def upsert_stream(stream: DataFrame, path: str, key: str, checkpoint: str, order: str | None = None, buckets: int = 64) -> StreamingQuery:
+    """Stored rows by key in a BucketTable: of rows that share a key the one of highest order (the key's own column if none
+    is given) stays, whichever batch it comes in. A batch that runs again after a failure is merged once."""
+    schema = stream.schema
 
-    def merge(batch: DataFrame, _: int) -> None:
-        rows = batch.groupBy(key).agg(F.max_by(F.struct(*batch.columns), order or key).alias("r")).select("r.*")
-        save_upsert(rows, path, key)
+    def merge(batch: DataFrame, number: int) -> None:
+        stored_rows(batch.sparkSession, path, schema, key, order, buckets).merge(batch, checkpoint, number)
 
-    return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return stream.writeStream.foreachBatch(merge).outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def stored_rows(spark: SparkSession, path: str, schema: StructType, key: str, order: str | None = None, buckets: int = 64) -> BucketTable:
+    """The table that upsert_stream() writes."""
+    return BucketTable(spark, path, schema, [key], latest(key, order or key, schema.names), buckets)
+
+
+def count_stream(changes: DataFrame, path: str, cell: list[str], checkpoint: str, buckets: int = 8) -> StreamingQuery:
+    """Counts by cell kept up to date from signed changes (see stateful.cell_changes), compacted in a BucketTable: a row for
+    each cell that is not empty, however long the stream."""
+    schema = changes.schema
+
+    def merge(batch: DataFrame, number: int) -> None:
+        stored_counts(batch.sparkSession, path, schema, cell, buckets).merge(batch, checkpoint, number)
+
+    return changes.writeStream.foreachBatch(merge).outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def stored_counts(spark: SparkSession, path: str, schema: StructType, cell: list[str], buckets: int = 8) -> BucketTable:
+    """The table that count_stream() writes."""
+    return BucketTable(spark, path, schema, cell, summed(cell, "n"), buckets)
 
 
 def histogram_stream(stream: DataFrame, value: str, time: str, window: str = "1 day", late: str = "1 day", top: float = 10.0) -> DataFrame:
