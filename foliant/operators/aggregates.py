@@ -20,10 +20,15 @@ def histogram(df: DataFrame, value: Column, by: tuple[str, ...] = (), top: float
 def histogram_cube(df: DataFrame, value: Column, dims: list[tuple[str, ...]], top: float = 10.0) -> DataFrame:
     """Histograms under several groupings in one pass: columns of all groupings ('overall' where one is summed over)."""
     columns = list(dict.fromkeys(c for d in dims for c in d))
-    rows = df.select(*columns, histogram_bin(value, top).alias("bin"))
-    sets = ", ".join("(" + ", ".join([*d, "bin"]) + ")" for d in dims)
+    return count_cube(df.select(*columns, histogram_bin(value, top).alias("bin")), ("bin",), dims)
+
+
+def count_cube(rows: DataFrame, fixed: tuple[str, ...], dims: list[tuple[str, ...]]) -> DataFrame:
+    """Counts by the fixed columns under several groupings of others in one pass; 'overall' where one is summed over."""
+    columns = list(dict.fromkeys(c for d in dims for c in d))
+    sets = ", ".join("(" + ", ".join([*d, *fixed]) + ")" for d in dims)
     names = ", ".join(f"CASE WHEN grouping({c}) = 1 THEN 'overall' ELSE {c} END AS {c}" for c in columns)
-    return df.sparkSession.sql(f"SELECT {names}, bin, count(*) AS n FROM {{rows}} GROUP BY GROUPING SETS ({sets})", rows=rows)
+    return rows.sparkSession.sql(f"SELECT {names}, {', '.join(fixed)}, count(*) AS n FROM {{rows}} GROUP BY GROUPING SETS ({sets})", rows=rows)
 
 
 def dense_string(hist: DataFrame, by: tuple[str, ...], bins: int = BINS) -> DataFrame:
@@ -115,6 +120,40 @@ def topk_authors(df: DataFrame, names: Column, ids: Column, statuses: list[str],
     return out.select("name", shown.alias("author_id"), "total", *[f"c{i}" for i in range(len(statuses))], "first_seen").orderBy(F.desc("total"), "first_seen").limit(k)
 
 
+def named(items: Column) -> Column:
+    """Items for top_lists() that are counted by their names."""
+    return F.transform(items, lambda x: F.struct(x.alias("key"), x.alias("name")))
+
+
+def identified(names: Column, ids: Column) -> Column:
+    """Names for top_lists() that are counted by their ids where they have one; nothing where the lists differ in length,
+    unless there are no ids at all."""
+    zipped = F.transform(F.arrays_zip(names.alias("names"), ids.alias("ids")), lambda x: F.struct(F.coalesce(F.nullif(x["ids"], F.lit("")), x["names"]).alias("key"), x["names"].alias("name")))
+    return F.when((F.size(ids) == F.size(names)) | (F.size(ids) == 0), zipped)
+
+
+def top_lists(df: DataFrame, lists: dict[str, Column], statuses: list[str] | None, *, by: tuple[str, ...] = ("track",), k: int = 200, row_ix: str = "row_ix", most: int = 1 << 20) -> DataFrame:
+    """The k most frequent items of several lists by group, in one scan: by.., list, rank, name, key, total, one count a
+    status (c0, c1, ..) and first_seen. rank is by total, items that were seen first before others.
+
+    lists: by name, arrays of (key, name); null ones are empty, and so are items without a name. statuses: rows of others do
+    not count; None: all rows count, and there are no counts by status. Counts are partial before they are shuffled, and each
+    task passes k items of a list on at most, so neither a frequent item nor a large group meets in one task.
+    """
+    def tagged(name: str, items: Column) -> Column:
+        own = F.transform(items, lambda x, i: F.struct(F.lit(name).alias("list"), x["key"].alias("key"), x["name"].alias("name"), i.alias("pos")))
+        return F.coalesce(own, F.array().cast("array<struct<list:string,key:string,name:string,pos:int>>"))
+
+    rows = df if statuses is None else df.where(F.col("status").isin(*statuses))
+    status = [] if statuses is None else [F.col("status")]
+    flat = rows.select(*by, *status, F.col(row_ix).alias("__ix"), F.explode(F.concat(*[tagged(n, x) for n, x in lists.items()])).alias("e")).where("e.name != ''")
+    flat = flat.select(*by, *status, "e.list", "e.key", "e.name", (F.col("__ix") * F.lit(most) + F.col("e.pos")).alias("seen"))
+    counts = [F.sum(F.when(F.col("status") == s, 1).otherwise(0)).cast("bigint").alias(f"c{i}") for i, s in enumerate(statuses or ())]
+    found = flat.groupBy(*by, "list", "key").agg(F.min_by("name", "seen").alias("name"), F.count("*").alias("total"), *counts, F.min("seen").alias("first_seen"))
+    ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy(*by, "list").orderBy(F.desc("total"), "first_seen")))
+    return ranked.where(F.col("rank") <= k).select(*by, "list", "rank", "name", "key", "total", *[f"c{i}" for i in range(len(counts))], "first_seen")
+
+
 def topk_string(top: DataFrame, n_statuses: int) -> DataFrame:
     """'name:total:c0,c1;..' of a top-k list: k entries at most."""
     cell = F.concat_ws(":", "name", F.col("total").cast("string"), F.concat_ws(",", *[F.col(f"c{i}").cast("string") for i in range(n_statuses)]))

@@ -9,6 +9,7 @@ from foliant.functions import arrays, scores
 from foliant.operators import aggregates as A
 from foliant.operators import joins as J
 from foliant.operators import rows as R
+from foliant.plans import venue
 from foliant.plans.registry import query
 from foliant.plans.views import INITIAL, LISTS, PAPERS, REVIEWS, SCORES, STATUSES, Tables
 
@@ -141,6 +142,49 @@ SELECT arg_min(name, row_ix * 1048576 + pos) AS name, key AS author_id, count(*)
 _register_topk()
 
 
+def _track_papers(t: Tables) -> DataFrame:
+    """Papers with their four lists as ';'-joined text; some affiliations are withheld, some authors have no id."""
+    lists = t.affiliation_lists()
+    more = t.papers().select("row_ix", F.col("primary_area").alias("track"), F.concat_ws(";", "position", F.col("year").cast("string")).alias("position"))
+    odd = F.col("row_ix") % 5 == 0
+    affs = F.when(odd, F.concat(F.lit("double-blind review;"), F.array_join("affs", ";"))).otherwise(F.array_join("affs", ";"))
+    ids = F.when(F.col("row_ix") % 7 == 0, "").when(F.col("row_ix") % 11 == 0, "one").otherwise(F.array_join("ids", ";"))
+    columns = [affs.alias("aff"), F.array_join("names", ";").alias("author"), ids.alias("authorids"), F.concat_ws(";", "status", "aff1").alias("keywords")]
+    return lists.withColumn("aff1", F.get("affs", F.lit(0))).join(more, "row_ix").select("row_ix", "status", "track", "position", *columns)
+
+
+def _lists_sql(statuses: list[str] | None) -> str:
+    wanted = f"WHERE status IN ({', '.join(repr(s) for s in statuses)})" if statuses else ""
+    parts = {f"{c}_{m}": (_MODES[m].format(c), _MODES[m].format(c)) for c, modes in {"aff": ("all", "unique", "first", "last"), "position": ("all", "unique", "first", "last"), "keywords": ("all", "first")}.items() for m in modes}
+    parts |= {f"author_{m}": (_MODES[m].format("author"), _MODES[m].format("keys")) for m in ("all", "first", "last")}
+    rows = " UNION ALL ".join(f"SELECT track, status, row_ix, '{n}' AS list, unnest({names}) AS name, unnest({keys}) AS key, unnest(range(len({keys}))) AS pos FROM p {wanted}" for n, (names, keys) in parts.items())
+    counts = "".join(f", count(*) FILTER (status = '{s}') AS c{i}" for i, s in enumerate(statuses or ()))
+    return f"""WITH {PAPERS}, {LISTS}, l AS (SELECT lists.*, papers.status, primary_area AS track, [position, year::VARCHAR] AS position FROM lists JOIN papers USING (row_ix)),
+p AS (SELECT row_ix, status, track, CASE WHEN row_ix % 5 = 0 THEN list_prepend('double-blind review', affs) ELSE affs END AS aff, list_filter(position, lambda x: x IS NOT NULL) AS position, [status, affs[1]] AS keywords,
+ CASE WHEN row_ix % 7 <> 0 AND row_ix % 11 = 0 AND len(names) <> 1 THEN [] ELSE names END AS author, CASE WHEN row_ix % 7 = 0 THEN names WHEN row_ix % 11 = 0 THEN CASE WHEN len(names) = 1 THEN ['one'] ELSE [] END ELSE ids END AS keys FROM l),
+flat AS ({rows}), g AS (SELECT track, list, key, arg_min(name, row_ix * 1048576 + pos) AS name, count(*) AS total{counts}, min(row_ix * 1048576 + pos) AS first_seen FROM flat WHERE name <> '' AND NOT contains(name, 'double-blind') GROUP BY 1, 2, 3)
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY track, list ORDER BY total DESC, first_seen)::INTEGER AS rank FROM g) WHERE rank <= 200"""
+
+
+@query(_lists_sql(STATUSES))
+def top_lists_by_track(t: Tables) -> DataFrame:
+    """Thirteen lists of every track, from one scan."""
+    return venue.top_lists(_track_papers(t), STATUSES)
+
+
+@query(_lists_sql(None))
+def top_lists_without_status(t: Tables) -> DataFrame:
+    """The same where a venue's statuses are not told apart."""
+    return venue.top_lists(_track_papers(t), None)
+
+
+@query(f"""WITH {_SCORED}, b AS (SELECT 'rating' AS dim, status AS tier, primary_area AS area, {bin_sql('avg')} AS bin FROM scored UNION ALL SELECT 'replies', status, primary_area, {bin_sql('n::DOUBLE', 100.0)} FROM scored)
+SELECT dim, coalesce(tier, 'overall') AS tier, coalesce(area, 'overall') AS area, bin, count(*) AS n FROM b GROUP BY GROUPING SETS ((dim, tier, area, bin), (dim, tier, bin), (dim, area, bin), (dim, bin))""")
+def venue_summaries(t: Tables) -> DataFrame:
+    """All histograms of two dimensions and all their groupings, from one scan."""
+    return venue.summaries(t.scored_papers().withColumnsRenamed({"avg": "rating_avg", "n": "replies"}), ("rating", "replies"))
+
+
 @query(f"WITH {PAPERS}, p AS (SELECT row_ix, status, [position] AS items FROM papers WHERE position IS NOT NULL) {_topk_sql('items', 'p')}")
 def topk_positions(t: Tables) -> DataFrame:
     return A.topk(t.papers().where("position is not null"), F.array("position"), STATUSES)

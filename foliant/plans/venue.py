@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from foliant.functions.scores import histogram_bin
 from foliant.functions.text import semicolon_list
 from foliant.operators import aggregates as A
 from foliant.operators import fuzzy
@@ -40,26 +41,29 @@ def resolve(site: DataFrame, platform: DataFrame, venue: str, *, block: str = "b
 
 
 def summaries(papers: DataFrame, dimensions: tuple[str, ...], *, tier: str = "status", area: str = "primary_area") -> DataFrame:
-    """(dim, tier, area, bin, n): the long fact table of a track's histograms, all groupings included.
+    """(dim, tier, area, bin, n): the long fact table of a track's histograms, all groupings included, from one scan.
 
     replies and authors# have bins up to 100, all others up to 10.
     """
-    parts = []
-    for d in dimensions:
-        top = 100.0 if d in ("replies", "authors#") else 10.0
-        rows = papers.select(F.col(tier).alias("tier"), F.coalesce(F.nullif(F.col(area), F.lit("")), F.lit("Others")).alias("area"), F.col(f"`{d}_avg`" if f"{d}_avg" in papers.columns else f"`{d}`").cast("double").alias("x"))
-        parts.append(A.histogram_cube(rows, F.col("x"), [("tier", "area"), ("tier",), ("area",), ()], top).withColumn("dim", F.lit(d)))
-    return union(*parts)
+    bins = [F.struct(F.lit(d).alias("dim"), histogram_bin(F.col(f"`{d}_avg`" if f"{d}_avg" in papers.columns else f"`{d}`").cast("double"), 100.0 if d in ("replies", "authors#") else 10.0).alias("bin")) for d in dimensions]
+    rows = papers.select(F.col(tier).alias("tier"), F.coalesce(F.nullif(F.col(area), F.lit("")), F.lit("Others")).alias("area"), F.explode(F.array(*bins)).alias("b")).select("b.dim", "tier", "area", "b.bin")
+    return A.count_cube(rows, ("dim", "bin"), [("tier", "area"), ("tier",), ("area",), ()])
 
 
-def top_lists(papers: DataFrame, statuses: list[str], k: int = 200) -> dict[str, DataFrame]:
-    """The thirteen lists of a track: affiliations, authors, positions and keywords by their modes."""
-    df = papers
-    lists = {"aff": ("all", "unique", "first", "last"), "position": ("all", "unique", "first", "last"), "keywords": ("all", "first")}
-    out = {f"{c}_{m}": A.topk(df, semicolon_list(F.col(c)), statuses, mode=m, k=k, without="double-blind" if c == "aff" else None) for c, modes in lists.items() for m in modes}
+def top_lists(papers: DataFrame, statuses: list[str] | None, *, track: str = "track", k: int = 200) -> DataFrame:
+    """The thirteen lists of every track in one scan: affiliations, authors, positions and keywords by their modes.
+
+    statuses: None where a venue's statuses are not to be told apart: all papers count.
+    """
+    lists = {}
+    for column, modes in {"aff": ("all", "unique", "first", "last"), "position": ("all", "unique", "first", "last"), "keywords": ("all", "first")}.items():
+        items = semicolon_list(F.col(column))
+        if column == "aff":  # a blank item keeps its place and isn't counted
+            items = F.transform(items, lambda x: F.when(F.contains(x, F.lit("double-blind")), "").otherwise(x))
+        lists |= {f"{column}_{m}": A.named(A.picked(items, m)) for m in modes}
     for m in ("all", "first", "last"):
-        out[f"author_{m}"] = A.topk_authors(df, semicolon_list(F.col("author")), semicolon_list(F.col("authorids")), statuses, mode=m, k=k)
-    return out
+        lists[f"author_{m}"] = A.picked(A.identified(semicolon_list(F.col("author")), semicolon_list(F.col("authorids"))), m)
+    return A.top_lists(papers, lists, statuses, by=(track,), k=k)
 
 
 def server_row(summary: DataFrame, meta: DataFrame, tiers: list[str], key: str = "conference") -> DataFrame:
