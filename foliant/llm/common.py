@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 import os
 import tempfile
 import uuid
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -75,8 +77,27 @@ def id_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
+@lru_cache
+def _trim():
+    """glibc's malloc_trim, where there is one."""
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (OSError, AttributeError):
+        return None
+
+
+def release_memory() -> None:
+    """Gives freed memory back: Python workers live on from task to task and share a machine with the next ones."""
+    pa.default_memory_pool().release_unused()
+    if trim := _trim():
+        trim(0)
+
+
 def slices(batch: pa.RecordBatch, text: str = "text", chars: int = SLICE_CHARS) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
-    """Row slices of a batch whose texts hold about `chars` characters; a longer text is a slice of its own."""
+    """Row slices of a batch whose texts hold about `chars` characters; a longer text is a slice of its own.
+
+    Memory that a batch has freed is given back after it.
+    """
     place = batch.schema.get_field_index(text)
     begin = total = 0
     sizes = pc.fill_null(pc.utf8_length(batch.column(place)), 0).to_pylist()
@@ -86,6 +107,7 @@ def slices(batch: pa.RecordBatch, text: str = "text", chars: int = SLICE_CHARS)
             yield part, part.column(place).to_pylist()
             begin, total = i, 0
         total += n
+    release_memory()
 
 
 def sha256_hex(text: str) -> str:

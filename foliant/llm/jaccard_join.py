@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from foliant.llm.common import id_text, removed, renamed_apart, slices, with_names, written
+from foliant.llm.common import id_text, release_memory, removed, renamed_apart, slices, with_names, written
 from foliant.llm.components import components
 from foliant.llm.textcodes import mix, shingles, space_words
 
@@ -320,6 +320,7 @@ def _by_tile(work: Callable[[dict], dict], names: list[str]):
                 last = tile[a]
         if held:
             yield from done(held)
+        release_memory()
 
     return run
 
