@@ -80,13 +80,33 @@ def meta_only(meta: DataFrame, stats: DataFrame, key: str = "conference") -> Dat
 
 
 def at_date(entries: DataFrame, points: DataFrame, *, on: str, start: str = "start", end: str = "end", at: str = "at", value: str = "value", order: str = "ord", now: int) -> DataFrame:
-    """The last entry (by order) whose interval holds the point; blank starts are 0, blank ends are `now`.
+    """The last entry (by order) whose interval holds the point; blank starts are 0, blank ends are `now`. A row for each
+    different row of points.
 
-    Interval and key are one join condition, so only intervals of the same key meet.
+    Intervals are cut into pieces that start at multiples of their lengths, powers of two; a date lies in one piece of each
+    length, so points and intervals meet by equality. Of a piece's entries the last one stays before they meet, and equal
+    points of a key are one, so rows grow with entries and points times the logarithm of the points' span, for any key.
     """
-    e = entries.withColumns({"__s": F.coalesce(F.expr(f"try_cast({start} as int)"), F.lit(0)), "__e": F.coalesce(F.expr(f"try_cast({end} as int)"), F.lit(now))})
-    j = points.join(e.select(on, "__s", "__e", F.col(value).alias("__v"), F.col(order).alias("__o")), (points[on] == e[on]) & (F.col("__s") <= F.col(at)) & (F.col(at) <= F.col("__e")), "left").drop(e[on])
-    return j.groupBy(*points.columns).agg(F.max_by("__v", "__o").alias(value))
+    span = points.agg(F.min(at).alias("lo"), F.max(at).alias("hi")).first()
+    lo, hi = (int(span.lo), int(span.hi)) if span.lo is not None else (0, 0)
+    levels = F.sequence(F.lit(0), F.lit((hi - lo).bit_length()))
+    s, e = F.coalesce(F.expr(f"try_cast({start} as int)"), F.lit(0)), F.coalesce(F.expr(f"try_cast({end} as int)"), F.lit(now))
+    # Within the points' span, as [a, b) from 0.
+    own = entries.select(F.col(on).alias("__k"), F.greatest(s - lo, F.lit(0)).cast("long").alias("a"), (F.least(e, F.lit(hi)) - lo + 1).cast("long").alias("b"), F.struct(F.col(order).alias("o"), F.col(value).alias("v")).alias("last")).where("a < b")
+
+    def pieces(j: Column) -> Column:
+        size = F.pow(F.lit(2), j).cast("long")
+        left, right = F.ceil(F.col("a") / size), F.floor(F.col("b") / size)
+        odd = lambda here, place: F.when((left < right) & (here % 2 == 1), F.struct(j.alias("j"), place.alias("p")))
+        return F.array(odd(left, left), odd(right, right - 1))
+
+    cut = F.filter(F.flatten(F.transform(levels, pieces)), lambda x: x.isNotNull())
+    best = own.select("__k", "last", F.explode(cut).alias("x")).groupBy("__k", F.col("x.j").alias("j"), F.col("x.p").alias("p")).agg(F.max("last").alias("last"))
+    dates = points.select(F.col(on).alias("__k"), F.col(at).cast("long").alias("__at")).distinct()
+    asked = dates.select("__k", "__at", F.explode(F.transform(levels, lambda j: F.struct(j.alias("j"), F.floor((F.col("__at") - lo) / F.pow(F.lit(2), j).cast("long")).alias("p")))).alias("x"))
+    found = asked.select("__k", "__at", "x.j", "x.p").join(best, ["__k", "j", "p"]).groupBy("__k", "__at").agg(F.max("last").alias("last"))
+    rows = points.distinct()
+    return rows.join(found, (rows[on] == F.col("__k")) & (rows[at] == F.col("__at")), "left").select(*[rows[c] for c in points.columns], F.col("last.v").alias(value))
 
 
 def ordered_lookup(rows: DataFrame, array_col: str, table: DataFrame, key: str, value: str, row_key: str = "id") -> DataFrame:

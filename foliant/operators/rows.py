@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from foliant.operators.scans import carried
+
 
 def carry_forward(df: DataFrame, column: str, partition: str, order: str = "row_ix") -> DataFrame:
-    """Blank cells take the last value above them in their table."""
-    w = Window.partitionBy(partition).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.withColumn(column, F.last(F.nullif(F.col(column), F.lit("")), ignorenulls=True).over(w))
+    """Blank cells take the last value above them in their table, which may be of any size."""
+    return carried(df, column, partition, order)
 
 
 def keep_best(df: DataFrame, key: Column, score: str, order: str = "row_ix", short: int = 10) -> DataFrame:

@@ -275,6 +275,13 @@ def carry_forward(t: Tables) -> DataFrame:
     return R.carry_forward(_forms(t), "open2public", "id").select("row_ix", "open2public")
 
 
+@query("SELECT event_id AS row_ix, last_value(CASE WHEN event_id % 97 = 0 THEN event_type END IGNORE NULLS) OVER (ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS kind FROM events")
+def carry_forward_one_sheet(t: Tables) -> DataFrame:
+    """One sheet of all rows, few of which have a value."""
+    rows = t.events.select(F.lit("sheet").alias("sheet"), F.col("event_id").alias("row_ix"), F.when(F.col("event_id") % 97 == 0, F.col("event_type")).otherwise("").alias("kind"))
+    return R.carry_forward(rows, "kind", "sheet").select("row_ix", "kind")
+
+
 @query("SELECT c_custkey AS key, c_name AS name, NULL::BIGINT AS size FROM customer UNION ALL SELECT s_suppkey, s_name, 1::BIGINT FROM supplier")
 def union_leftovers(t: Tables) -> DataFrame:
     a = t.customer.select(F.col("c_custkey").alias("key"), F.col("c_name").alias("name"))

@@ -15,6 +15,7 @@ from foliant.operators import aggregates as A
 from foliant.operators import filters as P
 from foliant.operators import joins as J
 from foliant.operators import rows as R
+from foliant.operators import scans
 from foliant.plans import forms, notes, venue
 from foliant.plans.registry import query
 from foliant.plans.views import PAPERS, Tables
@@ -105,6 +106,21 @@ def sheet_scan(t: Tables) -> DataFrame:
     return files.sheet(t.spark, folder, content_start=3)
 
 
+@query("SELECT o_orderkey::VARCHAR AS id, row_number() OVER (ORDER BY o_orderkey) - 1 AS row_ix FROM orders QUALIFY row_number() OVER (ORDER BY o_orderkey) >= 3")
+def sheet_of_many_files(t: Tables) -> DataFrame:
+    """A sheet in as many files as there are partitions, whose rows are numbered as one sheet's."""
+    folder = shared_dir(t.spark, "sheet")
+    t.orders.select(F.col("o_orderkey").alias("id")).repartitionByRange(7, "id").sortWithinPartitions("id").write.option("header", True).csv(folder)
+    return files.sheet(t.spark, folder, content_start=3)
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey, row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) - 1 AS row_ix FROM lineitem")
+def row_numbers(t: Tables) -> DataFrame:
+    """Numbers along a total order, without a task that sees all rows."""
+    rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    return scans.numbered(rows, "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").drop("l_suppkey")
+
+
 @query("SELECT n_nationkey::INTEGER AS k, n_name AS v FROM nation")
 def json_map_scan(t: Tables) -> DataFrame:
     """Entries whose key is no number go."""

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from foliant.functions.arrays import integer_keys
 from foliant.schema import strings
+from foliant.storage import stored
 
 
 def _or_empty(spark: SparkSession, schema: T.StructType, read) -> DataFrame:
@@ -49,11 +50,19 @@ def csv(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
 def sheet(spark: SparkSession, path: str, content_start: int = 1) -> DataFrame:
     """A form's sheet whose first row names the columns, from its row `content_start` on, with row_ix.
 
-    Rows are numbered within a file in order; a sheet is one file, read as one.
+    Rows are numbered from 0 without gaps: files in order of their names, rows in order within a file. A sheet of many files
+    is numbered as one, each file counting its rows and then starting after those before it.
     """
     raw = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path).na.fill("")
-    numbered = raw.withColumn("row_ix", F.monotonically_increasing_id())
-    return numbered.where(F.col("row_ix") >= content_start - 1)
+    # A file of quoted line breaks is not split, so its rows are in one task, in order.
+    placed = raw.withColumns({"__file": F.col("_metadata.file_path"), "__at": F.monotonically_increasing_id()})
+    placed = stored(placed, "sheet")
+    sizes = placed.groupBy("__file").agg(F.count("*").alias("n"))  # a row a file
+    before = Window.partitionBy(F.lit(1)).orderBy("__file").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("__file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__start"))
+    own = F.row_number().over(Window.partitionBy("__file").orderBy("__at")) - 1
+    numbered = placed.withColumn("row_ix", own.cast("bigint")).join(starts, "__file").withColumn("row_ix", F.col("row_ix") + F.col("__start"))
+    return numbered.where(F.col("row_ix") >= content_start - 1).drop("__file", "__at", "__start")
 
 
 def excel(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
