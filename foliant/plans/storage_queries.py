@@ -160,34 +160,51 @@ def atom_scan(t: Tables) -> DataFrame:
     return files.atom_entries(t.spark, _written_text(t, feed.coalesce(1), "atom")).select(F.col("id").cast("bigint").alias("id"), "title")
 
 
-def pdf_of(lines: list[str], author: str) -> bytes:
-    """A small one-page PDF of lines in a plain font."""
-    body = "BT /F1 12 Tf 14 TL 40 760 Td " + " ".join(f"({x}) Tj T*" for x in lines) + " ET"
-    objects = ["<< /Type /Catalog /Pages 2 0 R >>", "<< /Type /Pages /Kids [3 0 R] /Count 1 >>", "<< /Type /Page /Parent 2 0 R /Contents 4 0 R >>", f"<< /Length {len(body)} >>\nstream\n{body}\nendstream", f"<< /Author ({author}) >>"]
-    return ("%PDF-1.4\n" + "\n".join(f"{i} 0 obj\n{o}\nendobj" for i, o in enumerate(objects, 1)) + "\ntrailer << /Root 1 0 R /Info 5 0 R >>\n%%EOF").encode("latin-1")
+def _stored_notes(t: Tables, rows: DataFrame, order: str, limit: int) -> str:
+    folder = shared_dir(t.spark, "pages")
+    rest.register(t.spark)
+    rest.store_pages(rows, folder, order, limit=limit)
+    return folder
 
 
-def numbered(url: str, offset: int, limit: int) -> list[dict]:
-    """A fetch without network: notes named by their numbers."""
-    return [{"id": f"{url}{i}", "half": i // 2} for i in range(offset, offset + limit)]
+_STORED = {"fetch": "foliant.sources.rest.stored_fetch", "count": "foliant.sources.rest.stored_count"}
 
 
-@query("SELECT i AS row_ix, 'n' || i AS id, (i // 2)::BIGINT AS half FROM (SELECT unnest(range(0, 2345)) AS i)")
+@query("SELECT row_number() OVER (ORDER BY event_id) - 1 AS row_ix, 'n' || event_id AS id, event_type AS kind FROM events")
 def paged_notes(t: Tables) -> DataFrame:
-    """Pages of 1,000 notes, each an input partition; the last one is short."""
-    rest.register(t.spark)
-    read = t.spark.read.format("paged_notes").option("url", "n").option("limit", 1000).option("total", 2345).option("fetch", f"{__name__}.numbered").load()
-    return read.select("row_ix", "id", F.get_json_object("note", "$.half").cast("bigint").alias("half"))
+    """Stored pages of 1,000 notes, each an input partition; the last one is short."""
+    notes = t.events.select("event_id", _joined("n", F.col("event_id")).alias("id"), F.col("event_type").alias("kind"))
+    folder = _stored_notes(t, notes, "event_id", 1000)
+    read = t.spark.read.format("paged_notes").options(url=folder, limit=1000, **_STORED).load()
+    return read.select("row_ix", "id", F.get_json_object("note", "$.kind").alias("kind"))
 
 
-@query("SELECT i AS row_ix, 'n' || i AS id FROM (SELECT unnest(range(0, 25)) AS i)")
+@query("SELECT row_number() OVER (ORDER BY s_suppkey) - 1 AS row_ix, 's' || s_suppkey AS id FROM supplier")
 def throttled_notes(t: Tables) -> DataFrame:
-    """With a gap one reader fetches all pages in turn."""
-    rest.register(t.spark)
-    read = t.spark.read.format("paged_notes").option("url", "n").option("limit", 10).option("total", 25).option("gap", 0.001).option("jitter", 0).option("fetch", f"{__name__}.numbered").load()
+    """With a gap between requests one reader fetches all pages in turn."""
+    folder = _stored_notes(t, t.supplier.select("s_suppkey", _joined("s", F.col("s_suppkey")).alias("id")), "s_suppkey", 40)
+    read = t.spark.read.format("paged_notes").options(url=folder, limit=40, gap=0.001, jitter=0, **_STORED).load()
     return read.select("row_ix", "id")
 
 
+@query("SELECT row_number() OVER (ORDER BY event_id) - 1 AS row_ix, 'n' || event_id AS id, event_type AS kind FROM events")
+def stream_paged_notes(t: Tables) -> DataFrame:
+    """The same pages as a stream of several micro-batches, stopped after some and started again."""
+    notes = t.events.select("event_id", _joined("n", F.col("event_id")).alias("id"), F.col("event_type").alias("kind"))
+    half = t.events.agg(F.expr("percentile_approx(event_id, 0.5)")).first()[0]
+    folder = _stored_notes(t, notes, "event_id", 1000)
+    out, checkpoint = shared_dir(t.spark, "notes"), shared_dir(t.spark, "checkpoint")
+    for rows in (2000, max(4000, int(half or 0) // 2)):
+        stream = t.spark.readStream.format("paged_notes").options(url=folder, limit=1000, batch=rows, checkpointLocation=checkpoint, **_STORED).load()
+        running = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(**({"availableNow": True} if rows == 2000 else {"processingTime": "0 seconds"})).start()
+        if rows == 2000:
+            running.awaitTermination()
+        else:
+            running.processAllAvailable()
+            running.stop()
+    return t.spark.read.schema("row_ix bigint, id string, note string").parquet(out).select("row_ix", "id", F.get_json_object("note", "$.kind").alias("kind"))
+
+
 # --- summaries --------------------------------------------------------------------------------------------------------------
 
 _HIST = "hist AS (SELECT r_name AS tier, n_name AS area, (n_nationkey || ';0*' || n_regionkey) AS s FROM nation JOIN region ON n_regionkey = r_regionkey)"

@@ -14,7 +14,12 @@ import urllib.parse
 import urllib.request
 from collections.abc import Callable, Iterator
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, SimpleDataSourceStreamReader
+import pyarrow.fs as pafs
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
+
+from foliant.operators.scans import numbered
 
 
 def get_with_retries(url: str, tries: int = 10, backoff: float = 0.5, timeout: float = 20, open_url: Callable = urllib.request.urlopen, sleep: Callable = time.sleep) -> bytes | None:
@@ -36,16 +41,26 @@ class Throttle:
         self.gap, self.jitter, self.failures, self.pause, self.clock, self.sleep = gap, jitter, failures, pause, clock, sleep
         self.last, self.failed = None, 0
 
-    def __call__(self, request: Callable[[], bytes | None]) -> bytes | None:
-        if self.last is not None and (wait := self.last + self.gap - self.clock()) > 0:
-            self.sleep(wait + random.uniform(0, self.jitter))
-        out = request()
-        self.last = self.clock()
-        self.failed = 0 if out is not None else self.failed + 1
-        if self.failed >= self.failures:
-            self.sleep(self.pause)
-            self.failed = 0
-        return out
+    def __call__(self, request: Callable[[], list | bytes | None], tries: int = 3) -> list | bytes:
+        """What the request gives, tried again after an OSError or None; the last error after all tries."""
+        for k in range(tries):
+            if self.last is not None and (wait := self.last + self.gap - self.clock()) > 0:
+                self.sleep(wait + random.uniform(0, self.jitter))
+            error = OSError("no answer")
+            try:
+                out = request()
+            except OSError as e:
+                out, error = None, e
+            self.last = self.clock()
+            self.failed = 0 if out is not None else self.failed + 1
+            if out is not None:
+                return out
+            if self.failed >= self.failures:
+                self.sleep(self.pause)
+                self.failed = 0
+            if k + 1 == tries:
+                raise error
+        raise ValueError("no tries")
 
 
 def http_fetch(url: str, offset: int, limit: int) -> list[dict]:
@@ -64,6 +79,45 @@ def http_count(url: str) -> int:
     return int(json.loads(body)["count"])
 
 
+def _files(folder: str) -> tuple[pafs.FileSystem, dict[int, list[str]]]:
+    """The file system of stored pages, and the files of each page."""
+    fs, path = pafs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
+    found: dict[int, list[str]] = {}
+    for f in fs.get_file_info(pafs.FileSelector(path, recursive=True, allow_not_found=True)):
+        parent = f.path.split("/")[-2]
+        if f.is_file and parent.startswith("page=") and not f.base_name.startswith((".", "_")):
+            found.setdefault(int(parent.removeprefix("page=")), []).append(f.path)
+    return fs, found
+
+
+def _lines(fs: pafs.FileSystem, files: list[str]) -> list[dict]:
+    rows = []
+    for f in sorted(files):
+        with fs.open_input_stream(f) as source:
+            rows += [json.loads(x) for x in source.read().decode().split("\n") if x]
+    return sorted(rows, key=lambda r: r["row_ix"])
+
+
+def store_pages(notes: DataFrame, folder: str, *order: str, limit: int = 1000) -> None:
+    """Notes as pages of `limit` rows along an order, for stored_fetch: JSON lines in folders page=<n>."""
+    rows = numbered(notes, *order, name="row_ix").withColumn("page", F.floor(F.col("row_ix") / limit))
+    rows.repartition("page").write.mode("append").partitionBy("page").json(folder)
+
+
+def stored_fetch(url: str, offset: int, limit: int) -> list[dict]:
+    """Rows of stored pages: a replay without network. A request may cover several pages, or parts of them."""
+    fs, found = _files(url)
+    pages = sorted(found)
+    size = len(_lines(fs, found[pages[0]])) if pages else 1  # every page but the last is full
+    rows = [r for p in range(offset // size, (offset + limit - 1) // size + 1) if p in found for r in _lines(fs, found[p])]
+    return [{k: v for k, v in r.items() if k != "row_ix"} for r in rows if offset <= r["row_ix"] < offset + limit]
+
+
+def stored_count(url: str) -> int:
+    fs, found = _files(url)
+    return _lines(fs, found[max(found)])[-1]["row_ix"] + 1 if found else 0
+
+
 def _named(name: str) -> Callable:
     module, _, attribute = name.rpartition(".")
     return getattr(importlib.import_module(module), attribute)
@@ -101,30 +155,50 @@ class _Reader(DataSourceReader):
             yield from _rows(throttle(lambda at=at, n=n: fetch(self.options["url"], at, n)), at)
 
 
-class _StreamReader(SimpleDataSourceStreamReader):
-    """Pages as a stream: the offset is the number of rows read so far."""
+class _StreamReader(DataSourceStreamReader):
+    """Pages as a stream: the offset is the number of rows planned so far. Each micro-batch takes `batch` rows at most, a
+    page a partition, which executors fetch. After a restart it goes on where the checkpoint's log of offsets ends."""
 
     def __init__(self, options) -> None:
-        self.options = options
+        self.options, self.at = options, None
 
     def initialOffset(self):
         return {"offset": 0}
 
-    def _fetch(self, offset: int, limit: int) -> list[dict]:
-        return _named(self.options.get("fetch", "foliant.sources.rest.http_fetch"))(self.options["url"], offset, limit)
-
-    def read(self, start):
-        notes = self._fetch(start["offset"], int(self.options.get("limit", 1000)))
-        return _rows(notes, start["offset"]), {"offset": start["offset"] + len(notes)}
+    def _logged(self) -> int:
+        """The last offset that the query has planned, from its checkpoint."""
+        if "checkpointLocation" not in self.options:
+            return 0
+        folder = self.options["checkpointLocation"]
+        fs, path = pafs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
+        logs = [f for f in fs.get_file_info(pafs.FileSelector(f"{path}/offsets", allow_not_found=True)) if f.base_name.isdigit()]
+        if not logs:
+            return 0
+        with fs.open_input_stream(max(logs, key=lambda f: int(f.base_name)).path) as source:
+            last = source.read().decode().strip().split("\n")[-1]
+        return json.loads(last)["offset"] if last.startswith("{") else 0
+
+    def latestOffset(self):
+        if self.at is None:
+            self.at = self._logged()
+        total = _named(self.options.get("count", "foliant.sources.rest.http_count"))(self.options["url"])
+        return {"offset": max(self.at, min(total, self.at + int(self.options.get("batch", 10_000))))}
+
+    def partitions(self, start, end):
+        self.at = max(self.at or 0, end["offset"])
+        limit = int(self.options.get("limit", 1000))
+        return [Page(x, min(limit, end["offset"] - x)) for x in range(start["offset"], end["offset"], limit)]
 
-    def readBetweenOffsets(self, start, end):
-        return _rows(self._fetch(start["offset"], end["offset"] - start["offset"]), start["offset"])
+    def read(self, partition: Page):
+        fetch = _named(self.options.get("fetch", "foliant.sources.rest.http_fetch"))
+        yield from _rows(fetch(self.options["url"], partition.offset, partition.limit), partition.offset)
 
 
 class PagedNotes(DataSource):
     """spark.read.format("paged_notes").option("url", ..).option("limit", 1000).load(): row_ix, id, note (JSON).
 
-    One input partition a page; with option gap (seconds between requests, jitter on top) one for all, read in turn.
+    One input partition a page; with option gap (seconds between requests, jitter on top) one for all, read in turn. As a
+    stream: `batch` rows at most in a micro-batch; `checkpointLocation`, that of the query, to go on after a restart.
     """
 
     @classmethod
@@ -137,7 +211,7 @@ class PagedNotes(DataSource):
     def reader(self, schema) -> DataSourceReader:
         return _Reader(self.options)
 
-    def simpleStreamReader(self, schema):
+    def streamReader(self, schema):
         return _StreamReader(self.options)
 
 
