@@ -13,6 +13,7 @@ from difflib import SequenceMatcher
 from html.parser import HTMLParser
 
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -183,6 +184,38 @@ PAGE = T.StructType(
 )
 
 
+class _Title(HTMLParser):
+    """Reads a page up to the end of its title."""
+
+    def __init__(self) -> None:
+        super().__init__(convert_charrefs=True)
+        self.inside, self.text = False, []
+
+    def handle_starttag(self, tag, attrs):
+        self.inside |= tag == "title"
+
+    def handle_endtag(self, tag):
+        self.inside &= tag != "title"
+
+    def handle_data(self, data):
+        if self.inside:
+            self.text.append(data)
+
+
+@F.pandas_udf(T.StringType())
+def page_title(html: pd.Series) -> pd.Series:
+    """The titles of pages; '' without one."""
+
+    def one(h: str | None) -> str:
+        p = _Title()
+        end = re.search("</title", h or "", re.IGNORECASE)
+        p.feed((h or "")[: end.end() + 1] if end else h or "")
+        p.close()
+        return _squeeze(p.text)
+
+    return html.map(one)
+
+
 @F.pandas_udf(PAGE)
 def parse_page(html: pd.Series) -> pd.DataFrame:
     """Title, language, visible text, anchors, headings and tables of pages that need not be well-formed."""
@@ -259,16 +292,19 @@ def extract_affiliations(text: pd.Series, authors: pd.Series) -> pd.Series:
 # --- phrases --------------------------------------------------------------------------------------------------------------
 
 
-def plain_phrase(phrase: str) -> str:
-    """Lower case, trimmed, with the spaces that tokenising leaves around hyphens and brackets removed."""
-    return phrase.strip().lower().replace(" - ", "-").replace("( ", "(").replace(" )", ")")
+def phrase(c: Column, normalise: Callable[[str], str] | None = None) -> Column:
+    """A keyword phrase in lower case, trimmed, without the spaces that tokenising leaves around hyphens and brackets.
 
-
-def phrase_udf(normalise: Callable[[str], str] = plain_phrase):
-    """A UDF for keyword phrases; `normalise` can be a lemmatiser, made on the worker."""
+    normalise: another rule, such as a lemmatiser, which is made and run on Python workers.
+    """
+    if normalise is None:
+        plain = F.lower(F.trim(c))
+        for old, new in ((" - ", "-"), ("( ", "("), (" )", ")")):
+            plain = F.replace(plain, F.lit(old), F.lit(new))
+        return plain
 
     @F.pandas_udf(T.StringType())
-    def run(phrase: pd.Series) -> pd.Series:
-        return phrase.map(lambda p: None if p is None else normalise(p))
+    def run(phrases: pd.Series) -> pd.Series:
+        return phrases.map(lambda p: None if p is None else normalise(p))
 
-    return run
+    return run(c)

@@ -252,7 +252,12 @@ def token_usage(df: DataFrame, by: str = "file") -> DataFrame:
     return df.select(by, F.explode("usage").alias("key", "n")).groupBy(by, "key").agg(F.sum("n").alias("n"))
 
 
+def compared_sums(hist: DataFrame, group: tuple[str, ...], over: str) -> DataFrame:
+    """The smallest and the largest sum among the values of `over` in each group, and whether they are equal."""
+    sums = hist.groupBy(*group, over).agg(F.sum("n").alias("s"))
+    return sums.groupBy(*group).agg(F.min("s").alias("lo"), F.max("s").alias("hi")).withColumn("equal", F.col("lo") == F.col("hi"))
+
+
 def unequal_sums(hist: DataFrame, group: tuple[str, ...], over: str) -> DataFrame:
     """Groups whose sums differ among the values of `over`: no rows if all is well."""
-    sums = hist.groupBy(*group, over).agg(F.sum("n").alias("s"))
-    return sums.groupBy(*group).agg(F.min("s").alias("lo"), F.max("s").alias("hi")).where("lo != hi")
+    return compared_sums(hist, group, over).where("not equal").drop("equal")

@@ -229,7 +229,7 @@ def range_guard(t: Tables) -> DataFrame:
     return P.range_guard(_forms(t), "avg", 5).select("row_ix", "avg")
 
 
-@query("SELECT o_orderkey::VARCHAR AS id, CASE WHEN o_orderkey % 10 = 0 THEN 'Unknown' WHEN o_orderkey % 4 = 1 THEN 'Poster' WHEN o_orderstatus = 'P' THEN 'Reject' ELSE o_orderstatus END AS status FROM orders".replace("o_orderkey::VARCHAR AS id", "CASE WHEN o_orderkey % 10 = 0 THEN o_orderkey || '-a' ELSE o_orderkey::VARCHAR END AS id"))
+@query("SELECT CASE WHEN o_orderkey % 10 = 0 THEN o_orderkey || '-a' ELSE o_orderkey::VARCHAR END AS id, CASE WHEN o_orderkey % 10 = 0 THEN 'Unknown' WHEN o_orderkey % 4 = 1 THEN 'Poster' WHEN o_orderstatus = 'P' THEN 'Reject' ELSE o_orderstatus END AS status FROM orders")
 def accepted_list(t: Tables) -> DataFrame:
     key = F.col("o_orderkey")
     df = t.orders.select(F.when(key % 10 == 0, F.concat(key.cast("string"), F.lit("-a"))).otherwise(key.cast("string")).alias("id"), F.when(F.col("o_orderstatus") == "P", "").otherwise(F.col("o_orderstatus")).alias("status"))

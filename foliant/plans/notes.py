@@ -23,7 +23,8 @@ def _list(name: str) -> Column:
 def decision(kind: str, replies: Column, pattern: str = "Decision") -> Column:
     """The raw decision by where it stands: venue, note_decision, reply_decision or type_plus_decision."""
     found = F.filter(replies, lambda r: F.contains(F.coalesce(r["invitation"], F.array_join(r["invitations"], " "), F.lit("")), F.lit(pattern)))
-    reply = F.try_element_at(F.transform(found, lambda r: F.coalesce(value_or_wrapped(F.try_element_at(r["content"], F.lit("decision"))), value_or_wrapped(F.try_element_at(r["content"], F.lit("recommendation"))))), F.lit(1))
+    said = F.transform(found, lambda r: F.coalesce(value_or_wrapped(F.try_element_at(r["content"], F.lit("decision"))), value_or_wrapped(F.try_element_at(r["content"], F.lit("recommendation")))))
+    reply = F.try_element_at(F.filter(said, lambda x: x.isNotNull()), F.lit(-1))  # the last that has one
     if kind == "venue":
         return _field("venue")
     if kind == "note_decision":

@@ -9,9 +9,11 @@ from foliant.functions import arrays, scores
 from foliant.operators import aggregates as A
 from foliant.operators import joins as J
 from foliant.operators import rows as R
+from foliant.operators.checks import checked
 from foliant.plans import venue
 from foliant.plans.registry import query
 from foliant.plans.views import INITIAL, LISTS, PAPERS, REVIEWS, SCORES, STATUSES, Tables
+from foliant.storage import shared_dir
 
 
 def _edges(top: float) -> str:
@@ -256,12 +258,10 @@ def scores_by_main(t: Tables) -> DataFrame:
     return s.select("id", F.array_join(F.transform("s", lambda x: x["main"].cast("string")), ";").alias("ratings"), F.array_join(F.transform("s", lambda x: x["o0"].cast("string")), ";").alias("confidences"))
 
 
-@query("SELECT user_id, arg_max(event_type, CASE event_type WHEN 'view' THEN 1 WHEN 'click' THEN 2 WHEN 'search' THEN 3 WHEN 'login' THEN 3 WHEN 'cart' THEN 3 ELSE 4 END) AS s FROM events GROUP BY 1".replace("arg_max(event_type,", "max(").replace(") AS s", ") AS prio"))
+@query("SELECT user_id, arg_max(event_type, CASE event_type WHEN 'view' THEN 1 WHEN 'click' THEN 2 WHEN 'signup' THEN 3 WHEN 'purchase' THEN 5 ELSE 4 END) AS event_type FROM events GROUP BY 1")
 def highest_status(t: Tables) -> DataFrame:
-    prio = {"view": 1, "click": 2, "search": 3, "login": 3, "cart": 3}
-    best = A.highest_status(t.events, "user_id", prio, "event_type", default=4)
-    rank = F.create_map(*[x for k, v in prio.items() for x in (F.lit(k), F.lit(v))])
-    return best.select("user_id", F.coalesce(F.try_element_at(rank, F.col("event_type")), F.lit(4)).alias("prio"))
+    """The event of highest priority of each user; kinds that have none come between."""
+    return A.highest_status(t.events, "user_id", {"view": 1, "click": 2, "signup": 3, "purchase": 5}, "event_type", default=4).select("user_id", "event_type")
 
 
 @query("SELECT p_type, p_partkey, row_number() OVER (PARTITION BY p_type ORDER BY p_retailprice DESC, p_partkey) AS rank FROM part")
@@ -269,20 +269,40 @@ def rank_within_category(t: Tables) -> DataFrame:
     return R.ranked(t.part, "p_type", F.desc("p_retailprice"), "p_partkey").select("p_type", "p_partkey", "rank")
 
 
-@query(f"WITH {_SCORED}, h AS (SELECT 'rating' AS dim, status, {bin_sql('avg')} AS bin, count(*) AS n FROM scored GROUP BY 1, 2, 3 UNION ALL SELECT 'replies', status, {bin_sql('n::DOUBLE', 100.0)}, count(*) FROM scored GROUP BY 1, 2, 3), s AS (SELECT status, dim, sum(n) AS s FROM h GROUP BY 1, 2) SELECT status, min(s)::BIGINT AS lo, max(s)::BIGINT AS hi FROM s GROUP BY 1 HAVING min(s) <> max(s)")
+@query(f"WITH {_SCORED}, h AS (SELECT 'rating' AS dim, status, {bin_sql('avg')} AS bin, count(*) AS n FROM scored GROUP BY 1, 2, 3 UNION ALL SELECT 'replies', status, {bin_sql('n::DOUBLE', 100.0)}, count(*) FROM scored GROUP BY 1, 2, 3), s AS (SELECT status, dim, sum(n) AS s FROM h GROUP BY 1, 2) SELECT status, min(s)::BIGINT AS lo, max(s)::BIGINT AS hi, min(s) = max(s) AS equal FROM s GROUP BY 1")
 def invariant_hist_sums(t: Tables) -> DataFrame:
     p = t.scored_papers()
     one = A.histogram(p, F.col("avg"), ("status",)).withColumn("dim", F.lit("rating"))
     two = A.histogram(p.withColumn("n", F.col("n").cast("double")), F.col("n"), ("status",), 100.0).withColumn("dim", F.lit("replies"))
-    return A.unequal_sums(one.unionByName(two), ("status",), "dim")
+    return A.compared_sums(one.unionByName(two), ("status",), "dim")
 
 
-@query(f"WITH {_PAIRS}, a AS (SELECT count(*) AS n FROM pairs), b AS (SELECT sum(n) AS n FROM (SELECT {_CELLS}, count(*) AS n FROM pairs GROUP BY 1, 2)) SELECT a.n AS lo, b.n::BIGINT AS hi FROM a, b WHERE a.n <> b.n")
+@query(f"WITH {_PAIRS}, a AS (SELECT count(*) AS n FROM pairs), b AS (SELECT sum(n) AS n FROM (SELECT {_CELLS}, count(*) AS n FROM pairs GROUP BY 1, 2)) SELECT least(a.n, b.n)::BIGINT AS lo, greatest(a.n, b.n)::BIGINT AS hi, a.n = b.n AS equal FROM a, b")
 def invariant_tsf_sums(t: Tables) -> DataFrame:
     pairs = _pairs(t)
     total = pairs.agg(F.count("*").alias("n")).withColumn("dim", F.lit("rows"))
     cells = A.transfer_matrix(pairs).select("n").withColumn("dim", F.lit("cells"))
-    return A.unequal_sums(total.unionByName(cells), (), "dim")
+    return A.compared_sums(total.unionByName(cells), (), "dim")
+
+
+@query(f"WITH {_SCORED} SELECT status, count(*) AS lo, count(*) + 1 AS hi FROM scored WHERE status = 'Oral' GROUP BY 1")
+def planted_sum_violation(t: Tables) -> DataFrame:
+    """One bin of one status counts a paper too many: the check names that status and no other."""
+    p = t.scored_papers()
+    hist = A.histogram(p, F.col("avg"), ("status",))
+    planted = hist.where("status = 'Oral'").groupBy("status").agg(F.min("bin").alias("bin"), F.lit(1).cast("bigint").alias("n"))
+    wrong = hist.unionByName(planted).withColumn("dim", F.lit("bins"))
+    rows = p.groupBy("status").agg(F.count("*").alias("n")).withColumn("dim", F.lit("rows"))
+    return A.unequal_sums(wrong.select("status", "dim", "n").unionByName(rows.select("status", "dim", "n")), ("status",), "dim")
+
+
+@query(f"""WITH {_SCORED} SELECT 'average in range' AS name, count(*) AS rows, count(*) FILTER (NOT (avg BETWEEN 0 AND 10)) AS violations, min(status) FILTER (NOT (avg BETWEEN 0 AND 10)) AS first, max(status) FILTER (NOT (avg BETWEEN 0 AND 10)) AS last FROM scored
+UNION ALL SELECT 'few reviews', count(*), count(*) FILTER (n > 6), min(status) FILTER (n > 6), max(status) FILTER (n > 6) FROM scored""")
+def inline_checks(t: Tables) -> DataFrame:
+    """Checks of scored papers, seen while their table is written, with the groups of what violates them."""
+    job = checked(t.scored_papers().select("id", "status", "avg", "n"), {"average in range": F.col("avg").between(0, 10), "few reviews": F.col("n") <= 6}, F.col("status"))
+    job.frame.write.parquet(shared_dir(t.spark, "scored"))
+    return t.spark.createDataFrame(job.report(), "name string, rows bigint, violations bigint, first string, last string")
 
 
 @query("WITH a AS (SELECT l_orderkey AS id, string_agg((CASE WHEN l_quantity::BIGINT % 3 = 0 THEN l_quantity::BIGINT ELSE 0 END)::VARCHAR, ';' ORDER BY l_partkey, l_suppkey, l_extendedprice, l_quantity) AS s, count(*) AS n FROM lineitem GROUP BY 1) SELECT id, s AS decoded, n FROM a")

@@ -16,7 +16,7 @@ from foliant.operators import filters as P
 from foliant.operators import joins as J
 from foliant.operators import rows as R
 from foliant.operators import scans
-from foliant.plans import forms, notes, venue
+from foliant.plans import forms, notes, variant_notes, venue
 from foliant.plans.registry import query
 from foliant.plans.views import PAPERS, Tables
 from foliant.schema import strings
@@ -41,7 +41,7 @@ def _one_object(df: DataFrame, key: str, value: str) -> DataFrame:
 # --- lists, sheets and documents --------------------------------------------------------------------------------------------
 
 
-@query("SELECT n_nationkey::VARCHAR AS id, n_name AS title, coalesce(nullif('', ''), 'none') AS status FROM nation")
+@query("SELECT n_nationkey::VARCHAR AS id, n_name AS title, 'none' AS status FROM nation")
 def paper_list_scan(t: Tables) -> DataFrame:
     rows = t.nation.agg(F.to_json(F.collect_list(F.struct(F.col("n_nationkey").cast("string").alias("id"), F.col("n_name").alias("title"), F.lit("none").alias("status")))).alias("value"))
     return files.paper_list(t.spark, _written_text(t, rows.coalesce(1), "list.json"), strings("id", "title", "status"))
@@ -404,9 +404,13 @@ def inverted_map(t: Tables) -> DataFrame:
     return t.customer.select("c_custkey", arrays.key_values(arrays.sorted_map(arrays.inverted_map(F.create_map(F.lit("a"), F.lit("x"), F.lit("c"), other)))).alias("inverted"))
 
 
-@query("SELECT c_custkey, '[Optional] Rating after Rebuttal' AS now, '[Optional] Rating after Revision' AS revised FROM customer")
+@query("SELECT event_id, event_id % 7 AS initial, CASE WHEN event_id % 3 = 0 THEN event_id % 5 END AS now, CASE WHEN event_id % 4 = 0 THEN event_id % 11 END AS revised FROM events")
 def rebuttal_columns(t: Tables) -> DataFrame:
-    return t.customer.select("c_custkey", F.lit(text.rebuttal_column("Initial Rating")).alias("now"), F.lit(text.rebuttal_column("Rating", "after Revision")).alias("revised"))
+    """A form's second-round answers, under the columns that its first-round ones name."""
+    k = F.col("event_id")
+    sheet = t.events.select("event_id", (k % 7).alias("Initial Rating"), F.when(k % 3 == 0, k % 5).alias("[Optional] Rating after Rebuttal"), F.when(k % 4 == 0, k % 11).alias("[Optional] Rating after Revision"))
+    second = [text.rebuttal_column("Initial Rating", s) for s in ("after Rebuttal", "after Revision")]
+    return sheet.select("event_id", F.col("Initial Rating").alias("initial"), F.col(f"`{second[0]}`").alias("now"), F.col(f"`{second[1]}`").alias("revised"))
 
 
 @query("SELECT c_custkey, '{\"a\": ' || c_custkey || ', \"b\": \"' || c_name || '\"}' AS args FROM customer")
@@ -502,6 +506,47 @@ def notes_to_papers(t: Tables) -> DataFrame:
     return notes.papers(own, {"rating": "rating"}, {"venue F": "Reject", "venue O": "Oral"}).select("id", "title", "keywords", "status", "n_reviews", "rating", F.round("rating_avg", 6).alias("rating_avg"))
 
 
+def _note_lines(t: Tables) -> DataFrame:
+    """Notes as lines of JSON in drifting layouts: fields plain or wrapped, one invitation or several, decisions in replies,
+    some of them under another name, some twice."""
+    k = F.col("o_orderkey")
+    wrapped = lambda x: F.when(k % 2 == 0, _joined('{"value":', x, "}")).otherwise(x)
+    decision = F.when(F.col("o_orderstatus") == "F", '"Reject and resubmit"').otherwise('"Accept"')
+    invited = lambda x: F.when(k % 3 == 0, _joined('"invitations":["', x, '","V/Edit"]')).otherwise(_joined('"invitation":"', x, '"'))
+    first = _joined("{", invited(F.lit("V/Paper/Decision")), ',"content":{"decision":"Pending"}}')
+    second = _joined("{", invited(F.lit("V/Paper/Decision")), ',"content":{', F.when(k % 5 == 0, '"recommendation"').otherwise('"decision"'), ":", wrapped(decision), "}}")
+    review = _joined("{", invited(F.lit("V/Official_Review")), ',"content":{"rating":', wrapped(F.when(k % 4 == 0, (k % 10).cast("string")).otherwise(_joined('"', k % 10, ': good"'))), "}}")
+    empty = _joined("{", invited(F.lit("V/Paper/Decision")), ',"content":{"comment":"x"}}')
+    replies = F.when(k % 7 == 0, _joined(review, ",", empty)).when(k % 7 == 1, _joined(review, ",", second, ",", empty)).otherwise(_joined(first, ",", review, ",", second))
+    content = _joined('{"title":', wrapped(_joined('"Paper  ', k, '"')), ',"keywords":', wrapped(F.when(k % 3 == 1, '"one"').otherwise('["a","","b"]')), ',"venue":', wrapped(_joined('"venue ', F.col("o_orderstatus"), '"')), F.when(k % 11 == 0, ',"decision":"Oral"').otherwise(""), ',"Submission_Type":', wrapped(F.lit('"Long"')), "}")
+    line = _joined('{"id":"n', k, '","content":', content, ',"details":{"directReplies":[', replies, "]}}")
+    return t.orders.select(k, (k % 2).alias("layout"), line.alias("value"))
+
+
+_DECIDED = "CASE WHEN o_orderkey % 7 = 0 THEN NULL WHEN o_orderstatus = 'F' THEN 'Reject and resubmit' ELSE 'Accept' END"
+
+
+@query(f"""SELECT 'n' || o_orderkey AS id, CASE o_orderstatus WHEN 'F' THEN 'Reject' WHEN 'O' THEN 'Oral' ELSE 'venue P' END AS venue, CASE WHEN o_orderkey % 11 = 0 THEN 'Oral' END AS note, {_DECIDED} AS reply,
+ CASE WHEN o_orderkey % 7 = 0 THEN 'Long' WHEN o_orderstatus = 'F' THEN 'Reject' ELSE 'Long Accept' END AS typed FROM orders""")
+def notes_decisions(t: Tables) -> DataFrame:
+    """The four rules for where a note's status stands, over notes of several layouts."""
+    n = F.col("note")
+    rows = variant_notes.parsed(_note_lines(t))
+    kinds = {"venue": "venue", "note": "note", "reply": "reply", "typed": "type_and_reply"}
+    return rows.select(F.try_variant_get(n, "$.id", "string").alias("id"), *[variant_notes.status(kind, n, {"venue F": "Reject", "venue O": "Oral"}).alias(c) for c, kind in kinds.items()])
+
+
+@query(f"SELECT 'n' || o_orderkey AS id, 'Paper ' || o_orderkey AS title, CASE WHEN o_orderkey % 3 = 1 THEN 'one' ELSE 'a;b' END AS keywords, coalesce({_DECIDED}, '') AS status, 1 AS n_reviews, (o_orderkey % 10)::VARCHAR AS rating FROM orders")
+def notes_as_variant(t: Tables) -> DataFrame:
+    return variant_notes.papers(variant_notes.parsed(_note_lines(t)), "reply").drop("author")
+
+
+@query("SELECT o_orderkey % 2 AS layout, f AS field, CASE WHEN f = 'decision' THEN 'STRING' WHEN f = 'keywords' AND o_orderkey % 3 <> 1 THEN CASE WHEN o_orderkey % 2 = 0 THEN 'OBJECT<value: ARRAY<STRING>>' ELSE 'ARRAY<STRING>' END WHEN o_orderkey % 2 = 0 THEN 'OBJECT<value: STRING>' ELSE 'STRING' END AS kind, count(*) AS n FROM orders CROSS JOIN (VALUES ('title'), ('keywords'), ('venue'), ('decision'), ('Submission_Type')) v(f) WHERE f <> 'decision' OR o_orderkey % 11 = 0 GROUP BY ALL")
+def notes_layouts(t: Tables) -> DataFrame:
+    """Which field has which type how often, by layout."""
+    return variant_notes.layouts(variant_notes.parsed(_note_lines(t)), "layout")
+
+
 _FORM_CAPS = " ".join(f"WHEN venue = '{v}' THEN {r.get('cap', 100)}" for v, r in FORM_RULES.items())
 
 

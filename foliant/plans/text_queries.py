@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foliant.functions import arrays, scores, text
-from foliant.functions.documents import extract_affiliations, parse_json, parse_page, phrase_udf, similarity
+from foliant.functions.documents import extract_affiliations, page_title, parse_json, phrase, similarity
 from foliant.operators import aggregates as A
 from foliant.plans.registry import query
 from foliant.plans.views import Tables
@@ -40,7 +40,7 @@ def score_means(t: Tables) -> DataFrame:
     return _cells(t).select("id", F.round(scores.score_mean(scores.score_list(F.col("cell"))), 6).alias("avg"))
 
 
-@query("SELECT l_orderkey AS id, l_linenumber AS line, CASE WHEN l_linenumber = 2 THEN 0 ELSE l_quantity::INTEGER END AS score FROM lineitem WHERE l_orderkey % 10 = 1".replace(" WHERE l_orderkey % 10 = 1", ""))
+@query("SELECT l_orderkey AS id, l_linenumber AS line, CASE WHEN l_linenumber = 2 THEN 0 ELSE l_quantity::INTEGER END AS score FROM lineitem")
 def label_scores(t: Tables) -> DataFrame:
     q = F.col("l_quantity").cast("int").cast("string")
     label = F.when(F.col("l_linenumber") == 1, F.concat(q, F.lit(": accept"))).when(F.col("l_linenumber") == 2, "none").otherwise(F.concat(q, F.lit(" points")))
@@ -147,7 +147,7 @@ def custom_ids(t: Tables) -> DataFrame:
 
 @query(r"SELECT page_id, trim(regexp_replace(replace(replace(replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\s+', ' ', 'g')) AS title FROM pages")
 def html_title(t: Tables) -> DataFrame:
-    return t.pages.select("page_id", F.coalesce(parse_page("html")["title"], F.lit("")).alias("title"))
+    return t.pages.select("page_id", page_title("html").alias("title"))
 
 
 @query()
@@ -167,9 +167,18 @@ def affiliation_rules(t: Tables) -> DataFrame:
     return t.customer.select("c_custkey", extract_affiliations(page, F.col("c_name")).alias("aff"))
 
 
-@query("SELECT p_partkey, trim(lower(p_name)) AS phrase FROM part")
+@query("SELECT s_suppkey, CASE s_suppkey % 3 WHEN 0 THEN 'AI2XL; 42dot' WHEN 1 THEN 'I2R; University of Ulm' ELSE '3Dwe.ai; Lab' END AS aff FROM supplier")
+def affiliations_with_digits(t: Tables) -> DataFrame:
+    """Institutions whose names hold digits, which are no marks."""
+    k = F.col("s_suppkey")
+    own = F.when(k % 3 == 0, "1 AI2XL 2 42dot").when(k % 3 == 1, F.lit("1 I2R 2 University of Ulm")).otherwise("1 3Dwe.ai 2 Lab")
+    page = F.concat(F.col("s_name"), F.lit(" "), own, F.lit("\nAbstract text"))
+    return t.supplier.select("s_suppkey", extract_affiliations(page, F.col("s_name")).alias("aff"))
+
+
+@query("SELECT p_partkey, lower(p_name) || '-( x)' AS phrase FROM part")
 def phrase_normalise(t: Tables) -> DataFrame:
-    return t.part.select("p_partkey", phrase_udf()(F.col("p_name")).alias("phrase"))
+    return t.part.select("p_partkey", phrase(F.concat(F.lit(" "), "p_name", F.lit(" - (  X ) "))).alias("phrase"))
 
 
 @query()

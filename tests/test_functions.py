@@ -133,4 +133,48 @@ def test_affiliations():
 
 def test_ratio():
     assert documents.ratio("abc", "abc") == 1.0 and documents.ratio("abc", "xyz", 0.5) == 0.0
-    assert documents.plain_phrase(" Self - Supervised ( GAN ) ") == "self-supervised (gan)"
+
+
+def test_phrases(spark):
+    df = spark.createDataFrame([(" Self - Supervised ( GAN ) ",), (None,), ("",)], "p string")
+    assert [r[0] for r in df.select(documents.phrase(F.col("p"))).collect()] == ["self-supervised (gan)", None, ""]
+    assert [r[0] for r in df.select(documents.phrase(F.col("p"), str.title)).collect()] == [" Self - Supervised ( Gan ) ", None, ""]
+
+
+def test_titles_and_texts_of_given_pages(spark, sf_dir):
+    """Against the whole parser, page by page in plain Python."""
+    rows = spark.read.parquet(f"{sf_dir}/pages.parquet").select("html", documents.page_title("html").alias("short"), documents.parse_page("html").alias("p")).collect()
+    assert len(rows) > 20
+    for r in rows:
+        plain = documents.page(r.html)
+        assert r.short == r.p.title == " ".join(" ".join(plain.title).split())
+        assert r.p.text == " ".join(" ".join(plain.text).split()) and len(r.p.anchors) == len(plain.anchors)
+
+
+def test_similarity_equals_the_standard_library(spark, sf_dir):
+    from difflib import SequenceMatcher
+
+    rows = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_name", "p_type", documents.similarity(F.col("p_name"), F.col("p_type")).alias("s")).collect()
+    assert all(r.s == SequenceMatcher(None, r.p_type, r.p_name).ratio() for r in rows) and len(rows) > 100
+
+
+def test_notes_of_odd_json(spark):
+    from foliant.plans import variant_notes as V
+
+    lines = ["{}", "not json", '{"content": 3}', '{"id": 7, "content": {"title": {"value": null}, "keywords": []}}', '{"id":"x","content":{"title":["t"]},"details":{"directReplies":[{"content":{"decision":"Yes"}},{"invitations":["A/Decision"],"content":{"decision":"No"}},{"invitation":"Decision","content":7}]}}', None]
+    rows = V.papers(V.parsed(spark.createDataFrame([(x,) for x in lines], "value string")), "reply").collect()
+    assert [(r.id, r.status, r.n_reviews, r.keywords) for r in rows] == [(None, "", 0, ""), (None, "", 0, ""), (None, "", 0, ""), ("7", "", 0, ""), ("x", "No", 0, ""), (None, "", 0, "")]
+    schema = V.merged_schema(V.parsed(spark.createDataFrame([("a", '{"x": 1}'), ("a", '{"y": "z"}')], "g string, value string")), "g").first()
+    assert "x: BIGINT" in schema.schema and "y: STRING" in schema.schema
+
+
+def test_checks_name_the_groups_of_violations(spark):
+    from foliant.operators.checks import checked
+
+    df = spark.createDataFrame([("a", 1), ("b", 11), ("c", None), ("d", 12)], "g string, v int")
+    job = checked(df, {"small": F.col("v") < 10, "any": F.lit(True)}, F.col("g"))
+    assert job.frame.count() == 4
+    assert job.report() == [("small", 4, 3, "b", "d"), ("any", 4, 0, None, None)]
+    empty = checked(df.limit(0), {"small": F.col("v") < 10})
+    empty.frame.collect()
+    assert empty.report() == [("small", 0, 0, None, None)]
