@@ -4,11 +4,16 @@ A document's set holds its distinct k-word shingles; the order of all shingles i
 equal sets are one node. A set's prefix is the part of it below a fixed cut of that order, and nodes with the same prefix
 and size are one group, which enters the search once:
 
-1. Candidates. Two sets of similarity t differ in at most H shingles, which follows from their sizes. For each class of
-   sizes the prefix is cut at fixed places of the order into more than H segments, so two similar sets have a segment that
-   is equal, and groups meet in blocks of the same segment of the same size class. A set whose segments are too often
-   empty for that argument also offers its first n - ceil(t n) + 1 shingles; similar sets that are both of this kind share
-   one of them.
+1. Candidates. Two sets of similarity t differ in at most H shingles, which follows from their sizes, and so do any parts
+   of them that a rule picks by the shingle alone. For each class of sizes the prefix is cut at fixed places of the order
+   into more than H segments. Frequent shingles, such as those of a template, are left out of them, so that what meets in a
+   block shares something that few sets have:
+   a. Every group offers its segments. If more than H of them are filled, a similar one has an equal segment.
+   b. Otherwise it also offers its first H + 1 shingles that are not frequent; if it has more than H, a similar one that
+      does the same shares one of them.
+   c. Otherwise it also offers the segments with their frequent shingles, and, if these are filled too rarely, its first
+      n - ceil(t n) + 1 shingles.
+   Two similar sets meet by the first of these steps at which one of them stops.
 2. Filter of group pairs: sizes, and a lower bound of how much two prefixes differ, from bitmaps of parities.
 3. Stars: each group is verified on whole sets against the nearest of its blocks' pivots, and each member of a group
    against the group's leader. The links form first components.
@@ -18,12 +23,16 @@ and size are one group, which enters the search once:
 5. Tiles that still have pairs of different components get their texts and verify them, least distance first, skipping
    what is connected already. A tile returns links only, fewer than it has members.
 
-So no link between components is lost, and no pairs are listed. A block that stays in many components costs work (not
-rows) with the square of its size: one product of bit matrices for each pair of tile sides.
+So no link between components is lost, and no pairs are listed. A block of m nodes that stays in many components costs m
+rows for each m / TILE and one product of bit matrices for each pair of tile sides, which is work with the square of its
+size. Blocks of steps a and b are no larger than a shingle may be without being frequent. Those of step c can be: that is
+left for sets which are frequent shingles but for H others at most and yet are not similar, as with documents that share
+85 % of a template at a threshold of 90 %.
 
 Defined results: a null, empty or blank text has an empty set and is linked with nothing; rows that repeat a doc_id are
 one document for linking; a row without doc_id is returned with a null component and links with nothing. Other columns are
-not read. Shingles and whole sets are compared as 64-bit hashes.
+not read; distinct_documents() keeps all, of any names. Texts of any length are taken whole, and empty tables give empty
+results. Shingles and whole sets are compared as 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -47,6 +56,8 @@ CUT = 0.75
 #: Counters of the sketch of block sizes, and the most of them that are told to executors as frequent. They decide how
 #: blocks are dealt, so work and not results.
 SKETCH, FREQUENT = 1 << 20, 1 << 16
+#: Sets from which on a shingle's bucket can be frequent.
+RARE = 512
 #: Rows of a frequent block that one task searches for a pivot.
 BLOCK = 2048
 #: Nodes of one side of a tile.
@@ -123,11 +134,13 @@ class _Batch:
         """A hash of prefix and size for each row."""
         return [_hash(s[: max(p, f)].tobytes() + len(s).to_bytes(8, "little")) for s, p, f in zip(self.sets, self.p.tolist(), self.first.tolist(), strict=True)]
 
-    def signatures(self) -> tuple[np.ndarray, np.ndarray]:
-        """(row, signature) of all rows."""
+    def signatures(self, frequent: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(row, signature) of all rows; a row may have one twice. frequent: by bucket, whether its shingles are."""
         low, most, parts = _classes(self.num, self.den)
         own = np.searchsorted(low, self.n, "right") - 1
-        rows, sigs = [], []
+        rare = np.ones(len(self.flat), bool) if frequent is None else ~frequent[(self.flat & _U(SKETCH - 1)).astype(np.int64)]
+        few = np.bincount(self.row[rare], minlength=len(self.n))
+        rows, sigs = [np.empty(0, np.int64)], [np.empty(0, _U)]
         for step in (0, 1):
             cell = own + step
             use = (self.n > 0) & (most[cell] > 0)
@@ -135,22 +148,50 @@ class _Batch:
                 use &= self.n * self.den >= low[cell] * self.num
             if not use.any():
                 continue
-            ok = use[self.row]
-            flat, row = self.flat[ok], self.row[ok]
-            segment = (self.place[ok] * parts[cell][row]).astype(np.int64)
-            starts = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (segment[1:] != segment[:-1])])) if len(row) else np.empty(0, np.int64)
-            r, c = row[starts], cell[row[starts]]
-            h = mix(np.add.reduceat(flat * _U(0x9E3779B97F4A7C15) ^ flat >> _U(29), starts)) if len(starts) else np.empty(0, _U)
-            rows.append(r)
-            sigs.append(mix(h + (segment[starts] * 1_000_003 + c * 7_919 + 1).astype(_U) * _U(0xD6E8FEB86659FD93)))
-            # Where empty segments could hide the equal one, the first shingles are offered as well.
-            filled = np.bincount(r, minlength=len(self.n))
             top = np.minimum(self.n * self.den // self.num, low[cell + 1] - 1)
-            for i in np.flatnonzero(use & (filled <= _differ(self.n + top, self.num, self.den))).tolist():
+            differ = _differ(self.n + top, self.num, self.den)
+            filled = self._segments(use[self.row] & rare, cell, parts, rows, sigs)
+            rest = use & (filled <= differ)
+            if frequent is not None:
+                self._first(rest, rare, differ + 1, cell, 3, rows, sigs)
+                rest &= few <= differ
+                # Segments without frequent shingles are there already.
+                filled = self._segments(rest[self.row], cell, parts, rows, sigs, mixed=~rare)
+            # Where empty segments could hide the equal one, the first shingles are offered as well.
+            for i in np.flatnonzero(rest & (filled <= differ)).tolist():
                 first = self.sets[i][: self.first[i]]
                 rows.append(np.full(len(first), i))
                 sigs.append(mix(first + _U((int(cell[i]) * 2 + 1) * 0xA0761D6478BD642F % 2**64)))
-        return np.concatenate([np.empty(0, np.int64), *rows]), np.concatenate([np.empty(0, _U), *sigs])
+        return np.concatenate(rows), np.concatenate(sigs)
+
+    def _segments(self, ok: np.ndarray, cell: np.ndarray, parts: np.ndarray, rows: list, sigs: list, mixed: np.ndarray | None = None) -> np.ndarray:
+        """Adds the hashes of the segments of some shingles, only of segments that hold a `mixed` one if that is given; how
+        many segments with any of the shingles each row has."""
+        flat, row = self.flat[ok], self.row[ok]
+        if not len(row):
+            return np.zeros(len(self.n), np.int64)
+        segment = (self.place[ok] * parts[cell][row]).astype(np.int64)
+        starts = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (segment[1:] != segment[:-1])]))
+        h = mix(np.add.reduceat(flat * _U(0x9E3779B97F4A7C15) ^ flat >> _U(29), starts))
+        r, c = row[starts], cell[row[starts]]
+        filled = np.bincount(r, minlength=len(self.n))
+        sig = mix(h + (segment[starts] * 1_000_003 + c * 7_919 + 1).astype(_U) * _U(0xD6E8FEB86659FD93))
+        if mixed is not None:
+            keep = np.logical_or.reduceat(mixed[ok], starts)
+            r, sig = r[keep], sig[keep]
+        rows.append(r)
+        sigs.append(sig)
+        return filled
+
+    def _first(self, use: np.ndarray, rare: np.ndarray, most: np.ndarray, cell: np.ndarray, kind: int, rows: list, sigs: list) -> None:
+        """Adds the first `most` rare shingles of rows, each by itself."""
+        ok = use[self.row] & rare
+        flat, row = self.flat[ok], self.row[ok]
+        before = np.searchsorted(row, np.arange(len(self.n)))
+        keep = np.arange(len(row)) - before[row] < most[row]
+        flat, row = flat[keep], row[keep]
+        rows.append(row)
+        sigs.append(mix(flat + (cell[row] * 4 + kind).astype(_U) * _U(0xA0761D6478BD642F)))
 
     def bitmaps(self, flat: np.ndarray, row: np.ndarray, spread: int) -> pa.Array:
         """Each row's bits: whether an odd number of its shingles has a value modulo the width."""
@@ -167,26 +208,29 @@ def _width(bits: np.ndarray) -> np.ndarray:
 
 
 def _facts(k: int, num: int, den: int):
-    """One row a text, and a partition's frequent buckets of signatures (bucket, times)."""
+    """One row a text, and a partition's frequent buckets (bucket, times): of signatures as if no shingle were frequent,
+    and, above SKETCH, of shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, held = np.zeros(SKETCH, np.int64), []
+        counts, held, shingled = np.zeros(SKETCH, np.int64), [], np.zeros(SKETCH, np.int64)
         names = ["doc_id", "th", "n", "node", "grp", "p", "bits", "whole", "bucket", "times"]
         for batch in batches:
             for part, texts in slices(batch, chars=CHARS):
                 b = _Batch(texts, k, num, den)
                 held.append((b.signatures()[1] & _U(SKETCH - 1)).astype(np.int64))
+                np.add.at(shingled, (b.flat & _U(SKETCH - 1)).astype(np.int64), 1)
                 if sum(map(len, held)) >= COUNTED:
                     counts += np.bincount(np.concatenate(held), minlength=SKETCH)
                     held = []
                 none = pa.nulls(len(b.n), pa.int64())
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("th"), pa.array(b.n), pa.array(b.nodes(), pa.int64()), pa.array(b.groups(), pa.int64()), pa.array(b.p, pa.int64()), b.bitmaps(b.flat, b.row, SPREAD), b.bitmaps(*b.every, WHOLE), none, none], names=names)
         counts += np.bincount(np.concatenate([np.empty(0, np.int64), *held]), minlength=SKETCH)
-        mean = counts.sum() / SKETCH
-        top = np.flatnonzero(counts >= mean + 4 * mean**0.5 + 4)
-        none = pa.nulls(len(top), pa.int64())
-        bits = pa.nulls(len(top), pa.binary())
-        yield pa.RecordBatch.from_arrays([none, none, none, none, none, none, bits, bits, pa.array(top, pa.int64()), pa.array(counts[top])], names=names)
+        for n, base in ((counts, 0), (shingled, SKETCH)):
+            mean = n.sum() / SKETCH
+            top = np.flatnonzero(n >= mean + 4 * mean**0.5 + 4)
+            none = pa.nulls(len(top), pa.int64())
+            bits = pa.nulls(len(top), pa.binary())
+            yield pa.RecordBatch.from_arrays([none, none, none, none, none, none, bits, bits, pa.array(top + base, pa.int64()), pa.array(n[top])], names=names)
 
     return run
 
@@ -196,8 +240,10 @@ def _signed(shared, k: int, num: int, den: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = np.zeros(SKETCH, np.int64)
-        buckets, times = shared.value
+        buckets, times, often = shared.value
         parts[buckets] = times // BLOCK + 1
+        frequent = np.zeros(SKETCH, bool)
+        frequent[often] = True
         seen: set[int] = set()
         for batch in batches:
             for _, texts in slices(batch, chars=CHARS):
@@ -208,7 +254,7 @@ def _signed(shared, k: int, num: int, den: int):
                     if g not in seen:
                         seen.add(g)
                         fresh[i] = True
-                row, sigs = b.signatures()
+                row, sigs = b.signatures(frequent if len(often) else None)
                 row, sigs = row[fresh[row]], sigs[fresh[row]]
                 own = parts[(sigs & _U(SKETCH - 1)).astype(np.int64)]
                 spread = (mix(grp[row].view(_U) ^ _U(0x632BE59BD9B4E019)) % np.maximum(own, 1).astype(_U)).astype(np.int64)
@@ -407,8 +453,9 @@ class _Join:
         texts = id_text(docs, id_col, text_col).withColumn("th", F.xxhash64("text"))
         both = written(texts.mapInArrow(_facts(k, num, den), "doc_id long, th long, n long, node long, grp long, p long, bits binary, whole binary, bucket long, times long"), "sets")
         self.every = both.where("bucket is null").select("doc_id", "th", "n", "node", "grp", "p", "bits", "whole")
-        counts = both.where("bucket is not null").groupBy("bucket").agg(F.sum("times").alias("times")).orderBy(F.desc("times"), "bucket").limit(FREQUENT).collect()
-        shared = spark.sparkContext.broadcast((np.array([r.bucket for r in counts], np.int64), np.array([r.times for r in counts], np.int64)))
+        counts = both.where("bucket is not null").groupBy("bucket").agg(F.sum("times").alias("times")).orderBy(F.desc("times"), "bucket")
+        top, often = counts.where(F.col("bucket") < SKETCH).limit(FREQUENT).collect(), counts.where((F.col("bucket") >= SKETCH) & (F.col("times") >= RARE)).limit(FREQUENT).collect()
+        shared = spark.sparkContext.broadcast((np.array([r.bucket for r in top], np.int64), np.array([r.times for r in top], np.int64), np.array([r.bucket - SKETCH for r in often], np.int64)))
         self.full = self.every.where("n > 0" if without_id else "n > 0 and doc_id is not null")
         self.texts = texts if without_id else texts.where("doc_id is not null")
 

@@ -143,12 +143,15 @@ def test_jaccard_equals_brute_force(make_docs, monkeypatch, k, num, tile, freque
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(docs, k, num, 100)
 
 
-@pytest.mark.parametrize(("k", "num"), [(3, 90), (5, 80), (1, 50), (2, 97)])
-def test_similar_sets_meet(k, num):
-    """Every pair of similar sets has a common signature, and no bound by bitmaps says that it differs too much."""
+@pytest.mark.parametrize(("k", "num", "often"), [(3, 90, None), (5, 80, None), (1, 50, None), (2, 97, None), (3, 90, 0.5), (3, 90, 0.9), (5, 80, 0.8), (1, 50, 0.3), (2, 97, 0.97)])
+def test_similar_sets_meet(monkeypatch, k, num, often):
+    """Every pair of similar sets has a common signature, and no bound by bitmaps says that it differs too much; also where
+    that part of all shingles is frequent, or, in every third pair, next to none."""
     import numpy as np
 
     own, met = random.Random(num), 0
+    monkeypatch.setattr(jaccard_join, "SKETCH", 1 << 12)
+    frequent = None if often is None else np.random.default_rng(num).random(1 << 12) < often
     low, _, _ = jaccard_join._classes(num, 100)
     assert all(100 * a <= num * b for a, b in zip(low[:40].tolist(), low[1:40].tolist(), strict=False))
     for _ in range(1500):
@@ -161,7 +164,7 @@ def test_similar_sets_meet(k, num):
         if not len(b.sets[1]) or b.nodes()[0] == b.nodes()[1] or not jaccard_join._similar(*b.sets, num, 100):
             continue
         met += 1
-        row, sigs = b.signatures()
+        row, sigs = b.signatures(frequent if frequent is None or met % 3 else frequent & (np.arange(1 << 12) % 50 == 0))
         assert set(sigs[row == 0].tolist()) & set(sigs[row == 1].tolist()), (base, copy)
         whole, prefix = b.bitmaps(*b.every, jaccard_join.WHOLE).to_pylist(), b.bitmaps(b.flat, b.row, jaccard_join.SPREAD).to_pylist()
         cols = {"n": b.n, "p": b.p, "bits": prefix, "grp": np.array([0, 1])}
@@ -170,6 +173,43 @@ def test_similar_sets_meet(k, num):
     assert met > 50
 
 
+def template_documents(n, own_words, seed=1):
+    """Documents of 300 shared words, among which each has its own."""
+    own = random.Random(seed)
+    shared = [f"shared{i}" for i in range(300)]
+    out = []
+    for i in range(n):
+        words_ = list(shared)
+        at = own.randrange(300)
+        words_[at:at] = [f"own{i}x{j}" for j in range(own_words)]
+        out.append((i, " ".join(words_)))
+    return out
+
+
+@pytest.mark.parametrize("own_words", [60, 150])
+def test_rows_of_template_documents_stay_linear(make_docs, own_words, monkeypatch):
+    """Documents that share a template and are not similar: rows that meet grow with the documents, not with their square.
+    With 60 own words one document in a hundred has too few of them below the cut and meets by the template's segments."""
+    seen = []
+    real = jaccard_join._sorted
+    monkeypatch.setattr(jaccard_join, "_sorted", lambda rows: seen.append(rows.count()) or real(rows))
+    rows = {}
+    for n in (700, 2800):
+        seen.clear()
+        got = jaccard_join.similar_components(make_docs(*template_documents(n, own_words)), k=1)
+        assert got.where("component_id != doc_id").count() == 0
+        rows[n] = sum(seen)
+    assert rows[2800] <= 6 * max(rows[700], 700) and rows[2800] <= 4 * 2800
+
+
+def test_similar_documents_of_a_template_are_linked(make_docs, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "RARE", 20)
+    docs = template_documents(60, 60)
+    near = [(1000 + i, t.replace(f"own{i}x7", "changed")) for i, t in docs[::3]]
+    got = {r.doc_id: r.component_id for r in jaccard_join.similar_components(make_docs(*docs, *near), k=1).collect()}
+    assert got == {i: i for i, _ in docs} | {i: i - 1000 for i, _ in near}
+
+
 def test_jaccard_edges(odd_docs):
     out = jaccard_join.similar_components(odd_docs, k=3)
     got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in out.collect()), key=str)
