@@ -4,45 +4,35 @@ from __future__ import annotations
 
 import ctypes
 import hashlib
-import os
-import tempfile
-import uuid
 from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Characters of text that one vectorised step takes at most, unless a single document is longer.
-SLICE_CHARS = 1 << 19
+from foliant.storage import shared_dir, shared_root, stored
 
+__all__ = ["before", "id_text", "release_memory", "removed", "renamed_apart", "sha256_hex", "shared_dir", "shared_root", "slices", "with_names", "written"]
 
-def shared_root(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share.
-
-    spark.checkpoint.dir where the cluster names it. Unset: a folder of this machine in local mode, the
-    warehouse elsewhere.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if root:
-        return root.rstrip("/")
-    if spark.sparkContext.master.startswith("local") and not spark.sparkContext.master.startswith("local-cluster"):
-        return "file://" + os.path.join(tempfile.gettempdir(), "checkpoints")
-    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
+#: A table in the shared folder: lineage ends there, and lost executors cost no recomputation.
+written = stored
 
-
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new folder name under the shared root."""
-    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+#: Characters of text that one vectorised step takes at most, unless a single document is longer.
+SLICE_CHARS = 1 << 19
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a Parquet table in the shared folder: lineage ends there, and lost executors cost no recomputation."""
-    path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def before(rows: DataFrame, order: str, value: str, name: str, run: int = 4096) -> DataFrame:
+    """rows with the sum of `value` over all rows of a smaller `order`, a whole number from 0: sums of runs of the order,
+    a scan over the runs, and one within each."""
+    own = rows.withColumn("__run", F.floor(F.col(order) / run))
+    runs = own.groupBy("__run").agg(F.sum(value).alias("__sum")).withColumn("__one", F.lit(1))  # a row for `run` rows
+    earlier = Window.partitionBy("__one").orderBy("__run").rowsBetween(Window.unboundedPreceding, -1)
+    starts = runs.select("__run", F.coalesce(F.sum("__sum").over(earlier), F.lit(0)).alias("__start"))
+    within = Window.partitionBy("__run").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    own = own.withColumn(name, F.coalesce(F.sum(value).over(within), F.lit(0)))
+    return own.join(starts, "__run").withColumn(name, F.col(name) + F.col("__start")).select(*rows.columns, name)
 
 
 def removed(*tables: DataFrame) -> None:

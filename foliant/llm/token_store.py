@@ -6,7 +6,8 @@ FRAME_IDS ids at most, so long documents span frames. Its metadata lists the doc
 seek table, the list and the frames of the documents they want.
 
 Defined results: a null or empty text is the end id alone; documents without id come first; rows that repeat an id are
-ordered by their text; an empty table writes no shard. Other columns are not read.
+ordered by their text; an empty table writes no shard. Other columns are not read. The list of shards is a table, too: it
+grows with the input, and nothing of it but its length reaches the driver.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliant.llm.common import id_text, shared_dir, slices
+from foliant.llm.common import before, id_text, shared_dir, slices, written
 from foliant.llm.pretokens import byte_level_encoder
 from foliant.llm.seekable import Reader, Writer, filesystem, write_whole
 
@@ -85,16 +86,17 @@ def open_shard(root: str, shard: int) -> tuple[Reader, np.ndarray, np.ndarray, n
     return reader, docs, lengths, np.dtype(f"<u{head['width']}")
 
 
-def write_tokens(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2, root: str | None = None, frame_ids: int = FRAME_IDS) -> tuple[str, list[tuple[int, int, int]]]:
-    """Writes the shards; their folder and (shard, documents, tokens) of each, in order. One entry a shard reaches the driver."""
+def write_tokens(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2, root: str | None = None, frame_ids: int = FRAME_IDS) -> tuple[str, DataFrame]:
+    """Writes the shards; their folder and the table (shard, documents, tokens, start) of them, start being the ids of all
+    shards before."""
     spark = docs.sparkSession
     root = root or shared_dir(spark, "tokens")
     texts = id_text(docs, id_col, text_col)
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // SHARD_BYTES))
     dealt = texts.withColumn("tie", F.xxhash64("text")).repartitionByRange(parts, "doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text")
-    rows = dealt.select("doc_id", "text").mapInArrow(_write_shards(root, tokenizer, end_id, frame_ids), "shard long, documents long, tokens long").collect()
-    return root, sorted((r.shard, r.documents, r.tokens) for r in rows)
+    rows = dealt.select("doc_id", "text").mapInArrow(_write_shards(root, tokenizer, end_id, frame_ids), "shard long, documents long, tokens long")
+    return root, written(before(written(rows, "shards"), "shard", "tokens", "start"), "listed")
 
 
 def _read_shards(root: str):
@@ -122,11 +124,9 @@ def _read_shards(root: str):
     return run
 
 
-def read_digests(spark: SparkSession, root: str, shards: list[tuple[int, int, int]]) -> DataFrame:
-    """doc_id, start, n_tokens and ids_crc32 of every document, from the files."""
-    starts = np.concatenate([[0], np.cumsum([t for *_, t in shards])]).tolist()
-    rows = [(s, int(x)) for (s, *_), x in zip(shards, starts, strict=False)]
-    listed = spark.createDataFrame(rows, "shard long, start long").repartition(max(1, len(rows)))
+def read_digests(spark: SparkSession, root: str, shards: DataFrame) -> DataFrame:
+    """doc_id, start, n_tokens and ids_crc32 of every document, from the files. shards: as write_tokens() gives them."""
+    listed = shards.select("shard", "start").repartition(max(1, shards.count()))
     return listed.mapInArrow(_read_shards(root), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 

@@ -11,7 +11,9 @@ adaptive execution splits when one payload makes up much of the table.
 
 Defined results: a null payload is an empty one, and empty payloads equal each other; rows that repeat the smallest id of
 a payload are all responses; a row without id is written without one and never named by others, unless no row of its
-payload has an id: then all of these are responses. An empty table writes no archive. Other columns are not read.
+payload has an id: then all of these are responses. An empty table writes no archive. Other columns are not read. A payload
+is a record of one frame, whatever its length up to 4 GB, which is the format's limit for a frame and over that of a Spark
+string. The list of archives is a table, too, as it grows with the input.
 """
 
 from __future__ import annotations
@@ -109,8 +111,9 @@ def _write(root: str, frame_bytes: int, archive_bytes: int):
     return run
 
 
-def write_archives(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", min_bytes: int = 0, root: str | None = None, frame_bytes: int = FRAME_BYTES, archive_bytes: int = ARCHIVE_BYTES) -> tuple[str, list[str]]:
-    """Writes all archives; their folder and names. Payloads under min_bytes are all responses."""
+def write_archives(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", min_bytes: int = 0, root: str | None = None, frame_bytes: int = FRAME_BYTES, archive_bytes: int = ARCHIVE_BYTES) -> tuple[str, DataFrame]:
+    """Writes all archives; their folder and the table (archive, records) of them. Payloads under min_bytes are all
+    responses."""
     spark = pages.sparkSession
     root = root or shared_dir(spark, "warc")
     html = F.coalesce(F.col(payload_col).cast("string"), F.lit("")).cast("binary")
@@ -122,9 +125,9 @@ def write_archives(pages: DataFrame, *, id_col: str = "page_id", url_col: str =
     revisit = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first")) & (F.col("n") >= min_bytes)
     kept = kept.withColumn("refers_to", F.when(revisit, F.col("first")))
     kept = kept.select("page_id", "url", F.when(F.col("refers_to").isNull(), F.col("html")).alias("html"), "sha1", "n", "refers_to")
-    done = kept.mapInArrow(_write(root, frame_bytes, archive_bytes), "archive string, records long").collect()
+    done = written(kept.mapInArrow(_write(root, frame_bytes, archive_bytes), "archive string, records long"), "archives")
     removed(first)
-    return root, sorted(r.archive for r in done)
+    return root, done
 
 
 def open_archive(root: str, name: str) -> tuple[Reader, np.ndarray]:
@@ -170,7 +173,8 @@ def _read(root: str):
     return run
 
 
-def read_archives(spark: SparkSession, root: str, archives: list[str]) -> DataFrame:
-    """page_id, payload_bytes, payload_digest, record_type and refers_to of every record, from the files."""
-    listed = spark.createDataFrame([(a,) for a in archives], "archive string").repartition(max(1, len(archives)))
+def read_archives(spark: SparkSession, root: str, archives: DataFrame) -> DataFrame:
+    """page_id, payload_bytes, payload_digest, record_type and refers_to of every record, from the files. archives: as
+    write_archives() gives them."""
+    listed = archives.select("archive").repartition(max(1, archives.count()))
     return listed.mapInArrow(_read(root), "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")

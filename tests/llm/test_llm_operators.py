@@ -14,7 +14,7 @@ import zstandard
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from foliant.llm import components, decontaminate, jaccard_join, language_id, mixture, personal_data, pretokens, quality, seekable, secret_scan, token_count, token_store, warc
+from foliant.llm import common, components, decontaminate, jaccard_join, language_id, mixture, personal_data, pretokens, quality, seekable, secret_scan, token_count, token_store, warc
 
 LETTERS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 BYTE_BPE, WORD_BPE = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
@@ -347,9 +347,18 @@ def test_token_store_round_trip(spark, odd_docs, tmp_path):
     assert [r[1] for r in got] == list(itertools.accumulate([0] + [r[2] for r in got]))[:-1]
     assert [r[0] is not None for r in got] == sorted(r[0] is not None for r in got)
     assert [r[0] for r in got if r[0] is not None] == sorted(r[0] for r in got if r[0] is not None)
-    one = [ids for s, *_ in shards for ids in token_store.read_document(root, s, 8)]
+    one = [ids for r in shards.collect() for ids in token_store.read_document(root, r.shard, 8)]
     assert [o.tolist() for o in one] == [[*library.encode("One TWO three", add_special_tokens=False).ids, 2]]
-    assert token_store.write_tokens(odd_docs.limit(0), BYTE_BPE)[1] == []
+    root, none = token_store.write_tokens(odd_docs.limit(0), BYTE_BPE)
+    assert none.count() == 0 and token_store.read_digests(spark, root, none).count() == 0
+
+
+def test_sums_before_each_row(spark):
+    own = random.Random(4)
+    rows = [(i, own.randrange(100)) for i in range(0, 300, 3)]
+    own.shuffle(rows)
+    got = common.before(spark.createDataFrame(rows, "k long, v long"), "k", "v", "start", run=16).collect()
+    assert {r.k: r.start for r in got} == {k: sum(v for j, v in rows if j < k) for k, _ in rows}
 
 
 def test_seekable_format(tmp_path):
@@ -732,10 +741,11 @@ def test_warc_round_trip(spark, tmp_path):
         expected[(i, len(p), base64.b32encode(hashlib.sha1(p).digest()).decode(), "response" if own else "revisit", None if own else f)] += 1
     root, names = warc.write_archives(pages, root=f"file://{tmp_path}/w", frame_bytes=300)
     assert Counter(tuple(r) for r in warc.read_archives(spark, root, names).collect()) == expected
-    head, http, payload = next(x for n in names if (x := warc.read_record(root, n, 8)))
+    head, http, payload = next(x for n in names.collect() if (x := warc.read_record(root, n.archive, 8)))
     assert payload.decode() == "é" * 50_000 and head["warc-type"] == "response" and http["content-length"] == "100000"
-    assert all(warc.read_record(root, n, 12345) is None for n in names)
-    assert warc.write_archives(pages.limit(0))[1] == [] and warc.read_archives(spark, root, []).count() == 0
+    assert all(warc.read_record(root, r.archive, 12345) is None for r in names.collect())
+    none = warc.write_archives(pages.limit(0))[1]
+    assert none.count() == 0 and warc.read_archives(spark, root, none).count() == 0
 
 
 # --- language ID ----------------------------------------------------------------------------------------------------------
