@@ -2,22 +2,25 @@
 
 A transducer rewrites a text and keeps, for every character it writes, the source span it stands for. Its rules, in order:
 
-* look-alike letters, full-width signs and digits of other scripts become ASCII, characters without width vanish;
+* characters that Unicode calls compatible with ASCII ones (mathematical letters, full-width signs, circled and raised
+  digits), decimal digits of all scripts, small capitals and letters in circles and squares, and look-alike letters of
+  other scripts become ASCII, and characters without width vanish: one table, made from Unicode's properties and names and
+  a list of look-alikes;
 * character references and percent codes of @ and . become signs;
 * letters that look like digits become digits within numbers that are digits for two thirds at least;
-* runs of spelled digits become digits: with three dots or more in between an address, else seven digits or more, with a
-  plus or half of them spelled;
+* runs of digits spelled in English, German, French or Spanish become digits, "double" and "triple" ones as often: with
+  three dots or more in between an address, else seven digits or more, with a plus or half of them spelled;
 * bracketed words for @ and . become signs (up to three blanks around each), and words framed by one sign on both sides,
   as in name*at*host*dot*tld;
 * bare words, "name at host dot tld" and "name at host.tld", where host and tld look like labels and not like words of a
-  sentence.
+  sentence; the words of other languages for @ take theirs for the dot.
 
 The plain detectors then read the rewritten text; what they find where something was rewritten is mapped back to source
 characters and added, unless it overlaps a plain span of its kind. 10 to 15 rewritten digits count as a phone without a
 plus if they were spelled and no other span has them. Letters set apart by blanks ("j o h n @ ...") are not put together.
 
 Defined results: a null or empty text has no spans; every row is scanned by itself, whatever its id; texts are scanned
-whole and in linear time. Spans are code points, end exclusive.
+whole and in linear time; an empty table gives an empty result. Other columns are not read. Spans are code points, end exclusive.
 """
 
 from __future__ import annotations
@@ -26,6 +29,7 @@ import re
 import unicodedata
 from bisect import bisect_left, insort
 from collections.abc import Callable, Iterator, Sequence
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -91,15 +95,36 @@ def plain(text: str) -> list[tuple[int, int, int]]:
 
 # --- the normalising transducer ---------------------------------------------------------------------------------------
 
-# Letters of other scripts that look like ASCII ones, by their Unicode code charts.
+# Letters of other scripts that look like ASCII ones, by their Unicode code charts: Cyrillic and Greek, Armenian,
+# Cherokee, and Latin ones that no property ties to ASCII.
 LOOK_ALIKES = str.maketrans(
-    "АВЕКМНОРСТУХІЈЅасеорухіјѕһԁԛԝΑΒΕΖΗΙΚΜΝΟΡΤΥΧαοινκρυχ",
-    "ABEKMHOPCTYXIJSaceopyxijshdqwABEZHIKMNOPTYXaoivkpux",
+    "АВЕКМНОРСТУХІЈЅасеорухіјѕһԁԛԝΑΒΕΖΗΙΚΜΝΟΡΤΥΧαοινκρυχ" + "ՕօՍսոհցզաԼ" + "ᎠᎡᎢᎪᎫᎬᎳᎷᎻᏀᏃᏚᏙᏞᏟᏢᏴᏦᎩᏔᏒ" + "ıɑɡȷ" + "。｡",
+    "ABEKMHOPCTYXIJSaceopyxijshdqwABEZHIKMNOPTYXaoivkpux" + "OoUunhgqwL" + "DRTAJEWMHGZSVLCPBKyWR" + "iagj" + "..",
 )
 # Characters without width.
-INVISIBLE = "­​‌‍⁠﻿"
-# Spelled digits.
-DIGIT_WORDS = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9"}
+INVISIBLE = "\u00ad\u200b\u200c\u200d\u2060\ufeff"
+# Digits spelled in English, German, French and Spanish.
+DIGIT_WORDS = {
+    w: str(d)
+    for d, words in enumerate(
+        [
+            "zero oh null zéro cero",
+            "one eins un une uno",
+            "two zwei zwo deux dos",
+            "three drei trois tres",
+            "four vier quatre cuatro",
+            "five fünf fuenf cinq cinco",
+            "six sechs seis",
+            "seven sieben sept siete",
+            "eight acht huit ocho",
+            "nine neun neuf nueve",
+        ]
+    )
+    for w in words.split()
+}
+# Words before a digit that stands several times, words for a dot, and for a plus.
+TIMES = {"double": 2, "doppel": 2, "doble": 2, "triple": 3}
+DOTS, PLUS = ("dot", "point", "punkt", "punto"), ("plus", "más")
 
 # ASCII letters that look like digits.
 DIGIT_LIKE = str.maketrans("OoIlSBZ", "0011582")
@@ -110,20 +135,57 @@ _REFERENCE = re.compile(r"(?i)\s{0,3}(?:" + "|".join(REFERENCES) + r")\s{0,3}")
 _LIKE = "".join(map(chr, DIGIT_LIKE))
 _NUMBER_LIKE = re.compile(rf"(?<![A-Za-z0-9])[0-9{_LIKE}](?:[ .-]?[0-9{_LIKE}])++(?![A-Za-z0-9])")
 _LETTER_IN_NUMBER = re.compile(rf"[0-9][ .-]?[{_LIKE}]|[{_LIKE}][ .-]?[0-9]")
-_FOREIGN = re.compile("[" + "".join(map(chr, LOOK_ALIKES)) + INVISIBLE + "٠-٩۰-۹०-९！-～]")
-_WORD = "|".join(DIGIT_WORDS)
+_NAMED = re.compile(r"(?:LATIN LETTER SMALL CAPITAL|MODIFIER LETTER (?:SMALL |CAPITAL )?|(?:NEGATIVE )?(?:CIRCLED|SQUARED|PARENTHESIZED) LATIN (?:CAPITAL|SMALL) LETTER|REGIONAL INDICATOR SYMBOL LETTER) ?([A-Z])")
+
+
+def _folded(c: str) -> str | None:
+    """What a character beyond ASCII stands for, None where it stands for itself."""
+    if c in INVISIBLE:
+        return ""
+    if ord(c) in LOOK_ALIKES:
+        return c.translate(LOOK_ALIKES)
+    if c.isdigit():
+        return str(unicodedata.digit(c))
+    plain_form = unicodedata.normalize("NFKC", c)
+    if plain_form.isascii():
+        return plain_form if plain_form.strip() == plain_form and "..." not in plain_form else None
+    named = _NAMED.fullmatch(unicodedata.name(c, ""))
+    return named[1].lower() if named else None
+
+
+@lru_cache
+def _folds() -> dict[str, str]:
+    """The characters beyond ASCII that stand for others: about two thousand, made once a worker."""
+    found = ((chr(c), _folded(chr(c))) for c in (*range(0x80, 0xD800), *range(0xE000, 0x20000)))
+    return {c: f for c, f in found if f is not None}
+
+
+def _foreign(text: str) -> re.Pattern | None:
+    """A pattern of the characters of a text that stand for others."""
+    if text.isascii() or _folds().keys().isdisjoint(own := set(text)):
+        return None
+    return re.compile("[" + "".join(map(re.escape, sorted(own & _folds().keys()))) + "]")
+
+
+_WORD = "|".join(sorted(DIGIT_WORDS, key=len, reverse=True))
+_TIMES, _DOT, _PLUS = "|".join(TIMES), "|".join(DOTS), "|".join(PLUS)
+#: Words without which nothing is spelled.
+_SPELLING = frozenset(DIGIT_WORDS) | frozenset(DOTS)
 #: Spelled digits and figures in a row, with "plus" and dots among them; _spelled_edits tells which runs count.
 _FIGURE = r"[0-9]++(?:\.[0-9]++)*+"
-_SPELLED = re.compile(rf"(?i)(?<![A-Za-z0-9.])(?:plus[\s,-]+)?(?:{_WORD}|{_FIGURE})(?:(?:[\s,-]+(?:dot|point)[\s,-]+|[\s,-]+)(?:{_WORD}|{_FIGURE}))+(?![A-Za-z0-9])")
-_SPELLED_PART = re.compile(rf"(?i)plus|dot|point|{_WORD}|{_FIGURE}")
+_ONE = rf"(?:(?:{_TIMES})[\s,-]+)?(?:{_WORD})|{_FIGURE}"
+_SPELLED = re.compile(rf"(?i)(?<![\w.])(?:(?:{_PLUS})[\s,-]+)?(?:{_ONE})(?:(?:[\s,-]+(?:{_DOT})[\s,-]+|[\s,-]+)(?:{_ONE}))+(?!\w)")
+_SPELLED_PART = re.compile(rf"(?i)(?:{_PLUS})\b|(?:{_DOT})\b|(?:(?:{_TIMES})[\s,-]+)?(?:{_WORD})\b|{_FIGURE}")
 _SIGN = r"[\[({{<]\s{{0,3}}(?:{0})\s{{0,3}}[\])}}>]"
-_BRACKETED = re.compile(r"(?i)\s{0,3}(?:" + _SIGN.format("at|@|arroba") + "|" + _SIGN.format(r"d[o0]t|\.|punto|punkt|point") + r")\s{0,3}")
+_BRACKETED = re.compile(r"(?i)\s{0,3}(?:" + _SIGN.format("[aä]t|@|arroba|arobase") + "|" + _SIGN.format(r"d[o0]t|\.|punto|punkt|point") + r")\s{0,3}")
 _FRAMED = re.compile(r"(?i)(?<![A-Za-z0-9])[A-Za-z0-9.+]{1,64}([*/|_~-])(at)\1[A-Za-z0-9]{1,63}(?:\1dot\1[A-Za-z0-9]{1,63})+(?![A-Za-z0-9])")
-_IS_AT = re.compile(r"(?i)at|@|arroba")
+_IS_AT = re.compile(r"(?i)[aä]t|@|arroba|arobase")
 _LABEL = r"[A-Za-z0-9-]{1,63}"
 #: Bare words: "name at host dot tld", "name at host.tld".
 _BARE = re.compile(rf"(?i)(?<![A-Za-z0-9._%+-])([A-Za-z0-9._%+-]{{1,64}})(\s{{1,3}}at\s{{1,3}}|\s{{0,3}}@\s{{0,3}})({_LABEL}(?:(?:\s{{1,3}}dot\s{{1,3}}|\.){_LABEL})+)(?![A-Za-z0-9])")
-_BARE_DOT = re.compile(r"(?i)\s{1,3}dot\s{1,3}|\.")
+#: The same with the words of other languages, which no sentence holds by chance.
+_BARE_OTHER = re.compile(rf"(?i)(?<![A-Za-z0-9._%+-])([A-Za-z0-9._%+-]{{1,64}})(\s{{1,3}}(?:arroba|arobase)\s{{1,3}})({_LABEL}(?:(?:\s{{1,3}}(?:{_DOT})\s{{1,3}}|\.){_LABEL})+)(?![A-Za-z0-9])")
+_BARE_DOT = re.compile(rf"(?i)\s{{1,3}}(?:{_DOT})\s{{1,3}}|\.")
 _TOP = re.compile(r"(?i)[a-z]{2,24}|xn--[a-z0-9-]{1,59}")
 # Words of a sentence that are no first label after a bare "at", no last label after a bare "dot", and no name
 # before an "at" that a host with written dots follows.
@@ -159,18 +221,9 @@ class Rewritten:
         return any(self.changed[a:b]) or self.end[b - 1] - self.begin[a] != b - a
 
 
-def _fold(c: str) -> str:
-    if c in INVISIBLE:
-        return ""
-    if "！" <= c <= "～":
-        return chr(ord(c) - 0xFEE0)
-    if c.isdigit():
-        return str(unicodedata.digit(c))
-    return c.translate(LOOK_ALIKES)
-
-
 def _foreign_edits(text: str) -> list[tuple[int, int, str]]:
-    return [(m.start(), m.end(), _fold(m[0])) for m in _FOREIGN.finditer(text)]
+    foreign, folds = _foreign(text), _folds()
+    return [(m.start(), m.end(), folds[m[0]]) for m in foreign.finditer(text)] if foreign else []
 
 
 def _reference_edits(text: str) -> list[tuple[int, int, str]]:
@@ -195,23 +248,32 @@ def _framed_edits(text: str) -> list[tuple[int, int, str]]:
     return out
 
 
+def _digits(word: str) -> str:
+    """The digits that a part of a spelled run stands for: a figure's own, those of a word, twice or more of a doubled one."""
+    if word in DIGIT_WORDS:
+        return DIGIT_WORDS[word]
+    first, _, last = word.replace(",", " ").replace("-", " ").partition(" ")
+    return DIGIT_WORDS[last.strip()] * TIMES[first] if first in TIMES else word
+
+
 def _spelled_edits(text: str) -> list[tuple[int, int, str]]:
     out = []
     for m in _SPELLED.finditer(text):
         words = [(p.start() + m.start(), p.end() + m.start(), p[0].lower()) for p in _SPELLED_PART.finditer(m[0])]
-        spelled, dots = sum(w in DIGIT_WORDS for *_, w in words), sum(w in ("dot", "point") for *_, w in words)
+        spelled = sum(len(_digits(w)) for *_, w in words if w[0].isalpha() and w not in DOTS and w not in PLUS)
+        dots = sum(w in DOTS for *_, w in words)
         figures = sum(len(w.replace(".", "")) for *_, w in words if w[0].isdigit())
         address = dots > 0 and dots + sum(w.count(".") for *_, w in words) >= 3
         # Seven digits or more with a plus, or mostly spelled ones; other figures beside a number word are left alone.
-        number = spelled > 0 and spelled + figures >= 7 and (spelled >= 7 or words[0][2] == "plus" or 2 * spelled >= spelled + figures)
+        number = spelled > 0 and spelled + figures >= 7 and (spelled >= 7 or words[0][2] in PLUS or 2 * spelled >= spelled + figures)
         if not address and not number:
             continue
         for i, (a, b, w) in enumerate(words):
             end = words[i + 1][0] if i + 1 < len(words) else m.end()
             # In an address only spelled digits join; a figure is a number of its own.
-            if address and i + 1 < len(words) and (w[0].isdigit() or words[i + 1][2][0].isdigit()) and not {w, words[i + 1][2]} & {"dot", "point", "plus"}:
+            if address and i + 1 < len(words) and (w[0].isdigit() or words[i + 1][2][0].isdigit()) and not {w, words[i + 1][2]} & {*DOTS, *PLUS}:
                 end = b
-            out.append((a, end, "+" if w == "plus" else "." if w in ("dot", "point") else DIGIT_WORDS.get(w, w)))
+            out.append((a, end, "+" if w in PLUS else "." if w in DOTS else _digits(w)))
     return out
 
 
@@ -219,9 +281,12 @@ def _bracket_edits(text: str) -> list[tuple[int, int, str]]:
     return [(m.start(), m.end(), "@" if _IS_AT.search(m[0]) else ".") for m in _BRACKETED.finditer(text)]
 
 
+_OTHER_AT = re.compile("(?i)arroba|arobase")
+
+
 def _bare_edits(text: str) -> list[tuple[int, int, str]]:
     out = []
-    for m in _BARE.finditer(text):
+    for m in sorted([*_BARE.finditer(text), *(_BARE_OTHER.finditer(text) if _OTHER_AT.search(text) else ())], key=lambda m: m.start()):
         dots = [d.span() for d in _BARE_DOT.finditer(text, m.start(3), m.end(3))]
         ends = [a for a, _ in dots[1:]] + [m.end(3)]
         while dots and not (_TOP.fullmatch(last := text[dots[-1][1] : ends[-1]]) and (dots[-1][1] - dots[-1][0] == 1 or last.lower() not in _NOT_LAST)):
@@ -247,22 +312,22 @@ def _apart(edits: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
 def _rules(text: str) -> list[Callable[[str], list]]:
     """The rewriting rules that can apply, by cheap signs."""
     out: list[Callable[[str], list]] = []
-    if not text.isascii() and _FOREIGN.search(text):
+    if foreign := _foreign(text):
         out.append(_foreign_edits)
-        text = "".join(map(_fold, text)) if out else text
+        text = foreign.sub(lambda m: _folds()[m[0]], text)
     low = text.lower()
     if ("&" in text or "%40" in text) and _REFERENCE.search(text):
         out.append(_reference_edits)
         low = _REFERENCE.sub(lambda m: REFERENCES[m[0].strip().lower()], low)
     if _DIGIT.search(text) and _LETTER_IN_NUMBER.search(text):
         out.append(_number_like_edits)
-    if any(w in low for w in (*DIGIT_WORDS, "dot", "point")) and _SPELLED.search(low):
+    if not _SPELLING.isdisjoint(low.replace(",", " ").replace("-", " ").split()) and _SPELLED.search(low):
         out.append(_spelled_edits)
     if any(x in low for x in "[({<") and _BRACKETED.search(low):
         out.append(_bracket_edits)
     if "at" in low and "dot" in low:
         out.append(_framed_edits)
-    if "at" in low or "@" in low or "arroba" in low:
+    if "at" in low or "@" in low or _OTHER_AT.search(low):
         out.append(_bare_edits)
     return out
 
