@@ -16,7 +16,7 @@ from foliant.storage import stored
 _RANGE, _START, _VALUE = "__range", "__start", "__value"
 
 
-def ranged(df: DataFrame, *order: str) -> DataFrame:
+def ranged(df: DataFrame, *order: str | Column) -> DataFrame:
     """df with the range of each row: ascending numbers along the order, as many as there are shuffle partitions."""
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return stored(df.repartitionByRange(parts, *order).withColumn(_RANGE, F.spark_partition_id()), "ranges")
@@ -26,7 +26,7 @@ def _exclusive(name: str) -> Column:
     return F.sum(name).over(Window.partitionBy("__one").orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1))
 
 
-def numbered(df: DataFrame, *order: str, name: str = "row_ix") -> DataFrame:
+def numbered(df: DataFrame, *order: str | Column, name: str = "row_ix") -> DataFrame:
     """df with each row's place in the order, from 0, without gaps; rows of equal order in any order."""
     rows = ranged(df, *order)
     sizes = rows.groupBy(_RANGE).agg(F.count("*").alias(_START)).withColumn("__one", F.lit(1))  # a row a range

@@ -18,6 +18,7 @@ from foliant.operators import rows as R
 from foliant.operators import scans
 from foliant.plans import forms, notes, variant_notes, venue
 from foliant.plans.registry import query
+from foliant.plans.review_queries import bin_sql
 from foliant.plans.views import PAPERS, Tables
 from foliant.schema import strings
 from foliant.sources import files, pages, rest, summaries
@@ -33,18 +34,26 @@ def _written_text(t: Tables, df: DataFrame, name: str) -> str:
     return folder
 
 
-def _one_object(df: DataFrame, key: str, value: str) -> DataFrame:
-    """A small table of pairs as one JSON object."""
-    return df.agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col(key).cast("string"), F.col(value).cast("string")))))).alias("value"))
+def _one_file_a_block(t: Tables, lines: DataFrame, name: str) -> str:
+    """The folder of texts (block, value), one file each."""
+    folder = shared_dir(t.spark, name)
+    lines.repartition("block").write.partitionBy("block").text(folder)
+    return folder
+
+
+def _blocks(key: str, size: int = 200) -> Column:
+    return F.floor(F.col(key) / size).alias("block")
 
 
 # --- lists, sheets and documents --------------------------------------------------------------------------------------------
 
 
-@query("SELECT n_nationkey::VARCHAR AS id, n_name AS title, 'none' AS status FROM nation")
+@query("SELECT c_custkey::VARCHAR AS id, c_name AS title, 'none' AS status FROM customer")
 def paper_list_scan(t: Tables) -> DataFrame:
-    rows = t.nation.agg(F.to_json(F.collect_list(F.struct(F.col("n_nationkey").cast("string").alias("id"), F.col("n_name").alias("title"), F.lit("none").alias("status")))).alias("value"))
-    return files.paper_list(t.spark, _written_text(t, rows.coalesce(1), "list.json"), strings("id", "title", "status"))
+    """Lists of 200 papers, each an array of one file."""
+    item = F.struct(F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("title"), F.lit("none").alias("status"))
+    lists = t.customer.groupBy(_blocks("c_custkey")).agg(F.to_json(F.collect_list(item)).alias("value"))
+    return files.paper_list(t.spark, _one_file_a_block(t, lists, "list.json"), strings("id", "title", "status")).select("id", "title", "status")
 
 
 @query("SELECT r_name AS folder, n_nationkey::VARCHAR AS id, n_name AS title FROM nation JOIN region ON n_regionkey = r_regionkey")
@@ -121,12 +130,13 @@ def row_numbers(t: Tables) -> DataFrame:
     return scans.numbered(rows, "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").drop("l_suppkey")
 
 
-@query("SELECT n_nationkey::INTEGER AS k, n_name AS v FROM nation")
+@query("SELECT c_custkey::INTEGER AS k, c_name AS v FROM customer")
 def json_map_scan(t: Tables) -> DataFrame:
-    """Entries whose key is no number go."""
-    pairs = t.nation.select(F.col("n_nationkey").cast("string").alias("k"), F.col("n_name").alias("v")).union(t.region.select(F.concat(F.lit("r"), F.col("r_regionkey").cast("string")), "r_name"))
-    folder = _written_text(t, _one_object(pairs, "k", "v").coalesce(1), "map")
-    return files.json_map(t.spark, folder).where("entries is not null").select(F.explode("entries").alias("k", "v"))
+    """Maps of files of 200 entries; those whose key is no number go."""
+    pairs = F.struct(F.col("c_custkey").cast("string").alias("k"), F.col("c_name").alias("v")), F.struct(F.concat(F.lit("r"), F.col("c_custkey").cast("string")).alias("k"), F.lit("other").alias("v"))
+    rows = t.customer.select(_blocks("c_custkey"), F.explode(F.array(*pairs)).alias("e"))
+    objects = rows.groupBy("block").agg(F.to_json(F.map_from_entries(F.collect_list("e"))).alias("value"))
+    return files.json_map(t.spark, _one_file_a_block(t, objects, "map")).where("entries is not null").select(F.explode("entries").alias("k", "v"))
 
 
 @query("SELECT 2024 AS year, 'site' AS source, r_name AS track, n_name AS raw, lower(n_name) AS name FROM nation JOIN region ON n_regionkey = r_regionkey")
@@ -153,11 +163,12 @@ def request_lines(t: Tables) -> DataFrame:
     return t.spark.read.text(folder).select(*[F.get_json_object("value", f"$.{p}").alias(c) for c, p in path.items()])
 
 
-@query("SELECT n_nationkey AS id, n_name || ' of ' || n_nationkey AS title FROM nation")
+@query("SELECT c_custkey AS id, c_name || ' of ' || c_nationkey AS title FROM customer")
 def atom_scan(t: Tables) -> DataFrame:
-    entries = t.nation.orderBy("n_nationkey").select(F.concat(F.lit("<entry><id>"), F.col("n_nationkey").cast("string"), F.lit("</id><title>"), "n_name", F.lit("\n  of "), F.col("n_nationkey").cast("string"), F.lit("</title></entry>")).alias("value"))
-    feed = entries.agg(F.concat(F.lit("<feed>"), F.array_join(F.collect_list("value"), "\n"), F.lit("</feed>")).alias("value"))
-    return files.atom_entries(t.spark, _written_text(t, feed.coalesce(1), "atom")).select(F.col("id").cast("bigint").alias("id"), "title")
+    """Feeds of 200 entries, one file each; titles have line breaks."""
+    entry = F.concat(F.lit("<entry><id>"), F.col("c_custkey").cast("string"), F.lit("</id><title>"), "c_name", F.lit("\n  of "), F.col("c_nationkey").cast("string"), F.lit("</title></entry>"))
+    feeds = t.customer.groupBy(_blocks("c_custkey")).agg(F.concat(F.lit("<feed>"), F.array_join(F.collect_list(entry), "\n"), F.lit("</feed>")).alias("value"))
+    return files.atom_entries(t.spark, _one_file_a_block(t, feeds, "atom")).select(F.col("id").cast("bigint").alias("id"), "title")
 
 
 def _stored_notes(t: Tables, rows: DataFrame, order: str, limit: int) -> str:
@@ -296,10 +307,13 @@ def page_details(t: Tables) -> DataFrame:
     return pages.details(t.customer.select(_joined("https://oa.org/p/", k).alias("url"), html.alias("html"))).select("url", "title", "author", "pdf", "arxiv", "github", "doi", "slides")
 
 
-@query("SELECT 'https://x.org/l' AS url, s_suppkey::INTEGER AS pos, s_name AS title, 'https://x.org/content/' || s_suppkey || '.html' AS site FROM supplier")
+@query("SELECT 'https://x.org/l' || c_custkey // 50 AS url, (row_number() OVER (PARTITION BY c_custkey // 50 ORDER BY c_custkey))::INTEGER AS pos, c_name AS title, 'https://x.org/content/' || c_custkey || '.html' AS site FROM customer")
 def page_listing(t: Tables) -> DataFrame:
-    links = t.supplier.orderBy("s_suppkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("s_suppkey", "s_name"))), lambda s: F.concat(F.lit("<dt><a href='/content/"), s["s_suppkey"].cast("string"), F.lit(".html'>"), s["s_name"], F.lit("</a></dt>"))), "").alias("html"))
-    return pages.listing(links.select(F.lit("https://x.org/l").alias("url"), "html"), "/content/")
+    """Listing pages of 50 papers; a link that is no paper's comes first on each."""
+    item = lambda s: F.concat(F.lit("<dt><a href='/content/"), s["c_custkey"].cast("string"), F.lit(".html'>"), s["c_name"], F.lit("</a></dt>"))
+    papers = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("c_custkey", "c_name"))), item), "")
+    pages_ = t.customer.groupBy(_blocks("c_custkey", 50)).agg(F.concat(F.lit("<a href='/home'>home</a>"), papers).alias("html"))
+    return pages.listing(pages_.select(_joined("https://x.org/l", F.col("block")).alias("url"), "html"), "/content/")
 
 
 @query("SELECT r_name AS category, 'sub' || r_regionkey AS subcategory, n_name AS conference, (n_nationkey + 1)::DOUBLE AS rank, (100 - n_nationkey)::VARCHAR AS h5_index, (n_nationkey * 2)::VARCHAR AS h5_median FROM nation JOIN region ON n_regionkey = r_regionkey")
@@ -437,14 +451,14 @@ def overwritten_scores(t: Tables) -> DataFrame:
     return g.select("l_orderkey", F.array_join(arrays.overwrite_all(F.col("a"), F.col("m")).cast("array<string>"), ";").alias("scores"))
 
 
-@query("SELECT k, a, b, c, d, e FROM (SELECT n_nationkey AS k, row_number() OVER (ORDER BY n_name) AS a, row_number() OVER (ORDER BY n_nationkey::VARCHAR) AS b, row_number() OVER (ORDER BY n_nationkey DESC) AS c, row_number() OVER (ORDER BY n_regionkey, n_name DESC) AS d, row_number() OVER (ORDER BY n_regionkey DESC, n_nationkey) AS e FROM nation)")
+@query("""SELECT c_custkey AS k, row_number() OVER (ORDER BY c_name) - 1 AS a, row_number() OVER (ORDER BY c_custkey::VARCHAR) - 1 AS b, row_number() OVER (ORDER BY c_custkey DESC) - 1 AS c,
+ row_number() OVER (ORDER BY c_nationkey, c_name DESC) - 1 AS d, row_number() OVER (ORDER BY c_nationkey DESC, c_custkey) - 1 AS e FROM customer""")
 def row_orders(t: Tables) -> DataFrame:
     """The place of each row under five orders."""
-    orders = {"a": ["n_name"], "b": [F.col("n_nationkey").cast("string")], "c": [F.desc("n_nationkey")], "d": ["n_regionkey", F.desc("n_name")], "e": [F.desc("n_regionkey"), "n_nationkey"]}
-    out = t.nation.select(F.col("n_nationkey").alias("k"))
+    orders = {"a": ["c_name"], "b": [F.col("c_custkey").cast("string")], "c": [F.desc("c_custkey")], "d": ["c_nationkey", F.desc("c_name")], "e": [F.desc("c_nationkey"), "c_custkey"]}
+    out = t.customer.select(F.col("c_custkey").alias("k"))
     for name, by in orders.items():
-        keys = R.sorted_by(t.nation, *by).coalesce(1).agg(F.collect_list("n_nationkey").alias("keys"))
-        out = out.join(keys.select(F.posexplode("keys").alias("p", "k")).select("k", (F.col("p") + 1).cast("bigint").alias(name)), "k")
+        out = out.join(scans.numbered(t.customer.select("c_custkey", "c_name", "c_nationkey"), *by, name=name).select(F.col("c_custkey").alias("k"), name), "k")
     return out
 
 
@@ -479,16 +493,29 @@ def join_truth(t: Tables) -> DataFrame:
     return J.with_truth(rows, truth).select("c_custkey", "site", "aff")
 
 
-@query("SELECT * FROM (VALUES ('site', 'openreview', 'openreview'), ('site', 'openaccess', 'openaccess'), ('openreview', 'openaccess', 'openreview'), ('form', 'form', 'form'), ('form', 'site', NULL)) v(a, b, base)")
+_KINDS = ("site", "openreview", "openaccess", "form")
+
+
+@query("""WITH p AS (SELECT list_extract(['site', 'openreview', 'openaccess', 'form'], 1 + c_custkey % 4) AS a, list_extract(['site', 'openreview', 'openaccess', 'form'], 1 + c_nationkey % 4) AS b FROM customer)
+SELECT a, b, CASE WHEN a = b THEN a WHEN a = 'site' AND b IN ('openreview', 'openaccess') THEN b WHEN a = 'openreview' AND b = 'openaccess' THEN a END AS base, count(*) AS n FROM p GROUP BY 1, 2, 3""")
 def merge_rules(t: Tables) -> DataFrame:
-    pairs = [("site", "openreview"), ("site", "openaccess"), ("openreview", "openaccess"), ("form", "form"), ("form", "site")]
-    return t.spark.createDataFrame([(a, b, J.merge_rule(a, b)) for a, b in pairs], "a string, b string, base string")
+    """Whose row is the base of a merge, for customers whose sources are two of four."""
+    kind = lambda c: F.get(F.array(*map(F.lit, _KINDS)), (F.col(c) % 4).cast("int"))
+    rules = t.spark.createDataFrame([(a, b, J.merge_rule(a, b)) for a in _KINDS for b in _KINDS], "a string, b string, base string")
+    return t.customer.select(kind("c_custkey").alias("a"), kind("c_nationkey").alias("b")).join(rules, ["a", "b"]).groupBy("a", "b", "base").agg(F.count("*").alias("n"))
+
+
+_SITED = ("cvpr", "eccv", "iclr", "wacv", "siggraph", "kdd", "aistats")
 
 
-@query("SELECT * FROM (VALUES ('cvpr', 2022, 'tables'), ('cvpr', 2023, 'cards'), ('eccv', 2022, 'tables'), ('eccv', 2024, 'cards'), ('iclr', 2024, 'cards'), ('wacv', 2024, 'tables'), ('siggraph', 2024, 'browser')) v(venue, year, kind)")
+@query(f"""WITH v AS (SELECT list_extract([{", ".join(f"'{v}'" for v in _SITED)}], 1 + o_custkey % 7) AS venue, year(o_orderdate) + 27 AS year FROM orders)
+SELECT venue, year, CASE WHEN venue = 'cvpr' THEN CASE WHEN year >= 2023 THEN 'cards' ELSE 'tables' END WHEN venue = 'eccv' THEN CASE WHEN year >= 2024 THEN 'cards' ELSE 'tables' END WHEN venue = 'iclr' THEN 'cards' WHEN venue = 'wacv' THEN 'tables' WHEN venue = 'siggraph' THEN 'browser' WHEN venue = 'kdd' THEN 'stub' END AS kind, count(*) AS n FROM v GROUP BY 1, 2, 3""")
 def source_kinds(t: Tables) -> DataFrame:
-    wanted = [("cvpr", 2022), ("cvpr", 2023), ("eccv", 2022), ("eccv", 2024), ("iclr", 2024), ("wacv", 2024), ("siggraph", 2024)]
-    return t.spark.createDataFrame([(v, y, source_kind(v, "site", y)) for v, y in wanted if v in VENUES], "venue string, year int, kind string")
+    """How the sites of papers' venues are read in their years; a venue without a site has no kind."""
+    venue = F.get(F.array(*map(F.lit, _SITED)), (F.col("o_custkey") % 7).cast("int"))
+    papers = t.orders.select(venue.alias("venue"), (F.year("o_orderdate") + 27).cast("bigint").alias("year"))
+    known = t.spark.createDataFrame([(v, y, source_kind(v, "site", y)) for v in _SITED if v in VENUES for y in range(2000, 2040)], "venue string, year bigint, kind string")
+    return papers.join(known, ["venue", "year"]).groupBy("venue", "year", "kind").agg(F.count("*").alias("n"))
 
 
 # --- venues -----------------------------------------------------------------------------------------------------------------
@@ -579,6 +606,31 @@ def venue_resolution(t: Tables) -> DataFrame:
     return merged.select("id", "title", "status")
 
 
+@query(f"""WITH {PAPERS}, c AS (SELECT primary_area AS conference, count(*) FILTER (status = 'Oral') AS Oral, count(*) FILTER (status = 'Poster') AS Poster, count(*) FILTER (status = 'Reject') AS Reject FROM papers GROUP BY 1),
+m AS (SELECT *, CASE WHEN conference LIKE '1%' THEN 12345 ELSE Oral + Poster + Reject END AS total FROM c)
+SELECT conference, Oral, Poster, Reject, total::BIGINT AS total, Oral + Poster AS accept, round(Oral::DOUBLE / total, 9) AS Oral_share, round(Poster::DOUBLE / total, 9) AS Poster_share, round(Reject::DOUBLE / total, 9) AS Reject_share, round((Oral + Poster)::DOUBLE / total, 9) AS ac_rate FROM m""")
+def server_rows(t: Tables) -> DataFrame:
+    """The wide row of each conference, one of them with the meta sheet's total."""
+    tiers = ["Oral", "Poster", "Reject"]
+    counts = t.orders_status().groupBy(F.col("primary_area").alias("conference"), F.col("status").alias("tier")).agg(F.count("*").alias("n"))
+    meta = t.orders.select(F.col("o_orderpriority").alias("conference")).distinct().withColumn("total", F.when(F.startswith("conference", F.lit("1")), "12,345").otherwise(""))
+    row = venue.server_row(counts, meta, tiers)
+    shares = [f"{x}_share" for x in tiers] + ["ac_rate"]
+    return row.select("conference", *tiers, "total", "accept", *[F.round(c, 9).alias(c) for c in shares])
+
+
+@query(f"""WITH {PAPERS}, m AS (SELECT primary_area AS conference, status AS tier, count(*) AS n FROM papers GROUP BY 1, 2), s AS (SELECT conference, tier, CASE WHEN tier = 'Oral' THEN n + 5 ELSE n // 2 END AS t FROM m WHERE tier <> 'Reject')
+SELECT conference, tier, greatest(t, n) AS n, accept, round(accept::DOUBLE / 100000, 9) AS ac_rate FROM s JOIN m USING (conference, tier) JOIN (SELECT primary_area AS conference, count(*) FILTER (status <> 'Reject') AS accept FROM papers GROUP BY 1) a USING (conference)""")
+def recounted_tiers(t: Tables) -> DataFrame:
+    """Tiers of a year whose platform knows accepted papers only, counted again from the merged list."""
+    papers = t.orders_status().select(F.col("primary_area").alias("conference"), "status")
+    counted = papers.groupBy("conference", F.col("status").alias("tier")).agg(F.count("*").alias("n"))
+    stats = counted.where("tier != 'Reject'").select("conference", "tier", F.when(F.col("tier") == "Oral", F.col("n") + 5).otherwise(F.floor(F.col("n") / 2)).alias("n"))
+    accepted = papers.where("status != 'Reject'").groupBy("conference").agg(F.count("*").alias("accept"))
+    totals = accepted.select("conference", "accept", F.lit(100_000).cast("bigint").alias("total"))
+    return venue.recounted(stats, papers, totals).withColumn("ac_rate", F.round("ac_rate", 9))
+
+
 # --- streams ----------------------------------------------------------------------------------------------------------------
 
 
@@ -602,15 +654,35 @@ def stream_upserts(t: Tables) -> DataFrame:
     return incremental.stored_rows(t.spark, path, rows.schema, "user_id", "event_id").read()
 
 
-@query("SELECT user_id, count(*) AS n FROM (SELECT DISTINCT user_id FROM events) GROUP BY 1")
+@query("SELECT user_id, min(event_id) AS event_id, arg_min(event_type, event_id) AS event_type FROM events GROUP BY 1")
 def stream_first(t: Tables) -> DataFrame:
-    """One row a key, whichever came first."""
+    """The first row of each key by its order, not by its arrival: all rows are as good, and the earliest of equal ones stays."""
+    rows = _events(t).select("user_id", "event_id", "event_type").withColumn("score", F.lit(0.0))
+    first = stateful.keep_best_stream(rows, "user_id", "score", "event_id").withColumn("rank", -F.col("event_id"))
+    path = shared_dir(t.spark, "first")
+    incremental.upsert_stream(first, path, "user_id", shared_dir(t.spark, "checkpoint"), order="rank").awaitTermination()
+    return incremental.stored_rows(t.spark, path, first.schema, "user_id", "rank").read().select("user_id", "event_id", "event_type")
+
+
+@query("SELECT user_id, count(*) AS n FROM (SELECT DISTINCT user_id FROM events) GROUP BY 1")
+def stream_distinct(t: Tables) -> DataFrame:
+    """One row a key within the watermark, whichever came first."""
     path = shared_dir(t.spark, "first")
     rows = incremental.first_of_stream(_events(t), "user_id", "ts", late="3650 days")
     rows.select("user_id").writeStream.format("parquet").option("path", path).option("checkpointLocation", shared_dir(t.spark, "checkpoint")).trigger(availableNow=True).start().awaitTermination()
     return t.spark.read.schema("user_id bigint").parquet(path).groupBy("user_id").agg(F.count("*").alias("n"))
 
 
+@query(f"SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, {bin_sql('value', 50.0)} AS bin, count(*) AS n FROM events GROUP BY 1, 2")
+def stream_histograms(t: Tables) -> DataFrame:
+    """Histograms by day of event time, kept up to date; counts only grow, so the largest one of a cell is the last."""
+    hist = incremental.histogram_stream(_events(t), "value", "ts", late="3650 days", top=50.0)
+    rows = hist.select(F.date_format("window.start", "yyyy-MM-dd").alias("day"), "bin", "n").withColumn("cell", _joined(F.col("day"), "/", F.col("bin")))
+    path = shared_dir(t.spark, "histograms")
+    incremental.upsert_stream(rows, path, "cell", shared_dir(t.spark, "checkpoint"), order="n").awaitTermination()
+    return incremental.stored_rows(t.spark, path, rows.schema, "cell", "n").read().drop("cell")
+
+
 _BEST = "CASE WHEN length(event_type || '/' || user_id) > 6 THEN event_type || '/' || user_id ELSE event_type || '/' || user_id || '#' || event_id END"
 
 

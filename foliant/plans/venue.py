@@ -66,6 +66,18 @@ def top_lists(papers: DataFrame, statuses: list[str] | None, *, track: str = "tr
     return A.top_lists(papers, lists, statuses, by=(track,), k=k)
 
 
+def recounted(stats: DataFrame, papers: DataFrame, totals: DataFrame, key: str = "conference") -> DataFrame:
+    """Tier counts (conference, tier, n) of a year whose platform only told accepted papers from others: each tier counts what
+    the merged list of papers (conference, status) has, if that is more, and acceptance is the platform's.
+
+    totals: conference, accept and total. Adds accept and ac_rate, 0 where the total is.
+    """
+    merged = papers.groupBy(key, F.col("status").alias("tier")).agg(F.count("*").alias("own"))
+    rate = F.coalesce(F.try_divide(F.col("accept").cast("double"), F.col("total").cast("double")), F.lit(0.0))
+    counted = stats.join(merged, [key, "tier"], "left").select(key, "tier", F.greatest("n", F.coalesce("own", F.lit(0))).alias("n"))
+    return counted.join(totals, key).select(key, "tier", "n", "accept", rate.alias("ac_rate"))
+
+
 def server_row(summary: DataFrame, meta: DataFrame, tiers: list[str], key: str = "conference") -> DataFrame:
     """One wide row a conference: a column for each tier's count, its share, and acceptance with the meta sheet's totals."""
     wide = summary.groupBy(key).pivot("tier", tiers).agg(F.sum("n")).na.fill(0, tiers)
