@@ -394,5 +394,5 @@ def test_highest_status_of_many_kinds(spark, tmp_path):
 
     rows = [(i, f"kind{i}") for i in range(80)] + [(100, "view"), (100, "click"), (101, "view"), (102, None), (103, "view"), (103, "other")]
     spark.createDataFrame(rows, "user_id long, event_type string").write.parquet(f"{tmp_path}/events.parquet")
-    got = {r.user_id: r.prio for r in review_queries.highest_status(views.Tables(spark, str(tmp_path))).collect()}
-    assert got == {i: 4 for i in range(80)} | {100: 2, 101: 1, 102: 4, 103: 4}
+    got = {r.user_id: r.event_type for r in review_queries.highest_status(views.Tables(spark, str(tmp_path))).collect()}
+    assert got == {i: f"kind{i}" for i in range(80)} | {100: "click", 101: "view", 102: None, 103: "other"}
