@@ -6,8 +6,9 @@ document's score is the sum of its n-grams' weights over their number; documents
 reaches the threshold. Weights and sums are whole numbers, so the verdict never depends on the order of additions.
 
 Defined results: a null or empty text has no words and fails the base rules; rows are judged one by one, whatever their
-id; without trusted documents all weights are equal and the score decides nothing. Three-word windows, words and lines are
-compared by 64-bit hashes or as strings. Other columns are not read.
+id; without trusted documents all weights are equal and the score decides nothing; an empty table gives an empty result.
+Texts are taken whole: the words of one text are one array, so a text has to fit a task, as any Spark string does.
+Three-word windows, words and lines are compared by 64-bit hashes or as strings. Other columns are not read.
 """
 
 from __future__ import annotations

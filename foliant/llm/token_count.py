@@ -13,7 +13,9 @@ Two deterministic machines count what a BPE tokenizer with word ends would emit,
 Why last tokens are enough: with ordered merges, tokens t1 .. tn are the tokenisation of their text exactly if each two
 neighbours are the tokenisation of theirs; so the last token of a prefix is the one token that fits what stands before it.
 
-Defined results: a null or empty text has no tokens and no bytes; rows are counted one by one, whatever their id.
+Defined results: a null or empty text has no tokens and no bytes; rows are counted one by one, whatever their id; an empty
+table gives an empty result; very long texts are a slice of their own, and a long word is one path through the machine.
+Other columns are not read.
 """
 
 from __future__ import annotations

@@ -452,6 +452,16 @@ def test_quality_at_the_ends_of_texts(spark, make_docs):
     assert tokens == {i: len(re.findall(r"[^\x20\x09-\x0D]+", t)) for i, t in docs}
 
 
+def test_quality_of_labels_that_were_held_out(spark):
+    """Weights from half of the labels, by a hash of the id; verdicts on the other half."""
+    corpus = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{corpus}/documents.parquet"), spark.read.parquet(f"{corpus}/labels.parquet")
+    held = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    judged = quality.judge(docs, quality.weights(docs, labels.where("quality = 1").where(~held))).join(labels, "doc_id").where(held).where("not base_failed").collect()
+    good, bad = ([r.kept for r in judged if r.quality == q] for q in (1, 0))
+    assert len(good) > 100 and sum(good) >= 0.9 * len(good) and len(bad) > 10 and sum(bad) <= 0.1 * len(bad)
+
+
 def test_quality_edges(odd_docs):
     weights = quality.weights(odd_docs, None, buckets=32)
     out = quality.judge(odd_docs, weights, buckets=32)
