@@ -26,10 +26,11 @@ from difflib import SequenceMatcher
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliant.operators.components import connected
+from foliant.operators.scans import numbered_within
 from foliant.storage import stored
 
 #: Rows of a side that meet in one tile, at most about.
@@ -249,8 +250,7 @@ def _titled(df: DataFrame) -> DataFrame:
 
 def exact_match(left: DataFrame, right: DataFrame) -> DataFrame:
     """block, left_ix and right_ix of rows with equal titles, the n-th of a title with the n-th; nothing is scored."""
-    own = Window.partitionBy("block", "title").orderBy("ix")
-    a, b = (_titled(df).withColumn("n", F.row_number().over(own)) for df in (left, right))
+    a, b = (numbered_within(_titled(df), ["block", "title"], "ix") for df in (left, right))
     return a.join(b.withColumnRenamed("ix", "right_ix"), ["block", "title", "n"]).select("block", F.col("ix").alias("left_ix"), "right_ix")
 
 

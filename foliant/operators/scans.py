@@ -35,6 +35,13 @@ def numbered(df: DataFrame, *order: str | Column, name: str = "row_ix") -> DataF
     return rows.withColumn(name, own.cast("bigint")).join(F.broadcast(starts), _RANGE).withColumn(name, F.col(name) + F.col(_START)).drop(_RANGE, _START)
 
 
+def numbered_within(df: DataFrame, group: list[str], *order: str | Column, name: str = "n") -> DataFrame:
+    """df with each row's place in its group, from 0, for groups of any size whose columns are not null."""
+    rows = numbered(df, *group, *order, name="__place")
+    starts = rows.groupBy(*group).agg(F.min("__place").alias("__first"))
+    return rows.join(starts, group).withColumn(name, F.col("__place") - F.col("__first")).drop("__place", "__first")
+
+
 def carried(df: DataFrame, column: str, group: str, order: str) -> DataFrame:
     """df with blank cells of a column filled by the last value above them in their group."""
     value = F.nullif(F.col(f"`{column}`"), F.lit(""))

@@ -26,6 +26,16 @@ def test_numbers_along_an_order(spark):
     assert scans.numbered(df.limit(0).drop("__start"), "v").count() == 0
 
 
+def test_places_within_groups(spark):
+    """One group holds most rows, which the ranges cut."""
+    own = random.Random(5)
+    rows = [(own.choice("aaaaab"), own.choice("xy"), i) for i in range(300)]
+    got = scans.numbered_within(spark.createDataFrame(rows, "g string, h string, i int").repartition(4), ["g", "h"], "i").collect()
+    for g, h in {r[:2] for r in rows}:
+        assert [r.i for r in sorted((r for r in got if (r.g, r.h) == (g, h)), key=lambda r: r.n)] == [i for x, y, i in rows if (x, y) == (g, h)]
+        assert sorted(r.n for r in got if (r.g, r.h) == (g, h)) == list(range(sum(r[:2] == (g, h) for r in rows)))
+
+
 def test_carry_forward_over_ranges(spark):
     """One large group, groups without values, null groups and nulls; the ranges cut the large group."""
     own = random.Random(2)
