@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliant.storage import stored
+from foliant.storage import discard, stored
 
 
 def connected(links: DataFrame) -> DataFrame:
@@ -21,6 +21,8 @@ def connected(links: DataFrame) -> DataFrame:
         low = labels.join(near, "node").select("node", "label", F.least("label", "near").alias("low"))
         far = labels.select(F.col("node").alias("low"), F.col("label").alias("far"))
         new = stored(low.join(far, "low").select("node", F.col("label").alias("old"), F.least("low", "far").alias("label")), "labels")
+        discard(labels)
         if new.where("old != label").isEmpty():
+            discard(both)
             return new.select("node", "label")
         labels = new.select("node", "label")

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from foliant.operators.components import connected
 from foliant.operators.scans import numbered_within
-from foliant.storage import stored
+from foliant.storage import discard, stored
 
 #: Rows of a side that meet in one tile, at most about.
 TILE = 1024
@@ -221,7 +221,9 @@ def greedy(pairs: DataFrame, finish: int = FINISH) -> DataFrame:
         by_right = pairs.groupBy("block", "right_ix").agg(F.max(best).alias("best"))
         final = by_left.join(by_right, ["block", "best"]).select("block", "left_ix", "right_ix", F.col("best.score").alias("score"), F.col("best.level").alias("level"))
         found.append(stored(final, "matched"))
-        pairs = stored(pairs.join(found[-1].select("block", "left_ix"), ["block", "left_ix"], "left_anti").join(found[-1].select("block", "right_ix"), ["block", "right_ix"], "left_anti"), "open")
+        open_ = stored(pairs.join(found[-1].select("block", "left_ix"), ["block", "left_ix"], "left_anti").join(found[-1].select("block", "right_ix"), ["block", "right_ix"], "left_anti"), "open")
+        discard(pairs)
+        pairs = open_
         before, n = n, pairs.count()
         if before - n < LITTLE * before:
             break
@@ -235,6 +237,8 @@ def greedy(pairs: DataFrame, finish: int = FINISH) -> DataFrame:
         order = [F.desc("level"), F.asc("left_ix"), F.desc("score"), F.desc("right_title"), F.asc("right_ix")]
         dealt = own.repartition("component", "block").sortWithinPartitions("component", "block", *order)
         found.append(dealt.withColumn("component", F.struct("component", "block").cast("string")).mapInPandas(_finished, "block string, left_ix bigint, right_ix bigint, score double, level int"))
+    elif found:
+        discard(pairs)
     out = found[0] if found else pairs.select(*_FINAL)
     for more in found[1:]:
         out = out.unionByName(more)
@@ -262,9 +266,12 @@ def fuzzy_match(left: DataFrame, right: DataFrame, least: float = 0.71, *, bands
     a, b = _titled(left), _titled(right)
     found = stored(exact_match(left, right).select("block", "left_ix", "right_ix", F.lit(1.0).alias("score"), F.lit(100).alias("level")), "exact")
     for band in [x for x in bands if x > least] + [least]:
-        a = stored(a.join(found.select("block", F.col("left_ix").alias("ix")), ["block", "ix"], "left_anti"), "left")
-        b = stored(b.join(found.select("block", F.col("right_ix").alias("ix")), ["block", "ix"], "left_anti"), "right")
-        found = stored(found.unionByName(greedy(scored_pairs(a, b, band, tile), finish)), "matches")
+        left_over = stored(a.join(found.select("block", F.col("left_ix").alias("ix")), ["block", "ix"], "left_anti"), "left")
+        right_over = stored(b.join(found.select("block", F.col("right_ix").alias("ix")), ["block", "ix"], "left_anti"), "right")
+        both = found.unionByName(greedy(scored_pairs(left_over, right_over, band, tile), finish))
+        found = stored(both, "matches")
+        discard(both)
+        a, b = left_over, right_over
     return found
 
 

@@ -30,3 +30,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = shared_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes stored tables that nothing reads any more: the folders under the shared root that these frames read."""
+    for df in tables:
+        spark = df.sparkSession
+        root = spark._jvm.org.apache.hadoop.fs.Path(shared_root(spark))
+        fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+        own = fs.makeQualified(root).toString().rstrip("/") + "/"
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            path = fs.makeQualified(spark._jvm.org.apache.hadoop.fs.Path(folder))
+            if path.toString().startswith(own):
+                fs.delete(path, True)

@@ -159,6 +159,24 @@ def test_fuzzy_of_odd_tables(spark):
     assert collected(fuzzy.fuzzy_match(more, left), "left_ix", "right_ix") == [(5, 5), (6, 6)]
 
 
+def test_tables_between_steps_are_deleted(spark, tmp_path, monkeypatch):
+    """What stays in the shared folder is the result and the last leftovers; a user's own tables stay, too."""
+    import os
+
+    from foliant import storage
+
+    left = titles(spark, [("x", i, f"title number {i}") for i in range(30)])
+    left.write.parquet(f"{tmp_path}/own")
+    own = spark.read.parquet(f"file://{tmp_path}/own")
+    monkeypatch.setattr(storage, "shared_root", lambda _: f"file://{tmp_path}/shared")
+    got = fuzzy.fuzzy_match(own, own.withColumn("title", F.concat("title", F.lit("!"))), finish=0)
+    assert got.count() == 30
+    kinds = [f.split("-")[0] for f in os.listdir(tmp_path / "shared")]
+    assert kinds.count("matches") == 1 and not {"pairs", "open", "matched"} & set(kinds), kinds
+    storage.discard(own)
+    assert own.count() == 30
+
+
 def test_connected(spark):
     import random
 
