@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -238,14 +236,18 @@ def summary_round_trip(t: Tables) -> DataFrame:
 
 def _stored_summary(t: Tables, old: bool) -> str:
     """A stored summary of nations as tiers, in the older or the newer layout."""
-    names = {str(r.n_nationkey): r.n_name for r in t.nation.select("n_nationkey", "n_name").collect()}
-    counts = {k: int(k) * 10 for k in names}
-    strings_ = {k: f"{k};0*5" if old else {"0": f"{k};0*5", "3": "1"} for k in names}
-    own = {"src": {}, "hist": {"0": strings_}, "tsf": {"0": strings_}, "sum": {"hist": {}}}
-    own |= {"tnum": counts, "tname": names, "rname": {"0": "rating"}, "tid": names} if old else {"name": {"tier": names, "review": {"0": "rating"}, "tier_raw": names}}
-    if not old:
-        own["sum"]["count"] = counts
-    return _written_text(t, t.spark.createDataFrame([(json.dumps({"2024": {"main": own}}),)], "value string").coalesce(1), "summary")
+    k = F.col("n_nationkey").cast("string")
+    by_tier = lambda v: F.map_from_entries(F.collect_list(F.struct(k, v)))
+    string = F.concat(k, F.lit(";0*5"))
+    own = t.nation.agg(by_tier(F.col("n_name")).alias("names"), by_tier(F.col("n_nationkey") * 10).alias("counts"), by_tier(string if old else F.create_map(F.lit("0"), string, F.lit("3"), F.lit("1"))).alias("strings"))
+    none, rating, by_dim = F.create_map().cast("map<string,string>"), F.create_map(F.lit("0"), F.lit("rating")), F.create_map(F.lit("0"), "strings")
+    fields = [none.alias("src"), by_dim.alias("hist"), by_dim.alias("tsf")]
+    if old:
+        fields += [F.struct(none.alias("hist")).alias("sum"), F.col("counts").alias("tnum"), F.col("names").alias("tname"), rating.alias("rname"), F.col("names").alias("tid")]
+    else:
+        fields += [F.struct(none.alias("hist"), F.col("counts").alias("count")).alias("sum"), F.struct(F.col("names").alias("tier"), rating.alias("review"), F.col("names").alias("tier_raw")).alias("name")]
+    doc = own.select(F.to_json(F.create_map(F.lit("2024"), F.create_map(F.lit("main"), F.struct(*fields)))).alias("value"))
+    return _written_text(t, doc.coalesce(1), "summary")
 
 
 @query("SELECT layout, n_nationkey::INTEGER AS tier, n_name AS name, n_nationkey * 10 AS n FROM nation CROSS JOIN (VALUES ('old'), ('new')) l(layout)")
