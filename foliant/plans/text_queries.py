@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foliant.functions import arrays, scores, text
-from foliant.functions.documents import extract_affiliations, page_title, parse_json, phrase, similarity
+from foliant.functions.documents import extract_affiliations, parse_json, phrase, similarity, written_title
 from foliant.operators import aggregates as A
 from foliant.plans.registry import query
 from foliant.plans.views import Tables
@@ -147,7 +147,7 @@ def custom_ids(t: Tables) -> DataFrame:
 
 @query(r"SELECT page_id, trim(regexp_replace(replace(replace(replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\s+', ' ', 'g')) AS title FROM pages")
 def html_title(t: Tables) -> DataFrame:
-    return t.pages.select("page_id", page_title("html").alias("title"))
+    return t.pages.select("page_id", written_title(F.col("html")).alias("title"))
 
 
 @query()

@@ -151,6 +151,22 @@ def test_titles_and_texts_of_given_pages(spark, sf_dir):
         assert r.p.text == " ".join(" ".join(plain.text).split()) and len(r.p.anchors) == len(plain.anchors)
 
 
+def test_written_titles_equal_their_sql(spark, tmp_path):
+    """Cut and other references stay as they are; titles with attributes, in capitals or with tags are none."""
+    from oracle import connect, rows
+
+    from foliant import catalog
+
+    titles = ["a &amp;&amp", "x &quot;y&quot; &#39;", "&amp;lt; &lt;b&gt;", " \t a\u00a0\n\x0b b ", "", "a<b>c</b>"]
+    pages = [(i, "u", f"<html><title>{x}</title><title>second</title>") for i, x in enumerate(titles)]
+    pages += [(10, "u", None), (11, "u", ""), (12, "u", "<TITLE>a</TITLE>"), (13, "u", '<title lang="en">a</title>'), (14, "u", "<title>open")]
+    spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    con = connect("/root/testdata/sf0.001")
+    con.execute(f"CREATE OR REPLACE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    expected = con.execute(catalog.oracle_sql()["html_title"]).fetchall()
+    assert rows(catalog.queries()["html_title"](spark, str(tmp_path)), ["page_id", "title"]) == sorted(expected, key=repr)
+
+
 def test_similarity_equals_the_standard_library(spark, sf_dir):
     from difflib import SequenceMatcher
 
