@@ -105,6 +105,23 @@ def test_fuzzy_equals_plain_greedy(spark, monkeypatch, seed, options):
     assert collected(fuzzy.fuzzy_match(titles(spark, left), titles(spark, right), **options), "left_ix", "right_ix") == sorted(expected)
 
 
+def test_band_links_stand_for_all_pairs(spark):
+    """Rows grow with titles and the pairs behind them are those of the plain join; equal lengths are one class."""
+    import random
+
+    own = random.Random(3)
+    left, right = ([(own.choice(["x", "y", None]), k + i, own.choice([None, "", "ä" * own.randint(1, 40)])) for i in range(200)] for k in (0, 1000))
+    got = {r.ix: r for r in fuzzy.band_links(titles(spark, left), titles(spark, right)).collect()}
+    assert len(got) == 400
+    for one, two in ((left, right), (right, left)):
+        for b, i, t in one:
+            band = [len(u) for c, _, u in two if b and c == b and t is not None and u is not None and min(len(t), len(u)) * 2 >= 0.71 * (len(t) + len(u))]
+            same = [j for c, j, u in one if b and c == b and t is not None and u is not None and len(u) == len(t)]
+            assert tuple(got[i])[2:] == (min(same, default=None), len(band), min(band, default=None), max(band, default=None))
+    pairs = fuzzy.length_band(titles(spark, left), titles(spark, right)).count()
+    assert pairs == sum(got[i].n_links for _, i, _ in left) == sum(got[j].n_links for _, j, _ in right) > 400
+
+
 def test_tile_bound_keeps_every_similar_pair():
     import random
 
