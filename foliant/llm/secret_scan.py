@@ -33,13 +33,13 @@ from foliant.llm.personal_data import joined
 
 KINDS = ("assign", "access", "hex", "random")
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
-#: Labelled documents that the model of ordinary identifiers is fitted on, the least of them by hash.
-SAMPLE_DOCUMENTS = 2000
 #: Limits (letters of one case, others) where fewer than ENOUGH ordinary strings are there to choose them on, and the part
 #: of these that may pass.
 LIMITS, ENOUGH, FALSE_RATE = (2.0, 1.25), 500, 1e-3
-#: Parts that the labelled documents' languages are dealt to, and the joined strings that one document gives at most.
-FOLDS, JOINED = 4, 40
+#: Parts that the labelled documents' languages are dealt to.
+FOLDS = 4
+#: Hashes of labelled ids that are told apart before texts are moved: a bitmap of 1 MB, however many labels there are.
+SLOTS = 1 << 23
 
 _ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']? *[:=] *[\"']?([A-Za-z0-9+/_.=-]+)", re.IGNORECASE | re.ASCII)
 _HINTS = ("password", "passwd", "secret", "token", "api")
@@ -101,12 +101,11 @@ _INDEX[[ord(c) for c in ALPHABET]] = np.arange(len(ALPHABET))
 def pair_counts(strings: Iterable[str]) -> np.ndarray:
     """Counts of neighbouring characters; row len(ALPHABET) is a string's start."""
     n = len(ALPHABET)
-    counts = np.zeros((n + 1, n), np.int64)
-    for s in strings:
-        at = _INDEX[np.frombuffer(s.encode(), np.uint8)]
-        counts[n, at[0]] += 1
-        np.add.at(counts, (at[:-1], at[1:]), 1)
-    return counts
+    at = _INDEX[np.frombuffer("".join(f"\n{s}" for s in strings).encode(), np.uint8)]
+    at[at < 0] = n
+    first, second = at[:-1], at[1:]
+    inside = second < n
+    return np.bincount(first[inside] * n + second[inside], minlength=(n + 1) * n).reshape(n + 1, n)
 
 
 def random_strings(n: int, seed: int = 7) -> list[str]:
@@ -180,13 +179,18 @@ def added(text: str, base: list[tuple[int, int, int]], model: tuple[np.ndarray,
 # --- training ---------------------------------------------------------------------------------------------------------
 
 
-def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lang_col: str | None, n: int) -> DataFrame:
-    """text, fold (by language) and held of at most n labelled documents, those of the least hash of the id."""
-    chosen = labels.select(F.col("doc_id").cast("long").alias("__id")).where("__id is not null").distinct().orderBy(F.xxhash64("__id"), "__id").limit(n)
+def _labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lang_col: str | None) -> DataFrame:
+    """text, fold (by language) and held of all labelled documents. A bitmap of the labels' hashes keeps nearly all other
+    texts from the exact join."""
+    ids = labels.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null")
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(SLOTS))
+    words = ids.select(slot.alias("s")).groupBy(F.shiftright("s", 6).alias("__word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(s % 64 as int))")).alias("__bits"))
     lang = F.col(lang_col).cast("string") if lang_col in docs.columns else F.lit(None).cast("string")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.pmod(F.xxhash64(lang), F.lit(FOLDS)).cast("int").alias("fold"))
+    near = texts.where("text is not null").withColumn("__slot", slot).join(F.broadcast(words), F.shiftright("__slot", 6) == F.col("__word"))
+    near = near.where("shiftright(__bits, cast(__slot % 64 as int)) & 1 = 1").select("doc_id", "text", "fold")
     held = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(3)) == 0
-    return texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("__id")).where("text is not null").select("text", "fold", held.alias("held"))
+    return near.hint("merge").join(ids.distinct(), "doc_id").select("text", "fold", held.alias("held"))
 
 
 def values_and_rest(text: str) -> tuple[list[str], list[str]]:
@@ -206,9 +210,9 @@ def _kept(value: str) -> str:
 
 
 def joined_words(words: list[str]) -> list[str]:
-    """Strings of 16 characters or more that neighbouring words make in the usual spellings, JOINED at most."""
+    """Strings of 16 characters or more that neighbouring words make in the usual spellings."""
     out, at = [], 0
-    while at < len(words) and len(out) < JOINED:
+    while at < len(words):
         own, size = [], 0
         while at < len(words) and size < 16:
             own.append(words[at])
@@ -256,25 +260,24 @@ def _judge(shared):
     return run
 
 
-def train(docs: DataFrame, labels: DataFrame | None, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = "lang", sample_documents: int = SAMPLE_DOCUMENTS) -> tuple[np.ndarray, tuple[float, float]]:
+def train(docs: DataFrame, labels: DataFrame | None, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = "lang") -> tuple[np.ndarray, tuple[float, float]]:
     """The pairs' log-likelihood ratios, and the limits for letters of one case and for others.
 
-    The sample is at most sample_documents labelled documents, by least hash of the id; a third of them, by another hash, is
-    held out for the limits.
+    All labelled documents count; a third of them, by a hash of the id, is held out for the limits.
     """
     n = len(ALPHABET)
     counts = np.zeros((FOLDS, 2, n + 1, n), np.int64)
     ordinary, drawn = pair_counts(list(ORDINARY) * 5 + ordinary_strings(6000)), pair_counts(random_strings(6000))
     if labels is None:
         return ratio(drawn, ordinary), LIMITS
-    sample = written(_sample(docs, labels, id_col, text_col, lang_col, sample_documents), "sample")
-    for r in sample.mapInArrow(_count, "fold int, secret int, a int, b int, n long").groupBy("fold", "secret", "a", "b").agg(F.sum("n").alias("n")).collect():
+    known = written(_labelled(docs, labels, id_col, text_col, lang_col), "labelled")
+    for r in known.mapInArrow(_count, "fold int, secret int, a int, b int, n long").groupBy("fold", "secret", "a", "b").agg(F.sum("n").alias("n")).collect():
         counts[r.fold, r.secret, r.a, r.b] = r.n
     model = lambda c: ratio(drawn + c[1], ordinary + c[0])
     whole = counts.sum(axis=0)
-    apart = sample.sparkSession.sparkContext.broadcast([model(whole - counts[f]) for f in range(FOLDS)])
-    judged = sample.mapInArrow(_judge(apart), "letters boolean, secret int, score int, n long").where("secret = 0").groupBy("letters", "score").agg(F.sum("n").alias("n")).collect()
-    removed(sample)
+    apart = known.sparkSession.sparkContext.broadcast([model(whole - counts[f]) for f in range(FOLDS)])
+    judged = known.mapInArrow(_judge(apart), "letters boolean, secret int, score int, n long").where("secret = 0").groupBy("letters", "score").agg(F.sum("n").alias("n")).collect()
+    removed(known)
     return model(whole), tuple(_limit([(r.score, r.n) for r in judged if r.letters == letters], default) for letters, default in zip((True, False), LIMITS, strict=True))
 
 
