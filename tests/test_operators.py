@@ -158,6 +158,22 @@ def test_common_subsequences():
     assert fuzzy.common_subsequences(left, right, i, j).tolist() == [plain(left[x], right[y]) for x, y in zip(i, j, strict=True)]
 
 
+def test_bounds_of_a_tile_are_small():
+    """Counts of a tile's pairs are held a byte each, a piece at a time."""
+    import random
+    import tracemalloc
+
+    own = random.Random(2)
+    left, right = (["".join(own.choice("0123456789abcdef") for _ in range(32)) for _ in range(1024)] for _ in range(2))
+    tracemalloc.start()
+    try:
+        assert sum(len(i) for i, _ in fuzzy.candidates(left, right, 0.95)) == 0
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 8 << 20
+
+
 def test_a_hot_block_is_many_tiles(spark):
     """Rows that meet grow with the tiles, not with pairs of rows, and no group is larger than a tile."""
     left = titles(spark, [("x", i, f"title number {i:05d}") for i in range(2000)])
