@@ -32,7 +32,16 @@ SEED = 20240
 #: Languages whose prototypes are broadcast at once (4 KB each); with more of them documents pass several broadcasts.
 LANGUAGES = 4096
 #: Trigram vectors that a worker remembers, and documents and trigrams that meet in one matrix product.
-_REMEMBERED, _ROWS, _COLUMNS = 24_000, 256, 8192
+_REMEMBERED, _ROWS, _COLUMNS = 24_000, 256, 2048
+#: Characters of text, and documents, that are bundled at once: a document's vector takes 8 KB.
+_CHARS, _DOCUMENTS = 1 << 17, 1024
+
+
+def _parts(batch: pa.RecordBatch, text: str = "text") -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
+    """Slices of a batch of _CHARS characters and _DOCUMENTS rows at most, unless one document is longer."""
+    for part, texts in slices(batch, text, _CHARS):
+        for lo in range(0, len(texts), _DOCUMENTS):
+            yield part.slice(lo, _DOCUMENTS), texts[lo : lo + _DOCUMENTS]
 
 
 class Binder:
@@ -121,7 +130,7 @@ def _learn(dimensions: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
-            for part, texts in slices(batch):
+            for part, texts in _parts(batch):
                 doc, place, grams = trigrams(texts)
                 names, own = np.unique(np.array(part.column("lang").to_pylist(), object), return_inverse=True)
                 lang = own[doc]
@@ -156,7 +165,7 @@ def _predict(shared, text: str, dimensions: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         languages, vectors = shared.value
         for batch in batches:
-            for part, texts in slices(batch, text):
+            for part, texts in _parts(batch, text):
                 doc, place, grams = trigrams(texts)
                 own = bundles(doc, place, grams, len(texts), _binder(dimensions))
                 size = np.linalg.norm(own, axis=1)

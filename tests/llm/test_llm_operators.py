@@ -748,6 +748,25 @@ def test_secrets(spark, make_docs, odd_docs):
     assert secret_scan.train(odd_docs.limit(0), labels)[1] == secret_scan.LIMITS
 
 
+def test_language_of_many_short_texts_in_little_memory():
+    """Vectors of a batch's documents are not held at once."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    n, model = 10_000, (["en"], np.ones((1, language_id.DIMENSIONS)) / 32)
+    batch = pa.RecordBatch.from_arrays([pa.array([f"some short text {i}" for i in range(n)]), pa.array([None] * n, pa.string()), pa.array(np.zeros(n))], names=["text", "__lang", "__cosine"])
+    run = language_id._predict(type("Shared", (), {"value": model}), "text", language_id.DIMENSIONS)
+    tracemalloc.start()
+    try:
+        assert sum(len(b) for b in run(iter([batch]))) == n
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 64 << 20
+
+
 def test_all_labelled_documents_count(spark, make_docs):
     """Whatever their number and the length of their texts: every one of four thousand counts, and
     nothing of a long text is left out of the limits."""
