@@ -20,31 +20,36 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from foliant.llm import decontaminate, jaccard_join, language_id, mixture, token_store
-from foliant.llm.common import written
+from foliant.llm.common import bounded_batches, written
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language, under the language that is found. Learned from these documents' own labels."""
+    bounded_batches(spark)
     return language_id.with_language(docs, language_id.prototypes(docs), lang_col="lang")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of documents linked by five-word shingles at a similarity of 0.8 or more."""
+    bounded_batches(spark)
     return jaccard_join.distinct_documents(docs, k=5, threshold=(80, 100))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with less than a twentieth of their words in 13-word windows of the benchmark, without those windows."""
+    bounded_batches(spark)
     return decontaminate.without_benchmark(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), chars_col="n_chars")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents sampled so that sources, languages and topics meet their target token weights."""
+    bounded_batches(spark)
     return mixture.sample(docs)
 
 
 def write_token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids in seekable shards; one row a document with its place, length and checksum, read back from them."""
+    bounded_batches(spark)
     root, shards = token_store.write_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
     return token_store.read_digests(spark, root, shards)
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliant.llm.common import id_text, renamed_apart, slices, with_names
+from foliant.llm.common import id_text, kept, renamed_apart, slices, with_names
 from foliant.llm.textcodes import code_points
 
 DIMENSIONS = 1024
@@ -119,11 +119,8 @@ def bundles(rows: np.ndarray, place: np.ndarray, grams: np.ndarray, n: int, bind
     return out
 
 
-_BINDERS: dict[int, Binder] = {}
-
-
 def _binder(dimensions: int) -> Binder:
-    return _BINDERS.setdefault(dimensions, Binder(dimensions))
+    return kept("language_id", dimensions, lambda: Binder(dimensions))
 
 
 def _learn(dimensions: int):

@@ -8,6 +8,7 @@ from collections.abc import Callable
 
 import numpy as np
 
+from foliant.llm.common import kept
 from foliant.llm.textcodes import code_points, hash_spans
 
 #: Classes of code points; letters of contractions have their own, as they can follow an apostrophe.
@@ -167,11 +168,6 @@ class ByteLevelEncoder:
         return ids, np.diff(before)
 
 
-_ENCODERS: dict[str, ByteLevelEncoder] = {}
-
-
 def byte_level_encoder(path: str) -> ByteLevelEncoder:
     """One for each file and worker process, as its memory pays off over tasks."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = ByteLevelEncoder(path)
-    return _ENCODERS[path]
+    return kept("byte_level", path, lambda: ByteLevelEncoder(path))

@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 import zstandard
@@ -932,3 +933,23 @@ def test_language_id_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = language_id.identify(docs, language_id.prototypes(docs)).where("held_out").join(docs.select("doc_id", "lang"), "doc_id")
     assert got.where("lang = lang_pred").count() >= 0.97 * got.count()
+
+
+def test_a_worker_keeps_one_operators_tables():
+    first = common.kept("a", 1, list)
+    assert common.kept("a", 1, list) is first and common.kept("a", 2, list) is not first
+    common.kept("b", 1, list)
+    assert common.kept("a", 1, list) is not first
+
+
+def test_batches_to_workers_are_bounded(spark):
+    old = spark.conf.get(common._ARROW_BYTES)
+    try:
+        common.bounded_batches(spark)
+        sizes = spark.range(20_000).selectExpr("repeat('x', 2000) AS text").coalesce(1).mapInArrow(lambda batches: (pa.RecordBatch.from_pylist([{"n": b.nbytes}]) for b in batches), "n long")
+        assert max(r.n for r in sizes.collect()) < 2 * common.BATCH_BYTES
+        spark.conf.set(common._ARROW_BYTES, "1m")
+        common.bounded_batches(spark)
+        assert spark.conf.get(common._ARROW_BYTES) == "1m"
+    finally:
+        spark.conf.set(common._ARROW_BYTES, old)
