@@ -1,4 +1,4 @@
-"""A paged REST source: one input partition for each page of (offset, limit).
+"""A paged REST source: one input partition for each page of (offset, limit), or, of many pages, for several.
 
 The reader's partitions do the requests on executors; `fetch` is any importable callable (url, offset, limit) -> list of
 rows, so tests and replays need no network. `count` gives the number of rows, which becomes the partitions.
@@ -79,43 +79,51 @@ def http_count(url: str) -> int:
     return int(json.loads(body)["count"])
 
 
-def _files(folder: str) -> tuple[pafs.FileSystem, dict[int, list[str]]]:
-    """The file system of stored pages, and the files of each page."""
-    fs, path = pafs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
-    found: dict[int, list[str]] = {}
-    for f in fs.get_file_info(pafs.FileSelector(path, recursive=True, allow_not_found=True)):
-        parent = f.path.split("/")[-2]
-        if f.is_file and parent.startswith("page=") and not f.base_name.startswith((".", "_")):
-            found.setdefault(int(parent.removeprefix("page=")), []).append(f.path)
-    return fs, found
+_SIZE = "_page_size"
 
 
-def _lines(fs: pafs.FileSystem, files: list[str]) -> list[dict]:
+def _folder(folder: str) -> tuple[pafs.FileSystem, str]:
+    return pafs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
+
+
+def _lines(fs: pafs.FileSystem, path: str, page: int) -> list[dict]:
+    """The rows of one page, from its own folder; none where it isn't there."""
     rows = []
-    for f in sorted(files):
-        with fs.open_input_stream(f) as source:
-            rows += [json.loads(x) for x in source.read().decode().split("\n") if x]
+    for f in fs.get_file_info(pafs.FileSelector(f"{path}/page={page}", allow_not_found=True)):
+        if f.is_file and not f.base_name.startswith((".", "_")):
+            with fs.open_input_stream(f.path) as source:
+                rows += [json.loads(x) for x in source.read().decode().split("\n") if x]
     return sorted(rows, key=lambda r: r["row_ix"])
 
 
 def store_pages(notes: DataFrame, folder: str, *order: str, limit: int = 1000) -> None:
-    """Notes as pages of `limit` rows along an order, for stored_fetch: JSON lines in folders page=<n>."""
+    """Notes as pages of `limit` rows along an order, for stored_fetch: JSON lines in folders page=<n>, and the size of a page."""
     rows = numbered(notes, *order, name="row_ix").withColumn("page", F.floor(F.col("row_ix") / limit))
     rows.repartition("page").write.mode("append").partitionBy("page").json(folder)
+    fs, path = _folder(folder)
+    fs.create_dir(path, recursive=True)
+    with fs.open_output_stream(f"{path}/{_SIZE}") as out:
+        out.write(str(limit).encode())
 
 
 def stored_fetch(url: str, offset: int, limit: int) -> list[dict]:
-    """Rows of stored pages: a replay without network. A request may cover several pages, or parts of them."""
-    fs, found = _files(url)
-    pages = sorted(found)
-    size = len(_lines(fs, found[pages[0]])) if pages else 1  # every page but the last is full
-    rows = [r for p in range(offset // size, (offset + limit - 1) // size + 1) if p in found for r in _lines(fs, found[p])]
+    """Rows of stored pages: a replay without network. A request may cover several pages, or parts of them, and reads no
+    others, however many are stored."""
+    fs, path = _folder(url)
+    if fs.get_file_info(f"{path}/{_SIZE}").is_file:
+        with fs.open_input_stream(f"{path}/{_SIZE}") as source:
+            size = int(source.read())
+    else:
+        size = len(_lines(fs, path, 0)) or 1  # every page but the last is full
+    rows = [r for p in range(offset // size, (offset + limit - 1) // size + 1) for r in _lines(fs, path, p)]
     return [{k: v for k, v in r.items() if k != "row_ix"} for r in rows if offset <= r["row_ix"] < offset + limit]
 
 
 def stored_count(url: str) -> int:
-    fs, found = _files(url)
-    return _lines(fs, found[max(found)])[-1]["row_ix"] + 1 if found else 0
+    """From the names of the pages and the rows of the last one."""
+    fs, path = _folder(url)
+    pages = [int(f.base_name.removeprefix("page=")) for f in fs.get_file_info(pafs.FileSelector(path, allow_not_found=True)) if f.base_name.startswith("page=")]
+    return _lines(fs, path, max(pages))[-1]["row_ix"] + 1 if pages else 0
 
 
 def _named(name: str) -> Callable:
@@ -128,6 +136,23 @@ class Page(InputPartition):
         self.offset, self.limit = offset, limit
 
 
+#: Partitions of a read at most: beyond, each takes several pages in turn, because a task costs more than a page.
+MOST_PARTITIONS = 1024
+
+
+def _pages(begin: int, end: int, limit: int) -> list[Page]:
+    """Whole pages of `limit` rows (but for the last), dealt to MOST_PARTITIONS partitions at most."""
+    step = limit * max(1, -(-(end - begin) // (limit * MOST_PARTITIONS)))
+    return [Page(x, min(step, end - x)) for x in range(begin, end, step)]
+
+
+def _paged(options, partition: Page) -> Iterator[tuple]:
+    """The rows of a partition, a page a request."""
+    fetch, limit = _named(options.get("fetch", "foliant.sources.rest.http_fetch")), int(options.get("limit", 1000))
+    for at in range(partition.offset, partition.offset + partition.limit, limit):
+        yield from _rows(fetch(options["url"], at, min(limit, partition.offset + partition.limit - at)), at)
+
+
 def _rows(notes: list[dict], offset: int) -> Iterator[tuple]:
     for i, note in enumerate(notes):
         yield offset + i, note.get("id"), json.dumps(note, sort_keys=True, ensure_ascii=False)
@@ -141,14 +166,15 @@ class _Reader(DataSourceReader):
         limit = int(self.options.get("limit", 1000))
         total = int(self.options["total"]) if "total" in self.options else _named(self.options.get("count", "foliant.sources.rest.http_count"))(self.options["url"])
         # A least gap between requests needs one reader that does them in turn.
-        step = max(total, 1) if "gap" in self.options else limit
-        return [Page(x, min(step, total - x)) for x in range(0, total, step)]
+        if "gap" in self.options:
+            return [Page(0, total)] if total else []
+        return _pages(0, total, limit)
 
     def read(self, partition: Page):
-        fetch = _named(self.options.get("fetch", "foliant.sources.rest.http_fetch"))
         if "gap" not in self.options:
-            yield from _rows(fetch(self.options["url"], partition.offset, partition.limit), partition.offset)
+            yield from _paged(self.options, partition)
             return
+        fetch = _named(self.options.get("fetch", "foliant.sources.rest.http_fetch"))
         throttle, limit = Throttle(float(self.options["gap"]), float(self.options.get("jitter", 0.5))), int(self.options.get("limit", 1000))
         for at in range(partition.offset, partition.offset + partition.limit, limit):
             n = min(limit, partition.offset + partition.limit - at)
@@ -186,18 +212,16 @@ class _StreamReader(DataSourceStreamReader):
 
     def partitions(self, start, end):
         self.at = max(self.at or 0, end["offset"])
-        limit = int(self.options.get("limit", 1000))
-        return [Page(x, min(limit, end["offset"] - x)) for x in range(start["offset"], end["offset"], limit)]
+        return _pages(start["offset"], end["offset"], int(self.options.get("limit", 1000)))
 
     def read(self, partition: Page):
-        fetch = _named(self.options.get("fetch", "foliant.sources.rest.http_fetch"))
-        yield from _rows(fetch(self.options["url"], partition.offset, partition.limit), partition.offset)
+        yield from _paged(self.options, partition)
 
 
 class PagedNotes(DataSource):
     """spark.read.format("paged_notes").option("url", ..).option("limit", 1000).load(): row_ix, id, note (JSON).
 
-    One input partition a page; with option gap (seconds between requests, jitter on top) one for all, read in turn. As a
+    One input partition a page, up to MOST_PARTITIONS; with option gap (seconds between requests, jitter on top) one for all, read in turn. As a
     stream: `batch` rows at most in a micro-batch; `checkpointLocation`, that of the query, to go on after a restart.
     """
 

@@ -139,3 +139,17 @@ def test_stream_of_stored_pages(spark, tmp_path):
 
     assert [run(10), run(7), run(100)] == [10, 7, 6]
     assert sorted(r.row_ix for r in spark.read.parquet(out).collect()) == list(range(23))
+
+
+def test_a_fetch_reads_its_own_pages(spark, tmp_path):
+    """Other pages are neither listed nor opened, and many pages share a task."""
+    notes = spark.createDataFrame([(i, f"n{i}") for i in range(23)], "k int, id string")
+    rest.store_pages(notes, f"{tmp_path}/p", "k", limit=5)
+    for f in (tmp_path / "p" / "page=0").glob("*.json"):
+        f.write_text("not JSON\n")
+        f.with_name(f".{f.name}.crc").unlink(missing_ok=True)
+    assert [n["id"] for n in rest.stored_fetch(f"{tmp_path}/p", 13, 4)] == ["n13", "n14", "n15", "n16"]
+    assert rest.stored_count(f"{tmp_path}/p") == 23
+    pages = rest._Reader({"url": "x", "limit": "10", "total": "100005"}).partitions()
+    assert len(pages) <= rest.MOST_PARTITIONS and [p.offset for p in pages[1:]] == [p.offset + p.limit for p in pages[:-1]]
+    assert all(p.offset % 10 == 0 for p in pages) and pages[-1].offset + pages[-1].limit == 100005
