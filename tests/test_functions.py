@@ -194,3 +194,15 @@ def test_checks_name_the_groups_of_violations(spark):
     empty = checked(df.limit(0), {"small": F.col("v") < 10})
     empty.frame.collect()
     assert empty.report() == [("small", 0, 0, None, None)]
+
+
+def test_pages_are_parsed_in_slices(monkeypatch):
+    import pandas as pd
+
+    from foliant.functions import documents
+
+    monkeypatch.setattr(documents, "PARSED_PAGES", 3)
+    monkeypatch.setattr(documents, "PARSED_CHARS", 100)
+    html = pd.Series(["<title>a</title>", None, "x" * 150, "<p>b", "<p>c", "<p>d", "<p>e"])
+    parts = list(documents.parsed_slices(iter([html, pd.Series([None], dtype=object)])))
+    assert max(map(len, parts)) <= 3 and [t for p in parts for t in p["text"]] == ["", "", "x" * 150, "b", "c", "d", "e", ""]
