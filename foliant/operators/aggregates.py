@@ -147,9 +147,14 @@ def top_lists(df: DataFrame, lists: dict[str, Column], statuses: list[str] | Non
     rows = df if statuses is None else df.where(F.col("status").isin(*statuses))
     status = [] if statuses is None else [F.col("status")]
     flat = rows.select(*by, *status, F.col(row_ix).alias("__ix"), F.explode(F.concat(*[tagged(n, x) for n, x in lists.items()])).alias("e")).where("e.name != ''")
-    flat = flat.select(*by, *status, "e.list", "e.key", "e.name", (F.col("__ix") * F.lit(most) + F.col("e.pos")).alias("seen"))
+    # A name is shuffled where it differs from its key. Names are told apart first: their counts are of fixed width, which hash
+    # aggregation takes, and only then is the first name of a key looked for, among few rows.
+    other = F.when(~F.col("e.name").eqNullSafe(F.col("e.key")), F.col("e.name"))
+    flat = flat.select(*by, *status, "e.list", "e.key", other.alias("__other"), (F.col("__ix") * F.lit(most) + F.col("e.pos")).alias("seen"))
     counts = [F.sum(F.when(F.col("status") == s, 1).otherwise(0)).cast("bigint").alias(f"c{i}") for i, s in enumerate(statuses or ())]
-    found = flat.groupBy(*by, "list", "key").agg(F.min_by("name", "seen").alias("name"), F.count("*").alias("total"), *counts, F.min("seen").alias("first_seen"))
+    named = flat.groupBy(*by, "list", "key", "__other").agg(F.count("*").alias("total"), *counts, F.min("seen").alias("seen"))
+    first = F.min_by(F.coalesce("__other", "key"), "seen").alias("name")
+    found = named.groupBy(*by, "list", "key").agg(first, *[F.sum(c).alias(c) for c in ("total", *(f"c{i}" for i in range(len(counts))))], F.min("seen").alias("first_seen"))
     ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy(*by, "list").orderBy(F.desc("total"), "first_seen")))
     return ranked.where(F.col("rank") <= k).select(*by, "list", "rank", "name", "key", "total", *[f"c{i}" for i in range(len(counts))], "first_seen")
 

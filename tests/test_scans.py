@@ -153,3 +153,12 @@ def test_a_fetch_reads_its_own_pages(spark, tmp_path):
     pages = rest._Reader({"url": "x", "limit": "10", "total": "100005"}).partitions()
     assert len(pages) <= rest.MOST_PARTITIONS and [p.offset for p in pages[1:]] == [p.offset + p.limit for p in pages[:-1]]
     assert all(p.offset % 10 == 0 for p in pages) and pages[-1].offset + pages[-1].limit == 100005
+
+
+def test_top_lists_sorts_no_rows_before_it_counts(spark):
+    """What is counted per row has buffers of fixed width; only the few names of a key are sorted."""
+    df = spark.createDataFrame([(0, "t", "Oral", ["a"], ["1"]), (1, "t", "Oral", ["b", "a"], ["1", ""])], "row_ix long, track string, status string, n array<string>, i array<string>")
+    top = A.top_lists(df, {"own": A.identified(F.col("n"), F.col("i"))}, None)
+    assert sorted((r.key, r.name, r.total, r.first_seen) for r in top.collect()) == [("1", "a", 2, 0), ("a", "a", 1, (1 << 20) + 1)]
+    plan = top._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("HashAggregate") - plan.count("ObjectHashAggregate") >= 2
