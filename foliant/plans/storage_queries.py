@@ -21,7 +21,7 @@ from foliant.plans.views import PAPERS, Tables
 from foliant.schema import strings
 from foliant.sources import files, pages, rest, summaries
 from foliant.specs import FORM_RULES, VENUES, form_spec, source_kind
-from foliant.storage import shared_dir
+from foliant.storage import shared_dir, stored
 from foliant.streaming import incremental, stateful
 
 
@@ -637,14 +637,17 @@ def recounted_tiers(t: Tables) -> DataFrame:
 
 
 def _events(t: Tables, in_order: bool = False) -> DataFrame:
-    """The events as a stream of three files, one in each micro-batch; in order of their ids, or dealt by hash."""
+    """The events as a stream of three parts, one in each micro-batch; in order of their ids, or dealt by hash. A part is as
+    many files of about a million rows as it takes, so that no task writes or reads all of it."""
     folder = shared_dir(t.spark, "events")
     rows = t.events.select("event_id", "user_id", "event_type", "value", F.col("ts").cast("timestamp").alias("ts"))
-    most = (t.events.agg(F.max("event_id").alias("m")).first().m or 0) + 1
+    size = t.events.agg(F.max("event_id").alias("m"), F.count("*").alias("n")).first()
+    most, files = (size.m or 0) + 1, 1 + size.n // 3_000_000
     file = F.floor(F.col("event_id") * 3 / most) if in_order else F.pmod(F.xxhash64("event_id"), F.lit(3))
     for k in range(3):
-        rows.where(file == k).coalesce(1).write.mode("append").parquet(folder)
-    return t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+        part = rows.where(file == k)
+        (part.repartition(files) if files > 1 else part.coalesce(1)).write.mode("append").parquet(folder)
+    return t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(folder)
 
 
 @query("SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type FROM events GROUP BY 1")
@@ -708,7 +711,7 @@ def stream_transfer_counts(t: Tables) -> DataFrame:
     """A transfer matrix by status kept up to date by signed changes: a paper's event takes it out of its old cell and puts
     it into a new one; events come in no order. The initial scores are a static snapshot."""
     paper = lambda: F.concat(F.col("user_id").cast("string"), F.lit("/"), (F.col("event_id") % 50).cast("string"))
-    initial = t.events.groupBy(paper().alias("id")).agg((F.min_by("value", "event_id") / 5).alias("avg"))
+    initial = stored(t.events.groupBy(paper().alias("id")).agg((F.min_by("value", "event_id") / 5).alias("avg")), "initial")
     rows = incremental.snapshot_changes(_events(t).withColumn("id", paper()), initial)
     r, c = scores.transfer_cell(F.col("before"), F.col("value") / 5)
     cells = rows.select("id", "event_id", F.col("event_type").alias("status"), r.alias("r"), c.alias("c"))

@@ -57,7 +57,7 @@ class _Best(_Quiet):
         self.state = handle.getValueState("best", "score double, first long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        best, top, seen = self.state.get() if self.state.exists() else None, None, []
+        best, top, seen = self.state.get(), None, []  # None without one: one call to the store less
         for r in rows:
             own = getattr(r, self.score), getattr(r, self.order)
             if self.quiet:
@@ -71,14 +71,21 @@ class _Best(_Quiet):
 
 
 def keep_best_stream(stream: DataFrame, key: str, score: str, order: str, *, time: str = "", quiet_ms: int = 0) -> DataFrame:
-    """Rows as they become the best of their key: by score, the earliest by `order` on ties. The last one that is put out for
-    a key is the batch's `keep_best`. Rows without a score are left out; `order` is a whole number.
+    """The best row so far of every key that a batch has rows of: by score, the earliest by `order` on ties. The last one that
+    is put out for a key is the batch's `keep_best`. Rows without a score are left out; `order` is a whole number.
+
+    Without quiet_ms this is a built-in aggregation, partial before its shuffle and without Python; with it, keys have timers,
+    and a row is put out only as it becomes the best.
 
     quiet_ms: event time (`time`, which needs a watermark) after which a key that has no rows is forgotten; a later row of
     it is put out again if it is the best of those after.
     """
-    mode = "EventTime" if quiet_ms else "None"
-    return _keyed(stream, key).transformWithState(_Best(score, order, quiet_ms, time), stream.schema, "Update", mode)
+    if quiet_ms:
+        return _keyed(stream, key).transformWithState(_Best(score, order, quiet_ms, time), stream.schema, "Update", "EventTime")
+    rows = stream.where(F.col(f"`{score}`").isNotNull())
+    whole = F.struct(*[F.col(f"`{c}`") for c in stream.columns])
+    best = F.max_by(whole, F.struct(F.col(f"`{score}`"), -F.col(f"`{order}`")))
+    return _keyed(rows, key).agg(best.alias("__row")).select("__row.*")
 
 
 class _Changes(_Quiet):
@@ -90,7 +97,7 @@ class _Changes(_Quiet):
         self.state = handle.getValueState("now", self.schema)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        now = self.state.get() if self.state.exists() else None
+        now = self.state.get()
         before, seen = now, []
         for r in rows:
             if self.quiet:

@@ -170,3 +170,9 @@ def test_retries_have_timers(spark, tmp_path):
     minute = lambda m: int(when(m).replace(tzinfo=datetime.timezone.utc).timestamp() * 1000)
     assert t == [("outcome", 1, "pending", minute(10)), ("due", 1, "pending", minute(10)), ("outcome", 2, "pending", minute(51)), ("due", 2, "pending", minute(51)), ("outcome", 3, "no_record", None)]
     assert [(r.tries, r.status) for r in out if r.title == "u"] == [(1, "success")]
+
+
+def test_keep_best_without_timers_runs_no_python(spark, tmp_path):
+    rows = streamed(spark, tmp_path, [("a", 1.0, 1)], "k string, score double, o bigint", 1)
+    plan = stateful.keep_best_stream(rows, "k", "score", "o")._jdf.queryExecution().analyzed().toString()
+    assert "TransformWithState" not in plan and "Aggregate" in plan
