@@ -528,10 +528,11 @@ def notes_to_papers(t: Tables) -> DataFrame:
     """Notes whose fields are plain or wrapped, with their reviews, to papers."""
     scores = F.array_sort(F.collect_list(F.struct("l_linenumber", "l_suppkey", "l_partkey")))
     review = lambda x: F.struct(F.lit("V/Official_Review").alias("invitation"), F.lit(None).cast("array<string>").alias("invitations"), F.create_map(F.lit("rating"), _joined('{"value":', x["l_linenumber"], "}")).alias("content"))
-    g = t.lineitem.groupBy("l_orderkey").agg(F.transform(scores, review).alias("replies"))
+    # Reviews are built after the join: until then an order holds three numbers a review.
+    g = t.lineitem.groupBy("l_orderkey").agg(scores.alias("scores"))
     title = F.when(F.col("o_orderkey") % 2 == 0, _joined('{"value":"Paper ', F.col("o_orderkey"), '"}')).otherwise(_joined("Paper ", F.col("o_orderkey")))
     content = F.create_map(F.lit("title"), title, F.lit("keywords"), F.lit('["a","","b"]'), F.lit("venue"), _joined("venue ", F.col("o_orderstatus")))
-    own = t.orders.join(g, F.col("o_orderkey") == F.col("l_orderkey")).select(_joined("n", F.col("o_orderkey")).alias("id"), content.alias("content"), F.struct(F.lit(0).alias("replyCount"), F.col("replies").alias("directReplies")).alias("details"))
+    own = t.orders.join(g, F.col("o_orderkey") == F.col("l_orderkey")).select(_joined("n", F.col("o_orderkey")).alias("id"), content.alias("content"), F.struct(F.lit(0).alias("replyCount"), F.transform("scores", review).alias("directReplies")).alias("details"))
     return notes.papers(own, {"rating": "rating"}, {"venue F": "Reject", "venue O": "Oral"}).select("id", "title", "keywords", "status", "n_reviews", "rating", F.round("rating_avg", 6).alias("rating_avg"))
 
 
