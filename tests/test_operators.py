@@ -447,3 +447,21 @@ def test_highest_status_of_many_kinds(spark, tmp_path):
     spark.createDataFrame(rows, "user_id long, event_type string").write.parquet(f"{tmp_path}/events.parquet")
     got = {r.user_id: r.event_type for r in review_queries.highest_status(views.Tables(spark, str(tmp_path))).collect()}
     assert got == {i: f"kind{i}" for i in range(80)} | {100: "click", 101: "view", 102: None, 103: "other"}
+
+
+def test_long_titles_are_bounded_by_their_runs():
+    """Long titles of the same few letters pass every count; few of them are left to be scored one by one."""
+    import random
+
+    from foliant.functions.documents import ratio
+
+    own = random.Random(5)
+    parts = ["th", "er", "in", "on", "ing", "tion", "ou", "ea", "st", "an", "nd", "ha", "re", "ble"]
+    word = lambda: "".join(own.choice(parts) for _ in range(own.randint(1, 4)))
+    text = lambda n: " ".join(word() if own.random() > 0.08 else word().title() for _ in range(n))
+    left = [text(own.randint(22, 230)) for _ in range(60)]
+    changed = [("".join(c for c in t if own.random() > 0.12), t[:150] + text(4) + t[150:], text(3) + t, "É, 7" + t[40:]) for t in left[:12]]
+    right = [text(own.randint(22, 230)) for _ in range(60)] + [t for more in changed for t in more]
+    found = {(i, j) for a, b in fuzzy.candidates(left, right, 0.71) for i, j in zip(a.tolist(), b.tolist(), strict=True)}
+    similar = {(i, j) for i, x in enumerate(left) for j, y in enumerate(right) if ratio(x, y) >= 0.71}
+    assert len(similar) >= 12 and similar <= found and len(found) <= len(similar) + 30, (len(found), len(similar))
