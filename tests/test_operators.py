@@ -465,3 +465,20 @@ def test_long_titles_are_bounded_by_their_runs():
     found = {(i, j) for a, b in fuzzy.candidates(left, right, 0.71) for i, j in zip(a.tolist(), b.tolist(), strict=True)}
     similar = {(i, j) for i, x in enumerate(left) for j, y in enumerate(right) if ratio(x, y) >= 0.71}
     assert len(similar) >= 12 and similar <= found and len(found) <= len(similar) + 30, (len(found), len(similar))
+
+
+def test_rows_of_many_tiles_are_copied_few_times(spark, monkeypatch):
+    """Tiles grow with their table, so that all are about as many, up to the rows and characters that one may hold."""
+    left, right = (titles(spark, [("x", i, f"{name} {i:05d}") for i in range(400)]) for name in ("title number", "another name"))
+
+    def sizes(least):
+        return lambda a, b: pd.DataFrame([("x", len(a), len(b), "", 0.0, 0)], columns=["block", "left_ix", "right_ix", "right_title", "score", "level"])
+
+    import pandas as pd
+
+    monkeypatch.setattr(fuzzy, "_tile_scores", sizes)
+    monkeypatch.setattr(fuzzy, "TILES", 4, raising=False)
+    for most, copies in (((1 << 16, 1 << 22), 2), ((100, 1 << 22), 4), ((1 << 16, 1800), 4)):
+        monkeypatch.setattr(fuzzy, "MOST", most, raising=False)
+        met = fuzzy.scored_pairs(left, right, 0.95, tile=16).agg(F.sum("left_ix"), F.sum("right_ix"), F.sum(F.col("left_ix") * F.col("right_ix"))).first()
+        assert met[0] <= 400 * copies and met[1] <= 400 * copies and met[2] == 400 * 400, (most, met)
